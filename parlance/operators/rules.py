@@ -146,9 +146,11 @@ def apply_layers(
     )
 
 
-def glossary_exact(strings: DataFrame, glossary: DataFrame, layers=LAYERS) -> DataFrame:
+def glossary_exact(
+    strings: DataFrame, glossary: DataFrame, layers=LAYERS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Strings that are, as a whole, a glossary term."""
-    keyed = strings.select(*KEY, "semantic_type", term_key("source_text").alias("term_key"))
+    keyed = strings.select(*KEY, "semantic_type", *carry, term_key("source_text").alias("term_key"))
     return apply_layers(keyed, glossary, "term_key", layers, "inner")
 
 
@@ -158,9 +160,13 @@ def template_key(c: Column | str) -> Column:
     return term_key(F.regexp_replace(text, ANY_TOKEN, " "))
 
 
-def glossary_template_match(strings: DataFrame, glossary: DataFrame, layers=LAYERS) -> DataFrame:
+def glossary_template_match(
+    strings: DataFrame, glossary: DataFrame, layers=LAYERS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Strings that become a glossary term once their placeholders are taken away."""
-    keyed = strings.select(*KEY, "semantic_type", template_key("source_text").alias("term_key"))
+    keyed = strings.select(
+        *KEY, "semantic_type", *carry, template_key("source_text").alias("term_key")
+    )
     return apply_layers(keyed.filter("term_key <> ''"), glossary, "term_key", layers, "inner")
 
 
