@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parlance.functions.tokens import ANY_TOKEN
+from parlance.functions.tokens import CURLY_TOKEN, SQUARE_TOKEN
 
 # What a Unicode-aware strip removes.
 WHITESPACE = (
@@ -28,8 +28,13 @@ def strip(c: Column | str) -> Column:
     return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
-def mask_placeholders(c: Column | str) -> Column:
-    return F.regexp_replace(as_col(c), ANY_TOKEN, MASK)
+def mask_placeholders(c: Column | str, mark: str = MASK) -> Column:
+    """Tokens replaced by ``mark``: one pass per bracket kind, only where the bracket occurs."""
+    out = as_col(c)
+    for pattern, bracket in ((CURLY_TOKEN, "{"), (SQUARE_TOKEN, "[")):
+        replaced = F.regexp_replace(out, pattern, mark)
+        out = F.when(F.contains(as_col(c), F.lit(bracket)), replaced).otherwise(out)
+    return out
 
 
 def normalize_source(c: Column | str) -> Column:
@@ -88,14 +93,26 @@ def term_key(c: Column | str) -> Column:
 
 
 def ngrams_upto(items: Column, longest: int) -> Column:
-    """All runs of 1..longest consecutive items, each joined by a space."""
+    """All runs of 1..longest consecutive items, each joined by a space.
+
+    The items are bound once by a one-element transform: written into the inner lambdas they
+    would be computed again for every run.
+    """
+    return F.element_at(F.transform(F.array(items), lambda bound: _runs(bound, longest)), 1)
+
+
+def _runs(items: Column, longest: int) -> Column:
     empty = F.array().cast("array<string>")
-    runs = [items]
+    out = [items]
     for n in range(2, longest + 1):
         starts = F.sequence(F.lit(1), F.size(items) - (n - 1))
-        joined = F.transform(starts, lambda i, n=n: F.array_join(F.slice(items, i, F.lit(n)), " "))
-        runs.append(F.when(F.size(items) >= n, joined).otherwise(empty))
-    return F.concat(*runs)
+        joined = F.transform(starts, _run_from(items, n))
+        out.append(F.when(F.size(items) >= n, joined).otherwise(empty))
+    return F.concat(*out)
+
+
+def _run_from(items: Column, n: int):
+    return lambda start: F.array_join(F.slice(items, start, F.lit(n)), " ")
 
 
 def estimate_tokens(c: Column | str, chars_per_token: int = 4) -> Column:

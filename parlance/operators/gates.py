@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.tokens import (
+    ESCAPES,
     MECHANISMS,
-    escape_sequence_check,
-    multiset_messages,
-    tokens_of,
-    xml_messages,
+    control_sql,
+    curly_kind_sql,
+    curly_sql,
+    escape_messages_sql,
+    multiset_messages_sql,
+    occurrences_sql,
+    stray_sql,
+    tokens_sql,
+    xml_messages_sql,
 )
 
 PLACEHOLDERS = ("positional", "named")
@@ -25,35 +31,57 @@ def validate(
 ) -> DataFrame:
     """Add ``failures``, ``passed`` and ``validation_status``.
 
-    Tokens are extracted in a first projection so that each regular expression runs once per text.
-    ``passed`` has its own expression that needs no messages: a filter on it is pushed below the
-    projection and would otherwise drag the whole message building with it.
+    Both texts enter one expression once: lambdas search them (tokens, escapes), derive measures
+    and compare the measures. So every regular expression runs once per text, also
+    when the optimizer copies the expression into a filter further down.
     """
-    multisets = [g for g in gates if g in MECHANISMS]
-    tokens = {f"_s_{g}": tokens_of(g, source) for g in multisets} | {
-        f"_o_{g}": tokens_of(g, output) for g in multisets
-    }
-    parts, passed = [], F.lit(True)
+    # found: what is searched in the texts; measured: what is derived from it.
+    found, measured, parts, passed = {}, {}, [], []
     for gate in gates:
         if gate in MECHANISMS:
-            same = F.sort_array(f"_s_{gate}") == F.sort_array(f"_o_{gate}")
-            passed = passed & same
-            parts.append(multiset_messages(gate, F.col(f"_s_{gate}"), F.col(f"_o_{gate}")))
+            for side in "so":
+                if gate in PLACEHOLDERS:
+                    found[f"{side}_curly"] = curly_sql(f"p.{side}")
+                    measured[f"{side}_{gate}"] = curly_kind_sql(gate, f"f.{side}_curly")
+                else:
+                    found[f"{side}_{gate}"] = tokens_sql(gate, f"p.{side}")
+                    measured[f"{side}_{gate}"] = f"f.{side}_{gate}"
+            a, b = f"m.s_{gate}", f"m.o_{gate}"
+            parts.append(multiset_messages_sql(gate, a, b))
+            passed.append(f"sort_array({a}) = sort_array({b})")
         elif gate == "escape":
-            parts.append(escape_sequence_check(source, output))
-            passed = passed & (F.size(parts[-1]) == 0)
+            for side in "so":
+                for name, needle in ESCAPES.items():
+                    found[f"{side}_{name}"] = occurrences_sql(f"p.{side}", needle)
+                    measured[f"{side}_{name}"] = f"f.{side}_{name}"
+            parts.append(escape_messages_sql("m.s_", "m.o_"))
+            passed.append(
+                "m.s_escaped = m.o_escaped and m.o_newlines <= m.s_newlines"
+                " and m.o_doubled <= m.s_doubled"
+            )
         elif gate == "xml":
-            parts.append(xml_messages(source, output))
-            passed = passed & (F.size(parts[-1]) == 0)
+            for side in "so":
+                found[f"{side}_richtext"] = tokens_sql("richtext", f"p.{side}")
+                measured[f"{side}_stray"] = stray_sql(f"f.{side}", f"f.{side}_richtext")
+            found |= {"s": "p.s", "o": "p.o"}
+            measured["o_control"] = control_sql("f.o")
+            parts.append(xml_messages_sql("m.s_", "m.o_"))
+            passed.append("m.o_stray <= m.s_stray and not m.o_control")
         else:
             raise ValueError(f"unknown gate: {gate}")
     kept = [c for c in df.columns if c not in ("failures", "passed", "validation_status")]
-    return (
-        df.select(*kept)
-        .withColumns(tokens)
-        .withColumns({"failures": F.concat(*parts), "passed": passed})
-        .drop(*tokens)
-        .withColumn("validation_status", F.when(F.col("passed"), "passed").otherwise("failed"))
+    step = lambda fields: ", ".join(f"'{n}', {text}" for n, text in fields.items())
+    ok = " and ".join(f"({p})" for p in passed)
+    outcome = (
+        f"element_at(transform(transform(transform(array(named_struct('s', {source}, 'o', "
+        f"{output})), p -> named_struct({step(found)})), f -> named_struct({step(measured)})), "
+        f"m -> named_struct('failures', concat({', '.join(parts)}), 'passed', {ok})), 1)"
+    )
+    return df.selectExpr(*kept, f"{outcome} as _outcome").selectExpr(
+        *kept,
+        "_outcome.failures as failures",
+        "_outcome.passed as passed",
+        "if(_outcome.passed, 'passed', 'failed') as validation_status",
     )
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.functions.text import ngrams_upto, term_key, terms
+from parlance.functions.text import WORD, as_col, ngrams_upto, term_key, terms
 from parlance.functions.tokens import ANY_TOKEN
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
@@ -156,8 +156,11 @@ def glossary_exact(
 
 def template_key(c: Column | str) -> Column:
     """The words around the tokens; empty when nothing but tokens is left."""
-    text = F.col(c) if isinstance(c, str) else c
-    return term_key(F.regexp_replace(text, ANY_TOKEN, " "))
+    pieces = F.regexp_extract_all(as_col(c), F.lit(f"{ANY_TOKEN}|{WORD}"), F.lit(0))
+    words = F.filter(
+        pieces, lambda p: ~(F.startswith(p, F.lit("{")) | F.startswith(p, F.lit("[")))
+    )
+    return F.lower(F.array_join(words, " "))
 
 
 def glossary_template_match(

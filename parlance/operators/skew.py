@@ -27,6 +27,18 @@ def key_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> Data
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition an input that was read in fewer splits than there are cores.
+
+    One small file with one row group is one task, however many cores are free. Large inputs have
+    more splits than cores and are returned as they are, without an exchange.
+    """
+    context = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() >= context.defaultParallelism:
+        return df
+    return df.repartition(context.defaultParallelism, *keys)
+
+
 def split_groups(
     df: DataFrame, group: list[str], identity: list[str], max_rows: int, part: str = "part"
 ) -> DataFrame:

@@ -391,25 +391,24 @@ def _(spark, folder):
     )
 
 
-def _upper(texts, semantic_type, hint, glossary):
-    """A stand-in translator: upper case, failing on a batch of quests."""
+def _capital_e(texts, semantic_type, hint, glossary):
+    """A stand-in translator: capital E, failing on a batch of quests."""
     if semantic_type == "quest_text":
         raise RuntimeError("quest texts are refused")
-    return [f"<{semantic_type}> {t.upper()}" for t in texts]
+    return [f"<{semantic_type}> {t.replace('e', 'E')}" for t in texts]
 
 
 @query(
     "translate_with",
     """select doc_id, case when semantic_type is distinct from 'quest_text' then
- md5('<' || coalesce(semantic_type, 'None') || '> ' || upper(source_text)) end as translated,
+ md5('<' || coalesce(semantic_type, 'None') || '> ' || replace(source_text, 'e', 'E')) end as translated,
  case when semantic_type is not distinct from 'quest_text' then 'RuntimeError: quest texts are refused' end as error,
- 'test:upper' as provider_id from v_t""",
+ 'test:capital-e' as provider_id from v_t""",
 )
 def _(spark, folder):
     provider = providers.Provider(
-        id="test:upper", kind="local", prompt_version="v1", max_batch_size=16, translate=_upper
+        id="test:capital-e", kind="local", prompt_version="v1", max_batch_size=16, translate=_capital_e
     )
-    # ß has no single upper-case letter; engines differ, so it is spelled out beforehand.
     s = v.typed_strings(spark, folder)
     return providers.translate_with(s, provider).select(
         "doc_id", F.md5("translated_text").alias("translated"), "error", "provider_id"
@@ -481,7 +480,7 @@ def _(spark, folder):
 
 @query(
     "collapse_attempts",
-    """select event_id, key, row_number() over w as attempt, sum(failed::int) over w as failures_so_far,
+    """select event_id, key, row_number() over w as attempt, (sum(failed::int) over w)::bigint as failures_so_far,
  row_number() over w >= 3 as exhausted from v_r window w as (partition by key order by ts, event_id
  rows between unbounded preceding and current row)""",
 )
@@ -493,7 +492,7 @@ def _(spark, folder):
 
 @query(
     "last_attempts",
-    """select key, provider, count(*) as attempts, count_if(failed) as failures,
+    """select key, provider, count(*) as attempts, count_if(failed)::bigint as failures,
  arg_max(failed, (ts, event_id)) as last_failed, count(*) >= 3 as exhausted from v_r group by key, provider""",
 )
 def _(spark, folder):

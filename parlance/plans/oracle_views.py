@@ -40,7 +40,7 @@ def tokens(mechanism: str, x: str) -> str:
 
 def signature(x: str) -> str:
     sides = [f"array_to_string(list_sort({tokens(m, x)}), ',')" for m in ("positional", "named")]
-    return " || '|' || ".join(sides)
+    return " || '|' || ".join(sides)  # compared only with itself
 
 
 def sequence(x: str) -> str:
@@ -75,7 +75,7 @@ def has_control(x: str) -> str:
 
 
 def surplus_messages(mechanism: str, have: str, other: str, verb: str, tail: str) -> str:
-    _, before, after = MECHANISMS[mechanism]
+    _, before, after, _ = MECHANISMS[mechanism]
     counted = (
         f"list_transform(list_sort(list_distinct({have})), lambda t: {{'t': t, 'n': "
         f"len(list_filter({have}, lambda x: x = t)) - len(list_filter({other}, lambda y: y = t))}})"

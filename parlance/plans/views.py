@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 
 from parlance.functions.text import normalize_source, source_hash, value_hash
 from parlance.operators.rules import SemanticRule, classify_semantic_type, template_key
-from parlance.sources.datasets import as_schema
+from parlance.operators.skew import spread
 from parlance.schemas import MEMORY
+from parlance.sources.datasets import as_schema
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The text table, spread over the cores when it comes as one split."""
+    return spread(table(spark, folder, "documents").select("doc_id", *columns), "doc_id")
+
+
 OVERRIDES = (
     SemanticRule("letter_message", "Short notification.", keyed_key_pattern="^Letter.*"),
     SemanticRule("quest_text", "Quest narration.", keyed_key_pattern="^Quest.*"),
@@ -27,7 +33,7 @@ OVERRIDES = (
 
 def strings(spark: SparkSession, folder: str) -> DataFrame:
     """Current source strings, one per document."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    docs = documents(spark, folder, "text", "lang", "source")
     return docs.select(
         F.col("source").alias("mod_id"),
         "doc_id",
@@ -178,7 +184,7 @@ def two_passes(spark: SparkSession, folder: str) -> DataFrame:
 
 def entries(spark: SparkSession, folder: str) -> DataFrame:
     """Raw file entries whose keys repeat inside a file and across files."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder, "source", "text").select(
         F.col("source").alias("mod_id"),
         F.expr("concat('f', doc_id % 3, '.xml')").alias("file"),
         F.col("doc_id").alias("pos"),
@@ -264,7 +270,7 @@ def providers(spark: SparkSession) -> DataFrame:
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Reference text and a hypothesis in which every fifth word is missing."""
-    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    docs = documents(spark, folder, "source", "lang", "text")
     w = F.split("text", r"[ \n]+")
     kept = F.filter(w, lambda x, i: i % 5 != 4)
     return docs.select(
@@ -286,7 +292,7 @@ def mods(spark: SparkSession, folder: str) -> DataFrame:
 
 def pool_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line pools: every document is one pool file."""
-    docs = table(spark, folder, "documents")
+    docs = documents(spark, folder, "source", "text")
     return docs.select(
         F.col("source").alias("mod_id"),
         F.expr("concat('pool', doc_id, '.txt')").alias("file"),
