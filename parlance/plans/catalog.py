@@ -1,6 +1,11 @@
 """Importing this module registers every query."""
 
-from parlance.plans import catalog_joins, catalog_scalars  # noqa: F401
+from parlance.plans import (  # noqa: F401
+    catalog_joins,
+    catalog_reports,
+    catalog_scalars,
+    catalog_sources,
+)
 from parlance.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
