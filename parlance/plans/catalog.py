@@ -5,6 +5,7 @@ from parlance.plans import (  # noqa: F401
     catalog_reports,
     catalog_scalars,
     catalog_sources,
+    catalog_streams,
 )
 from parlance.plans.registry import ORACLES, QUERIES
 

@@ -177,12 +177,12 @@ def _grams(kind: str, column: str, n: int, sign: str) -> str:
     if kind == "c":
         text = _CHARS.replace("{x}", column)
         return (
-            f"select doc_id, 'c{n}' as o, substr(t, i, {n}) as g, {sign} from (select doc_id, t,"
+            f"select doc_id, {n} as o, hash(substr(t, i, {n})) as g, {sign} from (select doc_id, t,"
             f" unnest(range(1, length(t) - {n} + 2)) as i from (select doc_id, {text} as t from v_pairs))"
         )
     words = _WORDS.replace("{x}", column)
     return (
-        f"select doc_id, 'w{n}' as o, array_to_string(w[i:i + {n - 1}], ' ') as g, {sign} from ("
+        f"select doc_id, {10 + n} as o, hash(array_to_string(w[i:i + {n - 1}], ' ')) as g, {sign} from ("
         f"select doc_id, w, unnest(range(1, len(w) - {n} + 2)) as i from"
         f" (select doc_id, {words} as w from v_pairs))"
     )
@@ -192,7 +192,7 @@ def _stats(orders: list[tuple[str, int]]) -> str:
     rows = [
         _grams(kind, column, n, sign)
         for kind, n in orders
-        for column, sign in (("reference", "1 as r, 0 as h"), ("hypothesis", "0 as r, 1 as h"))
+        for column, sign in (("reference", "1::int as r, 0::int as h"), ("hypothesis", "0, 1"))
     ]
     return (
         "(select doc_id, o, sum(least(r, h)) as m, sum(r) as r, sum(h) as h from (select doc_id, o, g,"
@@ -230,8 +230,8 @@ def _(spark, folder):
 @query(
     "bleu_corpus",
     f"""select lang, pairs, round(100 * exp(least(0, 1 - r1 / h1) + lg / 4), 6) as bleu from (
- select lang, sum(ln(m / h)) as lg, max(case when o = 'w1' then r end) as r1,
- max(case when o = 'w1' then h end) as h1 from (
+ select lang, sum(ln(m / h)) as lg, max(case when o = 11 then r end) as r1,
+ max(case when o = 11 then h end) as h1 from (
  select lang, o, sum(m) as m, sum(r) as r, sum(h) as h from {_stats([('w', n) for n in (1, 2, 3, 4)])}
  join (select doc_id, lang from documents) using (doc_id) group by lang, o) group by lang) join (
  select lang, count(*) as pairs from documents group by lang) using (lang)""",

@@ -194,7 +194,7 @@ from v_c, (values ('p0'), ('p1')) t(p)"""
 VIEWS["v_v2"] = f"""select *, len(failures) = 0 as passed
 from (select *, {all_messages('source_text', 'translated_text')} as failures from v_c2)"""
 
-VIEWS["v_e"] = """select source as mod_id, concat('f', doc_id % 3, '.xml') as file, doc_id as pos,
+VIEWS["v_e"] = """select source as mod_id, concat('f', doc_id % 3, '_', doc_id // 6000, '.xml') as file, doc_id as pos,
  concat('K', doc_id // 120) as key, text as value from documents"""
 
 VIEWS["v_r"] = r"""select event_id, ts, concat('u', user_id) as key, event_type as provider,

@@ -33,7 +33,10 @@ OVERRIDES = (
 
 def strings(spark: SparkSession, folder: str) -> DataFrame:
     """Current source strings, one per document."""
-    docs = documents(spark, folder, "text", "lang", "source")
+    return strings_of(documents(spark, folder, "text", "lang", "source"))
+
+
+def strings_of(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("source").alias("mod_id"),
         "doc_id",
@@ -123,7 +126,11 @@ def memory(spark: SparkSession, folder: str) -> DataFrame:
 
 def updates(spark: SparkSession, folder: str) -> DataFrame:
     """A later memory version of every current string."""
-    rows = typed_strings(spark, folder).withColumns(
+    return updates_of(typed_strings(spark, folder))
+
+
+def updates_of(typed: DataFrame) -> DataFrame:
+    rows = typed.withColumns(
         {
             "id": F.col("doc_id") + 1_000_000_000,
             "source_lang": F.lit("en"),
@@ -186,7 +193,7 @@ def entries(spark: SparkSession, folder: str) -> DataFrame:
     """Raw file entries whose keys repeat inside a file and across files."""
     return documents(spark, folder, "source", "text").select(
         F.col("source").alias("mod_id"),
-        F.expr("concat('f', doc_id % 3, '.xml')").alias("file"),
+        F.expr("concat('f', doc_id % 3, '_', doc_id div 6000, '.xml')").alias("file"),
         F.col("doc_id").alias("pos"),
         F.expr("concat('K', doc_id div 120)").alias("key"),
         F.col("text").alias("value"),

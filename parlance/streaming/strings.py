@@ -17,9 +17,16 @@ def stream_new_strings(
     event_id: str = "event_id",
     ts: str = "ts",
     horizon: str = "1 hour",
+    sources: int = 1,
 ) -> DataFrame:
-    """Rows of new files, once per event id within the horizon."""
-    rows = stream_table(spark, folder, name).withColumn(ts, F.col(ts).cast("timestamp"))
+    """Rows of new files, once per event id within the horizon.
+
+    ``sources`` > 1 reads as many feeds of the same files, as after a repeated delivery.
+    """
+    rows = stream_table(spark, folder, name)
+    for _ in range(sources - 1):
+        rows = rows.unionByName(stream_table(spark, folder, name))
+    rows = rows.withColumn(ts, F.col(ts).cast("timestamp"))
     return rows.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([event_id])
 
 
