@@ -115,6 +115,15 @@ def _run_from(items: Column, n: int):
     return lambda start: F.array_join(F.slice(items, start, F.lit(n)), " ")
 
 
+def each(items: Column) -> Column:
+    """Explode for computed arrays.
+
+    A plain explode makes the optimizer filter on the array's size first, which computes the array
+    twice and on the wrong side of an exchange; rows without items come out as one null instead.
+    """
+    return F.explode_outer(items)
+
+
 def estimate_tokens(c: Column | str, chars_per_token: int = 4) -> Column:
     return F.ceil(F.length(as_col(c)) / F.lit(chars_per_token)).cast("bigint")
 

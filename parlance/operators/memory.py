@@ -100,11 +100,14 @@ def tm_lookup(
 ) -> DataFrame:
     """Best accepted translation per string: own mod first, then other mods.
 
-    Both lookup tables hold one row per lookup key, made by a combining aggregate, so a join can
-    never multiply rows. Masked hashes make different tokens look equal; a hit therefore counts
-    only if the stored translation carries exactly the string's tokens. ``cross_mod_types`` limits
-    cross-mod reuse to the semantic types opted in; None allows every type. ``carry`` names columns
-    of ``strings`` to take along; its texts are reduced to hashes before the first exchange.
+    Only keys, hashes and memory ids travel through the lookups; the texts of the memory are
+    exchanged once, by id, for the rows that were found. Both lookup tables hold one row per
+    lookup key, made by a combining aggregate, so a join never multiplies rows.
+
+    Masked hashes make different tokens look equal; a hit therefore counts only if the stored
+    translation carries exactly the string's tokens. ``cross_mod_types`` limits cross-mod reuse to
+    the semantic types opted in; None allows every type. ``carry`` names columns of ``strings``
+    to take along.
     """
     s = strings.select(
         *KEY,
@@ -117,19 +120,14 @@ def tm_lookup(
         F.col("mod_id").alias("tm_mod"),
         F.col("semantic_type").alias("tm_sem"),
         F.col("source_hash").alias("tm_hash"),
-        "translation",
+        # The signature belongs to the lookup key: a row with other tokens is no candidate.
+        token_signature("translation").alias("tm_signature"),
         "updated_at",
         "id",
-        token_signature("translation").alias("tm_signature"),
     )
-    # The signature belongs to the lookup key: a row with other tokens is no candidate at all.
     keys = ["tm_hash", "tm_signature", "tm_sem"]
-    own = rows.groupBy("tm_mod", *keys).agg(
-        F.max_by("translation", F.struct("updated_at", "id")).alias("own_translation")
-    )
-    anyone = own.groupBy(*keys).agg(
-        F.min(F.struct("tm_mod", "own_translation")).alias("any_hit")
-    )
+    own = rows.groupBy("tm_mod", *keys).agg(F.max(F.struct("updated_at", "id")).alias("newest"))
+    anyone = own.groupBy(*keys).agg(F.min(F.struct("tm_mod", "newest")).alias("first_mod"))
     same = (
         (F.col("source_hash") == F.col("tm_hash"))
         & (F.col("signature") == F.col("tm_signature"))
@@ -140,21 +138,28 @@ def tm_lookup(
         if cross_mod_types is None
         else F.coalesce(F.col("semantic_type").isin(*cross_mod_types), F.lit(False))
     )
-    own_step = s.join(own, (F.col("mod_id") == F.col("tm_mod")) & same, "left").select(
-        *s.columns, "own_translation"
-    )
-    found = own_step.join(anyone, same, "left").withColumn(
-        "any_translation", F.when(allowed, F.col("any_hit.own_translation"))
+    own_id, any_id = F.col("own_id"), F.when(allowed, F.col("first_mod.newest.id"))
+    found = (
+        s.join(own, (F.col("mod_id") == F.col("tm_mod")) & same, "left")
+        .select(*s.columns, F.col("newest.id").alias("own_id"))
+        .join(anyone, same, "left")
+        .select(
+            *KEY,
+            "semantic_type",
+            "source_hash",
+            *carry,
+            F.coalesce(own_id, any_id).alias("tm_id"),
+            F.when(own_id.isNotNull(), "same_mod")
+            .when(any_id.isNotNull(), "cross_mod")
+            .alias("tm_scope"),
+        )
     )
-    return found.select(
-        *KEY,
-        "semantic_type",
-        "source_hash",
-        *carry,
-        F.coalesce("own_translation", "any_translation").alias("tm_translation"),
-        F.when(F.col("own_translation").isNotNull(), "same_mod")
-        .when(F.col("any_translation").isNotNull(), "cross_mod")
-        .alias("tm_scope"),
+    # Strings without a hit get a spread-out join key, or all of them would meet in one task.
+    texts = tm.select(F.col("id").alias("_id"), F.col("translation").alias("tm_translation"))
+    spread_key = F.coalesce("tm_id", F.xxhash64("mod_id", "domain", "key_path"))
+    hit = (F.col("_join") == F.col("_id")) & F.col("tm_id").isNotNull()
+    return (
+        found.withColumn("_join", spread_key).join(texts, hit, "left").drop("_join", "_id", "tm_id")
     )
 
 

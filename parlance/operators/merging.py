@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parlance.functions.text import each
 from parlance.functions.tokens import MECHANISMS, tokens_of
 from parlance.operators.skew import split_groups
 from parlance.schemas import KEY
@@ -84,9 +85,9 @@ def token_multiset_diff(candidates: DataFrame, mechanism: str, identity: list[st
     def counted(column: str, sign: int) -> DataFrame:
         return candidates.select(
             *identity,
-            F.explode(tokens_of(mechanism, column)).alias("token"),
+            each(tokens_of(mechanism, column)).alias("token"),
             F.lit(sign).alias("sign"),
-        )
+        ).filter("token is not null")
 
     return (
         counted("translated_text", 1)

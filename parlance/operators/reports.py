@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.functions.text import value_hash
+from parlance.functions.text import each, value_hash
 from parlance.functions.tokens import tokens_of
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
@@ -107,7 +107,8 @@ def estimate_cost(
 
 def token_counts(df: DataFrame, mechanism: str, identity: list[str], text: str) -> DataFrame:
     return (
-        df.select(*identity, F.explode(tokens_of(mechanism, text)).alias("token"))
+        df.select(*identity, each(tokens_of(mechanism, text)).alias("token"))
+        .filter("token is not null")
         .groupBy(*identity, "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -116,7 +117,8 @@ def token_counts(df: DataFrame, mechanism: str, identity: list[str], text: str)
 def gate_failure_report(validated: DataFrame) -> DataFrame:
     """Failure messages per gate, mod and provider."""
     return (
-        validated.select("mod_id", "provider_id", F.explode("failures").alias("message"))
+        validated.select("mod_id", "provider_id", each(F.col("failures")).alias("message"))
+        .filter("message is not null")
         .groupBy("mod_id", "provider_id", F.substring_index("message", " ", 1).alias("gate"))
         .agg(F.count(F.lit(1)).alias("failures"))
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.functions.text import WORD, as_col, ngrams_upto, term_key, terms
+from parlance.functions.text import WORD, as_col, each, ngrams_upto, term_key, terms
 from parlance.functions.tokens import ANY_TOKEN
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
@@ -173,12 +173,6 @@ def glossary_template_match(
     return apply_layers(keyed.filter("term_key <> ''"), glossary, "term_key", layers, "inner")
 
 
-def text_ngrams(df: DataFrame, identity: list[str], text: str, max_words: int) -> DataFrame:
-    """Distinct word runs of every text with their counts (counted before any exchange)."""
-    grams = df.select(*identity, F.explode(ngrams_upto(terms(text), max_words)).alias("term_key"))
-    return grams.groupBy(*identity, "term_key").agg(F.count(F.lit(1)).alias("occurrences"))
-
-
 def glossary_terms_in_text(
     strings: DataFrame,
     glossary: DataFrame,
@@ -194,7 +188,7 @@ def glossary_terms_in_text(
     """
     wanted = glossary.select(term_key("term").alias("term_key")).distinct()
     grams = strings.select(
-        *identity, F.explode(ngrams_upto(terms(text), max_words)).alias("term_key")
+        *identity, each(ngrams_upto(terms(text), max_words)).alias("term_key")
     )
     counted = (
         grams.join(wanted, "term_key", "left_semi")
@@ -226,7 +220,7 @@ def forbidden_term_violations(
     )
     used = (
         candidates.select(
-            *identity, F.explode(ngrams_upto(terms("translated_text"), max_words)).alias("_run")
+            *identity, each(ngrams_upto(terms("translated_text"), max_words)).alias("_run")
         )
         .join(wanted, F.col("_run") == F.col("variant_key"), "left_semi")
         .distinct()

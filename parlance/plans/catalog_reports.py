@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parlance.functions.text import each
 from parlance.operators import gates, reports, routing, scoring
 from parlance.plans import oracle_views as o
 from parlance.plans import views as v
@@ -177,12 +178,13 @@ def _grams(kind: str, column: str, n: int, sign: str) -> str:
     if kind == "c":
         text = _CHARS.replace("{x}", column)
         return (
-            f"select doc_id, {n} as o, hash(substr(t, i, {n})) as g, {sign} from (select doc_id, t,"
-            f" unnest(range(1, length(t) - {n} + 2)) as i from (select doc_id, {text} as t from v_pairs))"
+            f"select doc_id, {n} as o, hash(t[i:i + {n - 1}]) as g, {sign} from (select doc_id, t,"
+            f" unnest(range(1, len(t) - {n} + 2)) as i"
+            f" from (select doc_id, string_split({text}, '') as t from v_pairs))"
         )
     words = _WORDS.replace("{x}", column)
     return (
-        f"select doc_id, {10 + n} as o, hash(array_to_string(w[i:i + {n - 1}], ' ')) as g, {sign} from ("
+        f"select doc_id, {10 + n} as o, hash(w[i:i + {n - 1}]) as g, {sign} from ("
         f"select doc_id, w, unnest(range(1, len(w) - {n} + 2)) as i from"
         f" (select doc_id, {words} as w from v_pairs))"
     )
@@ -259,7 +261,8 @@ def _(spark, folder):
         .when(gate == "rulepack", "major")
         .otherwise("minor")
     )
-    notes = checked.select("provider_id", F.explode("failures").alias("message")).select(
+    notes = checked.select("provider_id", each(F.col("failures")).alias("message"))
+    notes = notes.filter("message is not null").select(
         "provider_id", severity.alias("severity")
     )
     segments = checked.groupBy("provider_id").agg(F.count(F.lit(1)).alias("segments"))

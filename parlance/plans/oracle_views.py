@@ -205,7 +205,7 @@ VIEWS["v_gm"] = f"""select scope, case when scope = 'mod' then mod_id when scope
  then semantic_type end as scope_value, term, 'RU:' || key_path || ' {{0}} {{1}} {{PAWN_nameDef}}' as preferred
 from (select v_t.*, {template_key('source_text')} as term, case when toxic = 1 then 'mod'
  when quality = 0 and semantic_type is not null then 'semantic_type' else 'global' end as scope
- from v_t join v_lab on v_t.doc_id = v_lab.doc_id) where term <> ''"""
+ from v_t join v_lab on v_t.doc_id = v_lab.doc_id)"""
 
 # One row per (scope, scope value, term).
 VIEWS["v_gl"] = """select scope, coalesce(scope_value, '') as scope_value, term as term_key,

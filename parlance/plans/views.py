@@ -14,6 +14,7 @@ from parlance.operators.rules import SemanticRule, classify_semantic_type, templ
 from parlance.operators.skew import spread
 from parlance.schemas import MEMORY
 from parlance.sources.datasets import as_schema
+from parlance.sources.workdir import new_dir
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -214,13 +215,19 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table written once and read back, as glossaries are kept; cuts what was derived."""
+    path = new_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def glossary_from_memory(spark: SparkSession, folder: str) -> DataFrame:
     """Layered terms taken from reviewed texts: toxic ones mod-wide, low quality by type."""
     base = (
         typed_strings(spark, folder)
         .join(labels(spark, folder), "doc_id")
         .select("*", template_key("source_text").alias("term"))
-        .filter("term <> ''")
     )
     scope = (
         F.when(F.col("toxic") == 1, "mod")
@@ -230,7 +237,7 @@ def glossary_from_memory(spark: SparkSession, folder: str) -> DataFrame:
     value = F.when(F.col("scope") == "mod", F.col("mod_id")).when(
         F.col("scope") == "semantic_type", F.col("semantic_type")
     )
-    return base.withColumn("scope", scope).select(
+    rows = base.withColumn("scope", scope).select(
         "scope",
         value.alias("scope_value"),
         "term",
@@ -239,6 +246,7 @@ def glossary_from_memory(spark: SparkSession, folder: str) -> DataFrame:
         ),
         F.array().cast("array<string>").alias("forbidden"),
     )
+    return stored(spark, rows, "glossary")
 
 
 def word_glossary(spark: SparkSession) -> DataFrame:

@@ -189,7 +189,7 @@ def read_string_pools(
 def number_pool_lines(files: DataFrame, identity: list[str], text: str = "text") -> DataFrame:
     """Line index per file; a newline at the end of a file opens no further line."""
     body = F.regexp_replace(text, r"\r?\n\z", "")
-    return files.select(*identity, F.posexplode(F.split(body, r"\r?\n")).alias("idx", "line"))
+    return files.select(*identity, F.posexplode_outer(F.split(body, r"\r?\n")).alias("idx", "line"))
 
 
 def merged_strings(spark: SparkSession, base: str, language: str = schemas.SOURCE_LANGUAGE, version: str = schemas.DEFAULT_GAME_VERSION) -> DataFrame:
