@@ -350,11 +350,11 @@ def _(spark, folder):
 
 @query(
     "attach_provider",
-    """select event_id, provider, kind, model, max_retries from v_r left join v_prov on provider = id""",
+    """select event_id, provider, kind, model, coalesce(max_retries, -1) as max_retries from v_r left join v_prov on provider = id""",
 )
 def _(spark, folder):
     return providers.attach_provider(v.runs(spark, folder), v.providers(spark)).select(
-        "event_id", "provider", "kind", "model", "max_retries"
+        "event_id", "provider", "kind", "model", F.coalesce("max_retries", F.lit(-1)).alias("max_retries")
     )
 
 

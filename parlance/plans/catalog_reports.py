@@ -122,8 +122,10 @@ def _(spark, folder):
     return reports.placeholder_pass_rate(gates.validate(v.two_passes(spark, folder)))
 
 
-_COMPARE = f"""select * from (select coalesce(s.provider, p.provider) as provider, runs, p95_latency,
- failure_rate, candidates, pass_rate from ({_STATS.replace('{by}', 'provider')}) s full join (
+_COMPARE = f"""select provider, coalesce(runs, 0) as runs, coalesce(p95_latency, -1) as p95_latency,
+ coalesce(candidates, 0) as candidates, coalesce(pass_rate, -1) as pass_rate, coalesce(segments, 0) as segments
+from (select coalesce(s.provider, p.provider) as provider, runs, p95_latency, candidates, pass_rate
+ from ({_STATS.replace('{by}', 'provider')}) s full join (
  select case provider_id when 'p0' then 'view' else 'signup' end as provider, count(*) as candidates,
  round(count_if(passed) / count(*), 6) as pass_rate from v_v2 group by 1) p on s.provider = p.provider) a
 full join (select case source when 'src0' then 'view' when 'src1' then 'click' else 'other' end as provider,
@@ -133,7 +135,7 @@ full join (select case source when 'src0' then 'view' when 'src1' then 'click' e
 @query("provider_comparison", _COMPARE)
 def _(spark, folder):
     stats = reports.provider_stats(v.runs(spark, folder)).select(
-        "provider", "runs", "p95_latency", "failure_rate"
+        "provider", "runs", "p95_latency"
     )
     named = F.when(F.col("provider_id") == "p0", "view").otherwise("signup")
     rates = reports.placeholder_pass_rate(gates.validate(v.two_passes(spark, folder))).select(
@@ -145,7 +147,15 @@ def _(spark, folder):
         .groupBy(owner.alias("provider"))
         .agg(F.count(F.lit(1)).alias("segments"))
     )
-    return reports.provider_comparison(stats, rates, scores)
+    zero, none = F.lit(0), F.lit(-1.0)
+    return reports.provider_comparison(stats, rates, scores).select(
+        "provider",
+        F.coalesce("runs", zero).alias("runs"),
+        F.coalesce("p95_latency", none).alias("p95_latency"),
+        F.coalesce("candidates", zero).alias("candidates"),
+        F.coalesce("pass_rate", none).alias("pass_rate"),
+        F.coalesce("segments", zero).alias("segments"),
+    )
 
 
 @query(
@@ -174,35 +184,40 @@ _CHARS = r"regexp_replace({x}, '[ \t\n\x0B\f\r]+', '', 'g')"
 _WORDS = r"list_filter(regexp_split_to_array({x}, '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
 
 
-def _grams(kind: str, column: str, n: int, sign: str) -> str:
-    if kind == "c":
-        text = _CHARS.replace("{x}", column)
-        return (
-            f"select doc_id, {n} as o, hash(t[i:i + {n - 1}]) as g, {sign} from (select doc_id, t,"
-            f" unnest(range(1, len(t) - {n} + 2)) as i"
-            f" from (select doc_id, string_split({text}, '') as t from v_pairs))"
-        )
-    words = _WORDS.replace("{x}", column)
+def _items(kind: str, longest: int) -> str:
+    """Items of both sides by position, each with the ones that follow it (n0, n1, ...)."""
+    split = f"string_split({_CHARS}, '')" if kind == "c" else _WORDS
+    sides = " union all ".join(
+        f"select doc_id, {h} as h, generate_subscripts(t, 1) as i, unnest(t) as n0 from"
+        f" (select doc_id, {split.replace('{x}', column)} as t from v_pairs)"
+        for h, column in ((0, "reference"), (1, "hypothesis"))
+    )
+    next_items = "".join(f", lead(n0, {k}) over w as n{k}" for k in range(1, longest))
     return (
-        f"select doc_id, {10 + n} as o, hash(w[i:i + {n - 1}]) as g, {sign} from ("
-        f"select doc_id, w, unnest(range(1, len(w) - {n} + 2)) as i from"
-        f" (select doc_id, {words} as w from v_pairs))"
+        f"select doc_id, h, n0{next_items} from ({sides}) where n0 <> ''"
+        " window w as (partition by doc_id, h order by i)"
     )
 
 
-def _stats(orders: list[tuple[str, int]]) -> str:
-    rows = [
-        _grams(kind, column, n, sign)
-        for kind, n in orders
-        for column, sign in (("reference", "1::int as r, 0::int as h"), ("hypothesis", "0, 1"))
-    ]
+def _stats(orders: dict[str, int]) -> str:
+    """Matches and totals per document and order: characters 1.., words 11.. ."""
+    views, rows = [], []
+    for kind, longest in orders.items():
+        views.append(f"items_{kind} as materialized ({_items(kind, longest)})")
+        for n in range(1, longest + 1):
+            gram = ", ".join(f"n{k}" for k in range(n))
+            rows.append(
+                f"select doc_id, {n + (10 if kind == 'w' else 0)} as o, hash({gram}) as g,"
+                f" (1 - h)::int as r, h::int as h from items_{kind} where n{n - 1} is not null"
+            )
     return (
-        "(select doc_id, o, sum(least(r, h)) as m, sum(r) as r, sum(h) as h from (select doc_id, o, g,"
-        f" sum(r) as r, sum(h) as h from ({' union all '.join(rows)}) group by all) group by doc_id, o)"
+        f"(with {', '.join(views)} select doc_id, o, sum(least(r, h)) as m, sum(r) as r, sum(h) as h"
+        f" from (select doc_id, o, g, sum(r) as r, sum(h) as h from ({' union all '.join(rows)})"
+        " group by all) group by doc_id, o)"
     )
 
 
-_CHRF_ORDERS = [("c", n) for n in range(1, 7)] + [("w", n) for n in (1, 2)]
+_CHRF_ORDERS = {"c": 6, "w": 2}
 _F = (
     "coalesce(round(100 * 5 * avg(m / h) * avg(m / r) / nullif(4 * avg(m / h) + avg(m / r), 0), 6), 0)"
 )
@@ -234,7 +249,7 @@ def _(spark, folder):
     f"""select lang, pairs, round(100 * exp(least(0, 1 - r1 / h1) + lg / 4), 6) as bleu from (
  select lang, sum(ln(m / h)) as lg, max(case when o = 11 then r end) as r1,
  max(case when o = 11 then h end) as h1 from (
- select lang, o, sum(m) as m, sum(r) as r, sum(h) as h from {_stats([('w', n) for n in (1, 2, 3, 4)])}
+ select lang, o, sum(m) as m, sum(r) as r, sum(h) as h from {_stats({'w': 4})}
  join (select doc_id, lang from documents) using (doc_id) group by lang, o) group by lang) join (
  select lang, count(*) as pairs from documents group by lang) using (lang)""",
 )

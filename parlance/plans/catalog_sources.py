@@ -78,12 +78,16 @@ _NUMBER = "case when part > 0 then '__' || lpad(part::varchar, 4, '0') else '' e
     f"""select mod_id as mod_dir, mod_id || {_NUMBER} || '.xml' as file, row_number() over (
  partition by mod_id, part order by key_path) - 1 as pos, key_path as key, md5(source_text) as value, false as bad
 from {_part('mod_id', "domain = 'Keyed'")}
-union all select mod_id, 'Bad.xml', null, null, null, true from v_s where domain = 'Keyed' or true group by mod_id""",
+union all select mod_id, 'Bad.xml', -1, null, null, true from v_s where domain = 'Keyed' or true group by mod_id""",
 )
 def _(spark, folder):
     base = _write_tree(spark, _shipped(spark, folder), ("Keyed",), "English")
     return resources.read_keyed(spark, base).select(
-        "mod_dir", "file", "pos", "key", F.md5("value").alias("value"),
+        "mod_dir",
+        "file",
+        F.coalesce("pos", F.lit(-1)).alias("pos"),
+        "key",
+        F.md5("value").alias("value"),
         F.col("error").isNotNull().alias("bad"),
     )
 

@@ -30,7 +30,7 @@ def duck():
 
 def rows(df: pd.DataFrame) -> list[tuple]:
     def plain(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and pd.isna(x)):
+        if pd.isna(x):
             return "NULL"
         return f"{x:.5f}" if isinstance(x, float) else str(x)
 
