@@ -184,7 +184,7 @@ def tm_history(tm: DataFrame, segment: Column | None = None) -> DataFrame:
         tm,
         list(KEY),
         ["updated_at", "id"],
-        F.year("updated_at") if segment is None else segment,
+        F.to_date("updated_at") if segment is None else segment,
         {"previous_source": "source_text", "previous_translation": "translation"},
     )
 

@@ -11,45 +11,81 @@ from parlance import schemas
 from parlance.operators.memory import latest_tm
 from parlance.operators.quality import RunAborted
 
-VERSION_DIR = "version="
+BASE, DELTA = "version", "delta"
 
 
-def write_tm(df: DataFrame, path: str, version: int) -> None:
-    """Write one complete version of the memory next to the earlier ones.
-
-    Written like any partition: the job's commit makes it visible, a repeated write of the same
-    version replaces only that version, and readers of older versions are not disturbed.
-    """
+def _write_rows(df: DataFrame, folder: str) -> None:
     (
         df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.MEMORY])
         .write.mode("overwrite")
         .partitionBy("target_lang", "domain")
-        .parquet(f"{path}/{VERSION_DIR}{version}")
+        .parquet(folder)
     )
 
 
-def tm_versions(spark: SparkSession, path: str) -> list[int]:
+def write_tm(df: DataFrame, path: str, version: int) -> None:
+    """Write one complete version of the memory next to the earlier ones.
+
+    The job's commit makes it visible, a repeated write of the same version replaces only that
+    version, and readers of older versions are not disturbed.
+    """
+    _write_rows(df, f"{path}/{BASE}={version}")
+
+
+def append_tm(df: DataFrame, path: str, version: int) -> None:
+    """Write only the rows that changed after the newest complete version below ``version``.
+
+    The cost is that of the changed rows; ``read_tm`` overlays them, ``compact_tm`` folds them in.
+    """
+    _write_rows(df, f"{path}/{DELTA}={version}")
+
+
+def tm_versions(spark: SparkSession, path: str, kind: str = BASE) -> list[int]:
     """Committed versions, oldest first, from the folder names and their success marks."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION_DIR}*/_SUCCESS"))
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS"))
     names = [m.getPath().getParent().getName() for m in marks or []]
-    return sorted(int(n[len(VERSION_DIR) :]) for n in names)
+    return sorted(int(n.split("=")[1]) for n in names)
 
 
 def read_tm(
     spark: SparkSession, path: str, version: int | None = None, as_of: str | None = None
 ) -> DataFrame:
-    """A stored version (default the newest); ``as_of`` gives the rows current at that time."""
-    if version is None:
-        known = tm_versions(spark, path)
-        if not known:
+    """The newest state, or one complete version; ``as_of`` gives the rows current at that time.
+
+    Rows appended since the newest complete version are overlaid, newest row per key.
+    """
+
+    def rows(kind: str, number: int) -> DataFrame:
+        df = spark.read.schema(schemas.MEMORY).parquet(f"{path}/{kind}={number}")
+        return df.select(*schemas.MEMORY.fieldNames())
+
+    if version is not None:
+        df, overlaid = rows(BASE, version), False
+    else:
+        complete = tm_versions(spark, path)
+        floor = complete[-1] if complete else -1
+        newer = [n for n in tm_versions(spark, path, DELTA) if n > floor]
+        parts = [rows(BASE, floor)] if complete else []
+        parts += [rows(DELTA, n) for n in newer]
+        if not parts:
             return spark.createDataFrame([], schemas.MEMORY)
-        version = known[-1]
-    df = spark.read.schema(schemas.MEMORY).parquet(f"{path}/{VERSION_DIR}{version}")
-    df = df.select(*schemas.MEMORY.fieldNames())
-    return df if as_of is None else latest_tm(df, as_of)
+        df, overlaid = parts[0], bool(newer)
+        for part in parts[1:]:
+            df = df.unionByName(part)
+    return latest_tm(df, as_of) if overlaid or as_of is not None else df
+
+
+def compact_tm(spark: SparkSession, path: str) -> int | None:
+    """Fold all appended rows into a complete version numbered like the newest of them."""
+    newer = tm_versions(spark, path, DELTA)
+    complete = tm_versions(spark, path)
+    if not newer or (complete and complete[-1] >= newer[-1]):
+        return None
+    write_tm(read_tm(spark, path), path, newer[-1])
+    return newer[-1]
 
 
 def write_state(candidates: DataFrame, path: str) -> None:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.operators.memory import merge_tm, tm_lookup
-from parlance.sources.datasets import read_tm, tm_versions, write_tm
+from parlance.operators.memory import latest_tm, tm_lookup
+from parlance.sources.datasets import append_tm
 from parlance.streaming.tables import stream_table
 
 
@@ -38,15 +38,12 @@ def stream_tm_reuse(stream: DataFrame, tm: DataFrame) -> DataFrame:
 def stream_merge_tm(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Upsert every micro-batch into the memory at ``path``.
 
-    Batch n writes version n + 1 on top of the newest version below it, so a repeated batch
-    replaces its own output and nothing is merged twice.
+    Batch n appends version n + 1, at the cost of its own rows. A repeated batch replaces its own
+    output, so nothing is merged twice; readers overlay what was appended.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark, target = batch.sparkSession, batch_id + 1
-        older = [v for v in tm_versions(spark, path) if v < target]
-        base = read_tm(spark, path, older[-1]) if older else None
-        write_tm(batch if base is None else merge_tm(base, batch), path, target)
+        append_tm(latest_tm(batch), path, batch_id + 1)
 
     query = (
         stream.writeStream.foreachBatch(merge)

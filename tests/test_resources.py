@@ -191,3 +191,33 @@ def test_memory_versions(spark, tmp_path):
     assert datasets.tm_versions(spark, path) == [1, 2]
     assert datasets.read_tm(spark, path).first()["id"] == 2
     assert datasets.read_tm(spark, path, version=1).first()["id"] == 1
+
+
+def test_appended_memory_rows_are_overlaid_and_folded_in(spark, tmp_path):
+    from datetime import datetime
+
+    from parlance.schemas import MEMORY
+
+    path = str(tmp_path / "tm")
+
+    def rows(*items):
+        blank = {f.name: None for f in MEMORY} | {"mod_id": "m", "domain": "Keyed", "target_lang": "ru"}
+        return spark.createDataFrame(
+            [
+                tuple((blank | {"id": i, "key_path": k, "updated_at": datetime(2024, 1, i)}).values())
+                for i, k in items
+            ],
+            MEMORY,
+        )
+
+    def state():
+        return {(r["key_path"], r["id"]) for r in datasets.read_tm(spark, path).collect()}
+
+    datasets.write_tm(rows((1, "A"), (2, "B")), path, 0)
+    for _ in range(2):  # a repeated batch changes nothing
+        datasets.append_tm(rows((3, "B"), (4, "C")), path, 1)
+        assert state() == {("A", 1), ("B", 3), ("C", 4)}
+    assert datasets.compact_tm(spark, path) == 1
+    assert datasets.compact_tm(spark, path) is None
+    assert state() == {("A", 1), ("B", 3), ("C", 4)}
+    assert datasets.tm_versions(spark, path) == [0, 1]
