@@ -129,8 +129,8 @@ def tm_lookup(
     own = rows.groupBy("tm_mod", *keys).agg(F.max(F.struct("updated_at", "id")).alias("newest"))
     anyone = own.groupBy(*keys).agg(F.min(F.struct("tm_mod", "newest")).alias("first_mod"))
     same = (
-        (F.col("source_hash") == F.col("tm_hash"))
-        & (F.col("signature") == F.col("tm_signature"))
+        F.col("source_hash").eqNullSafe(F.col("tm_hash"))
+        & F.col("signature").eqNullSafe(F.col("tm_signature"))
         & F.col("semantic_type").eqNullSafe(F.col("tm_sem"))
     )
     allowed = (

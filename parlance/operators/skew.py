@@ -9,9 +9,9 @@ from parlance.functions.text import hash_bucket
 
 
 # Key columns that are never null by schema; the others are compared with null equal to null.
-NEVER_NULL = frozenset(
-    {"mod_id", "domain", "key_path", "value_hash", "source_hash", "token_sequence", "tier", "_segment"}
-)
+# Computed keys (hashes, token sequences) stay out on purpose: plain equality makes the optimizer
+# filter on "is not null" below the join and so compute them a second time.
+NEVER_NULL = frozenset({"mod_id", "domain", "key_path", "tier", "_segment"})
 
 
 def key_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
