@@ -3,9 +3,9 @@
 Every source has a weight and a size (its words). Targets share the total by weight; a source above
 ``max_epochs`` times its size is clamped there and the excess goes to the others by weight, again and
 again until none is above. A source's target is a number of whole repetitions of all its documents
-and a fraction. The fraction is a seeded choice: documents stand in the order of a hash, and those
-whose middle word lies below the fractional target are taken once more, which is off by half a
-document at most. The choice is one cut in the hash range for each source. It is found in two levels:
+and a fraction. The fraction is a seeded choice: documents stand in the order of a hash, the first of
+them that stay within the fractional target are taken once more, and so is one later document that
+best fills the rest. The choice is a cut in the hash range for each source. It is found in two levels:
 sums over slices of the range show the slice that holds the cut, and only that slice is summed row by
 row, so a source with most of all rows is spread over many tasks.
 
@@ -69,9 +69,9 @@ def draw(seed: int) -> Column:
 
 
 def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFrame:
-    """From (source, size, draw), one row for each source: s, source_size, target, whole, cut.
+    """From (source, size, draw), one row for each source: s, source_size, target, whole, cut, fill.
 
-    A document is taken ``whole`` times, and once more if its draw is at most ``cut``.
+    A document is taken ``whole`` times, and once more if its draw is at most ``cut`` or is ``fill``.
     """
     sized = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -89,21 +89,31 @@ def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFr
     )
     inside = rows.withColumn("own", slice_of).join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("own") == F.col("slice")))
     order = Window.partitionBy("s").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.col("base") + F.sum("size").over(order) - F.col("size") / 2
+    upto = F.col("base") + F.sum("size").over(order)
     below = F.shiftleft(F.col("slice"), 63 - SLICE_BITS) - 1
+    fits = F.col("upto") <= F.col("rest")
     cut = (
-        inside.withColumn("middle", middle)
+        inside.withColumn("upto", upto)
         .groupBy(F.col("s").alias("c"))
-        .agg(F.coalesce(F.max(F.when(F.col("middle") < F.col("rest"), F.col("draw"))), F.min(below)).alias("cut"))
+        .agg(
+            F.coalesce(F.max(F.when(fits, F.col("draw"))), F.min(below)).alias("cut"),
+            (F.min("rest") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.min("base"))).alias("gap"),
+        )
     )
-    return sized.join(cut, F.col("s").eqNullSafe(F.col("c")), "left").select(
-        "s", "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")
+    cut = Stored(cut, "mix-prefixes").df
+    # One more document that best fills what the prefix leaves open.
+    beyond = rows.join(cut, F.col("source").eqNullSafe(F.col("c"))).where((F.col("draw") > F.col("cut")) & (F.col("size") <= F.col("gap")))
+    fill = beyond.groupBy(F.col("source").alias("f")).agg(F.max(F.struct("size", "draw"))["draw"].alias("fill"))
+    return (
+        sized.join(cut, F.col("s").eqNullSafe(F.col("c")), "left")
+        .join(fill, F.col("s").eqNullSafe(F.col("f")), "left")
+        .select("s", "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut"), F.coalesce("fill", F.lit(-1)).alias("fill"))
     )
 
 
 def copies(max_epochs: float) -> Column:
-    taken = F.col("whole") + F.when(F.col("draw") <= F.col("cut"), 1).otherwise(0)
-    return F.least(taken, F.lit(int(max_epochs))).cast("bigint")
+    once_more = (F.col("draw") <= F.col("cut")) | (F.col("draw") == F.col("fill"))
+    return F.least(F.col("whole") + F.when(once_more, 1).otherwise(0), F.lit(int(max_epochs))).cast("bigint")
 
 
 def plan(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: int) -> DataFrame:
@@ -122,10 +132,10 @@ def mix(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: int)
     """The documents as the mix holds them: each repeated as often as it is taken, all columns kept."""
     kept = docs.columns
     rows = docs.select("source", word_count(text_or_empty()).alias("size"), draw(seed).alias("draw"))
-    found = cuts(Stored(rows, "mix-rows").df, weights, max_epochs)
-    found = Stored(found.select(F.col("s").alias("_s"), F.col("whole").alias("_whole"), F.col("cut").alias("_cut")), "mix-cuts").df
-    taken = F.col("_whole") + F.when(draw(seed) <= F.col("_cut"), 1).otherwise(0)
-    taken = F.least(taken, F.lit(int(max_epochs))).cast("int")
-    joined = docs.join(found, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_taken", taken)
-    rows = joined.where(F.col("_taken") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_taken"))))
-    return rows.select(*[F.col(f"`{c}`") for c in kept])
+    found = Stored(cuts(Stored(rows, "mix-rows").df, weights, max_epochs), "mix-cuts").df
+    held = docs.select(
+        draw(seed).alias("draw"), F.col("source").alias("held_source"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("document")
+    )
+    taken = held.join(found, F.col("held_source").eqNullSafe(F.col("s"))).select("document", copies(max_epochs).cast("int").alias("n"))
+    rows = taken.where(F.col("n") > 0).select("document", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    return rows.select("document.*")

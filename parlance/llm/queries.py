@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import mixing, packing, rans, sharding
+from parlance.llm import cap_filters, mixing, packing, quality, rans, sharding
 from parlance.llm.common import table
 from parlance.sources.workdir import new_dir
 
@@ -18,6 +18,7 @@ WORD_TOKENIZER, WORD_END = "word_bpe_49k.json", 1
 BYTE_TOKENIZER, BYTE_END = "byte_bpe_50k.json", 2
 CAPACITY = 1024
 SHARDS = 8
+EMBEDDING_COSINE = 0.93
 MIX_WEIGHTS, MIX_EPOCHS, SEED = (5, 2, 1), 3, 20
 
 
@@ -37,6 +38,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def training_labels(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
+    """Texts with their quality label, without the held-out third."""
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label")).where(~held_out())
+    return docs.select("doc_id", "text").join(labels, "doc_id")
+
+
+def held_out(name: str = "doc_id"):
+    return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@query("op1_subword_quality")
+def subword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(training_labels(spark, folder, docs))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op2_range_coding")
 def range_coding(spark: SparkSession, folder: str) -> DataFrame:
     out = new_dir(spark, "token-files")
@@ -44,6 +63,11 @@ def range_coding(spark: SparkSession, folder: str) -> DataFrame:
     return rans.read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op3_cap_filters")
+def cap_filter_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, folder, "embeddings"), EMBEDDING_COSINE, SEED)
+
+
 @query("op4_best_fit")
 def best_fit(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, folder, "documents"), tokenizer_path(BYTE_TOKENIZER), BYTE_END, CAPACITY)
