@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import cap_filters, mixing, packing, quality, rans, sharding
+from parlance.llm import cap_filters, minhash, mixing, packing, quality, rans, sharding
 from parlance.llm.common import table
 from parlance.sources.workdir import new_dir
 
@@ -18,6 +18,7 @@ WORD_TOKENIZER, WORD_END = "word_bpe_49k.json", 1
 BYTE_TOKENIZER, BYTE_END = "byte_bpe_50k.json", 2
 CAPACITY = 1024
 SHARDS = 8
+SIMILARITY = 0.8
 EMBEDDING_COSINE = 0.93
 MIX_WEIGHTS, MIX_EPOCHS, SEED = (5, 2, 1), 3, 20
 
@@ -82,6 +83,11 @@ def byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op6_weighted_minhash")
+def weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.duplicates(table(spark, folder, "documents"), SIMILARITY)
+
+
 @query("op10_water_filling")
 def water_filling(spark: SparkSession, folder: str) -> DataFrame:
     planned = mixing.plan(table(spark, folder, "documents"), MIX_WEIGHTS, MIX_EPOCHS, SEED)
