@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import cap_filters, minhash, mixing, packing, quality, rans, sharding
+from parlance.llm import cap_filters, minhash, mixing, packing, private, quality, rans, sharding
 from parlance.llm.common import table
 from parlance.sources.workdir import new_dir
 
@@ -88,6 +88,11 @@ def weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.duplicates(table(spark, folder, "documents"), SIMILARITY)
 
 
+@query("op7_disclosure")
+def disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return private.report(table(spark, folder, "documents"))
+
+
 @query("op10_water_filling")
 def water_filling(spark: SparkSession, folder: str) -> DataFrame:
     planned = mixing.plan(table(spark, folder, "documents"), MIX_WEIGHTS, MIX_EPOCHS, SEED)
