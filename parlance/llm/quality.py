@@ -40,7 +40,7 @@ class Settings:
     shortest: int = 3
     longest: int = 4
     max_documents: int = 3000
-    epochs: int = 6
+    steps: int = 600
     batch: int = 32
     rate: float = 1.0
     seed: int = 7
@@ -118,12 +118,12 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settin
     vectors = ((rng.random((s.buckets, s.width)) - 0.5) / s.width).astype(np.float32)
     layer, bias = np.zeros((s.width, 2), np.float32), np.zeros(2, np.float32)
     balance = len(labels) / (2 * np.bincount(labels, minlength=2))
-    steps, step = s.epochs * -(-len(docs) // s.batch), 0
-    for _ in range(s.epochs):
+    step = 0
+    while step < s.steps:
         order = rng.permutation(len(docs))
         for begin in range(0, len(order), s.batch):
             pick = order[begin : begin + s.batch]
-            rate = s.rate * (1 - step / steps)
+            rate = s.rate * max(1 - step / s.steps, 0.0)
             step += 1
             sizes = np.array([len(docs[i][0]) for i in pick])
             rows = np.concatenate([docs[i][0] for i in pick])
