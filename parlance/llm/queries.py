@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import cap_filters, chat, minhash, mixing, packing, private, quality, rans, sharding
+from parlance.llm import cap_filters, chat, graph, minhash, mixing, packing, private, quality, rans, sharding
 from parlance.llm.common import table
 from parlance.sources.workdir import new_dir
 
@@ -93,6 +93,14 @@ def disclosure(spark: SparkSession, folder: str) -> DataFrame:
     return private.report(table(spark, folder, "documents"))
 
 
+QUERY_EVERY, NEIGHBOURS = 100, 10
+
+
+@query("op8_pruned_graph")
+def pruned_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.nearest(table(spark, folder, "embeddings"), QUERY_EVERY, NEIGHBOURS)
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
