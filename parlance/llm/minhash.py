@@ -295,9 +295,9 @@ def deduplicate(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     found = classes(docs, threshold)
     kept = found.where(F.coalesce("doc_id", F.xxhash64("content")) == F.col("class_id"))
     kept = Stored(kept.select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("repeats").alias("_repeats")), "minhash-kept").df
-    rows = docs.withColumn("_own", content()).join(
-        kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_content"))
-    )
-    single = rows.where("_repeats = 1")
-    repeated = rows.where("_repeats > 1").dropDuplicates(["_id", "_content"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The document travels as one value, so that no column of its own can clash with these.
+    held = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), content().alias("own"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    rows = held.join(kept, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own") == F.col("_content")))
+    single = rows.where("_repeats = 1").select("document")
+    repeated = rows.where("_repeats > 1").dropDuplicates(["_id", "_content"]).select("document")
+    return single.unionByName(repeated).select("document.*")

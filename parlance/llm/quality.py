@@ -191,7 +191,7 @@ _scorers: dict[str, Scorer] = {}
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``score``, the chance of class 1. The text column is ``text``."""
+    """``document`` (all columns of ``docs`` as one value) and ``score``, the chance of class 1."""
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("double")
@@ -201,4 +201,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             _scorers[name] = Scorer(shared.value)
         return pd.Series([_scorers[name].score(t) for t in texts], dtype="float64")
 
-    return docs.withColumn("score", chance(text_or_empty()))
+    document = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(document.alias("document"), chance(text_or_empty()).alias("score"))

@@ -42,7 +42,7 @@ def tokenizer_path(name: str) -> str:
 def training_labels(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
     """Texts with their quality label, without the held-out third."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label")).where(~held_out())
-    return docs.select("doc_id", "text").join(labels, "doc_id")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(labels, "doc_id")
 
 
 def held_out(name: str = "doc_id"):
@@ -54,7 +54,9 @@ def subword_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = quality.train(training_labels(spark, folder, docs))
     scored = quality.score(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select(
+        "document.doc_id", held_out("document.doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
 
 
 @query("op2_range_coding")
