@@ -1,7 +1,9 @@
 """Near-duplicate documents by consistent weighted sampling over TF-IDF shingles.
 
 The weight of a shingle in a document is its count times an inverse document frequency between 1 (in
-every document) and 2 (in a share of ``RARE`` of the documents or less), in steps of 1/16. Frequencies
+every document) and 1 + ``LEAN`` (in a share of ``RARE`` of the documents or less), in steps of 1/32.
+The lean is slight: with full logarithms, the edits of a text with many copies would outweigh what the
+copies share, and the more copies there are, the less alike they would look. Frequencies
 are exact and cover all documents: hashed counters, summed over all tasks, rule out every shingle
 below that share, and only the others are counted one by one. So at most (mean shingles of a document)
 / ``RARE`` frequencies exist, whatever the size of the corpus, and go to all tasks.
@@ -12,8 +14,12 @@ by the hashed shingle, ties are told apart by the hash. Bands of equal samples m
 
 In a group all members are compared with its first one; linked documents become components. Groups
 that still hold several components are compared again with another leader, and what is left then is
-compared pair by pair, only between components. Every comparison is exact weighted Jaccard similarity
-over the whole texts. Equal texts are one document here and never compared.
+compared pair by pair, only between components. Before both, members that cannot have a link are set
+aside: with threshold t, two documents of weights v and w that share s at most need
+s >= t / (1 + t) * (v + w), and a document shares at most the weight of those shingles that occur in
+another open document too. So a large group of copies whose own edits keep them apart is never
+compared pair by pair. Every comparison is exact weighted Jaccard similarity over the whole texts.
+Equal texts are one document here and never compared.
 
 Defined cases: null and empty texts, and texts without words, have no shingles: equal ones form one
 class; a null doc_id is named by a hash of its text; repeated rows share a class, and one row of a
@@ -35,7 +41,9 @@ from parlance.llm.shingles import Shingler, mixed
 RARE = 1 / 1000
 COUNTERS, CHUNK = 1 << 20, 1 << 10
 BANDS, ROWS = 16, 4
-STEP = 16  # weights are multiples of one sixteenth
+STEP = 32  # weights are multiples of this part
+LEAN = 1 / 8
+TOP = round(STEP * (1 + LEAN))
 MEMBERS = 2000  # members that one task compares with a copy of their leader
 
 _TABLE_BITS = 16
@@ -80,13 +88,13 @@ def counters(texts: DataFrame) -> DataFrame:
 
 
 class Weights:
-    """Idf of shingles in sixteenths: a table of the frequent ones, and one value for all others."""
+    """Idf of shingles in parts of ``STEP``: a table of the frequent ones, and one value for all others."""
 
     def __init__(self, hashes: np.ndarray, idf: np.ndarray):
         self.hashes, self.idf = hashes, idf
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), 2 * STEP, dtype=np.int64)
+        out = np.full(len(hashes), TOP, dtype=np.int64)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
             known = self.hashes[at] == hashes
@@ -94,7 +102,7 @@ class Weights:
         return out
 
     def document(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct shingles, sorted, with their weights in sixteenths."""
+        """Distinct shingles, sorted, with their weights in parts of ``STEP``."""
         distinct, counts = np.unique(hashes, return_counts=True)
         return distinct, counts * self.of(distinct)
 
@@ -124,9 +132,9 @@ def inverse_frequencies(docs: DataFrame) -> Weights:
 
     found = texts.mapInArrow(candidates, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("df")).where(F.col("df") >= floor).toPandas()
     hashes, df = found["hash"].to_numpy(dtype=np.int64).view(np.uint64), found["df"].to_numpy(dtype=np.float64)
-    idf = 1 + np.log(total / df) / np.log(total / min(floor, total - 0.5)) if len(df) else df
+    idf = 1 + LEAN * np.log(total / df) / np.log(total / min(floor, total - 0.5)) if len(df) else df
     order = np.argsort(hashes)
-    return Weights(hashes[order], np.clip(np.rint(idf * STEP), STEP, 2 * STEP).astype(np.int64)[order])
+    return Weights(hashes[order], np.clip(np.rint(idf * STEP), STEP, TOP).astype(np.int64)[order])
 
 
 class Sampler:
@@ -233,6 +241,49 @@ def linked(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Dat
     return rows.select("a", "id", "turn", "text").mapInArrow(run, "a bigint, b bigint")
 
 
+def shared_weights(texts: DataFrame, weights) -> DataFrame:
+    """(id, weight, shared): a document's weight, and the part of it that another of the texts holds."""
+
+    def spread(batches):
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            made = [weights.value.document(h) for h in _shingler().hashes(texts)]
+            sizes = [len(m[0]) for m in made]
+            h = np.concatenate([m[0] for m in made]) if made else np.zeros(0, np.uint64)
+            w = np.concatenate([m[1] for m in made]) if made else np.zeros(0, np.int64)
+            columns = [pa.array(h.view(np.int64)), pa.array(np.repeat(ids, sizes)), pa.array(w)]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "id", "weight"])
+
+    def add(batches):
+        # Rows of one shingle stand together; whether a batch goes on with the last one is kept.
+        last, held = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, ids, w = (batch.column(k).to_numpy() for k in range(3))
+            head = np.concatenate([[last is None or h[0] != last], h[1:] != h[:-1]])
+            many = ~head
+            many[:-1] |= ~head[1:]
+            many[-1] = False  # decided by the next batch
+            if held is not None:
+                yield totals(*(np.array([x]) for x in held), np.array([held_many or not head[0]]))
+            held, held_many, last = (ids[-1], w[-1]), bool(~head[-1]), h[-1]
+            if len(h) > 1:
+                yield totals(ids[:-1], w[:-1], many[:-1])
+        if held is not None:
+            yield totals(*(np.array([x]) for x in held), np.array([held_many]))
+
+    def totals(ids, w, many):
+        distinct, at = np.unique(ids, return_inverse=True)
+        sums = [np.bincount(at, weights=x).astype(np.int64) for x in (w, w * many)]
+        return pa.RecordBatch.from_arrays([pa.array(distinct), *map(pa.array, sums)], ["id", "weight", "shared"])
+
+    rows = texts.select("id", "text").mapInArrow(spread, "hash bigint, id bigint, weight bigint")
+    rows = rows.repartition("hash").sortWithinPartitions("hash")
+    parts = rows.mapInArrow(add, "id bigint, weight bigint, shared bigint")
+    return parts.groupBy("id").agg(F.sum("weight").alias("weight"), F.sum("shared").alias("shared"))
+
+
 def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
     _, i, j = np.intersect1d(one[0], two[0], assume_unique=True, return_indices=True)
     both = int(np.minimum(one[1][i], two[1][j]).sum())
@@ -261,21 +312,23 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     pairs = members.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = Stored(linked(pairs, texts, weights, threshold), "minhash-links").df
     found = Stored(components(links), "minhash-components").df
+    open_ids = _open(members, found).select("id").distinct()
+    sizes = Stored(shared_weights(texts.join(open_ids, "id"), weights), "minhash-weights").df
     for last in (False, True):
-        # Groups that still hold several components.
-        at = F.coalesce("component", "id")
-        placed = members.select("key", "id").join(found, "id", "left").select("key", "id", at.alias("component"))
-        mixed_keys = placed.groupBy("key").agg(
-            F.min("component").alias("x"), F.max("component").alias("y"), F.min_by("id", F.xxhash64("id", "key")).alias("leader")
-        ).where("x <> y")
-        open_groups = Stored(placed.join(mixed_keys.select("key", "leader"), "key"), "minhash-open").df
-        if last:
-            one, two = (open_groups.select("key", F.col("id").alias(i), F.col("component").alias(c)) for i, c in (("a", "c"), ("b", "d")))
-            pairs = one.join(two, "key").where("a < b and c <> d")
-        else:
-            lead = open_groups.where("id = leader").select("key", F.col("component").alias("c"))
-            pairs = open_groups.join(lead, "key").where("component <> c").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
+        # Groups that still hold several components, and their members that can have a link.
+        rows = _open(members, found).join(sizes, "id")
+        least = rows.groupBy("key").agg(F.min("weight").alias("least"))
+        most = F.col("shared") * F.lit((1 + threshold) / threshold) - F.col("weight") + 1e-6
+        rows = rows.join(least, "key").withColumn("most", most).where(F.col("most") >= F.col("least"))
+        rows = _several(Stored(rows.select("key", "id", "component", "weight", "most"), "minhash-open").df)
+        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{i}") for c in ("id", "component", "weight", "most")]) for i in "ab")
+        if not last:
+            lead = rows.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("leader"))
+            one = one.join(lead, "key").where("id_a = leader").drop("leader")
+        can = (F.col("weight_a") <= F.col("most_b")) & (F.col("weight_b") <= F.col("most_a"))
+        order = (F.col("id_a") < F.col("id_b")) if last else F.lit(True)
+        pairs = one.join(two, "key").where((F.col("component_a") != F.col("component_b")) & can & order)
+        pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
         links = links.unionByName(Stored(linked(pairs, texts, weights, threshold), "minhash-links").df)
         found = Stored(components(links), "minhash-components").df
     named = unique.select("content", "id").join(found, "id", "left").select("content", F.coalesce("component", "id").alias("class_id"))
@@ -283,6 +336,18 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     return rows.join(named, "content")
 
 
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows of the groups that hold more than one component."""
+    keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    return rows.join(keys.select("key"), "key", "left_semi")
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, component) of the groups that are not yet one component."""
+    placed = members.select("key", "id").join(found, "id", "left")
+    return _several(placed.select("key", "id", F.coalesce("component", "id").alias("component")))
+
+
 def duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id, class_id and kept for each row."""
     found = classes(docs, threshold).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
