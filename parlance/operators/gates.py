@@ -31,6 +31,7 @@ def validate(
 ) -> DataFrame:
     """Add ``failures``, ``passed`` and ``validation_status``.
 
+    A row without a translation fails, with its ``error`` as the message if the input has one.
     Both texts enter one expression once: lambdas search them (tokens, escapes), derive measures
     and compare the measures. So every regular expression runs once per text, also
     when the optimizer copies the expression into a filter further down.
@@ -77,11 +78,30 @@ def validate(
         f"{output})), p -> named_struct({step(found)})), f -> named_struct({step(measured)})), "
         f"m -> named_struct('failures', concat({', '.join(parts)}), 'passed', {ok})), 1)"
     )
-    return df.selectExpr(*kept, f"{outcome} as _outcome").selectExpr(
+    reason = "coalesce(concat('error ', error), 'missing translation')" if "error" in df.columns else "'missing translation'"
+    present = f"{output} is not null"
+    return df.selectExpr(*kept, f"if({present}, {outcome}, null) as _outcome").selectExpr(
         *kept,
-        "_outcome.failures as failures",
-        "_outcome.passed as passed",
-        "if(_outcome.passed, 'passed', 'failed') as validation_status",
+        f"coalesce(_outcome.failures, if({present}, cast(array() as array<string>), array({reason}))) as failures",
+        "coalesce(_outcome.passed, false) as passed",
+        "if(coalesce(_outcome.passed, false), 'passed', 'failed') as validation_status",
+    )
+
+
+def require_filled(
+    validated: DataFrame, source: str = "source_text", output: str = "translated_text"
+) -> DataFrame:
+    """Fail rows whose source has text while the translation is empty."""
+    empty = (F.trim(source) != "") & (F.trim(output) == "")
+    bad = F.coalesce(empty, F.lit(False))
+    return validated.withColumns(
+        {
+            "failures": F.when(bad, F.concat("failures", F.array(F.lit("empty translation")))).otherwise(
+                F.col("failures")
+            ),
+            "passed": F.col("passed") & ~bad,
+            "validation_status": F.when(bad, "failed").otherwise(F.col("validation_status")),
+        }
     )
 
 

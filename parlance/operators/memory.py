@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parlance.functions.text import source_hash, value_hash
 from parlance.functions.tokens import token_sequence, token_signature
 from parlance.operators.skew import key_join, segment_lag
-from parlance.schemas import ACCEPTED_REVIEWS, KEY
+from parlance.schemas import ACCEPTED_REVIEWS, KEY, MEMORY_KEY, TARGET_LANG
 
 
 def with_hashes(df: DataFrame) -> DataFrame:
@@ -24,6 +24,13 @@ def with_hashes(df: DataFrame) -> DataFrame:
     )
 
 
+def in_language(tm: DataFrame, target_lang: str | None) -> DataFrame:
+    """The memory rows of one target language; all of them for None or a table without languages."""
+    if target_lang is None or "target_lang" not in tm.columns:
+        return tm
+    return tm.filter(F.col("target_lang") == target_lang)
+
+
 def _keys(df: DataFrame) -> DataFrame:
     known = "value_hash" in df.columns
     return df.select(
@@ -31,15 +38,17 @@ def _keys(df: DataFrame) -> DataFrame:
     )
 
 
-def detect_changes(strings: DataFrame, tm: DataFrame) -> DataFrame:
-    """new / stale / unchanged / orphaned for every key of either side."""
+def detect_changes(
+    strings: DataFrame, tm: DataFrame, target_lang: str | None = TARGET_LANG
+) -> DataFrame:
+    """new / stale / unchanged / orphaned for every key of either side, in one target language."""
 
     def side(df: DataFrame) -> DataFrame:
         hashed = df if {"value_hash", "source_hash"} <= set(df.columns) else with_hashes(df)
         return hashed.select(*KEY, "value_hash", "source_hash")
 
     s = side(strings)
-    m = side(tm).toDF(*[f"m_{c}" for c in (*KEY, "value_hash", "source_hash")])
+    m = side(in_language(tm, target_lang)).toDF(*[f"m_{c}" for c in (*KEY, "value_hash", "source_hash")])
     joined = s.join(
         m,
         (F.col("mod_id") == F.col("m_mod_id"))
@@ -63,27 +72,35 @@ def detect_changes(strings: DataFrame, tm: DataFrame) -> DataFrame:
     )
 
 
-def new_keys(strings: DataFrame, tm: DataFrame) -> DataFrame:
-    return key_join(strings, tm.select(*KEY), KEY, "left_anti")
+def new_keys(
+    strings: DataFrame, tm: DataFrame, target_lang: str | None = TARGET_LANG
+) -> DataFrame:
+    return key_join(strings, in_language(tm, target_lang).select(*KEY), KEY, "left_anti")
 
 
-def orphaned_keys(strings: DataFrame, tm: DataFrame) -> DataFrame:
-    return key_join(tm, strings.select(*KEY), KEY, "left_anti")
+def orphaned_keys(
+    strings: DataFrame, tm: DataFrame, target_lang: str | None = TARGET_LANG
+) -> DataFrame:
+    return key_join(in_language(tm, target_lang), strings.select(*KEY), KEY, "left_anti")
 
 
-def stale_keys(strings: DataFrame, tm: DataFrame) -> DataFrame:
+def stale_keys(
+    strings: DataFrame, tm: DataFrame, target_lang: str | None = TARGET_LANG
+) -> DataFrame:
     """Same key, reworded English; the previous hash is kept for the report."""
-    previous = _keys(tm).withColumnRenamed("value_hash", "previous_hash")
+    previous = _keys(in_language(tm, target_lang)).withColumnRenamed("value_hash", "previous_hash")
     return key_join(_keys(strings), previous, KEY, "inner").filter(
         "value_hash <> previous_hash"
     )
 
 
-def reusable_keys(strings: DataFrame, tm: DataFrame) -> DataFrame:
+def reusable_keys(
+    strings: DataFrame, tm: DataFrame, target_lang: str | None = TARGET_LANG
+) -> DataFrame:
     """Unchanged strings: they never reach a translator again."""
     known = "value_hash" in strings.columns
     s = strings if known else strings.withColumn("value_hash", value_hash("source_text"))
-    return key_join(s, _keys(tm), (*KEY, "value_hash"), "left_semi")
+    return key_join(s, _keys(in_language(tm, target_lang)), (*KEY, "value_hash"), "left_semi")
 
 
 def accepted(tm: DataFrame) -> DataFrame:
@@ -95,8 +112,9 @@ def accepted(tm: DataFrame) -> DataFrame:
 def tm_lookup(
     strings: DataFrame,
     tm: DataFrame,
-    cross_mod_types: tuple[str, ...] | None = None,
+    cross_mod_types: tuple[str, ...] | None = (),
     carry: tuple[str, ...] = (),
+    target_lang: str | None = TARGET_LANG,
 ) -> DataFrame:
     """Best accepted translation per string: own mod first, then other mods.
 
@@ -105,10 +123,11 @@ def tm_lookup(
     lookup key, made by a combining aggregate, so a join never multiplies rows.
 
     Masked hashes make different tokens look equal; a hit therefore counts only if the stored
-    translation carries exactly the string's tokens. ``cross_mod_types`` limits cross-mod reuse to
-    the semantic types opted in; None allows every type. ``carry`` names columns of ``strings``
+    translation carries exactly the string's tokens. ``cross_mod_types`` names the semantic types
+    opted in to reuse across mods; None allows every type. Only rows of ``target_lang`` count. ``carry`` names columns of ``strings``
     to take along.
     """
+    tm = in_language(tm, target_lang)
     s = strings.select(
         *KEY,
         "semantic_type",
@@ -171,7 +190,7 @@ def coverage_vs_existing(strings: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
-def latest_tm(tm: DataFrame, as_of: str | None = None, keys=KEY) -> DataFrame:
+def latest_tm(tm: DataFrame, as_of: str | None = None, keys=MEMORY_KEY) -> DataFrame:
     """Newest row per key; ``row_number() = 1`` is limited per partition before the shuffle."""
     rows = tm if as_of is None else tm.filter(F.col("updated_at") <= F.to_timestamp(F.lit(as_of)))
     w = Window.partitionBy(*keys).orderBy(F.col("updated_at").desc(), F.col("id").desc())
@@ -182,7 +201,7 @@ def tm_history(tm: DataFrame, segment: Column | None = None) -> DataFrame:
     """Previous English and previous translation of every stored version."""
     return segment_lag(
         tm,
-        list(KEY),
+        list(MEMORY_KEY),
         ["updated_at", "id"],
         F.to_date("updated_at") if segment is None else segment,
         {"previous_source": "source_text", "previous_translation": "translation"},

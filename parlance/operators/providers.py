@@ -30,6 +30,8 @@ class Provider:
     structured_output: bool = False
     expression: Callable[[Column], Column] | None = None
     translate: Callable[[Sequence[str], str | None, str | None, dict], Sequence[str]] | None = None
+    # Errors that fail a batch; any other stops the job, as a mistake in the code should.
+    recoverable: tuple[type[BaseException], ...] = (OSError, TimeoutError, ValueError)
 
     def __post_init__(self):
         if self.kind not in PROVIDER_KINDS:
@@ -65,8 +67,10 @@ def echo_provider(strings: DataFrame) -> DataFrame:
 def translate_with(strings: DataFrame, provider: Provider, rules: dict | None = None) -> DataFrame:
     """One candidate per string. A failing batch becomes rows with ``error``, not a failed job.
 
-    Batches are cut inside each task from the Arrow stream, per semantic type and at most
-    ``max_batch_size`` long, so batching needs no exchange and no task depends on a group's size.
+    Batches are cut inside each task from the Arrow stream, per semantic type and context hint and
+    at most ``max_batch_size`` long, so batching needs no exchange and no task depends on a group's
+    size. A batch gets ``rules`` and, from an input column ``glossary_rules`` (map of term to
+    preferred text), those of its own strings. Only the provider's ``recoverable`` errors are rows.
     """
     stamped = {
         "provider_id": F.lit(provider.id),
@@ -84,22 +88,27 @@ def translate_with(strings: DataFrame, provider: Provider, rules: dict | None =
         )
 
     call, limit, glossary = provider.translate, provider.max_batch_size, rules or {}
-    has_hint = "context_hint" in strings.columns
+    recoverable = provider.recoverable
+    has_hint, has_rules = "context_hint" in strings.columns, "glossary_rules" in strings.columns
+    by = ["semantic_type", "context_hint"] if has_hint else ["semantic_type"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for semantic, group in frame.groupby("semantic_type", dropna=False, sort=False):
-                kind = None if pd.isna(semantic) else semantic
+            for key, group in frame.groupby(by, dropna=False, sort=False):
+                kind, *hints = (None if pd.isna(k) else k for k in key)
+                hint = hints[0] if hints else None
                 for start in range(0, len(group), limit):
                     batch = group.iloc[start : start + limit].copy()
-                    hint = batch["context_hint"].iloc[0] if has_hint else None
+                    own = dict(glossary)
+                    for found in batch["glossary_rules"].dropna() if has_rules else ():
+                        own |= dict(found)
                     batch["translated_text"], batch["error"] = None, None
                     try:
-                        texts = list(call(batch["source_text"].tolist(), kind, hint, glossary))
+                        texts = list(call(batch["source_text"].tolist(), kind, hint, own))
                         if len(texts) != len(batch):
                             raise ValueError(f"{len(texts)} results for {len(batch)} strings")
                         batch["translated_text"] = texts
-                    except Exception as exc:  # noqa: BLE001 - any provider error is data here
+                    except recoverable as exc:
                         batch["error"] = f"{type(exc).__name__}: {exc}"
                     yield batch
 

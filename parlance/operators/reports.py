@@ -38,8 +38,14 @@ def coverage_report(strings: DataFrame, tm: DataFrame) -> DataFrame:
     """Strings and covered strings per domain and mod, with subtotals."""
     return (
         with_coverage(strings, tm)
+        .groupBy("domain", "mod_id")
+        .agg(*_coverage_counts())
         .rollup("domain", "mod_id")
-        .agg(F.grouping_id().alias("level"), *_coverage_counts())
+        .agg(
+            F.grouping_id().alias("level"),
+            F.sum("strings").alias("strings"),
+            F.sum("covered").alias("covered"),
+        )
     )
 
 
@@ -127,11 +133,10 @@ def gate_failure_report(validated: DataFrame) -> DataFrame:
 def provider_stats(runs: DataFrame, by: tuple[str, ...] = ("provider",)) -> DataFrame:
     """Latency mean and quantiles, throughput and failure rate per provider.
 
-    Quantiles are exact at the recorded resolution (two decimals): runs are first counted per
-    distinct latency, so the quantile state holds distinct values, not runs.
+    Figures are exact: runs are first counted per distinct latency, so the quantile state holds
+    distinct values, not runs.
     """
-    latency = F.round("latency", 2)
-    counted = runs.groupBy(*by, latency.alias("ms")).agg(
+    counted = runs.groupBy(*by, F.col("latency").alias("ms")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("failed").alias("failed"),
         F.sum("tokens").alias("tokens"),

@@ -17,7 +17,7 @@ from parlance.functions.tokens import (
 from parlance.operators.memory import tm_lookup
 from parlance.operators.rules import LAYERS, apply_layers, template_key
 from parlance.operators.skew import key_join, segment_rows
-from parlance.schemas import ACCEPTED_REVIEWS, KEY
+from parlance.schemas import ACCEPTED_REVIEWS, KEY, TARGET_LANG
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,8 @@ class RouterPolicy:
     long_text_tokens: int = 400
     many_tokens: int = 4
     many_symbols: int = 1
-    cross_mod_types: tuple[str, ...] | None = None
+    cross_mod_types: tuple[str, ...] | None = ()
+    target_lang: str | None = TARGET_LANG
     layers: tuple[str, ...] = LAYERS
 
     @property
@@ -72,7 +73,7 @@ def route(
         }
     )
     carry = ("tokens", "difficulty", "template", "placeholders")
-    facts = tm_lookup(measured, tm, policy.cross_mod_types, carry)
+    facts = tm_lookup(measured, tm, policy.cross_mod_types, carry, policy.target_lang)
     ruled = apply_layers(facts, glossary, "template", policy.layers)
     always = F.coalesce(F.col("semantic_type").isin(*policy.always_escalate), F.lit(False))
     doubtful = F.lit(policy.low_confidence_escalation) & (F.size("difficulty") > 0)

@@ -173,35 +173,49 @@ def glossary_template_match(
     return apply_layers(keyed.filter("term_key <> ''"), glossary, "term_key", layers, "inner")
 
 
+def longest_term(keys: DataFrame) -> int:
+    """Words of the longest of the terms in the first column; 1 without terms."""
+    return keys.agg(F.max(F.size(F.split(keys.columns[0], " ")))).first()[0] or 1
+
+
 def glossary_terms_in_text(
     strings: DataFrame,
     glossary: DataFrame,
-    max_words: int,
     identity: list[str],
     text: str = "source_text",
     layers=LAYERS,
 ) -> DataFrame:
-    """Terms inside texts, by equality on word runs; the term length bounds the run length.
+    """Terms inside texts, by equality on word runs; the longest term bounds the run length.
 
     Word runs that are no term at all are dropped by a semi-join right after the explode, before
     anything is counted or exchanged by string.
     """
     wanted = glossary.select(term_key("term").alias("term_key")).distinct()
     grams = strings.select(
-        *identity, each(ngrams_upto(terms(text), max_words)).alias("term_key")
+        *identity, each(ngrams_upto(terms(text), longest_term(wanted))).alias("term_key")
     )
     counted = (
-        grams.join(wanted, "term_key", "left_semi")
+        salted_semi_join(grams, wanted, "term_key")
         .groupBy(*identity, "term_key")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
     return apply_layers(counted, glossary, "term_key", layers, "inner")
 
 
+def salted_semi_join(runs: DataFrame, wanted: DataFrame, key: str, salts: int = 32) -> DataFrame:
+    """Rows of ``runs`` whose key is wanted; each wanted key has one copy for each salt.
+
+    A frequent word's rows meet the terms in ``salts`` tasks, where the terms are too many to be
+    sent to every task.
+    """
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("_salt")
+    copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return runs.select("*", salt).join(copies, [key, "_salt"], "left_semi").drop("_salt")
+
+
 def forbidden_term_violations(
     candidates: DataFrame,
     glossary: DataFrame,
-    max_words: int,
     identity: list[str],
     layers=LAYERS,
 ) -> DataFrame:
@@ -209,7 +223,7 @@ def forbidden_term_violations(
 
     Only matched terms and variants meet, by equality; no text is exchanged.
     """
-    hits = glossary_terms_in_text(candidates, glossary, max_words, identity, layers=layers)
+    hits = glossary_terms_in_text(candidates, glossary, identity, layers=layers)
     variants = hits.select(
         *identity, "term_key", "glossary_layer", F.explode("forbidden").alias("variant")
     ).withColumn("variant_key", term_key("variant"))
@@ -218,13 +232,10 @@ def forbidden_term_violations(
         .select(term_key("v").alias("variant_key"))
         .distinct()
     )
-    used = (
-        candidates.select(
-            *identity, each(ngrams_upto(terms("translated_text"), max_words)).alias("_run")
-        )
-        .join(wanted, F.col("_run") == F.col("variant_key"), "left_semi")
-        .distinct()
-        .withColumnRenamed("_run", "variant_key")
+    longest = longest_term(wanted)
+    runs = candidates.select(
+        *identity, each(F.array_distinct(ngrams_upto(terms("translated_text"), longest))).alias("variant_key")
     )
+    used = salted_semi_join(runs, wanted, "variant_key").distinct()
     keys = [*identity, "variant_key"]
     return key_join(variants, used, keys, "left_semi").drop("variant_key")

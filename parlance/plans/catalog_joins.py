@@ -11,7 +11,10 @@ from parlance.plans import views as v
 from parlance.plans.registry import query
 from parlance.schemas import KEY
 
-POLICY = routing.RouterPolicy(always_escalate=("quest_text",), always_review=("letter_message",))
+# Every type is opted in to reuse across mods here, so that the queries show it.
+POLICY = routing.RouterPolicy(
+    always_escalate=("quest_text",), always_review=("letter_message",), cross_mod_types=None
+)
 
 _KEYS = "mod_id, domain, def_type, key_path"
 
@@ -89,7 +92,7 @@ def _(spark, folder):
     f"select {_KEYS}, semantic_type, source_hash, md5(tm_translation) as tm_translation, tm_scope from v_look",
 )
 def _(spark, folder):
-    found = memory.tm_lookup(v.typed_strings(spark, folder), v.memory(spark, folder))
+    found = memory.tm_lookup(v.typed_strings(spark, folder), v.memory(spark, folder), None)
     return found.withColumn("tm_translation", F.md5("tm_translation"))
 
 
@@ -322,7 +325,6 @@ def _(spark, folder):
     return rules.glossary_terms_in_text(
         v.typed_strings(spark, folder),
         v.word_glossary(spark),
-        2,
         ["doc_id", "mod_id", "semantic_type"],
     ).select("doc_id", "term_key", "occurrences", "preferred", "glossary_layer")
 
@@ -340,7 +342,6 @@ def _(spark, folder):
     return rules.forbidden_term_violations(
         v.candidates(spark, folder),
         v.word_glossary(spark),
-        2,
         ["doc_id", "mod_id", "semantic_type"],
     ).select("doc_id", "term_key", "glossary_layer", "variant")
 
@@ -427,7 +428,11 @@ def _(spark, folder):
     return providers.contract_violations(s, results)
 
 
-@query("score_with")
+@query(
+    "score_with",
+    """select doc_id, round(1.0 - abs(length(source_text) - length(translated_text))::double
+ / greatest(length(translated_text), 1), 6) as score from v_c""",
+)
 def _(spark, folder):
     def closeness(source, translated):
         return 1.0 - (source.str.len() - translated.str.len()).abs() / translated.str.len().clip(1)
@@ -550,11 +555,11 @@ _MADE = f"""(select r.*, case when tier in ('tm', 'glossary') then reused else '
 
 @query(
     "translate_flow",
-    f"""select mod_id, tier, validation_status, case when validation_status = 'passed' and len(difficulty) = 0
+    f"""select {_KEYS}, tier, validation_status, case when validation_status = 'passed' and len(difficulty) = 0
  and semantic_type is distinct from 'letter_message' then 'auto_accepted' else 'unreviewed' end as review_status,
- count(*) as strings, sum(length(translated_text))::bigint as chars from (
+ md5(translated_text) as translation from (
  select *, case when len({o.all_messages('source_text', 'translated_text')}) = 0 then 'passed' else 'failed' end
- as validation_status from {_MADE}) group by all""",
+ as validation_status from {_MADE})""",
 )
 def _(spark, folder):
     made = flows.translate_flow(
@@ -563,7 +568,6 @@ def _(spark, folder):
         v.glossary_from_memory(spark, folder),
         POLICY,
     )
-    return made.groupBy("mod_id", "tier", "validation_status", "review_status").agg(
-        F.count(F.lit(1)).alias("strings"), F.sum(F.length("translated_text")).alias("chars")
+    return made.select(
+        *KEY, "tier", "validation_status", "review_status", F.md5("translated_text").alias("translation")
     )
-

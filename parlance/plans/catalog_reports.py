@@ -101,9 +101,9 @@ def _(spark, folder):
     return reports.gate_failure_report(gates.validate(v.candidates(spark, folder)))
 
 
-_STATS = """select {by}, count(*) as runs, round(avg(round(latency, 2)), 4) as mean_latency,
- round(quantile_cont(round(latency, 2), 0.5), 4) as p50_latency,
- round(quantile_cont(round(latency, 2), 0.95), 4) as p95_latency,
+_STATS = """select {by}, count(*) as runs, round(avg(latency), 4) as mean_latency,
+ round(quantile_cont(latency, 0.5), 4) as p50_latency,
+ round(quantile_cont(latency, 0.95), 4) as p95_latency,
  round(count(*) / greatest((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 1.0), 9) as runs_per_second,
  round(count_if(failed) / count(*), 6) as failure_rate, sum(tokens)::bigint as tokens from v_r group by {by}"""
 

@@ -147,13 +147,22 @@ def _(spark, folder):
 
 @query(
     "read_existing_translations",
-    f"""select mod_id, domain, def_type, key_path, md5(source_text) as translation from v_s where domain <> 'Strings'
-union all select mod_id, 'Strings', null, mod_id || '__' || file || {_NUMBER} || '.txt#' || (row_number() over (
+    f"""select 'id.' || mod_id as mod_id, domain, def_type, key_path, md5(source_text) as translation from v_s
+ where domain <> 'Strings' union all select 'id.' || mod_id, 'Strings', null, mod_id || '__' || file || {_NUMBER} || '.txt#' || (row_number() over (
  partition by mod_id, file, part order by doc_id) - 1), md5(line) from {_POOL}""",
 )
 def _(spark, folder):
     kinds = ("Keyed", "DefInjected", "Strings")
-    base = _write_tree(spark, _shipped(spark, folder), kinds, "Russian")
+    shipped = _shipped(spark, folder)
+    base = _write_tree(spark, shipped, kinds, "Russian")
+    # Ids differ from folder names.
+    about = shipped.select("mod_id").distinct().select(
+        F.concat("mod_id", F.lit("/About/About.xml")).alias("path"),
+        F.concat(
+            F.lit("<ModMetaData><packageId>id."), "mod_id", F.lit("</packageId><name>N</name></ModMetaData>")
+        ).alias("text"),
+    )
+    packs.write_files(about, base)
     return resources.read_existing_translations(spark, base).withColumn(
         "translation", F.md5("translation")
     )

@@ -120,7 +120,7 @@ def _(spark, folder):
     session = _utc(spark)
     arriving = v.strings_of(stream_table(session, folder, "documents"))
     typed = classify_semantic_type(arriving, v.OVERRIDES)
-    found = strings.stream_tm_reuse(typed, v.memory(session, folder))
+    found = strings.stream_tm_reuse(typed, v.memory(session, folder), cross_mod_types=None)
     out = found.select(*KEY, "tm_scope", "tm_translation")
     return _drain(spark, session, out, "reuse").withColumn(
         "tm_translation", F.md5("tm_translation")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.operators.gates import ALL_GATES, validate
+from parlance.operators.gates import ALL_GATES, require_filled, validate
 from parlance.operators.memory import SHARED, fan_out_translations, unique_sources
 from parlance.operators.providers import PASSTHROUGH, Provider, translate_with
-from parlance.operators.quality import fail_if_any
+from parlance.operators.quality import fail_if_any, filter_emittable
 from parlance.operators.routing import RouterPolicy, assign_review_status, route
+from parlance.operators.rules import glossary_terms_in_text
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
 from parlance.sources.datasets import read_state, write_state
@@ -21,6 +22,49 @@ from parlance.sources.packs import (
     write_manifest,
     write_strings_pack,
 )
+from parlance.sources.workdir import new_dir
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a fresh table in the shared folder: what made them runs once."""
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def translate_unique(
+    unique: DataFrame,
+    policy: RouterPolicy,
+    local: Provider,
+    remote: Provider,
+    gates: tuple[str, ...],
+) -> DataFrame:
+    """One result for each distinct text: local attempts up to the allowance, then the remote one.
+
+    Every attempt is stored before it is checked, so a provider sees a text once per attempt. A
+    text that fails everywhere keeps its last result, failed.
+    """
+
+    def attempt(texts: DataFrame, provider: Provider) -> DataFrame:
+        # Calls are slow and texts small: parts go by rows, not by the bytes an exchange left.
+        made = translate_with(texts.repartition("source_text"), provider)
+        return stored(require_filled(validate(made, gates)), "attempt")
+
+    columns = unique.columns
+    done, waiting = [], unique.filter("tier = 'local'")
+    for _ in range(policy.attempts_allowed):
+        made = attempt(waiting, local)
+        done.append(made.filter("passed"))
+        waiting = made.filter("not passed").select(*columns)
+        if waiting.isEmpty():
+            break
+    made = attempt(unique.filter("tier = 'remote'").unionByName(waiting), remote)
+    results = made
+    for part in done:
+        results = results.unionByName(part)
+    hints = ("context_hint",) if "context_hint" in columns else ()
+    made_by = ("translated_text", "provider_id", "prompt_version", "error")
+    return results.select(*SHARED, "tier", *hints, *made_by)
 
 
 def translate_flow(
@@ -34,25 +78,32 @@ def translate_flow(
 ) -> DataFrame:
     """Validated candidates for all strings; only tiers local and remote reach a translator.
 
-    A distinct text is translated once per tier and copied to its keys.
+    The route is stored, a distinct text is translated once per attempt and copied to its keys, and
+    the candidates are stored, so using them again calls no translator. A failed item stays failed:
+    its text is null, ``error`` tells why. Local failures are tried again and then go to the remote
+    translator; ``provider_id`` tells who made a text. A ``context_hint`` column of the strings
+    reaches the translators, and so do the glossary terms that a text holds.
     """
     routed = route(strings, tm, glossary, policy).select(
         *KEY, "tier", "reason", "reused_translation"
     )
-    rows = key_join(strings, routed, KEY, "inner")
-    unique = unique_sources(rows.filter(F.col("tier").isin("local", "remote")), ("tier",))
-    made = [
-        translate_with(unique.filter(F.col("tier") == tier), provider)
-        for tier, provider in (("local", local), ("remote", remote))
-    ]
-    results = made[0].unionByName(made[1]).select(
-        *SHARED, "tier", "translated_text", "provider_id", "prompt_version", "error"
+    rows = stored(key_join(strings, routed, KEY, "inner"), "routed")
+    asked = rows.filter(F.col("tier").isin("local", "remote"))
+    shared = ("tier", "context_hint") if "context_hint" in rows.columns else ("tier",)
+    unique = stored(unique_sources(asked, shared), "unique-texts")
+    found = glossary_terms_in_text(
+        unique.withColumn("mod_id", F.lit(None).cast("string")), glossary, ["source_text", "semantic_type", "mod_id"]
     )
+    rules = found.groupBy("source_text", "semantic_type").agg(
+        F.map_from_entries(F.collect_set(F.struct("term_key", "preferred"))).alias("glossary_rules")
+    )
+    unique = stored(key_join(unique, rules, ("source_text", "semantic_type"), "left"), "unique-texts")
+    results = stored(translate_unique(unique, policy, local, remote, gates), "results")
     reuse = F.col("tier").isin("tm", "glossary")
-    everything = fan_out_translations(rows, results, ("tier",)).withColumns(
+    everything = fan_out_translations(rows, results, shared).withColumns(
         {
             "translated_text": F.when(reuse, F.col("reused_translation")).otherwise(
-                F.coalesce("translated_text", F.lit(""))
+                F.col("translated_text")
             ),
             "provider_id": F.when(reuse, F.concat(F.lit("reuse:"), "tier")).otherwise(
                 F.col("provider_id")
@@ -60,8 +111,8 @@ def translate_flow(
             "prompt_version": F.when(reuse, "none").otherwise(F.col("prompt_version")),
         }
     )
-    checked = validate(everything.drop("reused_translation"), gates)
-    return assign_review_status(checked, policy)
+    checked = require_filled(validate(everything.drop("reused_translation"), gates))
+    return stored(assign_review_status(checked, policy), "candidates")
 
 
 def translate_to_state(candidates: DataFrame, path: str) -> None:
@@ -76,20 +127,29 @@ def build_flow(
     options: ManifestOptions = ManifestOptions(),
     require_review: bool = False,
 ) -> DataFrame:
-    """Write all packs and the manifest; returns emitted counts per mod and domain."""
-    bad = invalid_keys(candidates.filter("validation_status = 'passed'"))
-    fail_if_any(bad, F.lit(True), "keys that cannot be element names")
-    write_keyed_pack(candidates, out, require_review=require_review)
-    if "file" in candidates.columns:
-        write_definjected_pack(candidates, out, require_review=require_review)
-    if {"file", "idx"} <= set(candidates.columns):
-        write_strings_pack(candidates, out)
+    """Write all packs and the manifest; returns the entries written, per mod and domain.
+
+    ``candidates`` is a stored table or a run's result (``translate_flow`` stores its own).
+    """
+    passed = filter_emittable(candidates, require_review)
+    fail_if_any(invalid_keys(passed), F.lit(True), "keys that cannot be element names")
+    needed = {"DefInjected": ("file",), "Strings": ("file", "idx")}
+    placed = candidates
+    for domain, columns in needed.items():
+        for name in columns:
+            if name not in placed.columns:
+                placed = placed.withColumn(name, F.lit(None).cast("string" if name == "file" else "bigint"))
+            fail_if_any(
+                placed.filter(F.col("domain") == domain), F.col(name).isNull(), f"{domain} rows without {name}"
+            )
+    written = [
+        write_keyed_pack(placed, out, require_review=require_review).withColumn("domain", F.lit("Keyed")),
+        write_definjected_pack(placed, out, require_review=require_review).withColumn("domain", F.lit("DefInjected")),
+        write_strings_pack(placed, out, require_review=require_review).withColumn("domain", F.lit("Strings")),
+    ]
     write_manifest(mods, out, options)
-    return (
-        candidates.filter("validation_status = 'passed'")
-        .groupBy("mod_id", "domain")
-        .agg(F.count(F.lit(1)).alias("emitted"))
-    )
+    entries = written[0].unionByName(written[1]).unionByName(written[2])
+    return entries.groupBy("mod_id", "domain").agg(F.sum("entries").alias("emitted")).filter("emitted > 0")
 
 
 def build_from_state(spark, state: str, mods: DataFrame, out: str, **options) -> DataFrame:

@@ -12,12 +12,17 @@ REVIEW_STATUSES = ("unreviewed", "auto_accepted", "human_accepted", "rejected")
 DEFAULT_GAME_VERSION = "1.6"
 SOURCE_LANGUAGE = "English"
 TARGET_LANGUAGE = "Russian"
-STATE_SCHEMA_VERSION = 1
+STATE_SCHEMA_VERSION = 2
+# Language codes of memory rows; lookups see one pair unless they are given another.
+SOURCE_LANG = "en"
+TARGET_LANG = "ru"
 
 ACCEPTED_REVIEWS = ("auto_accepted", "human_accepted")
 
 # One string is identified by these four columns (def_type may be null).
 KEY = ("mod_id", "domain", "def_type", "key_path")
+# A memory row belongs to one string and one pair of languages.
+MEMORY_KEY = (*KEY, "source_lang", "target_lang")
 
 STRINGS = T.StructType(
     [
@@ -42,11 +47,13 @@ STATE_COLUMNS = (
     "prompt_version",
     "validation_status",
     "review_status",
+    "file",
 )
 
 STATE = T.StructType(
     [T.StructField("schema_version", T.IntegerType())]
     + [T.StructField(name, T.StringType()) for name in STATE_COLUMNS]
+    + [T.StructField("idx", T.LongType())]
 )
 
 MEMORY = T.StructType(

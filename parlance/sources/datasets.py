@@ -11,7 +11,7 @@ from parlance import schemas
 from parlance.operators.memory import latest_tm
 from parlance.operators.quality import RunAborted
 
-BASE, DELTA = "version", "delta"
+BASE, DELTA, FOLDED = "version", "delta", "folded"
 
 
 def _write_rows(df: DataFrame, folder: str) -> None:
@@ -32,67 +32,106 @@ def write_tm(df: DataFrame, path: str, version: int) -> None:
     _write_rows(df, f"{path}/{BASE}={version}")
 
 
-def append_tm(df: DataFrame, path: str, version: int) -> None:
-    """Write only the rows that changed after the newest complete version below ``version``.
+def append_tm(df: DataFrame, path: str, name: str | int) -> None:
+    """Write only the rows that changed, as a delta of that name (a number, or stream and batch).
 
     The cost is that of the changed rows; ``read_tm`` overlays them, ``compact_tm`` folds them in.
+    A repeated write of one name replaces its own rows. Names carry no order: rows are newest by
+    their own times, so a delta counts whatever complete versions exist.
     """
-    _write_rows(df, f"{path}/{DELTA}={version}")
+    _write_rows(df, f"{path}/{DELTA}={name}")
 
 
-def tm_versions(spark: SparkSession, path: str, kind: str = BASE) -> list[int]:
-    """Committed versions, oldest first, from the folder names and their success marks."""
+def tm_versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed complete versions, oldest first."""
+    return sorted(int(n) for n in _committed(spark, path, BASE))
+
+
+def _committed(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """Names of written folders of a kind, from the folder names and their success marks."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS"))
     names = [m.getPath().getParent().getName() for m in marks or []]
-    return sorted(int(n.split("=")[1]) for n in names)
+    return sorted(n.split("=", 1)[1] for n in names)
+
+
+def _folded(spark: SparkSession, path: str, version: int) -> set[str]:
+    """Names of the deltas that a complete version already holds."""
+    if str(version) not in _committed(spark, path, FOLDED):
+        return set()
+    return {r.name for r in spark.read.schema("name string").json(f"{path}/{FOLDED}={version}").collect()}
 
 
 def read_tm(
-    spark: SparkSession, path: str, version: int | None = None, as_of: str | None = None
+    spark: SparkSession,
+    path: str,
+    version: int | None = None,
+    as_of: str | None = None,
+    target_lang: str | None = None,
 ) -> DataFrame:
     """The newest state, or one complete version; ``as_of`` gives the rows current at that time.
 
-    Rows appended since the newest complete version are overlaid, newest row per key.
+    Deltas that the newest complete version has not folded in are overlaid, newest row per key and
+    pair of languages. ``target_lang`` reads that language's folders only.
     """
-
-    def rows(kind: str, number: int) -> DataFrame:
-        df = spark.read.schema(schemas.MEMORY).parquet(f"{path}/{kind}={number}")
-        return df.select(*schemas.MEMORY.fieldNames())
-
     if version is not None:
-        df, overlaid = rows(BASE, version), False
+        df, overlaid = _rows(spark, path, BASE, version), False
     else:
-        complete = tm_versions(spark, path)
-        floor = complete[-1] if complete else -1
-        newer = [n for n in tm_versions(spark, path, DELTA) if n > floor]
-        parts = [rows(BASE, floor)] if complete else []
-        parts += [rows(DELTA, n) for n in newer]
-        if not parts:
-            return spark.createDataFrame([], schemas.MEMORY)
-        df, overlaid = parts[0], bool(newer)
-        for part in parts[1:]:
-            df = df.unionByName(part)
+        df, overlaid = _history(spark, path)
+    if target_lang is not None:
+        df = df.filter(F.col("target_lang") == target_lang)
     return latest_tm(df, as_of) if overlaid or as_of is not None else df
 
 
+def read_tm_history(spark: SparkSession, path: str) -> DataFrame:
+    """Every stored version of every row, superseded ones too; input of ``tm_history``."""
+    return _history(spark, path)[0]
+
+
+def _rows(spark: SparkSession, path: str, kind: str, name: str | int) -> DataFrame:
+    df = spark.read.schema(schemas.MEMORY).parquet(f"{path}/{kind}={name}")
+    return df.select(*schemas.MEMORY.fieldNames())
+
+
+def _history(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
+    """All rows of the newest complete version and of the deltas beside it; whether any overlap."""
+    complete = tm_versions(spark, path)
+    folded = _folded(spark, path, complete[-1]) if complete else set()
+    deltas = [n for n in _committed(spark, path, DELTA) if n not in folded]
+    parts = [_rows(spark, path, BASE, complete[-1])] if complete else []
+    parts += [_rows(spark, path, DELTA, n) for n in deltas]
+    if not parts:
+        return spark.createDataFrame([], schemas.MEMORY), False
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part)
+    return df, bool(deltas) or bool(folded)
+
+
 def compact_tm(spark: SparkSession, path: str) -> int | None:
-    """Fold all appended rows into a complete version numbered like the newest of them."""
-    newer = tm_versions(spark, path, DELTA)
+    """Fold all deltas into the next complete version; returns its number, None without deltas.
+
+    Superseded rows are kept, so history and ``as_of`` give the same before and after. The list of
+    folded deltas is committed first: a crash between the two leaves the older version valid.
+    """
     complete = tm_versions(spark, path)
-    if not newer or (complete and complete[-1] >= newer[-1]):
+    done = _folded(spark, path, complete[-1]) if complete else set()
+    names = [n for n in _committed(spark, path, DELTA) if n not in done]
+    if not names:
         return None
-    write_tm(read_tm(spark, path), path, newer[-1])
-    return newer[-1]
+    number = complete[-1] + 1 if complete else 0
+    listed = spark.createDataFrame([(n,) for n in sorted({*done, *names})], "name string")
+    listed.coalesce(1).write.mode("overwrite").json(f"{path}/{FOLDED}={number}")
+    write_tm(_history(spark, path)[0], path, number)
+    return number
 
 
 def write_state(candidates: DataFrame, path: str) -> None:
     """Hand-over between the two halves of a run, as JSON lines with a schema version."""
-    candidates.select(
-        F.lit(schemas.STATE_SCHEMA_VERSION).alias("schema_version"), *schemas.STATE_COLUMNS
-    ).write.mode("overwrite").json(path)
+    stamped = candidates.withColumn("schema_version", F.lit(schemas.STATE_SCHEMA_VERSION))
+    as_schema(stamped, schemas.STATE).write.mode("overwrite").json(path)
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:

@@ -12,8 +12,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions.keys import output_path
@@ -21,6 +20,7 @@ from parlance.functions.text import XML_NAME, comment_safe, xml_escape
 from parlance.operators.quality import filter_emittable
 from parlance.operators.skew import split_groups
 from parlance.schemas import DEFAULT_GAME_VERSION, TARGET_LANGUAGE
+from parlance.sources.workdir import new_dir
 
 # How the serialised files begin and are indented.
 DECLARATION = "<?xml version='1.0' encoding='utf-8'?>\n"
@@ -78,9 +78,10 @@ def _render_xml(
     headers = candidates.select(*group).distinct().select(
         *group, F.lit("").alias("key_path"), F.lit("").alias("entry"), F.lit(False).alias("_ok")
     )
+    # An exchange of its own on the part: otherwise a large mod's parts stay where the mod was dealt.
     parted = split_groups(accepted, group, ["key_path"], max_entries).unionByName(
         headers.withColumn("part", F.lit(0).cast("bigint"))
-    )
+    ).repartition(*group, "part")
     sorted_entries = F.array_sort(F.collect_list(F.when(ok, F.struct("key_path", "entry"))))
     return (
         parted.groupBy(*group, "part")
@@ -124,13 +125,16 @@ def definjected_pack(
 
 
 def strings_pack(
-    candidates: DataFrame, language: str = TARGET_LANGUAGE, max_entries: int = MAX_ENTRIES
+    candidates: DataFrame,
+    language: str = TARGET_LANGUAGE,
+    max_entries: int = MAX_ENTRIES,
+    require_review: bool = False,
 ) -> DataFrame:
     """(path, entries, text): pool lines in index order, newlines written as two characters.
 
     Large pools are cut into consecutive index ranges, so that order survives the split.
     """
-    pools = filter_emittable(candidates.filter("domain = 'Strings'"))
+    pools = filter_emittable(candidates.filter("domain = 'Strings'"), require_review)
     part = F.floor(F.col("idx") / max_entries)
     line = F.replace("translated_text", F.lit("\n"), F.lit("\\n"))
     files = (
@@ -151,13 +155,21 @@ def strings_pack(
     return files.select(path.alias("path"), "mod_id", "file", "part", "entries", "text")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme as Spark resolves it, so that files go where Spark reads them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return found.replace("file:/", "file:///", 1) if found.startswith("file:/") and "://" not in found else found
+
+
 def write_files(files: DataFrame, out: str) -> None:
     """Write (path, text) rows as files below ``out``; safe to repeat after a lost executor."""
+    place = qualified(files.sparkSession, out)
 
     def write(rows: Iterable) -> None:
         from pyarrow import fs
 
-        target, root = fs.FileSystem.from_uri(out if "://" in out else f"file://{out}")
+        target, root = fs.FileSystem.from_uri(place)
         for row in rows:
             final = posixpath.join(root, row["path"])
             target.create_dir(posixpath.dirname(final), recursive=True)
@@ -169,16 +181,26 @@ def write_files(files: DataFrame, out: str) -> None:
     files.select("path", "text").foreachPartition(write)
 
 
-def write_keyed_pack(candidates: DataFrame, out: str, **options) -> None:
-    write_files(keyed_pack(candidates, **options), out)
+def _write_pack(files: DataFrame, out: str) -> DataFrame:
+    """Render once into the shared folder, write from there; returns what was rendered."""
+    spark = files.sparkSession
+    rendered = new_dir(spark, "rendered-pack")
+    files.write.parquet(rendered)
+    write_files(spark.read.parquet(rendered), out)
+    return spark.read.parquet(rendered).select("path", "mod_id", "entries")
+
+
+def write_keyed_pack(candidates: DataFrame, out: str, **options) -> DataFrame:
+    """Write the pack; returns path, mod_id and entries of its files."""
+    return _write_pack(keyed_pack(candidates, **options), out)
 
 
-def write_definjected_pack(candidates: DataFrame, out: str, **options) -> None:
-    write_files(definjected_pack(candidates, **options), out)
+def write_definjected_pack(candidates: DataFrame, out: str, **options) -> DataFrame:
+    return _write_pack(definjected_pack(candidates, **options), out)
 
 
-def write_strings_pack(candidates: DataFrame, out: str, **options) -> None:
-    write_files(strings_pack(candidates, **options), out)
+def write_strings_pack(candidates: DataFrame, out: str, **options) -> DataFrame:
+    return _write_pack(strings_pack(candidates, **options), out)
 
 
 @dataclass(frozen=True)
@@ -274,37 +296,25 @@ def render_manifest(mods: DataFrame, options: ManifestOptions = ManifestOptions(
 
 
 def write_manifest(
-    mods: DataFrame,
-    out: str,
-    options: ManifestOptions = ManifestOptions(),
-    mods_per_piece: int = 100_000,
-) -> int:
-    """Write ``About/About.xml``; returns the number of files.
-
-    Up to ``mods_per_piece`` mods give one file. A longer list is range-sorted and written as
-    numbered pieces that are the file when read in name order.
+    mods: DataFrame, out: str, options: ManifestOptions = ManifestOptions()
+) -> None:
+    """Write ``About/About.xml``: one file, streamed in order by one task.
+
+    Its pieces are a few hundred bytes a mod; the sort spills, and no row holds more than one piece.
     """
-    pieces = render_manifest(mods, options)
-    count = mods.count()
-    parts = max(1, -(-count // mods_per_piece))
-    if parts == 1:
-        ordered = pieces.coalesce(1).sortWithinPartitions("section", "mod_id")
-    else:
-        ordered = pieces.repartitionByRange(parts, "section", "mod_id").sortWithinPartitions(
-            "section", "mod_id"
-        )
+    ordered = render_manifest(mods, options).coalesce(1).sortWithinPartitions("section", "mod_id")
+    place = qualified(mods.sparkSession, out)
 
     def write(rows: Iterable) -> None:
         from pyarrow import fs
 
-        target, root = fs.FileSystem.from_uri(out if "://" in out else f"file://{out}")
-        index = TaskContext.get().partitionId()
-        name = "About.xml" if parts == 1 else f"About.xml.{index:05d}"
+        target, root = fs.FileSystem.from_uri(place)
         folder = posixpath.join(root, "About")
         target.create_dir(folder, recursive=True)
-        with target.open_output_stream(posixpath.join(folder, name)) as stream:
+        draft = posixpath.join(folder, f"About.xml.{uuid.uuid4().hex}.tmp")
+        with target.open_output_stream(draft) as stream:
             for row in rows:
                 stream.write(row["text"].encode("utf-8"))
+        target.move(draft, posixpath.join(folder, "About.xml"))
 
     ordered.foreachPartition(write)
-    return parts

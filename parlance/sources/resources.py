@@ -182,8 +182,11 @@ def read_string_pools(
 ) -> DataFrame:
     """Pool lines addressed by (mod_dir, file, idx), idx counting from 0."""
     files = _files(spark, _pattern(base, language, version, "Strings/*.txt"), "txt")
-    lines = files.select("path", F.decode("content", "UTF-8").alias("text"))
-    return _with_place(number_pool_lines(lines, ["path"])).drop("def_type")
+    # A file that is not UTF-8 is set aside as one row with an error and no line.
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    error = F.when(text.isNull(), F.lit("not UTF-8"))
+    lines = files.select("path", text.alias("text"), error.alias("error"))
+    return _with_place(number_pool_lines(lines, ["path", "error"])).drop("def_type")
 
 
 def number_pool_lines(files: DataFrame, identity: list[str], text: str = "text") -> DataFrame:
@@ -192,17 +195,21 @@ def number_pool_lines(files: DataFrame, identity: list[str], text: str = "text")
     return files.select(*identity, F.posexplode_outer(F.split(body, r"\r?\n")).alias("idx", "line"))
 
 
-def merged_strings(spark: SparkSession, base: str, language: str = schemas.SOURCE_LANGUAGE, version: str = schemas.DEFAULT_GAME_VERSION) -> DataFrame:
-    """All Keyed strings of all mods after both merge rules, under the resolved content roots."""
-    mods = read_mods(spark, base).filter("error is null").select("mod_dir", "mod_id")
+def live_roots(spark: SparkSession, base: str, version: str) -> DataFrame:
+    """(mod_dir, content_root) of every mod that has one."""
     paths = list_resources(spark, base).withColumn(
         "mod_dir", parse_resource_path("path")["mod_dir"]
     )
-    roots = resolve_content_root(paths.filter("mod_dir is not null"), version).filter(
-        "error is null"
-    )
+    roots = resolve_content_root(paths.filter("mod_dir is not null"), version)
+    return roots.filter("error is null").drop("error")
+
+
+def merged_strings(spark: SparkSession, base: str, language: str = schemas.SOURCE_LANGUAGE, version: str = schemas.DEFAULT_GAME_VERSION) -> DataFrame:
+    """All Keyed strings of all mods after both merge rules, under the resolved content roots."""
+    mods = read_mods(spark, base).filter("error is null").select("mod_dir", "mod_id")
+    roots = live_roots(spark, base, version)
     entries = read_keyed(spark, base, language, version).filter("error is null")
-    live = entries.join(roots.drop("error"), ["mod_dir", "content_root"], "left_semi")
+    live = entries.join(roots, ["mod_dir", "content_root"], "left_semi")
     merged = merge_keyed_files(live.join(mods, "mod_dir"))
     return merged.select(
         "mod_id",
@@ -219,10 +226,20 @@ def read_existing_translations(
     language: str = schemas.TARGET_LANGUAGE,
     version: str = schemas.DEFAULT_GAME_VERSION,
 ) -> DataFrame:
-    """What the target language folders already hold, in one table keyed like strings."""
-    keyed = read_keyed(spark, base, language, version).filter("error is null")
-    defs = read_definjected(spark, base, language, version).filter("error is null")
-    pools = read_string_pools(spark, base, language, version)
+    """What the target language folders already hold, in one table keyed like strings.
+
+    Mod ids come from the manifests, and a mod's files from its resolved content root only.
+    """
+    mods = read_mods(spark, base).filter("error is null").select("mod_dir", "mod_id")
+    live = live_roots(spark, base, version).join(mods, "mod_dir")
+
+    def placed(entries: DataFrame) -> DataFrame:
+        found = entries.filter("error is null").join(live, ["mod_dir", "content_root"])
+        return found.drop("mod_dir").withColumnRenamed("mod_id", "mod_dir")
+
+    keyed = placed(read_keyed(spark, base, language, version))
+    defs = placed(read_definjected(spark, base, language, version))
+    pools = placed(read_string_pools(spark, base, language, version))
 
     def shaped(df: DataFrame, domain: str, def_type, key, value) -> DataFrame:
         return df.select(

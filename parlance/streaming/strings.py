@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,20 +32,22 @@ def stream_new_strings(
     return rows.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([event_id])
 
 
-def stream_tm_reuse(stream: DataFrame, tm: DataFrame) -> DataFrame:
+def stream_tm_reuse(stream: DataFrame, tm: DataFrame, **options) -> DataFrame:
     """Stream-static lookup: arriving strings that the memory can answer, and those it cannot."""
-    return tm_lookup(stream, tm)
+    return tm_lookup(stream, tm, **options)
 
 
 def stream_merge_tm(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Upsert every micro-batch into the memory at ``path``.
 
-    Batch n appends version n + 1, at the cost of its own rows. A repeated batch replaces its own
-    output, so nothing is merged twice; readers overlay what was appended.
+    A batch appends a delta named by the checkpoint and its number, at the cost of its own rows. A
+    repeated batch replaces its own output, so nothing is merged twice, and two streams or a new
+    checkpoint never meet; readers overlay what was appended.
     """
+    stream_id = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        append_tm(latest_tm(batch), path, batch_id + 1)
+        append_tm(latest_tm(batch), path, f"{stream_id}-{batch_id:012d}")
 
     query = (
         stream.writeStream.foreachBatch(merge)

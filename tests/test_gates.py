@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from parlance.functions import tokens
 from parlance.operators import gates
 
-# source, translation, number of placeholder failures
+TOKENS = ("{0}", "{1}", "{12}", "{QUEST_label}", "{quest_label}", "{MAP_size}")
+
+
+def generated_pairs(count: int, seed: int = 17) -> list[tuple[str, str, int]]:
+    """Texts from two token multisets; the failures to expect are the tokens whose counts differ."""
+    rng = random.Random(seed)
+    pairs = []
+    for _ in range(count):
+        ours = rng.choices(TOKENS, k=rng.randrange(5))
+        theirs = list(ours)
+        for _ in range(rng.randrange(3)):
+            theirs = theirs[1:] if theirs and rng.random() < 0.5 else [*theirs, rng.choice(TOKENS)]
+        rng.shuffle(theirs)
+        source, other = (" ".join(f"{w} {t}" for t in s) for w, s in (("word", ours), ("слово", theirs)))
+        a, b = Counter(ours), Counter(theirs)
+        pairs.append((source, other, sum(a[t] != b[t] for t in TOKENS)))
+    return pairs
+
+
 PLACEHOLDER_CASES = [
-    ("{0} joined {1}.", "{1} принял {0}.", 0),
-    ("Welcome {0}!", "Добро пожаловать!", 1),
-    ("Welcome!", "Добро пожаловать {0}!", 1),
-    ("{0} or {0}", "{0}", 1),
-    ("{PAWN_nameDef} left.", "{PAWN_nameDef} ушёл.", 0),
-    ("{PAWN_nameDef} left.", "Кто-то ушёл.", 1),
-    ("Left.", "{PAWN_nameDef} ушёл.", 1),
-    ("{PAWN_nameDef}", "{pawn_namedef}", 2),
-    ("{0} {PAWN_nameDef}", "{PAWN_nameDef} {0}", 0),
+    *generated_pairs(120),
     ("{0:F2} is no token", "none", 0),
     ("{٣} digits of any script", "none", 1),
 ]
@@ -33,6 +46,15 @@ def test_placeholder_cases(spark):
     assert by_function.count() == 0
 
 
+def test_rows_without_a_translation_fail(spark):
+    rows = [("plain", None, "OSError: down"), ("plain", None, None), ("plain", "", None), ("", "", None)]
+    df = spark.createDataFrame(rows, "source_text string, translated_text string, error string")
+    got = gates.require_filled(gates.validate(df)).collect()
+    assert [r["failures"] for r in got] == [["error OSError: down"], ["missing translation"], ["empty translation"], []]
+    assert [r["passed"] for r in got] == [False, False, False, True]
+    assert [r["validation_status"] for r in got] == ["failed", "failed", "failed", "passed"]
+
+
 def test_message_order_and_text(spark):
     df = spark.createDataFrame(
         [("{2} {10} {B} {A} {A}", "{10} {10} {C}")], "source_text string, translated_text string"

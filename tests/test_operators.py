@@ -86,7 +86,7 @@ def test_provider_batches_errors_and_contract(spark):
             raise RuntimeError("refused")
         return [t.upper() for t in texts]
 
-    p = providers.Provider("t", "local", "v1", max_batch_size=2, translate=translate)
+    p = providers.Provider("t", "local", "v1", max_batch_size=2, translate=translate, recoverable=(RuntimeError,))
     s = some_strings(spark)
     out = providers.translate_with(s, p)
     good, bad = quality.quarantine(out)

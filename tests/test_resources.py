@@ -141,11 +141,12 @@ def test_manifest(spark, tmp_path):
     ElementTree.indent(root, space="  ")
     again = ElementTree.tostring(root, encoding="utf-8", xml_declaration=True).decode() + "\n"
     assert text == again
-    assert packs.write_manifest(mods, str(tmp_path)) == 1
+    packs.write_manifest(mods, str(tmp_path))
     assert (tmp_path / "About/About.xml").read_text(encoding="utf-8") == text
-    assert packs.write_manifest(mods, str(tmp_path / "many"), mods_per_piece=1) >= 1
-    pieces = sorted((tmp_path / "many/About").iterdir())
-    assert "".join(p.read_text(encoding="utf-8") for p in pieces) == text
+    many = mods.repartition(3)
+    packs.write_manifest(many, str(tmp_path / "many"))
+    assert [p.name for p in (tmp_path / "many/About").iterdir() if p.suffix == ".xml"] == ["About.xml"]
+    assert (tmp_path / "many/About/About.xml").read_text(encoding="utf-8") == text
 
 
 def test_manifest_without_mods(spark):
@@ -221,3 +222,35 @@ def test_appended_memory_rows_are_overlaid_and_folded_in(spark, tmp_path):
     assert datasets.compact_tm(spark, path) is None
     assert state() == {("A", 1), ("B", 3), ("C", 4)}
     assert datasets.tm_versions(spark, path) == [0, 1]
+
+
+def test_deltas_below_a_base_and_two_languages_survive(spark, tmp_path):
+    from datetime import datetime
+
+    from parlance.schemas import MEMORY
+
+    path = str(tmp_path / "tm")
+
+    def rows(*items):
+        blank = {f.name: None for f in MEMORY} | {"mod_id": "m", "domain": "Keyed", "source_lang": "en"}
+        made = [
+            tuple((blank | {"id": i, "key_path": k, "target_lang": l, "updated_at": datetime(2024, 1, i)}).values())
+            for i, k, l in items
+        ]
+        return spark.createDataFrame(made, MEMORY)
+
+    def state(**options):
+        return {(r["key_path"], r["target_lang"], r["id"]) for r in datasets.read_tm(spark, path, **options).collect()}
+
+    datasets.write_tm(rows((1, "A", "ru"), (2, "A", "de")), path, 5)
+    datasets.append_tm(rows((3, "A", "ru")), path, "first-stream-0")
+    datasets.append_tm(rows((4, "B", "ru")), path, "second-stream-0")
+    now = {("A", "ru", 3), ("A", "de", 2), ("B", "ru", 4)}
+    early = {("A", "ru", 1), ("A", "de", 2)}
+    assert state() == now and state(as_of="2024-01-02 12:00:00") == early
+    assert datasets.compact_tm(spark, path) == 6
+    assert state() == now and state(as_of="2024-01-02 12:00:00") == early
+    assert state(target_lang="de") == {("A", "de", 2)}
+    assert datasets.read_tm_history(spark, path).count() == 4
+    datasets.append_tm(rows((5, "A", "de")), path, "third-stream-0")
+    assert state() == now - {("A", "de", 2)} | {("A", "de", 5)}
