@@ -84,10 +84,15 @@ class Model:
     settings: Settings
 
 
+def draw(s: Settings):
+    """The seeded order in which documents are taken for training."""
+    return F.xxhash64(F.lit(s.seed), F.col("doc_id").cast("string"))
+
+
 def train(labelled: DataFrame, s: Settings = Settings()) -> Model:
     """Learn from (doc_id, text, label); at most ``max_documents`` of them are used."""
     rows = labelled.where(F.col("label").isin(0, 1)).select(
-        F.xxhash64(F.lit(s.seed), F.col("doc_id").cast("string")).alias("draw"), text_or_empty().alias("text"), F.col("label").cast("int").alias("label")
+        draw(s).alias("draw"), text_or_empty().alias("text"), F.col("label").cast("int").alias("label")
     )
     chosen = rows.orderBy("draw", "text").limit(s.max_documents)
 

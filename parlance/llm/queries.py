@@ -40,9 +40,17 @@ def tokenizer_path(name: str) -> str:
 
 
 def training_labels(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
-    """Texts with their quality label, without the held-out third."""
-    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label")).where(~held_out())
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(labels, "doc_id")
+    """Texts with their quality label, without the held-out third.
+
+    Only those that training can take: the ids are drawn first, at most ``max_documents`` of them, so
+    that no other text leaves its scan.
+    """
+    settings = quality.Settings()
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label")).where(~held_out() & F.col("label").isin(0, 1))
+    held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    drawn = labels.join(held.select("doc_id"), "doc_id", "left_semi").distinct()
+    drawn = drawn.orderBy(quality.draw(settings), "doc_id", "label").limit(settings.max_documents)
+    return held.join(F.broadcast(drawn), "doc_id")
 
 
 def held_out(name: str = "doc_id"):
