@@ -14,11 +14,14 @@ by the hashed shingle, ties are told apart by the hash. Bands of equal samples m
 
 In a group all members are compared with its first one; linked documents become components. Groups
 that still hold several components are compared again with another leader, and what is left then is
-compared pair by pair, only between components. Before both, members that cannot have a link are set
-aside: with threshold t, two documents of weights v and w that share s at most need
-s >= t / (1 + t) * (v + w), and a document shares at most the weight of those shingles that occur in
-another open document too. So a large group of copies whose own edits keep them apart is never
-compared pair by pair. Every comparison is exact weighted Jaccard similarity over the whole texts.
+compared pair by pair, only between components. Before both, exact bounds leave out what cannot be a
+link: with threshold t, two documents of weights v and w that share s need s >= t / (1 + t) * (v + w).
+A document shares at most the weight of those shingles that occur in another open document too;
+members whose shared weight is too small for any other are set aside. That weight is kept in
+``SEGMENTS`` segments of the hash range, and two documents share at most the sum of the smaller one
+of each segment: copies with different edits lack weight in different segments, so pairs of them are
+told apart by a few numbers, and no text is moved for them. The pairs that are left are compared by
+exact weighted Jaccard similarity over the whole texts.
 Equal texts are one document here and never compared.
 
 Defined cases: null and empty texts, and texts without words, have no shingles: equal ones form one
@@ -44,6 +47,8 @@ BANDS, ROWS = 16, 4
 STEP = 32  # weights are multiples of this part
 LEAN = 1 / 8
 TOP = round(STEP * (1 + LEAN))
+SEGMENT_BITS = 4  # with more, the compiled join condition gets too long for the JVM to optimise
+SEGMENTS = 1 << SEGMENT_BITS
 MEMBERS = 2000  # members that one task compares with a copy of their leader
 
 _TABLE_BITS = 16
@@ -242,7 +247,7 @@ def linked(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Dat
 
 
 def shared_weights(texts: DataFrame, weights) -> DataFrame:
-    """(id, weight, shared): a document's weight, and the part of it that another of the texts holds."""
+    """(id, weight, shares): a document's weight, and by segment the part of it that another of the texts holds."""
 
     def spread(batches):
         for batch in batches:
@@ -254,8 +259,8 @@ def shared_weights(texts: DataFrame, weights) -> DataFrame:
             columns = [pa.array(h.view(np.int64)), pa.array(np.repeat(ids, sizes)), pa.array(w)]
             yield pa.RecordBatch.from_arrays(columns, ["hash", "id", "weight"])
 
-    def add(batches):
-        # Rows of one shingle stand together; whether a batch goes on with the last one is kept.
+    def mark(batches):
+        # Rows of one shingle stand together; the last row of a batch waits for the next batch.
         last, held = None, None
         for batch in batches:
             if not batch.num_rows:
@@ -264,24 +269,22 @@ def shared_weights(texts: DataFrame, weights) -> DataFrame:
             head = np.concatenate([[last is None or h[0] != last], h[1:] != h[:-1]])
             many = ~head
             many[:-1] |= ~head[1:]
-            many[-1] = False  # decided by the next batch
             if held is not None:
-                yield totals(*(np.array([x]) for x in held), np.array([held_many or not head[0]]))
-            held, held_many, last = (ids[-1], w[-1]), bool(~head[-1]), h[-1]
-            if len(h) > 1:
-                yield totals(ids[:-1], w[:-1], many[:-1])
+                yield marked(*held, held_many | ~head[:1])
+            held, held_many, last = (h[-1:], ids[-1:], w[-1:]), ~head[-1:], h[-1]
+            yield marked(h[:-1], ids[:-1], w[:-1], many[:-1])
         if held is not None:
-            yield totals(*(np.array([x]) for x in held), np.array([held_many]))
+            yield marked(*held, held_many)
 
-    def totals(ids, w, many):
-        distinct, at = np.unique(ids, return_inverse=True)
-        sums = [np.bincount(at, weights=x).astype(np.int64) for x in (w, w * many)]
-        return pa.RecordBatch.from_arrays([pa.array(distinct), *map(pa.array, sums)], ["id", "weight", "shared"])
+    def marked(h, ids, w, many):
+        segment = (h.view(np.uint64) >> np.uint64(64 - SEGMENT_BITS)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([*map(pa.array, (ids, segment, w, w * many))], ["id", "segment", "weight", "shared"])
 
     rows = texts.select("id", "text").mapInArrow(spread, "hash bigint, id bigint, weight bigint")
     rows = rows.repartition("hash").sortWithinPartitions("hash")
-    parts = rows.mapInArrow(add, "id bigint, weight bigint, shared bigint")
-    return parts.groupBy("id").agg(F.sum("weight").alias("weight"), F.sum("shared").alias("shared"))
+    parts = rows.mapInArrow(mark, "id bigint, segment int, weight bigint, shared bigint")
+    shares = [F.sum(F.when(F.col("segment") == k, F.col("shared")).otherwise(0)) for k in range(SEGMENTS)]
+    return parts.groupBy("id").agg(F.sum("weight").alias("weight"), F.array(*shares).alias("shares"))
 
 
 def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
@@ -318,14 +321,16 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         # Groups that still hold several components, and their members that can have a link.
         rows = _open(members, found).join(sizes, "id")
         least = rows.groupBy("key").agg(F.min("weight").alias("least"))
-        most = F.col("shared") * F.lit((1 + threshold) / threshold) - F.col("weight") + 1e-6
+        shared = sum((F.col("shares")[k] for k in range(1, SEGMENTS)), F.col("shares")[0])
+        most = shared * F.lit((1 + threshold) / threshold) - F.col("weight") + 1e-6
         rows = rows.join(least, "key").withColumn("most", most).where(F.col("most") >= F.col("least"))
-        rows = _several(Stored(rows.select("key", "id", "component", "weight", "most"), "minhash-open").df)
-        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{i}") for c in ("id", "component", "weight", "most")]) for i in "ab")
+        rows = _several(Stored(rows.select("key", "id", "component", "weight", "shares"), "minhash-open").df)
+        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{i}") for c in ("id", "component", "weight", "shares")]) for i in "ab")
         if not last:
             lead = rows.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("leader"))
             one = one.join(lead, "key").where("id_a = leader").drop("leader")
-        can = (F.col("weight_a") <= F.col("most_b")) & (F.col("weight_b") <= F.col("most_a"))
+        common = [F.least(F.col("shares_a")[k], F.col("shares_b")[k]) for k in range(SEGMENTS)]
+        can = sum(common[1:], common[0]) * F.lit((1 + threshold) / threshold) + 1e-6 >= F.col("weight_a") + F.col("weight_b")
         order = (F.col("id_a") < F.col("id_b")) if last else F.lit(True)
         pairs = one.join(two, "key").where((F.col("component_a") != F.col("component_b")) & can & order)
         pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
