@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import cap_filters, chat, graph, minhash, mixing, packing, private, quality, rans, sharding
+from parlance.llm import (
+    cap_filters,
+    chat,
+    cover_codes,
+    graph,
+    line_runs,
+    minhash,
+    mixing,
+    packing,
+    private,
+    quality,
+    rans,
+    resampling,
+    sharding,
+)
 from parlance.llm.common import table
 from parlance.sources.workdir import new_dir
 
@@ -127,3 +141,72 @@ def prefix_trees(spark: SparkSession, folder: str) -> DataFrame:
 def water_filling(spark: SparkSession, folder: str) -> DataFrame:
     planned = mixing.plan(table(spark, folder, "documents"), MIX_WEIGHTS, MIX_EPOCHS, SEED)
     return planned.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS, CODE_SCALE = 4, 256, 4, 1024
+
+
+def _codes_sql() -> str:
+    """The Lloyd rounds as a chain of tables, every part against every entry."""
+    steps = [
+        f"""v as (select vec_id, label, list_transform(embedding, lambda x: floor({CODE_SCALE} * x::double)::bigint) as v
+ from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"""p as (select vec_id, label, k as part, list_slice(v, k * (len(v) // {CODE_PARTS}) + 1, (k + 1) * (len(v) // {CODE_PARTS})) as x
+ from v, range({CODE_PARTS}) t(k))""",
+        f"""b0 as (select part, entry, x as c from (select part, x, row_number() over (partition by part order by vec_id) - 1 as entry
+ from p) where entry < {CODE_ENTRIES})""",
+    ]
+    near = """select p.vec_id, p.label, p.part, p.x, min(struct_pack(d := list_sum(list_transform(list_zip(p.x, b.c),
+ lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, entry := b.entry)) as best from p join b{k} b using (part)
+ group by p.vec_id, p.label, p.part, p.x"""
+    for k in range(CODE_ROUNDS):
+        steps.append(f"a{k} as materialized ({near.format(k=k)})")
+        steps.append(
+            f"""m{k} as (select part, entry, list((s - ((s % n) + n) % n) // n order by i) as c from (
+ select part, best.entry as entry, i, sum(x[i])::bigint as s, count(*) as n from a{k}, range(1, len(x) + 1) r(i) group by all)
+ group by part, entry)"""
+        )
+        steps.append(
+            f"""b{k + 1} as materialized (select b.part, b.entry, coalesce(m.c, b.c) as c from b{k} b left join m{k} m
+ on m.part = b.part and m.entry = b.entry)"""
+        )
+    steps.append(f"z as materialized ({near.format(k=CODE_ROUNDS)})")
+    return f"""with {', '.join(steps)},
+e as (select vec_id, label, string_agg(lower(printf('%02x', best.entry)), '' order by part) as code, sum(best.d)::bigint as error
+ from z group by vec_id, label)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+ (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) from b{CODE_ROUNDS}) as codebooks_sha256 from e"""
+
+
+@query("op11_cover_codes", _codes_sql())
+def cover_tree_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_codes.report(
+        table(spark, folder, "embeddings"), parts=CODE_PARTS, entries=CODE_ENTRIES, rounds=CODE_ROUNDS, scale=CODE_SCALE
+    )
+
+
+LINE_DOCUMENTS, LINE_CHARS = 10, 1
+
+_LINE_KEY = """translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+ 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+
+@query(
+    "op12_line_runs",
+    f"""with t as (select doc_id, row_number() over () as row, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+k as (select doc_id, row, lines, list_transform(lines, lambda l: {_LINE_KEY}) as keys from t),
+f as (select key from (select unnest(list_distinct(keys)) as key from k) where length(key) >= {LINE_CHARS}
+ group by key having count(*) >= {LINE_DOCUMENTS}),
+x as (select doc_id, row, unnest(lines) as line, unnest(keys) as key, generate_subscripts(keys, 1) as i from k),
+y as (select x.*, f.key is not null as gone from x left join f on f.key = x.key)
+select doc_id, count(*) as n_lines, count_if(gone)::bigint as n_dropped,
+ sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256 from y group by doc_id, row""",
+)
+def line_run_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_runs.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), LINE_DOCUMENTS, LINE_CHARS)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_head_tail_resampling")
+def head_tail_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
