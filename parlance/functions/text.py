@@ -92,29 +92,6 @@ def term_key(c: Column | str) -> Column:
     return F.array_join(terms(c), " ")
 
 
-def ngrams_upto(items: Column, longest: int) -> Column:
-    """All runs of 1..longest consecutive items, each joined by a space.
-
-    The items are bound once by a one-element transform: written into the inner lambdas they
-    would be computed again for every run.
-    """
-    return F.element_at(F.transform(F.array(items), lambda bound: _runs(bound, longest)), 1)
-
-
-def _runs(items: Column, longest: int) -> Column:
-    empty = F.array().cast("array<string>")
-    out = [items]
-    for n in range(2, longest + 1):
-        starts = F.sequence(F.lit(1), F.size(items) - (n - 1))
-        joined = F.transform(starts, _run_from(items, n))
-        out.append(F.when(F.size(items) >= n, joined).otherwise(empty))
-    return F.concat(*out)
-
-
-def _run_from(items: Column, n: int):
-    return lambda start: F.array_join(F.slice(items, start, F.lit(n)), " ")
-
-
 def each(items: Column) -> Column:
     """Explode for computed arrays.
 

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.functions.text import WORD, as_col, each, ngrams_upto, term_key, terms
+from parlance.functions.text import WORD, as_col, term_key, terms
 from parlance.functions.tokens import ANY_TOKEN
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
+from parlance.sources.workdir import stored
 
 
 @dataclass(frozen=True)
@@ -173,9 +174,56 @@ def glossary_template_match(
     return apply_layers(keyed.filter("term_key <> ''"), glossary, "term_key", layers, "inner")
 
 
-def longest_term(keys: DataFrame) -> int:
-    """Words of the longest of the terms in the first column; 1 without terms."""
-    return keys.agg(F.max(F.size(F.split(keys.columns[0], " ")))).first()[0] or 1
+# Share of the texts in which words are counted to choose anchors.
+COUNTED_SHARE = 1 / 16
+
+
+def find_terms(texts: DataFrame, wanted: DataFrame, identity: list[str], text: str) -> DataFrame:
+    """(identity, term_key, occurrences) of the terms that stand in the texts as word runs.
+
+    ``wanted`` holds term keys. Every term is filed under its anchor, the word of it that is rarest in
+    the texts, with the anchor's offset. (Words are counted in a share of the texts: another choice of
+    anchors changes the number of candidates, never what is found.) A text gives each of its words once, with its position; only
+    words that are anchors lead to candidates, and a candidate is checked against its text's words.
+    So the work is that of the words and candidates, whatever the length of the terms: no expression
+    and no row count depends on it. The anchors are joined by word, and the planner sends them to
+    every task if they are small enough; a word of every text is dealt over many tasks by the
+    runtime's splitting of skewed partitions. The checks go by text.
+    """
+    w = F.split("term_key", " ")
+    id_ = F.unhex(F.sha2("term_key", 256)).alias("_term")
+    keys = wanted.select("term_key").filter("term_key <> ''").distinct()
+    keys = stored(keys.select(id_, "term_key", F.size(w).alias("_n")), "terms")
+    single = keys.filter("_n = 1").select("_term", "_n", F.col("term_key").alias("_word"), F.lit(0).alias("_offset"))
+    parts = keys.filter("_n > 1").select("_term", "_n", F.posexplode(w).alias("_offset", "_word"))
+
+    # Outer explodes: a plain one would have the words found twice, once to filter on their number.
+    sampled = texts.select(text).sample(COUNTED_SHARE, seed=1)
+    words = sampled.select(F.explode_outer(terms(text)).alias("_word"))
+    seen = words.join(parts.select("_word").distinct(), "_word", "left_semi")
+    counts = seen.groupBy(F.col("_word").alias("_seen")).agg(F.count(F.lit(1)).alias("_many"))
+    rarity = F.struct(F.coalesce("_many", F.lit(0)), "_offset")
+    anchors = parts.join(counts, F.col("_word") == F.col("_seen"), "left").groupBy("_term", "_n").agg(
+        F.min_by(F.struct("_word", "_offset"), rarity).alias("_a")
+    )
+    anchors = stored(anchors.select("_term", "_n", "_a._word", "_a._offset").unionByName(single), "term-anchors")
+
+    runs = texts.select(*identity, F.posexplode_outer(terms(text)).alias("_pos", "_word"))
+    hits = runs.join(anchors, "_word").select(*identity, "_term", "_n", (F.col("_pos") - F.col("_offset")).alias("_start"))
+    hits = stored(hits.filter("_start >= 0"), "term-candidates")
+    sure = hits.filter("_n = 1").groupBy(*identity, "_term").agg(F.count(F.lit(1)).alias("occurrences"))
+    unsure = hits.filter("_n > 1").groupBy(*identity).agg(
+        F.collect_set(F.struct("_term", "_n", "_start")).alias("_hits")
+    )
+    stands = lambda h: F.unhex(
+        F.sha2(F.array_join(F.slice("_words", h["_start"] + 1, h["_n"]), " "), 256)
+    ) == h["_term"]
+    given = texts.select(*identity, F.col(text).alias("_text"))
+    checked = key_join(given, unsure, identity, "inner").select(*identity, "_hits", terms("_text").alias("_words"))
+    checked = checked.select(*identity, F.explode_outer(F.filter("_hits", stands)).alias("_h")).filter("_h is not null")
+    checked = checked.select(*identity, "_h._term").groupBy(*identity, "_term").agg(F.count(F.lit(1)).alias("occurrences"))
+    found = sure.unionByName(checked).join(keys.select("_term", "term_key"), "_term")
+    return found.select(*identity, "term_key", "occurrences")
 
 
 def glossary_terms_in_text(
@@ -185,32 +233,9 @@ def glossary_terms_in_text(
     text: str = "source_text",
     layers=LAYERS,
 ) -> DataFrame:
-    """Terms inside texts, by equality on word runs; the longest term bounds the run length.
-
-    Word runs that are no term at all are dropped by a semi-join right after the explode, before
-    anything is counted or exchanged by string.
-    """
-    wanted = glossary.select(term_key("term").alias("term_key")).distinct()
-    grams = strings.select(
-        *identity, each(ngrams_upto(terms(text), longest_term(wanted))).alias("term_key")
-    )
-    counted = (
-        salted_semi_join(grams, wanted, "term_key")
-        .groupBy(*identity, "term_key")
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-    )
-    return apply_layers(counted, glossary, "term_key", layers, "inner")
-
-
-def salted_semi_join(runs: DataFrame, wanted: DataFrame, key: str, salts: int = 32) -> DataFrame:
-    """Rows of ``runs`` whose key is wanted; each wanted key has one copy for each salt.
-
-    A frequent word's rows meet the terms in ``salts`` tasks, where the terms are too many to be
-    sent to every task.
-    """
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("_salt")
-    copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return runs.select("*", salt).join(copies, [key, "_salt"], "left_semi").drop("_salt")
+    """Terms inside texts by layered precedence, with how often they occur (``find_terms``)."""
+    wanted = glossary.select(term_key("term").alias("term_key"))
+    return apply_layers(find_terms(strings, wanted, identity, text), glossary, "term_key", layers, "inner")
 
 
 def forbidden_term_violations(
@@ -221,21 +246,13 @@ def forbidden_term_violations(
 ) -> DataFrame:
     """Terms of the source whose translation uses a forbidden variant as a word run.
 
-    Only matched terms and variants meet, by equality; no text is exchanged.
+    Only found terms and found variants meet, by equality; no text is exchanged for that.
     """
     hits = glossary_terms_in_text(candidates, glossary, identity, layers=layers)
     variants = hits.select(
         *identity, "term_key", "glossary_layer", F.explode("forbidden").alias("variant")
-    ).withColumn("variant_key", term_key("variant"))
-    wanted = (
-        glossary.select(F.explode("forbidden").alias("v"))
-        .select(term_key("v").alias("variant_key"))
-        .distinct()
-    )
-    longest = longest_term(wanted)
-    runs = candidates.select(
-        *identity, each(F.array_distinct(ngrams_upto(terms("translated_text"), longest))).alias("variant_key")
-    )
-    used = salted_semi_join(runs, wanted, "variant_key").distinct()
-    keys = [*identity, "variant_key"]
-    return key_join(variants, used, keys, "left_semi").drop("variant_key")
+    ).withColumn("_variant", term_key("variant"))
+    wanted = glossary.select(F.explode("forbidden").alias("v")).select(term_key("v").alias("term_key"))
+    used = find_terms(candidates, wanted, identity, "translated_text")
+    used = used.select(*identity, F.col("term_key").alias("_variant"))
+    return key_join(variants, used, [*identity, "_variant"], "left_semi").drop("_variant")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parlance.functions import text
 from parlance.operators import gates, memory, merging, providers, routing, rules
 from parlance.plans import flows
 from parlance.plans import oracle_views as o
@@ -329,6 +330,23 @@ def _(spark, folder):
     ).select("doc_id", "term_key", "occurrences", "preferred", "glossary_layer")
 
 
+_LONG = "(select doc_id, {} as w from v_t)".format(o.term_list("source_text"))
+
+
+@query(
+    "find_terms",
+    f"""select doc_id, md5(term_key) as term, len(list_filter(range(1, len(w) - n + 2),
+ lambda i: array_to_string(w[i:i + n - 1], ' ') = term_key))::bigint as occurrences
+from {_LONG} t join (select distinct term_key, len(string_split(term_key, ' ')) as n from v_gl where term_key <> '') g
+ on contains(' ' || array_to_string(w, ' ') || ' ', ' ' || term_key || ' ')""",
+)
+def _(spark, folder):
+    """Terms of one word to thousands of words, as earlier texts are, inside all texts."""
+    wanted = v.glossary_from_memory(spark, folder).select(text.term_key("term").alias("term_key"))
+    found = rules.find_terms(v.typed_strings(spark, folder), wanted, ["doc_id"], "source_text")
+    return found.select("doc_id", F.md5("term_key").alias("term"), "occurrences")
+
+
 @query(
     "forbidden_term_violations",
     f"""select h.doc_id, h.term_key, h.glossary_layer, h.variant from (
@@ -395,7 +413,7 @@ def _(spark, folder):
 def _capital_e(texts, semantic_type, hint, glossary):
     """A stand-in translator: capital E, failing on a batch of quests."""
     if semantic_type == "quest_text":
-        raise RuntimeError("quest texts are refused")
+        raise ValueError("quest texts are refused")
     return [f"<{semantic_type}> {t.replace('e', 'E')}" for t in texts]
 
 
@@ -403,7 +421,7 @@ def _capital_e(texts, semantic_type, hint, glossary):
     "translate_with",
     """select doc_id, case when semantic_type is distinct from 'quest_text' then
  md5('<' || coalesce(semantic_type, 'None') || '> ' || replace(source_text, 'e', 'E')) end as translated,
- case when semantic_type is not distinct from 'quest_text' then 'RuntimeError: quest texts are refused' end as error,
+ case when semantic_type is not distinct from 'quest_text' then 'ValueError: quest texts are refused' end as error,
  'test:capital-e' as provider_id from v_t""",
 )
 def _(spark, folder):

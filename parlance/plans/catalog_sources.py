@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parlance import schemas
 from parlance.functions.text import xml_escape
 from parlance.operators import gates
 from parlance.plans import oracle_views as o
@@ -396,7 +397,7 @@ def _(spark, folder):
 
 @query(
     "write_state",
-    """select 1 as schema_version, mod_id, domain, key_path, def_type, semantic_type, md5(source_text) as source,
+    f"""select {schemas.STATE_SCHEMA_VERSION} as schema_version, mod_id, domain, key_path, def_type, semantic_type, md5(source_text) as source,
  md5(translated_text) as translated, provider_id, validation_status, 'unreviewed' as review_status from v_v""",
 )
 def _(spark, folder):

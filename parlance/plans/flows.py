@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.functions.text import value_hash
 from parlance.operators.gates import ALL_GATES, require_filled, validate
 from parlance.operators.memory import SHARED, fan_out_translations, unique_sources
 from parlance.operators.providers import PASSTHROUGH, Provider, translate_with
@@ -22,14 +23,7 @@ from parlance.sources.packs import (
     write_manifest,
     write_strings_pack,
 )
-from parlance.sources.workdir import new_dir
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows from a fresh table in the shared folder: what made them runs once."""
-    path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from parlance.sources.workdir import stored
 
 
 def translate_unique(
@@ -90,14 +84,15 @@ def translate_flow(
     rows = stored(key_join(strings, routed, KEY, "inner"), "routed")
     asked = rows.filter(F.col("tier").isin("local", "remote"))
     shared = ("tier", "context_hint") if "context_hint" in rows.columns else ("tier",)
-    unique = stored(unique_sources(asked, shared), "unique-texts")
+    named = unique_sources(asked, shared).withColumn("text_id", value_hash("source_text"))
+    unique = stored(named, "unique-texts")
     found = glossary_terms_in_text(
-        unique.withColumn("mod_id", F.lit(None).cast("string")), glossary, ["source_text", "semantic_type", "mod_id"]
+        unique.withColumn("mod_id", F.lit(None).cast("string")), glossary, ["text_id", "semantic_type", "mod_id"]
     )
-    rules = found.groupBy("source_text", "semantic_type").agg(
+    rules = found.groupBy("text_id", "semantic_type").agg(
         F.map_from_entries(F.collect_set(F.struct("term_key", "preferred"))).alias("glossary_rules")
     )
-    unique = stored(key_join(unique, rules, ("source_text", "semantic_type"), "left"), "unique-texts")
+    unique = stored(key_join(unique, rules, ("text_id", "semantic_type"), "left").drop("text_id"), "unique-texts")
     results = stored(translate_unique(unique, policy, local, remote, gates), "results")
     reuse = F.col("tier").isin("tm", "glossary")
     everything = fan_out_translations(rows, results, shared).withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -25,3 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path for one run; nothing is overwritten or shared between runs."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a fresh table in the shared folder: what made them runs once.
+
+    The planner knows a stored table's size, so it can tell whether to send it to every task.
+    """
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from parlance.operators.providers import Provider
+from parlance.operators.providers import Provider, translate_with
 from parlance.operators.routing import RouterPolicy
 from parlance.plans import flows
 from parlance.schemas import GLOSSARY, MEMORY
@@ -53,10 +55,61 @@ def test_failed_items_stay_failed_and_calls_are_not_repeated(spark, tmp_path):
     assert sorted(calls["remote"]) == sorted(f"text number {i}|{rule}" for i in (1, 3))
 
 
-def test_terms_are_as_long_as_the_glossary_has_them(spark):
-    from parlance.operators.rules import glossary_terms_in_text
+def find(spark, texts, terms):
+    from parlance.operators.rules import find_terms
 
-    glossary = spark.createDataFrame([("global", None, "text number", "x", []), ("global", None, "one two three four", "y", [])], GLOSSARY)
-    rows = strings(spark).limit(1).withColumn("source_text", F.lit("zero one two three four"))
-    found = glossary_terms_in_text(rows, glossary, ["mod_id", "semantic_type", "key_path"]).collect()
-    assert [(r["term_key"], r["occurrences"]) for r in found] == [("one two three four", 1)]
+    rows = spark.createDataFrame(texts, "id int, source_text string").repartition(3)
+    wanted = spark.createDataFrame([(t,) for t in terms], "term_key string")
+    found = find_terms(rows, wanted, ["id"], "source_text")
+    return sorted(((r["id"] if r["id"] is not None else -1, r["term_key"], r["occurrences"]) for r in found.collect())), found
+
+
+def occurrences(texts, terms):
+    out = {}
+    for i, text in texts:
+        words = re.findall(r"\w+", (text or "").lower())
+        for term in set(terms) - {""}:
+            t = term.split(" ")
+            n = sum(words[k : k + len(t)] == t for k in range(len(words) - len(t) + 1))
+            key = (-1 if i is None else i, term)
+            out[key] = out.get(key, 0) + n
+    return sorted((*k, n) for k, n in out.items() if n)
+
+
+def test_terms_of_one_word_to_thousands_of_words(spark):
+    long = [f"w{k % 900}" for k in range(3000)]
+    texts = [
+        (1, "start " + " ".join(long) + " and " + " ".join(long)),
+        (2, " ".join(long[1:])),
+        (3, "the the the, the cat; THE cat"),
+        (3, "the cat again"),  # a second text under one identity
+        (4, "the the cat"),
+        (4, "the the cat"),  # a repeated row
+        (5, None),
+        (6, ""),
+        (None, "cat of the"),
+    ]
+    terms = [" ".join(long), "the", "the the", "the cat", "cat", "w899 w0", "absent", "the absent", "", "of the", "the cat the"]
+    found, frame = find(spark, texts, terms)
+    assert found == occurrences(texts, terms)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 40_000  # no expression grows with the longest term
+
+
+def test_no_terms_and_no_texts(spark):
+    assert find(spark, [(1, "a b")], [])[0] == []
+    assert find(spark, [], ["a", "a b"])[0] == []
+
+
+def test_only_recoverable_errors_become_rows(spark):
+    from pyspark.errors import PythonException
+
+    def broken(texts, *_):
+        raise RuntimeError("a mistake in the code")
+
+    rows = strings(spark)
+    provider_ = Provider(id="x", kind="local", prompt_version="1", translate=broken)
+    with pytest.raises(PythonException):
+        translate_with(rows, provider_).collect()
+    allowed = Provider(id="x", kind="local", prompt_version="1", translate=broken, recoverable=(RuntimeError,))
+    assert {r["error"] for r in translate_with(rows, allowed).collect()} == {"RuntimeError: a mistake in the code"}
