@@ -242,6 +242,25 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes | No
     return (x.as_py() for x in batch.column(column).cast(pa.binary()))
 
 
+def most_frequent(counted: DataFrame, limit: int) -> list:
+    """Rows with the greatest ``n``, at most ``limit``, most frequent first.
+
+    A histogram of sixteenths of powers of two tells from which count on they fit the limit, so that
+    neither the driver nor one task gets a share of every partition.
+    """
+    kept = Stored(counted, "counts")
+    step = F.floor(16 * F.log2(F.col("n").cast("double")))
+    many, cut = 0, None
+    for level, rows in sorted(kept.df.groupBy(step).count().collect(), reverse=True):
+        many += rows
+        if many > limit:
+            break
+        cut = level
+    found = kept.df.where(step >= cut).collect() if cut is not None else []
+    kept.drop()
+    return sorted(found, key=lambda r: (-r.n, r[0]))
+
+
 def head_words(texts: DataFrame, limit: int) -> list[bytes]:
     """The most frequent words of all texts, counted by slices before anything is exchanged."""
 
@@ -252,7 +271,7 @@ def head_words(texts: DataFrame, limit: int) -> list[bytes]:
                 yield pa.RecordBatch.from_arrays([words.distinct, pa.array(counts)], ["word", "n"])
 
     counted = texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counted.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    return [bytes(r.word) for r in most_frequent(counted.where("n > 1"), limit)]
 
 
 def head_pairs(texts: DataFrame, words: list[bytes], limit: int) -> list[tuple[int, int]]:
@@ -270,7 +289,7 @@ def head_pairs(texts: DataFrame, words: list[bytes], limit: int) -> list[tuple[i
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["pair", "n"])
 
     counted = texts.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    return [divmod(r.pair, many) for r in counted.orderBy(F.desc("n"), "pair").limit(limit).collect()]
+    return [divmod(r.pair, many) for r in most_frequent(counted.where("n > 1"), limit)]
 
 
 def vocabulary(texts: DataFrame, settings: Settings = Settings()) -> Head:
