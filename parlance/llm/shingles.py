@@ -8,26 +8,17 @@ from __future__ import annotations
 
 import numpy as np
 
-from parlance.llm.tokens import _Hash
+from parlance.llm.tokens import SliceHash, mixed
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-BLOCK_BYTES = 2_000_000
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values: every input bit reaches every output bit."""
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+BLOCK_BYTES = 400_000
 
 
 class Shingler:
     def __init__(self, words: int = 5):
         self.words = words
-        self.hash = _Hash(0x9E3779B97F4A7C15)
+        self.hash = SliceHash(0x9E3779B97F4A7C15)
 
     def hashes(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text the hashes of its shingles in order, repeats included."""
@@ -46,7 +37,7 @@ class Shingler:
         space = _SPACE[data]
         begins = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
         ends = np.flatnonzero(space & np.concatenate([[False], ~space[:-1]]))
-        word = mixed(self.hash.slices(data, begins, ends))
+        word = self.hash.slices(data, begins, ends)
         edges = np.cumsum([len(t) + 1 for t in texts])
         last = np.searchsorted(begins, edges)  # words before the end of each text
         first = np.concatenate([[0], last[:-1]])

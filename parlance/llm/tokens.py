@@ -8,14 +8,15 @@ ways against the library's own encoding of the whole texts.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CACHE_PIECES = 3_000_000  # kept by one worker, about 50 bytes each; a full cache is emptied
-BLOCK_CHARS = 1_000_000  # texts are treated in blocks of this size, longer ones are cut between words
+CACHE_PIECES = 500_000  # kept by one worker, about 50 bytes each; a full cache is emptied
+BLOCK_CHARS = 400_000  # texts are treated in blocks of this size, longer ones are cut between words
 
 # Beyond these characters, letter and digit classes of the two languages need not agree.
 _unusual = re.compile("[^\n\x20-\x7e¡-©«-±´¶-¸»¿-ÿ]")
@@ -39,25 +40,46 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.full(count, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values: every input bit reaches every output bit."""
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
 
 
-class _Hash:
-    """A polynomial hash of many slices of one byte array at once, modulo 2**64."""
+LONG_SLICE = 512
 
-    def __init__(self, base: int):
-        self.base, self.inverse, self.size = base, pow(base, -1, 1 << 64), 0
+
+class SliceHash:
+    """A 64-bit hash of many slices of one byte array at once, eight bytes of each at a time.
+
+    Every eight bytes are mixed with what came before, so no algebra of the bytes makes slices
+    collide, as it does for polynomials modulo 2**64. Long slices take a cryptographic hash.
+    """
+
+    def __init__(self, seed: int):
+        self.seed = np.uint64(seed)
 
     def slices(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if self.size < len(data) + 1:
-            self.size = len(data) + 1
-            self.up, self.down = _powers(self.base, self.size), _powers(self.inverse, self.size)
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
-        return (sums[ends] - sums[begins]) * self.down[begins]
+        padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+        lanes = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        left = ends - begins
+        out = mixed(left.astype(np.uint64) + self.seed)
+        rows, at = np.flatnonzero((left > 0) & (left <= LONG_SLICE)), begins.copy()
+        while len(rows):
+            size = np.minimum(left[rows], 8).astype(np.uint64)
+            lane = lanes[at[rows]] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - size * np.uint64(8)))
+            out[rows] = mixed(out[rows] * np.uint64(0x9E3779B97F4A7C15) + lane)
+            at[rows] += 8
+            left[rows] -= 8
+            rows = rows[left[rows] > 0]
+        for k in np.flatnonzero(ends - begins > LONG_SLICE):
+            key = int(self.seed).to_bytes(8, "little")
+            digest = hashlib.blake2b(data[begins[k] : ends[k]].tobytes(), digest_size=8, key=key).digest()
+            out[k] = np.uint64(int.from_bytes(digest, "little"))
+        return out
 
 
 class PieceTokenizer:
@@ -71,7 +93,7 @@ class PieceTokenizer:
         self.library.encode_special_tokens = True  # such strings in a text are ordinary text
         self.spaces = spaces
         self.letters = _byte_letters()
-        self.first, self.second = _Hash(0x9E3779B97F4A7C15), _Hash(0xD1B54A32D192ED03)
+        self.first, self.second = SliceHash(0x9E3779B97F4A7C15), SliceHash(0xD1B54A32D192ED03)
         self._reset()
 
     def _reset(self) -> None:
