@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,5 +61,17 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def text_slices(column: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of consecutive rows with about ``limit`` bytes of text or fewer, or one long text."""
+    begin, size = 0, 0
+    for row, length in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
+        if row > begin and size + length > limit:
+            yield begin, column.slice(begin, row - begin).to_pylist()
+            begin, size = row, 0
+        size += length
+    if len(column) > begin:
+        yield begin, column.slice(begin).to_pylist()
+
+
 def binary_column(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tobytes() for p in parts], pa.binary())

@@ -25,7 +25,8 @@ exact weighted Jaccard similarity over the whole texts.
 Equal texts are one document here and never compared.
 
 Defined cases: null and empty texts, and texts without words, have no shingles: equal ones form one
-class; a null doc_id is named by a hash of its text; repeated rows share a class, and one row of a
+class; a null doc_id is named by a hash of its text; different texts under one doc_id are
+different documents; repeated rows share a class, and one row of a
 class is kept; very long texts are handled whole; an empty table gives no rows; other columns are
 kept by ``deduplicate`` and otherwise ignored.
 """
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Stored, text_or_empty
+from parlance.llm.common import Stored, text_or_empty, text_slices
 from parlance.llm.components import components
 from parlance.llm.shingles import Shingler, mixed
 
@@ -65,8 +66,9 @@ def counters(texts: DataFrame) -> DataFrame:
     def count(batches):
         total = np.zeros(COUNTERS, dtype=np.uint32)
         for batch in batches:
-            for h in _shingler().hashes(batch.column(0).to_pylist()):
-                np.add.at(total, np.unique(h) >> np.uint64(44), np.uint32(1))
+            for _, some in text_slices(batch.column(0)):
+                for h in _shingler().hashes(some):
+                    np.add.at(total, np.unique(h) >> np.uint64(44), np.uint32(1))
         parts = total.reshape(-1, CHUNK)
         used = np.flatnonzero(parts.any(axis=1))
         blobs = [parts[k].tobytes() for k in used]
@@ -130,9 +132,11 @@ def inverse_frequencies(docs: DataFrame) -> Weights:
 
     def candidates(batches):
         for batch in batches:
-            own = [np.unique(h) for h in _shingler().hashes(batch.column(0).to_pylist())]
-            h = np.concatenate(own) if own else np.zeros(0, np.uint64)
-            h, n = np.unique(h[shared.value[h >> np.uint64(44)]], return_counts=True)
+            own = [np.zeros(0, np.uint64)]
+            for _, some in text_slices(batch.column(0)):
+                for h in map(np.unique, _shingler().hashes(some)):
+                    own.append(h[shared.value[h >> np.uint64(44)]])
+            h, n = np.unique(np.concatenate(own), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["hash", "n"])
 
     found = texts.mapInArrow(candidates, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("df")).where(F.col("df") >= floor).toPandas()
@@ -191,12 +195,11 @@ def signatures(docs: DataFrame, weights) -> DataFrame:
     """doc_id, content (a hash of the text) and bands (null for texts without words)."""
 
     def run(batches):
-        sampler = _shared.setdefault("sampler", Sampler())
+        sampler = Sampler()
         for batch in batches:
             bands: list[bytes | None] = []
-            texts = batch.column(2).to_pylist()
-            for begin in range(0, len(texts), 500):
-                made = [weights.value.document(h) for h in _shingler().hashes(texts[begin : begin + 500])]
+            for _, some in text_slices(batch.column(2)):
+                made = [weights.value.document(h) for h in _shingler().hashes(some)]
                 full = [k for k, d in enumerate(made) if len(d[0])]
                 part: list = [None] * len(made)
                 if full:
@@ -232,9 +235,8 @@ def linked(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Dat
         for batch in batches:
             a, b, turn = (batch.column(k).to_pylist() for k in range(3))
             found = []
-            texts = batch.column(3).to_pylist()
-            for begin in range(0, len(texts), 500):
-                for k, h in enumerate(_shingler().hashes(texts[begin : begin + 500]), begin):
+            for begin, some in text_slices(batch.column(3)):
+                for k, h in enumerate(_shingler().hashes(some), begin):
                     doc = weights.value.document(h)
                     if turn[k] == 0:
                         leader, own = a[k], doc
@@ -251,13 +253,13 @@ def shared_weights(texts: DataFrame, weights) -> DataFrame:
 
     def spread(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            made = [weights.value.document(h) for h in _shingler().hashes(texts)]
-            sizes = [len(m[0]) for m in made]
-            h = np.concatenate([m[0] for m in made]) if made else np.zeros(0, np.uint64)
-            w = np.concatenate([m[1] for m in made]) if made else np.zeros(0, np.int64)
-            columns = [pa.array(h.view(np.int64)), pa.array(np.repeat(ids, sizes)), pa.array(w)]
-            yield pa.RecordBatch.from_arrays(columns, ["hash", "id", "weight"])
+            ids = batch.column(0).to_numpy()
+            for begin, some in text_slices(batch.column(1)):
+                made = [weights.value.document(h) for h in _shingler().hashes(some)]
+                h, w = (np.concatenate([m[k] for m in made]) for k in (0, 1))
+                own = np.repeat(ids[begin : begin + len(made)], [len(m[0]) for m in made])
+                columns = [pa.array(h.view(np.int64)), pa.array(own), pa.array(w)]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "id", "weight"])
 
     def mark(batches):
         # Rows of one shingle stand together; the last row of a batch waits for the next batch.
@@ -294,22 +296,22 @@ def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.nda
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, content, class_id (smallest doc_id of the class) and repeats for each distinct row."""
+    """doc_id, content, class_id (smallest doc_id of the class), repeats and whether it stands for its class,
+    for each distinct row."""
     spark = docs.sparkSession
     weights = spark.sparkContext.broadcast(inverse_frequencies(docs))
     signed = Stored(signatures(docs, weights), "minhash-signatures").df
     unique = signed.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))
-    name = F.coalesce("doc_id", F.xxhash64("content"))
-    unique = Stored(unique.select("content", name.alias("id"), "bands"), "minhash-texts").df
+    # A node is a text, numbered here, since several texts can have one doc_id.
+    name = F.coalesce("doc_id", F.xxhash64("content")).alias("name")
+    unique = Stored(unique.select("content", name, F.monotonically_increasing_id().alias("id"), "bands"), "minhash-texts").df
 
     members = unique.select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("key"))
     leaders = members.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = Stored(members.join(leaders, "key"), "minhash-groups").df
 
     involved = members.select("id").distinct().join(unique.select("id", "content"), "id")
-    named = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("own"))
-    held = docs.select("doc_id", content().alias("own"), text_or_empty().alias("text")).select(named.alias("id"), "own", "text")
-    texts = held.join(involved, "id").where("own = content").select("id", "text")
+    texts = docs.select(content().alias("content"), text_or_empty().alias("text")).join(involved, "content").select("id", "text")
     texts = Stored(texts.dropDuplicates(["id"]), "minhash-candidates", "zstd").df
 
     pairs = members.where("leader <> id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -336,9 +338,17 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
         links = links.unionByName(Stored(linked(pairs, texts, weights, threshold), "minhash-links").df)
         found = Stored(components(links), "minhash-components").df
-    named = unique.select("content", "id").join(found, "id", "left").select("content", F.coalesce("component", "id").alias("class_id"))
+    placed = unique.select("content", "id", "name").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    leads = Stored(placed.groupBy("component").agg(F.min(F.struct("name", "content")).alias("lead")), "minhash-classes").df
+    # Where several classes begin with one doc_id, the first of them has its name.
+    first = leads.groupBy("lead.name").agg(F.min("lead.content").alias("first"))
+    own_name = F.when(F.col("lead.content") == F.col("first"), F.col("name")).otherwise(-F.abs(F.xxhash64("lead.content") % (1 << 62)))
+    named = leads.withColumn("name", F.col("lead.name")).join(first, "name").select("component", "lead", own_name.alias("class_id"))
+    named = placed.select("content", "name", "component").join(named, "component")
+    named = named.select("content", "name", "class_id", (F.col("lead.content") == F.col("content")).alias("leads"))
     rows = signed.groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("repeats"))
-    return rows.join(named, "content")
+    kept = F.col("leads") & (F.coalesce("doc_id", F.xxhash64("content")) == F.col("name"))
+    return rows.join(named, "content").select("doc_id", "content", "class_id", "repeats", kept.alias("first"))
 
 
 def _several(rows: DataFrame) -> DataFrame:
@@ -356,14 +366,13 @@ def _open(members: DataFrame, found: DataFrame) -> DataFrame:
 def duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id, class_id and kept for each row."""
     found = classes(docs, threshold).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
-    first = F.coalesce("doc_id", F.xxhash64("content")) == F.col("class_id")
-    return found.select("doc_id", "class_id", (first & (F.col("copy") == 1)).alias("kept"))
+    return found.select("doc_id", "class_id", (F.col("first") & (F.col("copy") == 1)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents with one row of every class left; all columns are kept."""
     found = classes(docs, threshold)
-    kept = found.where(F.coalesce("doc_id", F.xxhash64("content")) == F.col("class_id"))
+    kept = found.where("first")
     kept = Stored(kept.select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("repeats").alias("_repeats")), "minhash-kept").df
     # The document travels as one value, so that no column of its own can clash with these.
     held = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), content().alias("own"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))

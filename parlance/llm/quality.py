@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from parlance.llm.common import text_or_empty
 
-WORDS_CACHED = 500_000
+WORDS_CACHED = 150_000
 
 
 @dataclass(frozen=True)

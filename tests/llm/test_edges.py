@@ -14,6 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from parlance.llm import cap_filters, chat, graph, minhash, mixing, packing, private, quality, rans, sharding
+from parlance.llm.shingles import Shingler
 from parlance.llm.tokens import PieceTokenizer
 from parlance.sources.workdir import new_dir
 
@@ -243,6 +244,34 @@ def test_near_duplicates(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == got.kept.sum() == got.class_id.nunique()
 
 
+def test_texts_under_one_doc_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = spark.createDataFrame([(1, a), (1, b), (2, c), (3, b + " more"), (1, a)], "doc_id bigint, text string")
+    got = minhash.duplicates(rows).collect()
+    classes = Counter(r.class_id for r in got)
+    assert sorted(classes.values()) == [1, 2, 2] and sum(r.kept for r in got) == 3
+    assert {r.class_id for r in got if r.doc_id == 3} < {r.class_id for r in got if r.doc_id == 1}
+    assert sorted(r.text for r in minhash.deduplicate(rows).collect()) == [a, b, c]
+
+
+def thue_morse(bits):
+    word = "a"
+    for _ in range(bits):
+        word += word.translate({ord("a"): "b", ord("b"): "a"})
+    return word
+
+
+def test_words_that_collide_under_any_polynomial_are_told_apart():
+    one = thue_morse(11)
+    two = one.translate({ord("a"): "b", ord("b"): "a"})
+    texts = [one + " x", two + " x", one[:400] + " x", two[:400] + " x"]
+    for path, spaces in ((WORDS, False), (BYTES, True)):
+        for text, ids in zip(texts, PieceTokenizer(path, spaces).encode(texts), strict=True):
+            assert ids.tolist() == library_ids(path, text, 0)[:-1].tolist()
+    hashed = [h.tolist() for h in Shingler().hashes(texts)]
+    assert len({tuple(h) for h in hashed}) == 4
+
+
 def test_near_duplicate_classes_against_brute_force(spark):
     rng = np.random.default_rng(5)
     texts = []
