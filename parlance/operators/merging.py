@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.text import each
 from parlance.functions.tokens import MECHANISMS, tokens_of
-from parlance.operators.skew import split_groups
+from parlance.operators.skew import segment_rows
 from parlance.schemas import KEY
+from parlance.sources.workdir import stored
 
 
 def last_value_in_file(entries: DataFrame) -> DataFrame:
@@ -104,29 +105,40 @@ def token_multiset_diff(candidates: DataFrame, mechanism: str, identity: list[st
     )
 
 
-def order_pack(accepted: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Position of every entry inside its pack file, by code point of the key."""
-    parted = split_groups(accepted, ["mod_id", "domain", "def_type"], ["key_path"], max_rows)
-    w = Window.partitionBy("mod_id", "domain", "def_type", "part").orderBy("key_path")
-    return parted.withColumn("position", F.row_number().over(w))
+def order_pack(accepted: DataFrame) -> DataFrame:
+    """Position of every entry inside its pack file, by code point of the key, pool lines by index.
+
+    Rows are dealt by ranges of file and key, so a large file is spread over many tasks; a row's
+    position is its number in its range plus the sizes of the file's earlier ranges.
+    """
+    pool = F.col("domain") == "Strings"
+    index = F.when(pool, F.col("idx")) if "idx" in accepted.columns else F.lit(None)
+    source = F.when(F.col("domain") != "Keyed", F.col("file")) if "file" in accepted.columns else F.lit(None)
+    placed = accepted.withColumns({"_file": source.cast("string"), "_idx": index.cast("bigint")})
+    keys, order = ["mod_id", "domain", "def_type", "_file"], ["_idx", "key_path"]
+    dealt = placed.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
+    numbered = segment_rows(stored(dealt, "pack-order"), keys, order, F.col("_range"), {})
+    return numbered.select(*accepted.columns, F.col("_rn").alias("position"))
 
 
 def rediff_changed_files(lines: DataFrame, old_lines: DataFrame) -> DataFrame:
     """Every line of a pool file in which any line was added, changed or removed.
 
-    Lines have no stable key, so a file is compared by the sum of its line fingerprints. Sums are
-    combined before the shuffle: no file's text is gathered anywhere.
+    Lines have no stable key, so a file is compared by a digest of its lines as a multiset: the number
+    of lines, and four sums that take in all 256 bits of every line's hash. Sums are combined before
+    the shuffle: no file's text is gathered anywhere.
     """
-
-    def fingerprint(df: DataFrame, name: str) -> DataFrame:
-        mark = F.conv(F.substring(F.md5(F.concat_ws("\u0001", "idx", "line")), 1, 12), 16, 10)
-        return df.groupBy("mod_id", "file").agg(
-            F.sum(mark.cast("decimal(20,0)")).alias(name), F.count(F.lit(1)).alias(f"{name}_n")
-        )
-
-    now, before = fingerprint(lines, "now"), fingerprint(old_lines, "old")
-    changed = now.join(before, ["mod_id", "file"], "left").filter(
-        ~(F.col("now").eqNullSafe(F.col("old")) & F.col("now_n").eqNullSafe(F.col("old_n")))
+    now, before = line_digest(lines), line_digest(old_lines)
+    both = now.join(before.withColumnRenamed("digest", "old"), ["mod_id", "file"], "left")
+    changed = both.filter(~F.col("digest").eqNullSafe(F.col("old"))).select("mod_id", "file")
+    return lines.join(changed, ["mod_id", "file"], "left_semi")
+
+
+def line_digest(lines: DataFrame) -> DataFrame:
+    """(mod_id, file, digest) of (idx, line) rows, whatever their order."""
+    mark = F.sha2(F.concat_ws("\u0001", "idx", "line"), 256)
+    marked = lines.select("mod_id", "file", mark.alias("_mark"))
+    lanes = [F.conv(F.substring("_mark", 1 + 16 * k, 16), 16, 10).cast("decimal(20,0)") for k in range(4)]
+    return marked.groupBy("mod_id", "file").agg(
+        F.struct(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"s{k}") for k, x in enumerate(lanes)]).alias("digest")
     )
-    return lines.join(changed.select("mod_id", "file"), ["mod_id", "file"], "left_semi")
-

@@ -483,18 +483,14 @@ def _(spark, folder):
 
 @query(
     "order_pack",
-    f"""select mod_id, domain, def_type, key_path, part, row_number() over (
- partition by mod_id, domain, def_type, part order by key_path) as position
-from (select c.*, {o.bucket('parts', 'key_path')} as part from v_v c join (
- select mod_id, domain, def_type, {o.parts('count(*)', 12)} as parts from v_v
- where validation_status = 'passed' group by all) g
- on c.mod_id = g.mod_id and c.domain = g.domain and c.def_type is not distinct from g.def_type
- where validation_status = 'passed')""",
+    """select mod_id, domain, def_type, key_path, row_number() over (partition by mod_id, domain, def_type,
+ case when domain <> 'Keyed' then file end order by case when domain = 'Strings' then doc_id end, key_path) as position
+from v_v where validation_status = 'passed'""",
 )
 def _(spark, folder):
     accepted = quality.filter_emittable(gates.validate(v.candidates(spark, folder)))
-    return merging.order_pack(accepted, max_rows=12).select(
-        "mod_id", "domain", "def_type", "key_path", "part", F.col("position").cast("bigint").alias("position")
+    return merging.order_pack(accepted.withColumn("idx", F.col("doc_id"))).select(
+        "mod_id", "domain", "def_type", "key_path", "position"
     )
 
 

@@ -12,10 +12,9 @@ from parlance.plans import views as v
 from parlance.plans.registry import query
 from parlance.schemas import KEY
 from parlance.sources import datasets, packs, resources
+from parlance.sources.pack_sink import write_tree
 from parlance.sources.workdir import new_dir
 
-ENTRIES_PER_FILE = 12
-LINES_PER_FILE = 400
 
 
 def _bigint(name: str):
@@ -36,49 +35,29 @@ def _shipped(spark, folder):
     )
 
 
-def _in_mod_folder(files):
-    return files.withColumn("path", F.concat_ws("/", "mod_id", "path"))
-
-
 def _write_tree(spark, strings, kinds: tuple[str, ...], language: str) -> str:
+    """A tree of mods: every mod's packs below its own folder, published domain by domain."""
     base = new_dir(spark, "tree")
+    lines = {"Keyed": packs.keyed_lines, "DefInjected": packs.definjected_lines, "Strings": packs.string_lines}
+    for kind in kinds:
+        rows = lines[kind](strings, language).withColumn("path", F.concat_ws("/", F.lit(kind), "mod_id", "path"))
+        order, frame = (["idx"], packs.POOL) if kind == "Strings" else (["key_path"], packs.XML)
+        write_tree(rows, order, f"{base}/domains", kind, **frame)
     if "Keyed" in kinds:
-        files = packs.keyed_pack(strings, language, ENTRIES_PER_FILE)
-        packs.write_files(_in_mod_folder(files), base)
         # One malformed file per mod, which readers must set aside without losing the others.
         bad = strings.select("mod_id").distinct().select(
-            F.concat("mod_id", F.lit(f"/Languages/{language}/Keyed/Bad.xml")).alias("path"),
+            F.concat(F.lit("Keyed/"), "mod_id", F.lit(f"/Languages/{language}/Keyed/Bad.xml")).alias("path"),
             F.lit("<LanguageData><Open></LanguageData>").alias("text"),
         )
-        packs.write_files(bad, base)
-    if "DefInjected" in kinds:
-        files = packs.definjected_pack(strings, language, ENTRIES_PER_FILE)
-        packs.write_files(_in_mod_folder(files), base)
-    if "Strings" in kinds:
-        files = packs.strings_pack(strings, language, LINES_PER_FILE)
-        packs.write_files(_in_mod_folder(files), base)
-    return base
-
-
-def _part(group: str, where: str, most: int = ENTRIES_PER_FILE, base: str = "v_s") -> str:
-    """Rows of a pack with their part number, from group sizes and the key's hash."""
-    keys = [g.strip() for g in group.split(",")]
-    on = " and ".join(f"c.{k} is not distinct from g.{k}" for k in keys)
-    return (
-        f"(select c.*, {o.bucket('parts', 'key_path')} as part from {base} c join (select {group},"
-        f" {o.parts('count(*)', most)} as parts from {base} where {where} group by all) g on {on}"
-        f" where {where})"
-    )
-
-
-_NUMBER = "case when part > 0 then '__' || lpad(part::varchar, 4, '0') else '' end"
+        packs.write_files(bad, f"{base}/domains")
+    return f"{base}/domains/*"
 
 
 @query(
     "read_keyed",
-    f"""select mod_id as mod_dir, mod_id || {_NUMBER} || '.xml' as file, row_number() over (
- partition by mod_id, part order by key_path) - 1 as pos, key_path as key, md5(source_text) as value, false as bad
-from {_part('mod_id', "domain = 'Keyed'")}
+    """select mod_id as mod_dir, mod_id || '.xml' as file, row_number() over (
+ partition by mod_id order by key_path) - 1 as pos, key_path as key, md5(source_text) as value, false as bad
+from v_s where domain = 'Keyed'
 union all select mod_id, 'Bad.xml', -1, null, null, true from v_s where domain = 'Keyed' or true group by mod_id""",
 )
 def _(spark, folder):
@@ -120,8 +99,8 @@ def _(spark, folder):
 
 @query(
     "read_definjected",
-    f"""select mod_id as mod_dir, def_type, mod_id || '__' || file || {_NUMBER} || '.xml' as file,
- key_path as key, md5(source_text) as value from {_part('mod_id, def_type, file', "domain = 'DefInjected'")}""",
+    """select mod_id as mod_dir, def_type, mod_id || '__' || file || '.xml' as file,
+ key_path as key, md5(source_text) as value from v_s where domain = 'DefInjected'""",
 )
 def _(spark, folder):
     base = _write_tree(spark, _shipped(spark, folder), ("DefInjected",), "English")
@@ -130,14 +109,13 @@ def _(spark, folder):
     )
 
 
-_POOL = f"""(select *, doc_id // {LINES_PER_FILE} as part, replace(source_text, chr(10), '\\n') as line
- from v_s where domain = 'Strings')"""
+_POOL = "(select *, replace(source_text, chr(10), '\\n') as line from v_s where domain = 'Strings')"
 
 
 @query(
     "read_string_pools",
-    f"""select mod_id as mod_dir, mod_id || '__' || file || {_NUMBER} || '.txt' as file, row_number() over (
- partition by mod_id, file, part order by doc_id) - 1 as idx, md5(line) as line from {_POOL}""",
+    f"""select mod_id as mod_dir, mod_id || '__' || file || '.txt' as file, row_number() over (
+ partition by mod_id, file order by doc_id) - 1 as idx, md5(line) as line from {_POOL}""",
 )
 def _(spark, folder):
     base = _write_tree(spark, _shipped(spark, folder), ("Strings",), "English")
@@ -149,8 +127,8 @@ def _(spark, folder):
 @query(
     "read_existing_translations",
     f"""select 'id.' || mod_id as mod_id, domain, def_type, key_path, md5(source_text) as translation from v_s
- where domain <> 'Strings' union all select 'id.' || mod_id, 'Strings', null, mod_id || '__' || file || {_NUMBER} || '.txt#' || (row_number() over (
- partition by mod_id, file, part order by doc_id) - 1), md5(line) from {_POOL}""",
+ where domain <> 'Strings' union all select 'id.' || mod_id, 'Strings', null, mod_id || '__' || file || '.txt#' || (row_number() over (
+ partition by mod_id, file order by doc_id) - 1), md5(line) from {_POOL}""",
 )
 def _(spark, folder):
     kinds = ("Keyed", "DefInjected", "Strings")
@@ -163,7 +141,7 @@ def _(spark, folder):
             F.lit("<ModMetaData><packageId>id."), "mod_id", F.lit("</packageId><name>N</name></ModMetaData>")
         ).alias("text"),
     )
-    packs.write_files(about, base)
+    packs.write_files(about.withColumn("path", F.concat(F.lit("Keyed/"), "path")), base.removesuffix("/*"))
     return resources.read_existing_translations(spark, base).withColumn(
         "translation", F.md5("translation")
     )
@@ -281,61 +259,58 @@ _HEAD = "'<?xml version=''1.0'' encoding=''utf-8''?>' || chr(10)"
 
 def _pack_text() -> str:
     return (
-        f"md5({_HEAD} || '<LanguageData>' || chr(10) || string_agg({_entry()}, chr(10) order by key_path)"
+        f"md5({_HEAD} || '<LanguageData>' || chr(10) || string_agg({_entry()}, chr(10) order by key_path) filter (passed)"
         " || chr(10) || '</LanguageData>' || chr(10))"
     )
 
 
 _EMPTY = f"md5({_HEAD} || '<LanguageData />' || chr(10))"
-_PASSED_KEYED = "domain = 'Keyed' and passed"
 
 
-@query(
-    "write_keyed_pack",
-    f"""select 'Languages/Russian/Keyed/' || mod_id || {_NUMBER} || '.xml' as path, count(*) as entries, {_pack_text()} as text
-from {_part('mod_id', _PASSED_KEYED, 3, 'v_v')} group by mod_id, part
-union all select 'Languages/Russian/Keyed/' || g.mod_id || '.xml', 0, {_EMPTY} from (
- select distinct mod_id from v_v where domain = 'Keyed') g where g.mod_id not in (
- select mod_id from {_part('mod_id', _PASSED_KEYED, 3, 'v_v')} where part = 0)""",
-)
-def _(spark, folder):
-    checked = gates.validate(v.candidates(spark, folder))
-    return packs.keyed_pack(checked, max_entries=3).select(
-        "path", _bigint("entries"), F.md5("text").alias("text")
-    )
+def _published(spark, folder, write, **columns):
+    """Write a pack over an older, larger one, and read the published tree back."""
+    out = new_dir(spark, "pack")
+    checked = gates.validate(v.candidates(spark, folder)).withColumns(columns)
+    earlier = checked.withColumns({"mod_id": F.concat(F.lit("gone."), "mod_id"), "validation_status": F.lit("passed")})
+    write(earlier, out)
+    entries = write(checked, out).select(F.col("path").alias("_path"), _bigint("entries"))
+    tree = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out)
+    path = F.regexp_extract("path", r"(Languages/.*)$", 1)
+    files = tree.select(path.alias("path"), F.md5("content").alias("text"))
+    return files.join(entries, F.col("path") == F.col("_path"), "full").select("path", "entries", "text")
 
 
-_PASSED_DEFS = "domain = 'DefInjected' and passed"
+def _xml_pack_sql(domain: str, group: str, path: str) -> str:
+    where = f"from v_v where domain = '{domain}'"
+    return f"""select {path} as path, count(*) filter (passed) as entries, case when count(*) filter (passed) = 0 then {_EMPTY}
+ else {_pack_text()} end as text {where} group by {group}"""
+
+
+@query("write_keyed_pack", _xml_pack_sql("Keyed", "mod_id", "'Languages/Russian/Keyed/' || mod_id || '.xml'"))
+def _(spark, folder):
+    return _published(spark, folder, packs.write_keyed_pack)
 
 
 @query(
     "write_definjected_pack",
-    f"""select 'Languages/Russian/DefInjected/' || def_type || '/' || mod_id || '__' || file || {_NUMBER} || '.xml' as path,
- count(*) as entries, {_pack_text()} as text from {_part('mod_id, def_type, file', _PASSED_DEFS, 2, 'v_v')}
- group by mod_id, def_type, file, part
-union all select 'Languages/Russian/DefInjected/' || g.def_type || '/' || g.mod_id || '__' || g.file || '.xml', 0, {_EMPTY}
-from (select distinct mod_id, def_type, file from v_v where domain = 'DefInjected') g
-where (g.mod_id, g.def_type, g.file) not in (
- select (mod_id, def_type, file) from {_part('mod_id, def_type, file', _PASSED_DEFS, 2, 'v_v')} where part = 0)""",
+    _xml_pack_sql(
+        "DefInjected",
+        "mod_id, def_type, file",
+        "'Languages/Russian/DefInjected/' || def_type || '/' || mod_id || '__' || file || '.xml'",
+    ),
 )
 def _(spark, folder):
-    checked = gates.validate(v.candidates(spark, folder))
-    return packs.definjected_pack(checked, max_entries=2).select(
-        "path", _bigint("entries"), F.md5("text").alias("text")
-    )
+    return _published(spark, folder, packs.write_definjected_pack)
 
 
 @query(
     "write_strings_pack",
-    f"""select 'Languages/Russian/Strings/' || mod_id || '__' || file || {_NUMBER} || '.txt' as path, count(*) as entries,
+    """select 'Languages/Russian/Strings/' || mod_id || '__' || file || '.txt' as path, count(*) as entries,
  md5(string_agg(replace(translated_text, chr(10), '\\n'), chr(10) order by doc_id) || chr(10)) as text
-from (select *, doc_id // {LINES_PER_FILE} as part from v_v where domain = 'Strings' and passed) group by mod_id, file, part""",
+from v_v where domain = 'Strings' and passed group by mod_id, file""",
 )
 def _(spark, folder):
-    checked = gates.validate(v.candidates(spark, folder)).withColumn("idx", F.col("doc_id"))
-    return packs.strings_pack(checked, max_entries=LINES_PER_FILE).select(
-        "path", _bigint("entries"), F.md5("text").alias("text")
-    )
+    return _published(spark, folder, packs.write_strings_pack, idx=F.col("doc_id"))
 
 
 @query(

@@ -1,8 +1,7 @@
-"""Writers for output packs. Texts are rendered by expressions in bounded groups.
+"""Writers for output packs: lines rendered by expressions, published by the tree sink.
 
-A pack file holds one (mod, domain, def type, file) group. A group larger than ``max_entries`` is
-split into numbered parts by a stable hash of the key, so that no task and no file grows with the
-largest mod; the game merges all files of a folder, and every entry is in exactly one of them.
+A pack file holds the accepted entries of one (mod, domain, def type, source file) in a fixed order.
+Its lines are rows until the sink streams them out, so no value and no task holds a whole file.
 """
 
 from __future__ import annotations
@@ -12,20 +11,18 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.keys import output_path
 from parlance.functions.text import XML_NAME, comment_safe, xml_escape
 from parlance.operators.quality import filter_emittable
-from parlance.operators.skew import split_groups
 from parlance.schemas import DEFAULT_GAME_VERSION, TARGET_LANGUAGE
-from parlance.sources.workdir import new_dir
+from parlance.sources.pack_sink import file_system, qualified, write_tree
 
 # How the serialised files begin and are indented.
 DECLARATION = "<?xml version='1.0' encoding='utf-8'?>\n"
 INDENT = "  "
-MAX_ENTRIES = 50_000
 
 
 def element(tag: Column, text: Column, indent: str = INDENT) -> Column:
@@ -41,135 +38,82 @@ def invalid_keys(candidates: DataFrame) -> DataFrame:
     return candidates.filter((F.col("domain") != "Strings") & ~F.col("key_path").rlike(XML_NAME))
 
 
-def part_stem(stem: Column | None, part: Column) -> Column:
-    """File stem with the part number; part 0 keeps the plain stem."""
-    number = F.when(part > 0, F.lpad(part.cast("string"), 4, "0"))
-    joined = F.concat_ws("__", *([stem, number] if stem is not None else [number]))
-    return F.nullif(joined, F.lit(""))
-
-
-def _document(lines: Column) -> Column:
-    body = F.concat(F.lit("<LanguageData>\n"), lines, F.lit("\n</LanguageData>\n"))
-    return F.concat(
-        F.lit(DECLARATION), F.when(lines == "", F.lit("<LanguageData />\n")).otherwise(body)
-    )
-
-
-def _render_xml(
-    candidates: DataFrame, group: list[str], max_entries: int, require_review: bool
-) -> DataFrame:
-    """(group, part, entries, text). Groups without an accepted row still give an empty file."""
-    ok = F.col("_ok")
-    accepted = filter_emittable(
-        candidates.select(
-            *group,
-            "key_path",
-            "validation_status",
-            *(["review_status"] if require_review else []),
-            F.concat(
-                F.lit(INDENT + "<!--"),
-                comment_safe("source_text"),
-                F.lit("-->\n"),
-                element(F.col("key_path"), F.col("translated_text")),
-            ).alias("entry"),
-        ),
-        require_review,
-    ).select(*group, "key_path", "entry", F.lit(True).alias("_ok"))
-    headers = candidates.select(*group).distinct().select(
-        *group, F.lit("").alias("key_path"), F.lit("").alias("entry"), F.lit(False).alias("_ok")
+def _xml_lines(candidates: DataFrame, path: Column, require_review: bool) -> DataFrame:
+    """(path, mod_id, key_path, line) of the accepted entries, and a line of null for every file."""
+    placed = candidates.withColumn("path", path)
+    line = F.concat(
+        F.lit(INDENT + "<!--"),
+        comment_safe("source_text"),
+        F.lit("-->\n"),
+        element(F.col("key_path"), F.col("translated_text")),
     )
-    # An exchange of its own on the part: otherwise a large mod's parts stay where the mod was dealt.
-    parted = split_groups(accepted, group, ["key_path"], max_entries).unionByName(
-        headers.withColumn("part", F.lit(0).cast("bigint"))
-    ).repartition(*group, "part")
-    sorted_entries = F.array_sort(F.collect_list(F.when(ok, F.struct("key_path", "entry"))))
+    files = placed.select("path", "mod_id").distinct()
     return (
-        parted.groupBy(*group, "part")
-        .agg(sorted_entries.alias("items"))
-        .select(
-            *group,
-            "part",
-            F.size("items").alias("entries"),
-            _document(F.array_join(F.transform("items", lambda i: i["entry"]), "\n")).alias("text"),
-        )
+        filter_emittable(placed, require_review)
+        .select("path", "mod_id", "key_path", line.alias("line"))
+        .unionByName(files.select("*", F.lit("").alias("key_path"), F.lit(None).cast("string").alias("line")))
     )
 
 
-def keyed_pack(
-    candidates: DataFrame,
-    language: str = TARGET_LANGUAGE,
-    max_entries: int = MAX_ENTRIES,
-    require_review: bool = False,
-) -> DataFrame:
-    """(path, entries, text): one sorted XML text per mod (and part)."""
-    keyed = candidates.filter("domain = 'Keyed'")
-    files = _render_xml(keyed, ["mod_id"], max_entries, require_review)
-    path = output_path(
-        "mod_id", F.lit("Keyed"), F.lit(None), part_stem(None, F.col("part")), language
-    )
-    return files.select(path.alias("path"), "mod_id", "part", "entries", "text")
+def keyed_lines(candidates: DataFrame, language: str = TARGET_LANGUAGE, require_review: bool = False) -> DataFrame:
+    """Entries of the Keyed packs: one file for each mod."""
+    path = output_path("mod_id", F.lit("Keyed"), F.lit(None), None, language)
+    return _xml_lines(candidates.filter("domain = 'Keyed'"), path, require_review)
 
 
-def definjected_pack(
-    candidates: DataFrame,
-    language: str = TARGET_LANGUAGE,
-    max_entries: int = MAX_ENTRIES,
-    require_review: bool = False,
-) -> DataFrame:
-    """As ``keyed_pack``, one text per (mod, def type, source file)."""
-    defs = candidates.filter("domain = 'DefInjected'")
-    files = _render_xml(defs, ["mod_id", "def_type", "file"], max_entries, require_review)
-    stem = part_stem(F.col("file"), F.col("part"))
-    path = output_path("mod_id", F.lit("DefInjected"), "def_type", stem, language)
-    return files.select(path.alias("path"), "mod_id", "def_type", "part", "entries", "text")
-
-
-def strings_pack(
-    candidates: DataFrame,
-    language: str = TARGET_LANGUAGE,
-    max_entries: int = MAX_ENTRIES,
-    require_review: bool = False,
-) -> DataFrame:
-    """(path, entries, text): pool lines in index order, newlines written as two characters.
+def definjected_lines(candidates: DataFrame, language: str = TARGET_LANGUAGE, require_review: bool = False) -> DataFrame:
+    """Entries of the DefInjected packs: one file for each mod, def type and source file."""
+    path = output_path("mod_id", F.lit("DefInjected"), "def_type", "file", language)
+    return _xml_lines(candidates.filter("domain = 'DefInjected'"), path, require_review)
 
-    Large pools are cut into consecutive index ranges, so that order survives the split.
-    """
+
+def string_lines(candidates: DataFrame, language: str = TARGET_LANGUAGE, require_review: bool = False) -> DataFrame:
+    """Lines of the pools in index order, newlines written as two characters."""
+    path = output_path("mod_id", F.lit("Strings"), F.lit(None), "file", language)
     pools = filter_emittable(candidates.filter("domain = 'Strings'"), require_review)
-    part = F.floor(F.col("idx") / max_entries)
     line = F.replace("translated_text", F.lit("\n"), F.lit("\\n"))
-    files = (
-        pools.groupBy("mod_id", "file", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("idx", line.alias("line")))).alias("items"))
-        .select(
-            "mod_id",
-            "file",
-            "part",
-            F.size("items").alias("entries"),
-            F.concat(
-                F.array_join(F.transform("items", lambda i: i["line"]), "\n"), F.lit("\n")
-            ).alias("text"),
-        )
-    )
-    stem = part_stem(F.col("file"), F.col("part"))
-    path = output_path("mod_id", F.lit("Strings"), F.lit(None), stem, language)
-    return files.select(path.alias("path"), "mod_id", "file", "part", "entries", "text")
+    return pools.select(path.alias("path"), "mod_id", "idx", line.alias("line"))
+
 
+XML = {"head": DECLARATION + "<LanguageData>\n", "foot": "\n</LanguageData>\n", "empty": DECLARATION + "<LanguageData />\n"}
+POOL = {"foot": "\n"}
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """A path with its scheme as Spark resolves it, so that files go where Spark reads them."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    return found.replace("file:/", "file:///", 1) if found.startswith("file:/") and "://" not in found else found
+
+def _written(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("path", "mod_id").agg(F.count("line").alias("entries"))
+
+
+def write_keyed_pack(
+    candidates: DataFrame, out: str, language: str = TARGET_LANGUAGE, require_review: bool = False
+) -> DataFrame:
+    """Publish the folder of the domain as a whole; returns path, mod_id and entries of its files."""
+    lines = keyed_lines(candidates, language, require_review)
+    write_tree(lines, ["key_path", "line"], out, f"Languages/{language}/Keyed", **XML)
+    return _written(lines)
+
+
+def write_definjected_pack(
+    candidates: DataFrame, out: str, language: str = TARGET_LANGUAGE, require_review: bool = False
+) -> DataFrame:
+    lines = definjected_lines(candidates, language, require_review)
+    write_tree(lines, ["key_path", "line"], out, f"Languages/{language}/DefInjected", **XML)
+    return _written(lines)
+
+
+def write_strings_pack(
+    candidates: DataFrame, out: str, language: str = TARGET_LANGUAGE, require_review: bool = False
+) -> DataFrame:
+    lines = string_lines(candidates, language, require_review)
+    write_tree(lines, ["idx", "line"], out, f"Languages/{language}/Strings", **POOL)
+    return _written(lines)
 
 
 def write_files(files: DataFrame, out: str) -> None:
-    """Write (path, text) rows as files below ``out``; safe to repeat after a lost executor."""
+    """Write small (path, text) rows as files below ``out``; safe to repeat after a lost executor."""
     place = qualified(files.sparkSession, out)
 
     def write(rows: Iterable) -> None:
-        from pyarrow import fs
-
-        target, root = fs.FileSystem.from_uri(place)
+        target, root = file_system(place)
         for row in rows:
             final = posixpath.join(root, row["path"])
             target.create_dir(posixpath.dirname(final), recursive=True)
@@ -181,28 +125,6 @@ def write_files(files: DataFrame, out: str) -> None:
     files.select("path", "text").foreachPartition(write)
 
 
-def _write_pack(files: DataFrame, out: str) -> DataFrame:
-    """Render once into the shared folder, write from there; returns what was rendered."""
-    spark = files.sparkSession
-    rendered = new_dir(spark, "rendered-pack")
-    files.write.parquet(rendered)
-    write_files(spark.read.parquet(rendered), out)
-    return spark.read.parquet(rendered).select("path", "mod_id", "entries")
-
-
-def write_keyed_pack(candidates: DataFrame, out: str, **options) -> DataFrame:
-    """Write the pack; returns path, mod_id and entries of its files."""
-    return _write_pack(keyed_pack(candidates, **options), out)
-
-
-def write_definjected_pack(candidates: DataFrame, out: str, **options) -> DataFrame:
-    return _write_pack(definjected_pack(candidates, **options), out)
-
-
-def write_strings_pack(candidates: DataFrame, out: str, **options) -> DataFrame:
-    return _write_pack(strings_pack(candidates, **options), out)
-
-
 @dataclass(frozen=True)
 class ManifestOptions:
     """Overridable fields of the generated manifest."""
@@ -306,9 +228,7 @@ def write_manifest(
     place = qualified(mods.sparkSession, out)
 
     def write(rows: Iterable) -> None:
-        from pyarrow import fs
-
-        target, root = fs.FileSystem.from_uri(place)
+        target, root = file_system(place)
         folder = posixpath.join(root, "About")
         target.create_dir(folder, recursive=True)
         draft = posixpath.join(folder, f"About.xml.{uuid.uuid4().hex}.tmp")

@@ -113,18 +113,77 @@ def test_keyed_pack_bytes(spark, tmp_path):
     )
 
 
-def test_empty_pack_is_still_written(spark):
-    files = packs.keyed_pack(candidate_rows(spark, [("A", "a", "a", "failed")])).collect()
-    assert [f["text"] for f in files] == [packs.DECLARATION + "<LanguageData />\n"]
+def test_empty_pack_is_still_written(spark, tmp_path):
+    written = packs.write_keyed_pack(candidate_rows(spark, [("A", "a", "a", "failed")]), str(tmp_path)).collect()
+    assert [(r["path"], r["entries"]) for r in written] == [("Languages/Russian/Keyed/m.xml", 0)]
+    assert (tmp_path / "Languages/Russian/Keyed/m.xml").read_text() == packs.DECLARATION + "<LanguageData />\n"
 
 
-def test_large_pack_is_split_without_loss(spark):
+def files_below(path: Path) -> list[str]:
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*") if p.is_file() and p.suffix != ".crc")
+
+
+def test_a_pack_replaces_the_folder_of_its_domain(spark, tmp_path):
     rows = [(f"K{i:04d}", "s", "t", "passed") for i in range(500)]
-    files = packs.keyed_pack(candidate_rows(spark, rows), max_entries=50).collect()
-    assert len(files) > 8
-    keys = [n.tag for f in files for n in ElementTree.fromstring(f["text"].encode())]
-    assert sorted(keys) == [r[0] for r in rows]
-    assert len({f["path"] for f in files}) == len(files)
+    df = candidate_rows(spark, rows)
+    old = df.withColumn("mod_id", F.concat(F.lit("old"), (F.crc32("key_path") % 5).cast("string")))
+    packs.write_keyed_pack(old, str(tmp_path))
+    put(tmp_path / "Languages/Russian/Strings/kept.txt", "another domain\n")
+    assert len(files_below(tmp_path)) == 6
+    packs.write_keyed_pack(df.repartition(4), str(tmp_path))
+    assert files_below(tmp_path) == ["Languages/Russian/Keyed/m.xml", "Languages/Russian/Strings/kept.txt"]
+    keys = [n.tag for n in ElementTree.parse(tmp_path / "Languages/Russian/Keyed/m.xml").getroot()]
+    assert keys == [r[0] for r in rows]
+    packs.write_keyed_pack(df.limit(0), str(tmp_path))
+    assert files_below(tmp_path) == ["Languages/Russian/Strings/kept.txt"]
+
+
+def test_a_failed_write_leaves_the_published_tree(spark, tmp_path):
+    rows = candidate_rows(spark, [("A", "a", "a", "passed")])
+    packs.write_keyed_pack(rows, str(tmp_path))
+    broken = rows.withColumn("translated_text", F.when(F.col("key_path") == "A", F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        packs.write_keyed_pack(broken, str(tmp_path))
+    assert files_below(tmp_path) == ["Languages/Russian/Keyed/m.xml"]
+
+
+@pytest.mark.parametrize("at", ["staged", "marked", "old moved", "new moved"])
+def test_an_interrupted_commit_is_finished_or_undone(tmp_path, at):
+    from parlance.sources import pack_sink
+
+    put(tmp_path / "root/old.txt", "old")
+    staged = tmp_path / "_staged-1"
+    put(staged / "tree/root/new.txt", "new")
+    put(staged / "drafts/x/0", "half a fi")
+    if at != "staged":
+        put(staged / "COMPLETE", "root")
+    if at in ("old moved", "new moved"):
+        (tmp_path / "root").rename(staged / "old")
+    if at == "new moved":
+        (staged / "tree/root").rename(tmp_path / "root")
+    pack_sink.recover(f"file://{tmp_path}")
+    assert files_below(tmp_path) == ["root/old.txt" if at == "staged" else "root/new.txt"]
+
+
+def test_tasks_that_run_twice_write_equal_files(tmp_path):
+    import pyarrow as pa
+
+    from parlance.sources.pack_sink import TreeWriter
+
+    writer = TreeWriter({"path": f"file://{tmp_path}", "root": "r", "foot": "\n", "empty": "none"})
+    rows = {"path": ["r/a", "r/a", "r/b", "r/c", "r/c"], "line": ["1", "2", None, None, "3"]}
+    batch = pa.RecordBatch.from_pydict(rows, pa.schema([("path", pa.string()), ("line", pa.string())]))
+
+    def interrupted():
+        yield batch.slice(0, 3)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        writer.write(interrupted())
+    done = [writer.write(iter([batch.slice(0, 1), batch.slice(1)])) for _ in range(2)]
+    assert [(d.files, d.lines) for d in done] == [(3, 3)] * 2
+    writer.commit(done[:1])
+    assert {p: (tmp_path / p).read_text() for p in files_below(tmp_path)} == {"r/a": "1\n2\n", "r/b": "none", "r/c": "3\n"}
 
 
 def manifest_text(df) -> str:
