@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from parlance.functions.text import each, value_hash
 from parlance.functions.tokens import tokens_of
-from parlance.operators.skew import key_join
+from parlance.operators.skew import key_join, segment_rows
 from parlance.schemas import KEY
+from parlance.sources.workdir import stored
 
 
 def run_summary(candidates: DataFrame) -> DataFrame:
@@ -130,32 +131,55 @@ def gate_failure_report(validated: DataFrame) -> DataFrame:
     )
 
 
-def provider_stats(runs: DataFrame, by: tuple[str, ...] = ("provider",)) -> DataFrame:
-    """Latency mean and quantiles, throughput and failure rate per provider.
+def exact_quantiles(df: DataFrame, by: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """Interpolated quantiles of ``value`` per group, exact, one column for each name of ``wanted``.
 
-    Figures are exact: runs are first counted per distinct latency, so the quantile state holds
-    distinct values, not runs.
+    Equal values are counted before any exchange, then dealt by ranges of (group, value). A row's rank
+    is its running count inside its range plus the counts of the group's earlier ranges, and the rows
+    that hold a wanted rank are picked out. So no state grows with a group: a task sorts its own range
+    (and spills), whatever number of different values a group has. Nulls and NaN are left out.
     """
-    counted = runs.groupBy(*by, F.col("latency").alias("ms")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("failed").alias("failed"),
-        F.sum("tokens").alias("tokens"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-    )
-    seconds = F.greatest(
-        (F.unix_micros(F.max("last_ts")) - F.unix_micros(F.min("first_ts"))) / 1e6, F.lit(1.0)
-    )
-    q = lambda p: F.round(F.percentile("ms", p, F.col("n")), 4)
-    return counted.groupBy(*by).agg(
-        F.sum("n").alias("runs"),
-        F.round(F.sum(F.col("ms") * F.col("n")) / F.sum("n"), 4).alias("mean_latency"),
-        q(0.5).alias("p50_latency"),
-        q(0.95).alias("p95_latency"),
-        F.round(F.sum("n") / seconds, 9).alias("runs_per_second"),
-        F.round(F.sum("failed") / F.sum("n"), 6).alias("failure_rate"),
+    values = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    counted = values.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = stored(counted.repartitionByRange(*by, "_v").withColumn("_range", F.spark_partition_id()), "quantiles")
+    ranked = segment_rows(dealt, by, ["_v"], F.col("_range"), {"_upto": F.col("_n")})
+    totals = dealt.groupBy(*by).agg(F.sum("_n").alias("_total"))
+    placed = key_join(ranked, totals, by, "inner")
+    picks, out = [], []
+    for name, p in wanted.items():
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            holds = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+            picks.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{name}_{end}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"_{name}_part"))
+        lo, hi, part = (F.col(f"_{name}_{x}") for x in ("lo", "hi", "part"))
+        out.append((lo + (hi - lo) * part).alias(name))
+    return placed.groupBy(*by).agg(*picks).select(*by, *out)
+
+
+def provider_stats(
+    runs: DataFrame, by: tuple[str, ...] = ("provider",), prices: dict[str, float] | None = None
+) -> DataFrame:
+    """Latency mean and quantiles, throughput, failure rate and cost per provider.
+
+    ``prices`` gives what a provider takes per million tokens; without a price the cost is null.
+    """
+    quantiles = exact_quantiles(runs, list(by), "latency", {"p50_latency": 0.5, "p95_latency": 0.95})
+    seconds = F.greatest((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6, F.lit(1.0))
+    figures = runs.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.round(F.avg("latency"), 4).alias("mean_latency"),
+        F.round(F.count(F.lit(1)) / seconds, 9).alias("runs_per_second"),
+        F.round(F.count_if("failed") / F.count(F.lit(1)), 6).alias("failure_rate"),
         F.sum("tokens").alias("tokens"),
     )
+    price = F.lit(None).cast("double")
+    for provider, each_million in (prices or {}).items():
+        price = F.when(F.col("provider") == provider, F.lit(float(each_million))).otherwise(price)
+    cost = F.round(F.col("tokens") * price / 1_000_000, 6).alias("cost")
+    return key_join(figures, quantiles, list(by), "left").select(
+        *by, "runs", "mean_latency", "p50_latency", "p95_latency", "runs_per_second", "failure_rate", "tokens", cost
+    )
 
 
 def placeholder_pass_rate(validated: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.functions.text import hash_bucket
-
 # Fixed values of the published metrics: chrF++ n-gram orders and beta, BLEU orders.
 CHAR_ORDERS = 6
 CHRF_WORD_ORDERS = 2
@@ -165,9 +163,13 @@ def hard_cases(scored: DataFrame, k: int, identity: list[str]) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def review_sample(scored: DataFrame, share: float, identity: list[str], strata: list[str]) -> DataFrame:
-    """A repeatable share of every stratum: a row is in or out by its own hash alone."""
-    resolution = 10_000
-    return scored.filter(
-        hash_bucket(resolution, *strata, *identity) < F.lit(round(share * resolution))
-    )
+def review_sample(scored: DataFrame, k: int, identity: list[str], strata: list[str]) -> DataFrame:
+    """Exactly ``k`` rows of every stratum (all of a smaller one): those with the least hashes.
+
+    The k least of a part are the k least of the whole cut to it, so every partition keeps only its
+    own k before the exchange, and the sample is the same however the rows are dealt.
+    """
+    mark = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*strata, *identity)]))
+    w = Window.partitionBy(*strata).orderBy("_mark", *identity)
+    ranked = scored.withColumn("_mark", mark).withColumn("_rank", F.row_number().over(w))
+    return ranked.filter(F.col("_rank") <= k).drop("_mark", "_rank")

@@ -102,15 +102,17 @@ def _(spark, folder):
 
 
 _STATS = """select {by}, count(*) as runs, round(avg(latency), 4) as mean_latency,
- round(quantile_cont(latency, 0.5), 4) as p50_latency,
- round(quantile_cont(latency, 0.95), 4) as p95_latency,
+ quantile_cont(latency, 0.5) as p50_latency, quantile_cont(latency, 0.95) as p95_latency,
  round(count(*) / greatest((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 1.0), 9) as runs_per_second,
- round(count_if(failed) / count(*), 6) as failure_rate, sum(tokens)::bigint as tokens from v_r group by {by}"""
+ round(count_if(failed) / count(*), 6) as failure_rate, sum(tokens)::bigint as tokens,
+ round(sum(tokens) * case provider when 'view' then 2.0 when 'click' then 5.0 when 'purchase' then 0.75 end / 1000000, 6)::double as cost
+ from v_r group by {by}"""
+TOKEN_PRICES = {"view": 2.0, "click": 5.0, "purchase": 0.75}
 
 
 @query("provider_stats", _STATS.replace("{by}", "provider"))
 def _(spark, folder):
-    return reports.provider_stats(v.runs(spark, folder))
+    return reports.provider_stats(v.runs(spark, folder), prices=TOKEN_PRICES)
 
 
 @query(
@@ -122,42 +124,6 @@ def _(spark, folder):
     return reports.placeholder_pass_rate(gates.validate(v.two_passes(spark, folder)))
 
 
-_COMPARE = f"""select provider, coalesce(runs, 0) as runs, coalesce(p95_latency, -1) as p95_latency,
- coalesce(candidates, 0) as candidates, coalesce(pass_rate, -1) as pass_rate, coalesce(segments, 0) as segments
-from (select coalesce(s.provider, p.provider) as provider, runs, p95_latency, candidates, pass_rate
- from ({_STATS.replace('{by}', 'provider')}) s full join (
- select case provider_id when 'p0' then 'view' else 'signup' end as provider, count(*) as candidates,
- round(count_if(passed) / count(*), 6) as pass_rate from v_v2 group by 1) p on s.provider = p.provider) a
-full join (select case source when 'src0' then 'view' when 'src1' then 'click' else 'other' end as provider,
- count(*) as segments from documents group by 1) b using (provider)"""
-
-
-@query("provider_comparison", _COMPARE)
-def _(spark, folder):
-    stats = reports.provider_stats(v.runs(spark, folder)).select(
-        "provider", "runs", "p95_latency"
-    )
-    named = F.when(F.col("provider_id") == "p0", "view").otherwise("signup")
-    rates = reports.placeholder_pass_rate(gates.validate(v.two_passes(spark, folder))).select(
-        named.alias("provider"), "candidates", "pass_rate"
-    )
-    owner = F.expr("case source when 'src0' then 'view' when 'src1' then 'click' else 'other' end")
-    scores = (
-        v.table(spark, folder, "documents")
-        .groupBy(owner.alias("provider"))
-        .agg(F.count(F.lit(1)).alias("segments"))
-    )
-    zero, none = F.lit(0), F.lit(-1.0)
-    return reports.provider_comparison(stats, rates, scores).select(
-        "provider",
-        F.coalesce("runs", zero).alias("runs"),
-        F.coalesce("p95_latency", none).alias("p95_latency"),
-        F.coalesce("candidates", zero).alias("candidates"),
-        F.coalesce("pass_rate", none).alias("pass_rate"),
-        F.coalesce("segments", zero).alias("segments"),
-    )
-
-
 @query(
     "rank_providers",
     f"""select provider, semantic_type, failure_rate, rank() over w as rank, dense_rank() over w as dense_rank
@@ -257,6 +223,45 @@ def _(spark, folder):
     return scoring.bleu_corpus(v.pairs(spark, folder), ["lang"])
 
 
+_OWNER = "case source when 'src0' then 'view' when 'src1' then 'click' else 'other' end"
+
+
+def _compare_sql() -> str:
+    return f"""select provider, coalesce(runs, 0) as runs, coalesce(p95_latency, -1) as p95_latency, coalesce(cost, -1) as cost,
+ coalesce(candidates, 0) as candidates, coalesce(pass_rate, -1) as pass_rate, coalesce(chrf, -1) as chrf
+from (select coalesce(s.provider, p.provider) as provider, runs, p95_latency, cost, candidates, pass_rate
+ from ({_STATS.replace('{by}', 'provider')}) s full join (
+ select case provider_id when 'p0' then 'view' else 'signup' end as provider, count(*) as candidates,
+ round(count_if(passed) / count(*), 6) as pass_rate from v_v2 group by 1) p on s.provider = p.provider) a
+full join (select provider, {_F} as chrf from (
+ select provider, o, sum(m) as m, sum(r) as r, sum(h) as h from {_stats(_CHRF_ORDERS)} join (
+ select doc_id, {_OWNER} as provider from documents) using (doc_id) group by provider, o) where r > 0 and h > 0 group by provider) b
+ using (provider)"""
+
+
+@query("provider_comparison", _compare_sql())
+def _(spark, folder):
+    stats = reports.provider_stats(v.runs(spark, folder), prices=TOKEN_PRICES).select(
+        "provider", "runs", "p95_latency", "cost"
+    )
+    named = F.when(F.col("provider_id") == "p0", "view").otherwise("signup")
+    rates = reports.placeholder_pass_rate(gates.validate(v.two_passes(spark, folder))).select(
+        named.alias("provider"), "candidates", "pass_rate"
+    )
+    pairs = v.pairs(spark, folder).withColumn("provider", F.expr(_OWNER))
+    scores = scoring.chrf_corpus(pairs, ["provider"]).select("provider", "chrf")
+    zero, none = F.lit(0), F.lit(-1.0)
+    return reports.provider_comparison(stats, rates, scores).select(
+        "provider",
+        F.coalesce("runs", zero).alias("runs"),
+        F.coalesce("p95_latency", none).alias("p95_latency"),
+        F.coalesce("cost", none).alias("cost"),
+        F.coalesce("candidates", zero).alias("candidates"),
+        F.coalesce("pass_rate", none).alias("pass_rate"),
+        F.coalesce("chrf", none).alias("chrf"),
+    )
+
+
 WEIGHTS = {"critical": 25.0, "major": 5.0, "minor": 1.0}
 
 
@@ -305,10 +310,11 @@ def _(spark, folder):
 
 @query(
     "review_sample",
-    f"""select provider_id, semantic_type, doc_id from {_SCORED}
- where {o.bucket('10000', 'provider_id', 'semantic_type', 'doc_id')} < 1500""",
+    f"""select provider_id, semantic_type, doc_id from {_SCORED} qualify row_number() over (
+ partition by provider_id, semantic_type order by md5(concat_ws(chr(1), coalesce(provider_id, ''), coalesce(semantic_type, ''),
+ doc_id::varchar)), doc_id) <= 15""",
 )
 def _(spark, folder):
     return scoring.review_sample(
-        _scored(spark, folder), 0.15, ["doc_id"], ["provider_id", "semantic_type"]
+        _scored(spark, folder), 15, ["doc_id"], ["provider_id", "semantic_type"]
     ).select("provider_id", "semantic_type", "doc_id")

@@ -195,52 +195,122 @@ def _(spark, folder):
     return resources.resolve_content_root(paths)
 
 
-_FIELD = """case doc_id % 5 when 0 then concat('Def', doc_id, '.label') when 1 then concat('Def', doc_id, '.description')
- when 2 then concat('Def', doc_id, '.stages.', doc_id % 11, '.label') when 3 then concat('Def', doc_id, '.comps.', doc_id % 3, '.text')
- else concat('Def', doc_id, '.labelFemaleX') end"""
+def _tag(name: str, *parts):
+    return F.concat(F.lit(f"<{name}>"), *parts, F.lit(f"</{name}>"))
+
+
+def _defs_tree(spark, folder) -> str:
+    """Every document as a Defs file with nested lists; every third mod ships English, too.
+
+    One file in seventeen is malformed. Mods of odd numbers keep their Defs in the version folder,
+    next to a file that it hides.
+    """
+    base = new_dir(spark, "mods")
+    docs = v.documents(spark, folder, "source", "text").withColumn("n", F.col("doc_id").cast("string"))
+    text, label = xml_escape("text"), F.concat(F.lit("part "), "n")
+    stage = lambda k: _tag("li", _tag("label", label, F.lit(f" {k}")), _tag("minor", _tag("li", F.lit("x")), _tag("li", label)))
+    kind = F.expr("case doc_id % 3 when 0 then 'ThingDef' when 1 then 'GeneDef' else 'Own.TraitDef' end")
+    fields = F.concat(
+        _tag("label", text), _tag("defName", F.lit(" Def"), "n"), F.lit("<description/><stats><x>1</x></stats>"),
+        _tag("stages", stage(0), stage(1)), _tag("comps", F.lit("<li Class='C'/>"), _tag("li", _tag("text", label))),
+    )
+    body = F.concat(
+        F.lit("<Defs><!-- c --><ThingDef Abstract='True'><defName>Base</defName><label>no</label></ThingDef><"),
+        kind, F.lit(">"), fields, F.lit("</"), kind, F.lit("><ThingDef><label>nameless</label></ThingDef>"),
+        F.when(F.col("doc_id") % 17 == 5, "<Open>").otherwise(""), F.lit("</Defs>"),
+    )
+    number = F.regexp_extract("source", r"([0-9]+)$", 1).cast("int")
+    root = F.when(number % 2 == 1, "/1.6/Defs/sub/d").otherwise("/Defs/sub/d")
+    packs.write_files(docs.select(F.concat("source", root, "n", F.lit(".xml")).alias("path"), body.alias("text")), base)
+    hidden = docs.filter(number % 2 == 1).select("source").distinct().select(
+        F.concat("source", F.lit("/Defs/hidden.xml")).alias("path"),
+        F.lit("<Defs><ThingDef><defName>Hidden</defName><label>h</label></ThingDef></Defs>").alias("text"),
+    )
+    packs.write_files(hidden, base)
+    mods = docs.select("source", number.alias("k")).distinct()
+    about = _tag("ModMetaData", _tag("packageId", F.lit("id."), "source"), _tag("name", "source"))
+    packs.write_files(mods.select(F.concat("source", F.lit("/About/About.xml")).alias("path"), about.alias("text")), base)
+    english = mods.filter("k % 3 = 0")
+    shipped = {
+        "Keyed/K.xml": _tag("LanguageData", _tag("Greeting", "source"), F.lit("<Greeting>again</Greeting>")),
+        "DefInjected/ThingDef/D.xml": _tag("LanguageData", _tag("Sword.label", "source")),
+        "Strings/Names.txt": F.concat(F.lit("one\n"), "source", F.lit("\n")),
+    }
+    for path, content in shipped.items():
+        text = content if path.endswith("xml") else F.concat(content, F.lit(""))
+        files = english.select(F.concat("source", F.lit(f"/Languages/English/{path}")).alias("path"), text.alias("text"))
+        packs.write_files(files, base)
+    return base
+
+
+_KIND = "case doc_id % 3 when 0 then 'ThingDef' when 1 then 'GeneDef' else 'Own.TraitDef' end"
+_GOOD = "documents where doc_id % 17 <> 5"
+_FIELDS = f"""select source, doc_id, {_KIND} as def_type, 'Def' || doc_id || '.' || f.k as key_path,
+ case when f.k = 'label' then text else f.t end as value, f.k from (select *, unnest([
+ {{'k': 'label', 't': ''}}, {{'k': 'stats.x', 't': '1'}},
+ {{'k': 'stages.0.label', 't': 'part ' || doc_id || ' 0'}}, {{'k': 'stages.0.minor.0', 't': 'x'}},
+ {{'k': 'stages.0.minor.1', 't': 'part ' || doc_id}}, {{'k': 'stages.1.label', 't': 'part ' || doc_id || ' 1'}},
+ {{'k': 'stages.1.minor.0', 't': 'x'}}, {{'k': 'stages.1.minor.1', 't': 'part ' || doc_id}},
+ {{'k': 'comps.1.text', 't': 'part ' || doc_id}}]) as f from {_GOOD}) where f.k <> 'label' or trim(text, chr(32) || chr(10) || chr(9) || chr(13)) <> ''"""
+_KEPT = f"""(select * from ({_FIELDS}) where regexp_extract(source, '([0-9]+)$', 1)::int % 3 <> 0
+ and (k in ('label', 'stages.0.label', 'stages.1.label') or (def_type = 'GeneDef' and k = 'comps.1.text')))"""
+
+
+def _own_fields(spark):
+    return spark.createDataFrame([("GeneDef", "comps.N.text")], "def_type string, field_pattern string")
 
 
 @query(
-    "infer_from_defs",
-    f"""select doc_id, {_FIELD} as key_path from v_s where domain = 'DefInjected' and (doc_id % 5 <= 2
- or (doc_id % 5 = 3 and def_type = 'GeneDef'))""",
+    "read_defs",
+    f"""select source as mod_dir, 'sub_d' || doc_id as file, def_type, key_path, md5(value) as value, false as bad from ({_FIELDS})
+union all select source, 'sub_d' || doc_id, null, null, null, true from documents where doc_id % 17 = 5
+union all select distinct source, 'hidden', 'ThingDef', 'Hidden.label', md5('h'), false from documents
+ where regexp_extract(source, '([0-9]+)$', 1)::int % 2 = 1""",
 )
 def _(spark, folder):
-    defs = v.strings(spark, folder).filter("domain = 'DefInjected'")
-    extra = spark.createDataFrame(
-        [("GeneDef", "comps.N.text")], "def_type string, field_pattern string"
-    )
-    return resources.infer_from_defs(defs.withColumn("key_path", F.expr(_FIELD)), extra).select(
-        "doc_id", "key_path"
-    )
+    rows = resources.read_defs(spark, _defs_tree(spark, folder))
+    bad = F.col("error").isNotNull().alias("bad")
+    return rows.select("mod_dir", "file", "def_type", "key_path", F.md5("value").alias("value"), bad)
+
+
+@query("infer_from_defs", f"select 'id.' || source as mod_id, def_type, key_path, md5(value) as source_text from {_KEPT}")
+def _(spark, folder):
+    found = resources.inferred_strings(spark, _defs_tree(spark, folder), field_table=_own_fields(spark))
+    return found.select("mod_id", "def_type", "key_path", F.md5("source_text").alias("source_text"))
+
+
+@query(
+    "extract_all_domains",
+    f"""with m as (select distinct 'id.' || source as mod_id, source from documents where regexp_extract(source, '([0-9]+)$', 1)::int % 3 = 0)
+select mod_id, 'Keyed' as domain, null as def_type, 'Greeting' as key_path, md5('again') as source_text, null as file, -1 as idx from m
+union all select mod_id, 'DefInjected', 'ThingDef', 'Sword.label', md5(source), 'D', -1 from m
+union all select mod_id, 'Strings', null, 'Names.txt#0', md5('one'), 'Names', 0 from m
+union all select mod_id, 'Strings', null, 'Names.txt#1', md5(source), 'Names', 1 from m
+union all select 'id.' || source, 'DefInjected', def_type, key_path, md5(value), 'sub_d' || doc_id, -1 from {_KEPT}""",
+)
+def _(spark, folder):
+    found = resources.merged_strings(spark, _defs_tree(spark, folder), field_table=_own_fields(spark))
+    return found.withColumns({"source_text": F.md5("source_text"), "idx": F.coalesce("idx", F.lit(-1))})
 
 
 @query(
     "merged_strings",
-    f"""select source as mod_id, 'K' || (doc_id // 120) as key_path, arg_min(md5(text), (doc_id % 3, -doc_id)) as source_text
+    """select source as mod_id, 'K' || (doc_id // 120) as key_path, arg_min(md5(text), (doc_id % 3, -doc_id)) as source_text
  from documents group by 1, 2""",
 )
 def _(spark, folder):
     base = new_dir(spark, "mods")
     entries = v.entries(spark, folder)
-    # Files with repeated keys, as an author may write them, split by hash to stay small.
-    files = entries.groupBy("mod_id", "file").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "key", "value"))).alias("items")
-    )
-    element = lambda i: packs.element(i["key"], i["value"])
-    body = F.array_join(F.transform("items", element), "\n")
-    xml = files.select(
-        F.concat("mod_id", F.lit("/Languages/English/Keyed/"), "file").alias("path"),
-        F.concat(F.lit("<LanguageData>\n"), body, F.lit("\n</LanguageData>")).alias("text"),
-    )
+    # Files with repeated keys, as an author may write them.
+    path = F.concat("mod_id", F.lit("/Languages/English/Keyed/"), "file")
+    lines = entries.select(F.concat(F.lit("mods/"), path).alias("path"), "pos", packs.element(F.col("key"), F.col("value")).alias("line"))
+    write_tree(lines, ["pos"], base, "mods", **packs.XML)
     about = entries.select("mod_id").distinct().select(
         F.concat("mod_id", F.lit("/About/About.xml")).alias("path"),
-        F.concat(
-            F.lit("<ModMetaData><packageId>"), "mod_id", F.lit("</packageId><name>N</name></ModMetaData>")
-        ).alias("text"),
+        _tag("ModMetaData", _tag("packageId", "mod_id"), _tag("name", F.lit("N"))).alias("text"),
     )
-    packs.write_files(xml.unionAll(about), base)
-    return resources.merged_strings(spark, base).select(
+    packs.write_files(about, f"{base}/mods")
+    return resources.merged_strings(spark, f"{base}/mods").select(
         "mod_id", "key_path", F.md5("source_text").alias("source_text")
     )
 

@@ -29,7 +29,7 @@ def write_tm(df: DataFrame, path: str, version: int) -> None:
     The job's commit makes it visible, a repeated write of the same version replaces only that
     version, and readers of older versions are not disturbed.
     """
-    _write_rows(df, f"{path}/{BASE}={version}")
+    _write_rows(df, f"{path}/part={BASE}-{version}")
 
 
 def append_tm(df: DataFrame, path: str, name: str | int) -> None:
@@ -39,7 +39,7 @@ def append_tm(df: DataFrame, path: str, name: str | int) -> None:
     A repeated write of one name replaces its own rows. Names carry no order: rows are newest by
     their own times, so a delta counts whatever complete versions exist.
     """
-    _write_rows(df, f"{path}/{DELTA}={name}")
+    _write_rows(df, f"{path}/part={DELTA}-{name}")
 
 
 def tm_versions(spark: SparkSession, path: str) -> list[int]:
@@ -52,16 +52,16 @@ def _committed(spark: SparkSession, path: str, kind: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS"))
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/part={kind}-*/_SUCCESS"))
     names = [m.getPath().getParent().getName() for m in marks or []]
-    return sorted(n.split("=", 1)[1] for n in names)
+    return sorted(n.split("=", 1)[1].split("-", 1)[1] for n in names)
 
 
 def _folded(spark: SparkSession, path: str, version: int) -> set[str]:
     """Names of the deltas that a complete version already holds."""
     if str(version) not in _committed(spark, path, FOLDED):
         return set()
-    return {r.name for r in spark.read.schema("name string").json(f"{path}/{FOLDED}={version}").collect()}
+    return {r.name for r in spark.read.schema("name string").json(f"{path}/part={FOLDED}-{version}").collect()}
 
 
 def read_tm(
@@ -77,7 +77,7 @@ def read_tm(
     pair of languages. ``target_lang`` reads that language's folders only.
     """
     if version is not None:
-        df, overlaid = _rows(spark, path, BASE, version), False
+        df, overlaid = _rows(spark, path, f"{path}/part={BASE}-{version}"), False
     else:
         df, overlaid = _history(spark, path)
     if target_lang is not None:
@@ -90,24 +90,25 @@ def read_tm_history(spark: SparkSession, path: str) -> DataFrame:
     return _history(spark, path)[0]
 
 
-def _rows(spark: SparkSession, path: str, kind: str, name: str | int) -> DataFrame:
-    df = spark.read.schema(schemas.MEMORY).parquet(f"{path}/{kind}={name}")
+def _rows(spark: SparkSession, path: str, *folders: str) -> DataFrame:
+    """Rows of any number of written folders, as one scan: they are partitions of one table."""
+    df = spark.read.schema(schemas.MEMORY).option("basePath", path).parquet(*folders)
     return df.select(*schemas.MEMORY.fieldNames())
 
 
 def _history(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
-    """All rows of the newest complete version and of the deltas beside it; whether any overlap."""
+    """All rows of the newest complete version and of the deltas beside it; whether any overlap.
+
+    However many deltas there are, the plan has one scan.
+    """
     complete = tm_versions(spark, path)
     folded = _folded(spark, path, complete[-1]) if complete else set()
     deltas = [n for n in _committed(spark, path, DELTA) if n not in folded]
-    parts = [_rows(spark, path, BASE, complete[-1])] if complete else []
-    parts += [_rows(spark, path, DELTA, n) for n in deltas]
-    if not parts:
+    folders = [f"{path}/part={BASE}-{complete[-1]}"] if complete else []
+    folders += [f"{path}/part={DELTA}-{n}" for n in deltas]
+    if not folders:
         return spark.createDataFrame([], schemas.MEMORY), False
-    df = parts[0]
-    for part in parts[1:]:
-        df = df.unionByName(part)
-    return df, bool(deltas) or bool(folded)
+    return _rows(spark, path, *folders), bool(deltas) or bool(folded)
 
 
 def compact_tm(spark: SparkSession, path: str) -> int | None:
@@ -123,7 +124,7 @@ def compact_tm(spark: SparkSession, path: str) -> int | None:
         return None
     number = complete[-1] + 1 if complete else 0
     listed = spark.createDataFrame([(n,) for n in sorted({*done, *names})], "name string")
-    listed.coalesce(1).write.mode("overwrite").json(f"{path}/{FOLDED}={number}")
+    listed.coalesce(1).write.mode("overwrite").json(f"{path}/part={FOLDED}-{number}")
     write_tm(_history(spark, path)[0], path, number)
     return number
 

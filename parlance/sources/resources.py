@@ -7,7 +7,9 @@ was read, and only parsed rows are exchanged.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from io import BytesIO
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -18,12 +20,13 @@ from pyspark.sql import functions as F
 from parlance import schemas
 from parlance.functions.keys import parse_resource_path
 from parlance.functions.text import strip
-from parlance.operators.merging import last_value_in_file, merge_keyed_files
+from parlance.operators.merging import last_value_in_file, merge_keyed_files, union_domains
 
 
-def _files(spark: SparkSession, pattern: str, suffix: str) -> DataFrame:
+def _files(spark: SparkSession, pattern: str, suffix: str, recursive: bool = False) -> DataFrame:
     """(path, content) of all matching files; a pattern without files gives no rows."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}")
+    reader = reader.option("recursiveFileLookup", str(recursive).lower())
     try:
         return reader.load(pattern).select("path", "content")
     except AnalysisException as exc:
@@ -204,67 +207,204 @@ def live_roots(spark: SparkSession, base: str, version: str) -> DataFrame:
     return roots.filter("error is null").drop("error")
 
 
-def merged_strings(spark: SparkSession, base: str, language: str = schemas.SOURCE_LANGUAGE, version: str = schemas.DEFAULT_GAME_VERSION) -> DataFrame:
-    """All Keyed strings of all mods after both merge rules, under the resolved content roots."""
+def language_entries(
+    spark: SparkSession, base: str, language: str, version: str = schemas.DEFAULT_GAME_VERSION
+) -> DataFrame:
+    """All entries of a language in all domains: mod_id, domain, def_type, key_path, value, file, idx.
+
+    Mod ids come from the manifests, and a mod's files from its resolved content root only. Merge
+    rules: the last value of a key in a file, then the first file in order. ``file`` is the source
+    file without its ending and ``idx`` a pool line's index, where the domain's packs need them.
+    """
     mods = read_mods(spark, base).filter("error is null").select("mod_dir", "mod_id")
-    roots = live_roots(spark, base, version)
-    entries = read_keyed(spark, base, language, version).filter("error is null")
-    live = entries.join(roots, ["mod_dir", "content_root"], "left_semi")
-    merged = merge_keyed_files(live.join(mods, "mod_dir"))
-    return merged.select(
-        "mod_id",
-        F.lit("Keyed").alias("domain"),
-        F.lit(None).cast("string").alias("def_type"),
-        F.col("key").alias("key_path"),
-        F.col("value").alias("source_text"),
+    live = live_roots(spark, base, version).join(mods, "mod_dir")
+
+    def placed(entries: DataFrame) -> DataFrame:
+        return entries.filter("error is null").join(live, ["mod_dir", "content_root"]).drop("mod_dir")
+
+    def shaped(df: DataFrame, domain: str, def_type, key, value, file, idx) -> DataFrame:
+        return df.select(
+            "mod_id",
+            F.lit(domain).alias("domain"),
+            def_type.cast("string").alias("def_type"),
+            key.alias("key_path"),
+            value.alias("value"),
+            file.cast("string").alias("file"),
+            idx.cast("bigint").alias("idx"),
+        )
+
+    null, stem = F.lit(None), F.regexp_replace("file", r"\.[^.]+$", "")
+    keyed = merge_keyed_files(placed(read_keyed(spark, base, language, version)))
+    defs = placed(read_definjected(spark, base, language, version))
+    last = last_value_in_file(defs.withColumn("mod_id", F.struct("mod_id", "def_type")))
+    first = last.groupBy("mod_id", "key").agg(F.min_by(F.struct("value", "file"), "file").alias("_v"))
+    first = first.select("mod_id.mod_id", "mod_id.def_type", "key", "_v.value", "_v.file")
+    pools = placed(read_string_pools(spark, base, language, version))
+    address = F.concat("file", F.lit("#"), F.col("idx").cast("string"))
+    return union_domains(
+        shaped(keyed, "Keyed", null, F.col("key"), F.col("value"), null, null),
+        shaped(first, "DefInjected", F.col("def_type"), F.col("key"), F.col("value"), stem, null),
+        shaped(pools, "Strings", null, address, F.col("line"), stem, F.col("idx")),
     )
 
 
+def merged_strings(
+    spark: SparkSession,
+    base: str,
+    language: str = schemas.SOURCE_LANGUAGE,
+    version: str = schemas.DEFAULT_GAME_VERSION,
+    field_table: DataFrame | None = None,
+) -> DataFrame:
+    """The source strings of all mods and domains, with what ``Defs/`` implies where a mod has no English."""
+    shipped = language_entries(spark, base, language, version).withColumnRenamed("value", "source_text")
+    return shipped.unionByName(inferred_strings(spark, base, language, version, field_table))
+
+
 def read_existing_translations(
     spark: SparkSession,
     base: str,
     language: str = schemas.TARGET_LANGUAGE,
     version: str = schemas.DEFAULT_GAME_VERSION,
 ) -> DataFrame:
-    """What the target language folders already hold, in one table keyed like strings.
+    """What the target language folders already hold, in one table keyed like strings."""
+    found = language_entries(spark, base, language, version)
+    return found.select("mod_id", "domain", "def_type", "key_path", F.col("value").alias("translation"))
 
-    Mod ids come from the manifests, and a mod's files from its resolved content root only.
+
+DEF_FIELDS = "path string, pos bigint, def_type string, key_path string, value string, error string"
+ROWS_AT_ONCE = 10_000
+
+
+def def_fields(content: bytes) -> Iterator[tuple[str, str, str]]:
+    """(def type, dotted field path, text) of every text field of a Defs file, one Def in memory at a time.
+
+    Paths begin with the Def's name; a list item is named by its position among its siblings. Defs
+    that are abstract or have no name cannot be addressed and are passed over.
+    """
+    path: list[str] = []  # names below the Def
+    items: list[int] = []  # list items met so far, by depth
+    nested: list[bool] = []  # whether an element holds elements
+    fields: list[tuple[str, str]] = []
+    name, root = None, None
+    for event, node in ElementTree.iterparse(BytesIO(content), events=("start", "end")):
+        if event == "start":
+            if root is None:
+                root = node
+                continue
+            if nested:
+                nested[-1] = True
+                step = node.tag
+                if step == "li":
+                    step, items[-1] = str(items[-1]), items[-1] + 1
+                path.append(step)
+            items.append(0)
+            nested.append(False)
+        elif nested:
+            items.pop()
+            leaf = not nested.pop()
+            if not nested:  # the Def itself ends
+                if name and node.get("Abstract", "").lower() != "true":
+                    yield from ((node.tag, f"{name}.{field}", text) for field, text in fields)
+                fields, name = [], None
+                root.clear()
+                continue
+            if leaf and (node.text or "").strip():
+                if path == ["defName"]:
+                    name = node.text.strip()
+                else:
+                    fields.append((".".join(path), node.text))
+            path.pop()
+
+
+def parse_defs(files: DataFrame) -> DataFrame:
+    """(path, content) to one row per text field, or one error row for a malformed file.
+
+    A file is read through once before any of its rows is given, so a bad one gives no fields; rows
+    are given in parts, so no file's fields are ever held together.
     """
-    mods = read_mods(spark, base).filter("error is null").select("mod_dir", "mod_id")
-    live = live_roots(spark, base, version).join(mods, "mod_dir")
 
-    def placed(entries: DataFrame) -> DataFrame:
-        found = entries.filter("error is null").join(live, ["mod_dir", "content_root"])
-        return found.drop("mod_dir").withColumnRenamed("mod_id", "mod_dir")
+    def frame(path: str, begin: int, rows: list) -> pd.DataFrame:
+        kinds, keys, texts = zip(*rows, strict=True)
+        pos = pd.array(range(begin, begin + len(rows)), dtype="Int64")
+        return pd.DataFrame({"path": path, "pos": pos, "def_type": kinds, "key_path": keys, "value": texts, "error": None})
 
-    keyed = placed(read_keyed(spark, base, language, version))
-    defs = placed(read_definjected(spark, base, language, version))
-    pools = placed(read_string_pools(spark, base, language, version))
+    def parse(path: str, content: bytes) -> Iterator[pd.DataFrame]:
+        try:
+            for _ in def_fields(content):
+                pass
+        except ElementTree.ParseError as exc:
+            blank = {c: [None] for c in ("def_type", "key_path", "value")}
+            yield pd.DataFrame({"path": [path], "pos": pd.array([None], dtype="Int64"), **blank, "error": [str(exc)]})
+            return
+        begin, rows = 0, []
+        for row in def_fields(content):
+            rows.append(row)
+            if len(rows) == ROWS_AT_ONCE:
+                yield frame(path, begin, rows)
+                begin, rows = begin + len(rows), []
+        if rows:
+            yield frame(path, begin, rows)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for given in frames:
+            for pair in zip(given["path"], given["content"], strict=True):
+                yield from parse(*pair)
+
+    return files.mapInPandas(run, DEF_FIELDS)
+
+
+def _defs_place(version: str) -> tuple[dict, str]:
+    place = rf"([^/]+)(?:/({re.escape(version)}))?/Defs/(.+)\.xml$"
+    return {"mod_dir": F.regexp_extract("path", place, 1), "content_root": F.regexp_extract("path", place, 2)}, place
+
+
+def read_defs(spark: SparkSession, base: str, version: str = schemas.DEFAULT_GAME_VERSION) -> DataFrame:
+    """Text fields of all Defs files: mod_dir, content_root, file, pos, def_type, key_path, value, error."""
+    names, place = _defs_place(version)
+    files = _files(spark, f"{base}/*/{{Defs,{version}/Defs}}", "xml", recursive=True)
+    rows = parse_defs(files).withColumns(names | {"file": F.replace(F.regexp_extract("path", place, 3), F.lit("/"), F.lit("_"))})
+    return rows.select("mod_dir", "content_root", "file", "pos", "def_type", "key_path", "value", "error")
 
-    def shaped(df: DataFrame, domain: str, def_type, key, value) -> DataFrame:
-        return df.select(
-            F.col("mod_dir").alias("mod_id"),
-            F.lit(domain).alias("domain"),
-            def_type.cast("string").alias("def_type"),
-            key.alias("key_path"),
-            value.alias("translation"),
-        )
 
-    null = F.lit(None)
-    merged = merge_keyed_files(keyed.withColumnRenamed("mod_dir", "mod_id")).withColumnRenamed(
-        "mod_id", "mod_dir"
+def mods_with_language(
+    spark: SparkSession, base: str, language: str = schemas.SOURCE_LANGUAGE, version: str = schemas.DEFAULT_GAME_VERSION
+) -> DataFrame:
+    """mod_dir of the mods that ship files of a language under their content root; no file is opened."""
+    place = parse_resource_path("path")
+    found = list_resources(spark, base).select(place.alias("_p")).filter(F.col("_p.language") == language)
+    found = found.select("_p.mod_dir", F.coalesce("_p.version", F.lit("")).alias("content_root"))
+    return found.join(live_roots(spark, base, version), ["mod_dir", "content_root"], "left_semi").select("mod_dir").distinct()
+
+
+def inferred_strings(
+    spark: SparkSession,
+    base: str,
+    language: str = schemas.SOURCE_LANGUAGE,
+    version: str = schemas.DEFAULT_GAME_VERSION,
+    field_table: DataFrame | None = None,
+) -> DataFrame:
+    """DefInjected strings that ``Defs/`` implies for mods without files of the language.
+
+    A mod's ``<version>/Defs`` beats its ``Defs``. A field given twice has its last value in the first
+    file, as merged DefInjected files have.
+    """
+    mods = read_mods(spark, base).filter("error is null").select("mod_dir", "mod_id")
+    listed = list_resources(spark, base).select(*[c.alias(n) for n, c in _defs_place(version)[0].items()])
+    roots = listed.filter("mod_dir <> ''").groupBy("mod_dir").agg(F.max("content_root").alias("content_root"))
+    fields = read_defs(spark, base, version).filter("error is null").join(mods, "mod_dir")
+    fields = fields.join(roots, ["mod_dir", "content_root"], "left_semi")
+    fields = infer_from_defs(fields, field_table, mods_with_language(spark, base, language, version))
+    first = fields.groupBy("mod_id", "def_type", "key_path").agg(
+        F.min_by(F.struct("value", "file"), F.struct("file", -F.col("pos"))).alias("_v")
     )
-    last = last_value_in_file(
-        defs.withColumn("mod_id", F.struct("mod_dir", "def_type"))
-    ).select("mod_id.mod_dir", "mod_id.def_type", "file", "key", "value")
-    first = last.groupBy("mod_dir", "def_type", "key").agg(F.min_by("value", "file").alias("value"))
-    address = F.concat("file", F.lit("#"), F.col("idx").cast("string"))
-    return (
-        shaped(merged, "Keyed", null, F.col("key"), F.col("value"))
-        .unionByName(
-            shaped(first, "DefInjected", F.col("def_type"), F.col("key"), F.col("value"))
-        )
-        .unionByName(shaped(pools, "Strings", null, address, F.col("line")))
+    return first.select(
+        "mod_id",
+        F.lit("DefInjected").alias("domain"),
+        "def_type",
+        "key_path",
+        F.col("_v.value").alias("source_text"),
+        F.col("_v.file").alias("file"),
+        F.lit(None).cast("bigint").alias("idx"),
     )
 
 
@@ -272,16 +412,19 @@ def read_existing_translations(
 TRANSLATABLE_FIELDS = ("label", "description", "labelFemale", "stages.N.label")
 
 
-def infer_from_defs(def_fields: DataFrame, field_table=None) -> DataFrame:
+def infer_from_defs(def_fields: DataFrame, field_table=None, with_language: DataFrame | None = None) -> DataFrame:
     """Keep the translatable fields of mods that ship no English.
 
     ``field_table`` (def_type, field_pattern) extends the built-in paths; its size decides whether
-    it is broadcast.
+    it is broadcast. ``with_language`` holds the mod_dir of the mods that have English and so are
+    left out; without it every field's mod counts as one that has none.
     """
     pattern = F.regexp_replace(
         F.regexp_extract("key_path", r"^[^.]+\.(.+)$", 1), r"(^|\.)[0-9]+(?=\.|$)", "$1N"
     )
     fields = def_fields.withColumn("field_pattern", pattern)
+    if with_language is not None:
+        fields = fields.join(with_language.select("mod_dir"), "mod_dir", "left_anti")
     known = F.col("field_pattern").isin(*TRANSLATABLE_FIELDS)
     if field_table is None:
         return fields.filter(known)

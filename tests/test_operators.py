@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -158,3 +159,31 @@ def test_chrf_against_brute_force(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_quantiles_are_exact_for_any_number_of_values(spark):
+    from parlance.operators.reports import exact_quantiles
+
+    rng = np.random.default_rng(4)
+    groups = {"wide": rng.normal(size=20_000), "tied": rng.integers(0, 3, 5000) * 1.5, "one": np.array([7.0]), "two": np.array([1.0, 2.0])}
+    rows = [(g, float(x)) for g, values in groups.items() for x in values]
+    rows += [("one", None), ("one", float("nan")), ("none", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    wanted = {"low": 0.0, "half": 0.5, "most": 0.95, "high": 1.0}
+    got = {r["g"]: tuple(r)[1:] for r in exact_quantiles(df, ["g"], "x", wanted).collect()}
+    groups[None] = np.array([3.0])
+    assert got.keys() == groups.keys()
+    for g, values in groups.items():
+        assert got[g] == pytest.approx([np.quantile(values, p) for p in wanted.values()], rel=1e-15)
+
+
+def test_review_sample_has_an_exact_size_and_does_not_depend_on_partitions(spark):
+    from parlance.operators.scoring import review_sample
+
+    df = spark.range(1000).select("id", (F.col("id") % 7 == 0).alias("rare"), F.when(F.col("id") < 4, "few").alias("kind"))
+    samples = [review_sample(df.repartition(n), 20, ["id"], ["rare", "kind"]).collect() for n in (1, 7)]
+    assert sorted(samples[0]) == sorted(samples[1])
+    sizes = {(r["rare"], r["kind"]): 0 for r in samples[0]}
+    for r in samples[0]:
+        sizes[r["rare"], r["kind"]] += 1
+    assert sizes == {(True, None): 20, (False, None): 20, (True, "few"): 1, (False, "few"): 3}

@@ -81,6 +81,56 @@ def test_merge_rules_and_content_root(spark, mods):
     }
 
 
+DEFS = """<?xml version="1.0" encoding="utf-8"?>
+<Defs>
+  <ThingDef ParentName="Base"><label>axe &amp; co</label><defName> Axe </defName>
+    <stages><li><label>one</label></li><!-- c --><li><label>two</label><steps><li> a</li><li>b</li></steps></li></stages>
+    <labelFemale/><description>   </description><mixed>text<b>x</b></mixed>
+  </ThingDef>
+  <ThingDef Abstract="true"><defName>Base</defName><label>never</label></ThingDef>
+  <Own.GeneDef><label>no name</label></Own.GeneDef>
+  <Own.GeneDef><defName>G</defName><description>dd</description></Own.GeneDef>
+</Defs>"""
+
+
+def test_def_fields_are_dotted_paths_with_list_positions():
+    assert list(resources.def_fields(DEFS.encode())) == [
+        ("ThingDef", "Axe.label", "axe & co"),
+        ("ThingDef", "Axe.stages.0.label", "one"),
+        ("ThingDef", "Axe.stages.1.label", "two"),
+        ("ThingDef", "Axe.stages.1.steps.0", " a"),
+        ("ThingDef", "Axe.stages.1.steps.1", "b"),
+        ("ThingDef", "Axe.mixed.b", "x"),
+        ("Own.GeneDef", "G.description", "dd"),
+    ]
+    assert list(resources.def_fields(b"<Defs/>")) == []
+
+
+def test_defs_speak_for_mods_without_english(spark, mods):
+    base = Path(mods)
+    for mod in ("a", "e"):  # a has English, e has no languages at all
+        put(base / mod / "Defs/Things/T.xml", DEFS)
+        put(base / mod / "Defs/Bad.xml", DEFS.replace("</Defs>", "<Open></Defs>"))
+    put(base / "d/Defs/T.xml", DEFS)  # without a usable manifest
+    rows = resources.read_defs(spark, mods)
+    bad = rows.filter("error is not null").collect()
+    assert sorted((r["mod_dir"], r["file"], r["key_path"]) for r in bad) == [("a", "Bad", None), ("e", "Bad", None)]
+    assert rows.filter("error is null").count() == 3 * 7
+    extra = spark.createDataFrame([("ThingDef", "stages.N.steps.N")], "def_type string, field_pattern string")
+    found = resources.merged_strings(spark, mods, field_table=extra).filter("domain = 'DefInjected'").collect()
+    assert sorted((r["mod_id"], r["def_type"], r["key_path"], r["source_text"], r["file"]) for r in found) == [
+        ("test.e", "Own.GeneDef", "G.description", "dd", "Things_T"),
+        ("test.e", "ThingDef", "Axe.label", "axe & co", "Things_T"),
+        ("test.e", "ThingDef", "Axe.stages.0.label", "one", "Things_T"),
+        ("test.e", "ThingDef", "Axe.stages.1.label", "two", "Things_T"),
+        ("test.e", "ThingDef", "Axe.stages.1.steps.0", " a", "Things_T"),
+        ("test.e", "ThingDef", "Axe.stages.1.steps.1", "b", "Things_T"),
+    ]
+    put(base / "e/1.6/Defs/New.xml", "<Defs><ThingDef><defName>N</defName><label>new</label></ThingDef></Defs>")
+    found = resources.inferred_strings(spark, mods).collect()
+    assert [(r["mod_id"], r["key_path"]) for r in found] == [("test.e", "N.label")]
+
+
 def test_content_root_without_languages_is_an_error_row(spark):
     paths = spark.createDataFrame([("e", "/m/e/About/About.xml")], "mod_dir string, path string")
     assert resources.resolve_content_root(paths).first()["error"] == "no Languages folder"
@@ -313,3 +363,19 @@ def test_deltas_below_a_base_and_two_languages_survive(spark, tmp_path):
     assert datasets.read_tm_history(spark, path).count() == 4
     datasets.append_tm(rows((5, "A", "de")), path, "third-stream-0")
     assert state() == now - {("A", "de", 2)} | {("A", "de", 5)}
+
+
+def test_many_deltas_are_one_scan(spark, tmp_path):
+    from datetime import datetime
+
+    from parlance.schemas import MEMORY
+
+    path = str(tmp_path / "tm")
+    blank = {f.name: None for f in MEMORY} | {"mod_id": "m", "domain": "Keyed", "target_lang": "ru"}
+    for k in range(12):
+        row = blank | {"id": k, "key_path": f"K{k % 5}", "updated_at": datetime(2024, 1, 1 + k)}
+        datasets.append_tm(spark.createDataFrame([tuple(row.values())], MEMORY), path, k)
+    read = datasets.read_tm(spark, path)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    assert sorted(r["id"] for r in read.collect()) == [7, 8, 9, 10, 11]
