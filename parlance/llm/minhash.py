@@ -20,7 +20,7 @@ A document shares at most the weight of those shingles that occur in another ope
 members whose shared weight is too small for any other are set aside. That weight is kept in
 ``SEGMENTS`` segments of the hash range, and two documents share at most the sum of the smaller one
 of each segment: copies with different edits lack weight in different segments, so pairs of them are
-told apart by a few numbers, and no text is moved for them. The pairs that are left are compared by
+told apart by a few numbers (first by sums of segments, then by each), and no text is moved for them. The pairs that are left are compared by
 exact weighted Jaccard similarity over the whole texts.
 Equal texts are one document here and never compared.
 
@@ -48,8 +48,9 @@ BANDS, ROWS = 16, 4
 STEP = 32  # weights are multiples of this part
 LEAN = 1 / 8
 TOP = round(STEP * (1 + LEAN))
-SEGMENT_BITS = 4  # with more, the compiled join condition gets too long for the JVM to optimise
+SEGMENT_BITS = 6
 SEGMENTS = 1 << SEGMENT_BITS
+COARSE = 16  # segments of the first bound: with more, the compiled condition gets too long for the JVM
 MEMBERS = 2000  # members that one task compares with a copy of their leader
 
 _TABLE_BITS = 16
@@ -285,8 +286,22 @@ def shared_weights(texts: DataFrame, weights) -> DataFrame:
     rows = texts.select("id", "text").mapInArrow(spread, "hash bigint, id bigint, weight bigint")
     rows = rows.repartition("hash").sortWithinPartitions("hash")
     parts = rows.mapInArrow(mark, "id bigint, segment int, weight bigint, shared bigint")
-    shares = [F.sum(F.when(F.col("segment") == k, F.col("shared")).otherwise(0)) for k in range(SEGMENTS)]
-    return parts.groupBy("id").agg(F.sum("weight").alias("weight"), F.array(*shares).alias("shares"))
+    found = parts.groupBy("id", "segment").agg(F.sum("weight").alias("weight"), F.sum("shared").cast("int").alias("shared"))
+    held = found.groupBy("id").agg(
+        F.sum("weight").alias("weight"), F.map_from_entries(F.collect_list(F.struct("segment", "shared"))).alias("held")
+    )
+    each = F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda k: F.coalesce(F.try_element_at("held", k), F.lit(0)))
+    return held.select("id", "weight", each.alias("shares"))
+
+
+def total(numbers):
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+
+
+def coarse(shares: str):
+    """The shares of ``COARSE`` segments, each the sum of several of the finer ones."""
+    width = SEGMENTS // COARSE
+    return F.array(*[total(F.slice(shares, k * width + 1, width)) for k in range(COARSE)])
 
 
 def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
@@ -318,21 +333,25 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     links = Stored(linked(pairs, texts, weights, threshold), "minhash-links").df
     found = Stored(components(links), "minhash-components").df
     open_ids = _open(members, found).select("id").distinct()
-    sizes = Stored(shared_weights(texts.join(open_ids, "id"), weights), "minhash-weights").df
+    sizes = shared_weights(texts.join(open_ids, "id"), weights)
+    sizes = Stored(sizes.select("*", coarse("shares").alias("coarse"), total("shares").alias("shared")), "minhash-weights").df
     for last in (False, True):
         # Groups that still hold several components, and their members that can have a link.
         rows = _open(members, found).join(sizes, "id")
         least = rows.groupBy("key").agg(F.min("weight").alias("least"))
-        shared = sum((F.col("shares")[k] for k in range(1, SEGMENTS)), F.col("shares")[0])
-        most = shared * F.lit((1 + threshold) / threshold) - F.col("weight") + 1e-6
+        most = F.col("shared") * F.lit((1 + threshold) / threshold) - F.col("weight") + 1e-6
         rows = rows.join(least, "key").withColumn("most", most).where(F.col("most") >= F.col("least"))
-        rows = _several(Stored(rows.select("key", "id", "component", "weight", "shares"), "minhash-open").df)
-        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{i}") for c in ("id", "component", "weight", "shares")]) for i in "ab")
+        carried = ("id", "component", "weight", "coarse", "shares")
+        rows = _several(Stored(rows.select("key", *carried), "minhash-open").df)
+        one, two = (rows.select("key", *[F.col(c).alias(f"{c}_{i}") for c in carried]) for i in "ab")
         if not last:
             lead = rows.groupBy("key").agg(F.min_by("id", F.xxhash64("id", "key")).alias("leader"))
             one = one.join(lead, "key").where("id_a = leader").drop("leader")
-        common = [F.least(F.col("shares_a")[k], F.col("shares_b")[k]) for k in range(SEGMENTS)]
-        can = sum(common[1:], common[0]) * F.lit((1 + threshold) / threshold) + 1e-6 >= F.col("weight_a") + F.col("weight_b")
+        # The coarse bound is compiled and leaves few pairs for the finer one.
+        common = [F.least(F.col("coarse_a")[k], F.col("coarse_b")[k]) for k in range(COARSE)]
+        bounds = (sum(common[1:], common[0]), total(F.zip_with("shares_a", "shares_b", lambda x, y: F.least(x, y))))
+        rough, fine = (b * F.lit((1 + threshold) / threshold) + 1e-6 >= F.col("weight_a") + F.col("weight_b") for b in bounds)
+        can = F.when(rough, fine).otherwise(False)
         order = (F.col("id_a") < F.col("id_b")) if last else F.lit(True)
         pairs = one.join(two, "key").where((F.col("component_a") != F.col("component_b")) & can & order)
         pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
