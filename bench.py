@@ -69,8 +69,19 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
-    cold = {n: round(run(spark, n, folder), 3) for n in names}
-    warm = {n: round(run(spark, n, folder), 3) for n in names}
+    failed: dict[str, str] = {}
+
+    def timed(name: str) -> float | None:
+        """Seconds of one run; a query that fails is reported and does not cost the others' figures."""
+        try:
+            return round(run(spark, name, folder), 3)
+        except Exception as exc:
+            failed[name] = f"{type(exc).__name__}: {exc}"[:300]
+            return None
+
+    cold = {n: timed(n) for n in names}
+    warm = {n: timed(n) for n in names if n not in failed}
+    warm = {n: s for n, s in warm.items() if s is not None}
     total = round(sum(warm.values()), 3)
     print(
         json.dumps(
@@ -80,6 +91,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": warm,
                 "cold": cold,
+                "failed": failed,
                 "sf": folder.rstrip("/").rsplit("/", 1)[-1],
             }
         )
