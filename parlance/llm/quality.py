@@ -110,11 +110,15 @@ def train(labelled: DataFrame, s: Settings = Settings()) -> Model:
     if len(set(labels.tolist())) < 2:
         share = float(labels.mean()) if len(labels) else 0.5
         return Model(np.zeros(s.buckets, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))), s)
+    # Views of the gathered buffers: the driver holds the sample once.
     docs = [
-        (np.frombuffer(r, "<u4").astype(np.int64), np.frombuffer(c, "<f4"))
-        for r, c in zip(found.column("rows").to_pylist(), found.column("counts").to_pylist(), strict=True)
+        (np.frombuffer(r.as_buffer(), "<u4"), np.frombuffer(c.as_buffer(), "<f4"))
+        for r, c in zip(found.column("rows"), found.column("counts"), strict=True)
     ]
-    return fit(docs, labels, s)
+    model = fit(docs, labels, s)
+    del docs, found
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> Model:
@@ -131,7 +135,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settin
             rate = s.rate * max(1 - step / s.steps, 0.0)
             step += 1
             sizes = np.array([len(docs[i][0]) for i in pick])
-            rows = np.concatenate([docs[i][0] for i in pick])
+            rows = np.concatenate([docs[i][0] for i in pick]).astype(np.int64)
             share = np.concatenate([docs[i][1] / max(docs[i][1].sum(), 1) for i in pick])
             of = np.repeat(np.arange(len(pick)), sizes)
             mean = np.zeros((len(pick), s.width), np.float32)
