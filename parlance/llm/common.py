@@ -40,6 +40,19 @@ def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return Stored(df, name, codec).df
 
 
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of a few hundred rows, unless the session asks for fewer.
+
+    Spark's own 10,000 rows are 50 MB and more of whole texts, which a task holds several times over:
+    in the JVM's buffers, in the worker's and as Python values. Counts of rows are all that can be set.
+    """
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import Stored, text_or_empty, text_slices
+from parlance.llm.common import Stored, small_batches, text_or_empty, text_slices
 from parlance.llm.components import components
 from parlance.llm.shingles import Shingler, mixed
 
@@ -314,6 +314,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id, content, class_id (smallest doc_id of the class), repeats and whether it stands for its class,
     for each distinct row."""
     spark = docs.sparkSession
+    small_batches(spark)
     weights = spark.sparkContext.broadcast(inverse_frequencies(docs))
     signed = Stored(signatures(docs, weights), "minhash-signatures").df
     unique = signed.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))

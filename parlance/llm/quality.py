@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import text_or_empty
+from parlance.llm.common import small_batches, text_or_empty
 
 WORDS_CACHED = 150_000
 
@@ -201,6 +201,7 @@ _scorers: dict[str, Scorer] = {}
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``document`` (all columns of ``docs`` as one value) and ``score``, the chance of class 1."""
+    small_batches(docs.sparkSession)
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("double")
