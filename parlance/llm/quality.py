@@ -4,8 +4,8 @@ Features are words and their character n-grams, hashed into a table of learned v
 marks that stand for a word that repeats its predecessor and for a word seen before in the text. A
 document is the mean of its features' vectors; a linear layer and softmax give the class. Training is
 stochastic gradient descent in numpy on a bounded sample of labelled documents (``max_documents``,
-those first in a seeded hash order). Tasks count the sample's features, so each document reaches the
-driver as at most one number per table row; the model is a table of fixed size.
+those first in a seeded hash order). Tasks count the sample's features, one task learns from the counts,
+and only the model, a table of fixed size, reaches the driver.
 
 Scoring covers every whole text. With two classes the layer folds into the vectors: each feature has
 one number, a word has the sum over its features, kept in a bounded cache.
@@ -100,25 +100,38 @@ def train(labelled: DataFrame, s: Settings = Settings()) -> Model:
         cache: dict = {}
         for batch in batches:
             pairs = [document_features(t, s, cache) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([p[:, 0].astype("<u4").tobytes() for p in pairs], pa.binary()), pa.array([p[:, 1].astype("<f4").tobytes() for p in pairs], pa.binary())],
-                ["label", "rows", "counts"],
-            )
+            rows, counts = ([p[:, k].astype(kind).tobytes() for p in pairs] for k, kind in ((0, "<u4"), (1, "<f4")))
+            columns = [batch.column(1), batch.column(2), pa.array(rows, pa.binary()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["label", "draw", "rows", "counts"])
 
-    found = chosen.select("text", "label").mapInArrow(run, "label int, rows binary, counts binary").toArrow()
+    def learn(batches):
+        model = learned(pa.Table.from_batches(list(batches), FEATURES), s)
+        yield pa.RecordBatch.from_pydict({"weights": [model.weights.astype("<f4").tobytes()], "bias": [model.bias]})
+
+    features = chosen.select("text", "label", "draw").mapInArrow(run, "label int, draw bigint, rows binary, counts binary")
+    # The sample is bounded, so one task learns from it; the driver sees the model alone.
+    features = features.repartition(1).sortWithinPartitions("draw", "label", "rows")
+    made = features.mapInArrow(learn, "weights binary, bias double").first()
+    if made is None:
+        return Model(np.zeros(s.buckets, np.float32), 0.0, s)
+    return Model(np.frombuffer(made.weights, "<f4"), made.bias, s)
+
+
+FEATURES = pa.schema([("label", pa.int32()), ("draw", pa.int64()), ("rows", pa.binary()), ("counts", pa.binary())])
+
+
+def learned(found: pa.Table, s: Settings) -> Model:
+    """The model of a table of labelled feature counts."""
     labels = np.array(found.column("label").to_pylist(), dtype=np.int64)
     if len(set(labels.tolist())) < 2:
         share = float(labels.mean()) if len(labels) else 0.5
         return Model(np.zeros(s.buckets, np.float32), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))), s)
-    # Views of the gathered buffers: the driver holds the sample once.
+    # Views of the table's buffers: the task holds the sample once.
     docs = [
         (np.frombuffer(r.as_buffer(), "<u4"), np.frombuffer(c.as_buffer(), "<f4"))
         for r, c in zip(found.column("rows"), found.column("counts"), strict=True)
     ]
-    model = fit(docs, labels, s)
-    del docs, found
-    pa.default_memory_pool().release_unused()
-    return model
+    return fit(docs, labels, s)
 
 
 def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> Model:
