@@ -6,10 +6,16 @@ vectors, one for each half of the (randomly rotated) coordinates: every pair of
 direction, and all exceeding pairs of a vector are listed from its two sorted lists of products
 without trying all. Vectors that share a direction are compared exactly in double precision.
 
-Cap height and code size follow from the number of vectors alone: a cap holds ``OCCUPANCY`` vectors
-of the largest label on average and a vector lies in ``FILTERS`` caps. A pair at the threshold
-shares over ten of them on average. Directions with many vectors are compared tile by tile
-(``TILE`` vectors a side), every pair of tiles being a group of its own; none is cut.
+A code has as many directions as let a cap hold ``OCCUPANCY`` vectors of the largest label; its height is
+measured so that a vector lies in ``FILTERS`` caps, and the whole is repeated with independent
+rotations until a pair at the threshold shares a cap with probability ``RECALL``: the number of
+repetitions follows from the share of planted pairs that one repetition finds, at the given number of
+vectors, dimension and threshold. Directions with many vectors are compared tile by tile (``TILE``
+vectors a side), every pair of tiles being a group of its own; none is cut.
+
+A pair is counted in the first cap that holds both, so nothing has to be made distinct. A group of
+tiles gives one row for each linked vector, with the links counted there and the smallest vector
+it is connected to inside the group; pairs are never written.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, and rows with a
 null label or null vec_id, link with nothing and are their own component; vectors of different
@@ -20,7 +26,7 @@ repeated rows count as several vectors; an empty table gives no rows; other colu
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +36,12 @@ from pyspark.sql import functions as F
 from parlance.llm.common import Stored
 from parlance.llm.components import components
 
-FILTERS = 24
-OCCUPANCY = 48
+FILTERS = 10
+OCCUPANCY = 256
 TILE = 512
+COLUMNS = 4096
+RECALL = 0.998
+TRIALS, TRIAL_CODES = 256, 8
 
 
 def usable(vector: Column) -> Column:
@@ -44,27 +53,32 @@ def usable(vector: Column) -> Column:
 class ProductCode:
     """Two codes over the halves of rotated vectors, and the height of the caps."""
 
-    def __init__(self, dimension: int, population: int, seed: int):
-        share = min(0.25, OCCUPANCY / max(population, 1))
-        words = max(2, math.ceil(math.sqrt(FILTERS / share)))
-        rng = np.random.default_rng([seed, dimension])
+    def __init__(self, dimension: int, words: int, height: float, seed: int, repetition: int):
+        rng = np.random.default_rng([seed, dimension, repetition])
         self.rotation, _ = np.linalg.qr(rng.standard_normal((dimension, dimension)))
         self.half = (dimension + 1) // 2
         self.codes = []
         for size in (self.half, dimension - self.half):
             code = rng.standard_normal((words, max(size, 1)))
             self.codes.append(code / np.linalg.norm(code, axis=1, keepdims=True))
-        # Inner products with a random direction are nearly normal with variance 1 / dimension.
-        self.height = NormalDist().inv_cdf(1 - share) * math.sqrt(2 / dimension)
-        self.words = words
+        self.height, self.words = height, words
 
-    def exceeding(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and directions of all caps that hold each (unit) vector."""
+    def _products(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inner products with the left words, with the right words in falling order, and that order."""
         turned = vectors @ self.rotation
         left = turned[:, : self.half] @ self.codes[0].T
         right = turned[:, self.half :] @ self.codes[1].T if vectors.shape[1] > 1 else np.zeros((len(vectors), self.words))
         order = np.argsort(-right, axis=1)
-        falling = np.take_along_axis(right, order, axis=1)
+        return left, np.take_along_axis(right, order, axis=1), order
+
+    def held(self, vectors: np.ndarray) -> np.ndarray:
+        """Number of caps that hold each vector."""
+        left, falling, _ = self._products(vectors)
+        return np.array([np.searchsorted(-f, row - self.height, side="right").sum() for row, f in zip(left, falling, strict=True)])
+
+    def exceeding(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and directions of all caps that hold each (unit) vector."""
+        left, falling, order = self._products(vectors)
         rows, directions = [], []
         for k in range(len(vectors)):
             first = np.flatnonzero(left[k] >= self.height - falling[k, 0])
@@ -75,50 +89,148 @@ class ProductCode:
         return np.concatenate(rows), np.concatenate(directions)
 
 
+@dataclass(frozen=True)
+class Plan:
+    """What all tasks must agree on for vectors of one length."""
+
+    dimension: int
+    words: int
+    height: float
+    repetitions: int
+    seed: int
+
+    def codes(self) -> list[ProductCode]:
+        return [ProductCode(self.dimension, self.words, self.height, self.seed, k) for k in range(self.repetitions)]
+
+
+def planted(dimension: int, cosine: float, count: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors and, for each, one at the given cosine to it."""
+    x, z = (rng.standard_normal((count, dimension)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-300)
+    y = cosine * x + math.sqrt(max(1 - cosine * cosine, 0.0)) * z
+    return x, y / np.linalg.norm(y, axis=1, keepdims=True)
+
+
+def shared(code: ProductCode, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """True for the pairs of rows that lie in a common cap."""
+    space = code.words**2
+    one, two = (rows * space + caps for rows, caps in (code.exceeding(x), code.exceeding(y)))
+    found = np.zeros(len(x), bool)
+    found[np.intersect1d(one, two, assume_unique=True) // space] = True
+    return found
+
+
+def plan(dimension: int, population: int, threshold: float, seed: int) -> Plan:
+    """Code size from the number of vectors; height and repetitions measured on planted pairs.
+
+    Rotations are random, so a pair's chance of a common cap depends on its cosine alone and the planted
+    pairs speak for any data. Two standard errors are taken off the measured share.
+    """
+    share = min(0.25, OCCUPANCY / max(population, 1))
+    words = max(2, math.ceil(math.sqrt(FILTERS / share)))
+    rng = np.random.default_rng([seed, dimension, words])
+    x, y = planted(dimension, threshold, TRIALS, rng)
+    low, high = -2.0, 2.0
+    code = ProductCode(dimension, words, low, seed, 0)
+    for _ in range(30):
+        code.height = (low + high) / 2
+        low, high = (code.height, high) if code.held(x).mean() >= FILTERS else (low, code.height)
+    hits = np.concatenate([shared(ProductCode(dimension, words, low, seed, k), x, y) for k in range(TRIAL_CODES)])
+    rate = hits.mean() - 2 * math.sqrt(max(hits.mean() * (1 - hits.mean()), 1e-4) / len(hits))
+    rate = min(max(rate, 1e-3), 0.999)
+    return Plan(dimension, words, low, math.ceil(math.log(1 - RECALL) / math.log(1 - rate)), seed)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Double-precision rows of one length from a list column."""
     return np.array(column.to_pylist(), dtype=np.float64)
 
 
-def filters(vectors: DataFrame, population: int, seed: int) -> DataFrame:
-    """(label, size, direction, id) for every cap that a vector of (id, label, embedding) lies in."""
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled first, so that no square overflows or vanishes."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def filters(vectors: DataFrame, plans: dict[int, Plan]) -> DataFrame:
+    """(id, label, size, caps) for each vector of (id, label, embedding): its caps of all repetitions, ascending."""
 
     def run(batches):
-        codes: dict[int, ProductCode] = {}
+        codes: dict[int, list[ProductCode]] = {}
         for batch in batches:
             ids, labels, lists = (batch.column(k) for k in range(3))
             lengths = np.array([len(x) for x in lists])
-            for size in np.unique(lengths):
+            for size in np.unique(lengths).tolist():
                 pick = np.flatnonzero(lengths == size)
-                x = _matrix(lists.take(pa.array(pick)))
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                code = codes.setdefault(int(size), ProductCode(int(size), population, seed))
-                rows, directions = code.exceeding(x)
-                at = pa.array(pick[rows])
+                x = unit(_matrix(lists.take(pa.array(pick))))
+                if size not in codes:
+                    codes[size] = plans[size].codes()
+                space = plans[size].words ** 2
+                rows, caps = zip(*[(r, d + k * space) for k, c in enumerate(codes[size]) for r, d in [c.exceeding(x)]], strict=True)
+                rows, caps = np.concatenate(rows), np.concatenate(caps)
+                order = np.lexsort((caps, rows))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(pick)))])
+                held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(caps[order], pa.int64()))
+                at = pa.array(pick)
                 yield pa.RecordBatch.from_arrays(
-                    [labels.take(at), pa.array(np.full(len(rows), size, np.int32)), pa.array(directions), ids.take(at)],
-                    ["label", "size", "direction", "id"],
+                    [ids.take(at), labels.take(at), pa.array(np.full(len(pick), size, np.int32)), held], ["id", "label", "size", "caps"]
                 )
 
-    return vectors.select("id", "label", "embedding").mapInArrow(run, "label bigint, size int, direction bigint, id bigint")
+    return vectors.select("id", "label", "embedding").mapInArrow(run, "id bigint, label bigint, size int, caps array<bigint>")
+
+
+def seen_before(caps: list[np.ndarray], own: int) -> np.ndarray:
+    """True for the pairs of rows that share a cap below ``own``."""
+    earlier = [c[: np.searchsorted(c, own)] for c in caps]
+    names, columns, counts = np.unique(np.concatenate(earlier), return_inverse=True, return_counts=True)
+    of = np.repeat(np.arange(len(caps)), [len(c) for c in earlier])
+    common = counts[columns] > 1
+    if not common.any():
+        return np.zeros((len(caps), len(caps)), bool)
+    of, place = of[common], (np.cumsum(counts > 1) - 1)[columns[common]]
+    met = np.zeros((len(caps), len(caps)), bool)
+    for begin in range(0, int(place.max()) + 1, COLUMNS):
+        part = (place >= begin) & (place < begin + COLUMNS)
+        member = np.zeros((len(caps), COLUMNS), np.float32)
+        member[of[part], place[part] - begin] = 1
+        met |= member @ member.T > 0
+    return met
+
+
+def joined(near: np.ndarray) -> np.ndarray:
+    """The first row of each row's connected component."""
+    first = np.arange(len(near))
+    while True:
+        lower = np.minimum(first, np.where(near, first[None, :], len(near)).min(axis=1))
+        lower = lower[lower]
+        if (lower == first).all():
+            return first
+        first = lower
 
 
 def verified(groups: DataFrame, threshold: float) -> DataFrame:
-    """Pairs a < b with cosine of at least the threshold inside each group of sorted rows.
+    """Links with cosine of at least the threshold inside each group: (id, n, least) for each linked vector.
 
-    ``groups`` has (group, side, id, embedding), sorted by group within partitions: rows of side 0
-    and 1 are compared across, rows of side 2 among each other. A group has few rows by construction.
+    ``groups`` has (group, cap, side, id, copies, caps, embedding), sorted by group within partitions: rows
+    of side 0 and 1 are compared across, rows of side 2 among each other. ``n`` counts the rows behind
+    the links whose first common cap is this one, ``least`` is the smallest id connected in the
+    group. A group has two tiles at most.
     """
 
-    def compare(side, ids, x):
-        norm = np.linalg.norm(x, axis=1)
-        x = x / norm[:, None]
-        one, two = (np.flatnonzero(side != 1), np.flatnonzero(side != 0))
-        near = np.argwhere(x[one] @ x[two].T >= threshold)
-        a, b = ids[one[near[:, 0]]], ids[two[near[:, 1]]]
-        keep = (a < b) if (side == 2).all() else (a != b)
-        return np.minimum(a, b)[keep], np.maximum(a, b)[keep]
+    def compare(cap, side, ids, copies, caps, x):
+        order = np.argsort(ids, kind="stable")
+        side, ids, copies, x = side[order], ids[order], copies[order], unit(x[order])
+        near = (x @ x.T >= threshold) & ((side[:, None] == 2) | (side[:, None] != side[None, :]))
+        np.fill_diagonal(near, False)
+        linked = np.flatnonzero(near.any(axis=1))
+        if not len(linked):
+            return None
+        near = near[np.ix_(linked, linked)]
+        fresh = near & ~seen_before([caps[k] for k in order[linked]], cap)
+        ids, copies = ids[linked], copies[linked]
+        return ids, fresh.astype(np.float64) @ copies, ids[joined(near)]
 
     def run(batches):
         waiting: list[pa.RecordBatch] = []
@@ -128,44 +240,56 @@ def verified(groups: DataFrame, threshold: float) -> DataFrame:
             table = pa.Table.from_batches([*waiting, batch]).combine_chunks()
             group = table.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist()]
-            yield from pairs(table, cuts)
+            yield from links(table, cuts)
             waiting = table.slice(cuts[-1]).to_batches()
         if waiting:
             table = pa.Table.from_batches(waiting).combine_chunks()
-            yield from pairs(table, [0, table.num_rows])
+            yield from links(table, [0, table.num_rows])
 
-    def pairs(table, cuts):
+    def links(table, cuts):
         if len(cuts) < 2:
             return
-        side, ids = (table.column(k).to_numpy()[: cuts[-1]] for k in (1, 2))
-        flat = table.column(3).combine_chunks().slice(0, cuts[-1])
-        values, offsets = flat.values.to_numpy(zero_copy_only=False).astype(np.float64), flat.offsets.to_numpy()
+        cap, side, ids, copies = (table.column(k).to_numpy()[: cuts[-1]] for k in range(1, 5))
+        caps, at = lists(table.column(5), cuts[-1], np.int64)
+        values, offsets = lists(table.column(6), cuts[-1], np.float64)
         found = []
         for b, e in zip(cuts, cuts[1:], strict=False):
             if e - b > 1:
                 x = values[offsets[b] : offsets[e]].reshape(e - b, -1)
-                found.append(compare(side[b:e], ids[b:e], x))
+                held = [caps[at[k] : at[k + 1]] for k in range(b, e)]
+                one = compare(cap[b], side[b:e], ids[b:e], copies[b:e].astype(np.float64), held, x)
+                if one:
+                    found.append(one)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["a", "b"])
+            ids, n, least = (np.concatenate(c) for c in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64)), pa.array(least)], ["id", "n", "least"])
+
+    def lists(column, rows, kind):
+        flat = column.combine_chunks().slice(0, rows)
+        return flat.values.to_numpy(zero_copy_only=False).astype(kind, copy=False), flat.offsets.to_numpy()
 
-    return groups.select("group", "side", "id", "embedding").mapInArrow(run, "a bigint, b bigint")
+    given = groups.select("group", "cap", "side", "id", "copies", "caps", "embedding")
+    return given.mapInArrow(run, "id bigint, n bigint, least bigint")
 
 
-def near_pairs(vectors: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """Pairs a < b of (id, label, embedding) with one label and a cosine of at least the threshold."""
-    largest = vectors.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    listed = Stored(filters(vectors, largest, seed), "cap-filters").df
-    key = ["label", "size", "direction"]
-    sizes = listed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = sizes.select(*key, F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+def near_links(vectors: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """(id, n, least) as ``verified`` gives them, of (id, label, copies, embedding) with equal labels."""
+    # One row for each length of vectors reaches the driver.
+    largest = vectors.groupBy("label", F.size("embedding").alias("size")).count().groupBy("size").agg(F.max("count")).collect()
+    plans = {size: plan(size, n, threshold, seed) for size, n in largest}
+    held = Stored(filters(vectors, plans), "cap-filters").df
+    key = ["label", "size", "cap"]
+    listed = held.select("id", "label", "size", F.explode("caps").alias("cap"))
+    sizes = listed.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    sizes = sizes.select(*key, F.ceil(F.col("rows") / TILE).cast("int").alias("tiles"))
     rows = listed.join(sizes, key)
-    own = F.pmod(F.xxhash64("id", "direction"), F.col("tiles")).cast("int")
+    own = F.pmod(F.xxhash64("id", "cap"), F.col("tiles")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
     group = F.xxhash64(*key, F.least("own", "other"), F.greatest("own", "other"))
-    rows = rows.select(group.alias("group"), side.alias("side"), "id")
-    full = rows.join(vectors.select("id", "embedding"), "id").repartition("group").sortWithinPartitions("group")
-    return verified(full, threshold).distinct()
+    rows = rows.select(group.alias("group"), "cap", side.alias("side"), "id")
+    full = rows.join(vectors.join(held.select("id", "caps"), "id").select("id", "copies", "caps", "embedding"), "id")
+    return verified(full.repartition("group").sortWithinPartitions("group"), threshold)
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float, seed: int) -> DataFrame:
@@ -176,11 +300,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float, seed: int) -> DataF
     active = rows.where("part").drop("part")
     same = ["label", "embedding"]
     groups = Stored(active.groupBy(*same).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "cap-groups").df
-    links = Stored(near_pairs(groups, threshold, seed), "cap-links").df
-    both = links.union(links.select("b", "a")).toDF("id", "other")
-    copies = groups.select(F.col("id").alias("other"), "copies")
-    linked = both.join(copies, "other").groupBy("id").agg(F.sum("copies").alias("linked"))
-    found = groups.join(linked, "id", "left").join(components(links), "id", "left")
+    links = Stored(near_links(groups, threshold, seed), "cap-links").df
+    linked = links.groupBy("id").agg(F.sum("n").alias("linked"))
+    spanning = links.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    found = groups.join(linked, "id", "left").join(components(spanning), "id", "left")
     found = found.select(
         *same, (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")
     )

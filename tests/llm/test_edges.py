@@ -328,6 +328,27 @@ def test_embedding_duplicates(spark):
     assert cap_filters.near_duplicates(vectors(spark, rows).where("vec_id < 0"), 0.93, 1).count() == 0
 
 
+def test_cap_recall_holds_at_any_size():
+    for population in (10**4, 10**5, 10**6, 10**7):
+        plan = cap_filters.plan(64, population, 0.93, 20)
+        x, y = cap_filters.planted(64, 0.93, 1000, np.random.default_rng(99))
+        found = np.any([cap_filters.shared(code, x, y) for code in plan.codes()], axis=0)
+        assert found.mean() >= 0.99, (population, found.mean())
+
+
+def test_links_of_a_large_group_are_counted_once(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((3, 16))
+    x = np.float32(base[np.repeat([0, 1, 2], [1300, 40, 5])] + rng.standard_normal((1345, 16)) * 0.12).astype(np.float64)
+    got = cap_filters.near_duplicates(vectors(spark, [(k, v.tolist(), 1) for k, v in enumerate(x)]), 0.93, 3).toPandas().sort_values("vec_id")
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = y @ y.T >= 0.93
+    expected = near.sum(axis=1) - 1
+    # Never more links than there are, and nearly all of them (the target is 0.998 at the threshold).
+    assert (got.n_links.to_numpy() <= expected).all() and got.n_links.sum() >= 0.998 * expected.sum()
+    assert (got.component_id.to_numpy() == cap_filters.joined(near)).mean() > 0.99
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(4)
     rows = [(k, [float(np.float32(x)) for x in rng.standard_normal(8)], 1) for k in range(1500)]
