@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,66 +16,89 @@ CHRF_WORD_ORDERS = 2
 BLEU_ORDERS = 4
 BETA = 2.0
 
-_ORDERS = CHAR_ORDERS + BLEU_ORDERS
-_STATS = T.StructType(
-    [
-        T.StructField(name, T.ArrayType(T.LongType()))
-        for name in ("matched", "in_reference", "in_hypothesis")
-    ]
-)
+# Symbols that are ranked together; a longer text is a slice of its own.
+SLICE = 1 << 16
+
+_NAMES = ("matched", "in_reference", "in_hypothesis")
+_STATS = T.StructType([T.StructField(name, T.ArrayType(T.LongType())) for name in _NAMES])
+# Whether a code point is white space; the last entry stands for all above.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
-def _overlap(ref: np.ndarray, hyp: np.ndarray, longest: int) -> list[tuple[int, int, int]]:
-    """(clipped matches, reference n-grams, hypothesis n-grams) for n = 1..longest.
+def _overlaps(symbols: np.ndarray, text: np.ndarray, rows: int, longest: int) -> list[list[np.ndarray]]:
+    """Per order 1..longest: clipped matches, n-grams of the reference and of the hypothesis, for each row.
 
-    Symbols are dense integers. An n-gram's number is the rank of (number of its first n-1
-    symbols, last symbol), so counting stays exact for any alphabet and never builds strings.
+    Texts 0..rows-1 are the references, the next ``rows`` the hypotheses; ``symbols`` are dense numbers in
+    the order of ``text``. An n-gram's number is (number of its first n-1 symbols, last symbol) in bits;
+    numbers are made dense again only when they would not fit 63 bits with their row, so counting is
+    exact for any alphabet. All rows are counted by one sort for each order.
     """
-    out, left_r, left_h = [], ref, hyp
-    base = int(max(ref.max(initial=0), hyp.max(initial=0))) + 1
+    sizes = np.bincount(text, minlength=2 * rows)
+    side, row = text >= rows, text % rows
+    width, row_width = int(symbols.max(initial=1)).bit_length(), max(rows - 1, 1).bit_length()
+    gram, bits = symbols.astype(np.int64), width
+    out = []
     for n in range(1, longest + 1):
+        m = max(len(text) - n + 1, 0)
         if n > 1:
-            left_r = left_r[: max(len(ref) - n + 1, 0)] * base + ref[n - 1 :]
-            left_h = left_h[: max(len(hyp) - n + 1, 0)] * base + hyp[n - 1 :]
-        _, rank = np.unique(np.concatenate([left_r, left_h]), return_inverse=True)
-        left_r, left_h = rank[: len(left_r)], rank[len(left_r) :]
-        size = int(rank.max(initial=-1)) + 1
-        shared = np.minimum(
-            np.bincount(left_r, minlength=size), np.bincount(left_h, minlength=size)
-        )
-        out.append((int(shared.sum()), len(left_r), len(left_h)))
+            if row_width + bits + width + 1 > 63:
+                gram = np.unique(gram, return_inverse=True)[1]
+                bits = max(int(gram.max(initial=1)).bit_length(), 1)
+            gram, bits = (gram[:m] << width) | symbols[n - 1 :], bits + width
+        key = (((row[:m] << bits) | gram) << 1) | side[:m]
+        key = key[text[:m] == text[n - 1 :]]
+        key.sort()
+        same = key >> 1
+        heads = np.flatnonzero(np.r_[True, same[1:] != same[:-1]]) if len(key) else np.zeros(0, np.int64)
+        theirs = np.add.reduceat(key & 1, heads) if len(key) else heads
+        shared = np.minimum(theirs, np.diff(heads, append=len(key)) - theirs)
+        matched = np.bincount(same[heads] >> bits, weights=shared, minlength=rows).astype(np.int64)
+        left = np.maximum(sizes - n + 1, 0)
+        out.append([matched, left[:rows], left[rows:]])
     return out
 
 
-def _symbols(a, b) -> tuple[np.ndarray, np.ndarray]:
-    seen: dict = {}
-    number = lambda items: np.array(
-        [seen.setdefault(x, len(seen)) for x in items], dtype=np.int64
-    )
-    return number(a), number(b)
-
-
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer("".join(text.split()).encode("utf-32-le"), dtype=np.uint32).astype(
-        np.int64
-    )
-
-
-@F.pandas_udf(_STATS)
-def ngram_stats(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
-    """Overlap counts of a pair: character orders 1-6, then word orders 1-4.
-
-    A pair is counted inside its own row. Exploding n-grams instead would exchange about six rows
-    per character; this way a text moves nowhere.
+def _slice_stats(texts: pa.Array, rows: int, chars: int, words: int) -> np.ndarray:
+    """(3, rows, orders) counts of references and hypotheses that stand one after the other in ``texts``."""
+    joined = " ".join(texts.to_pylist())
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    owner = np.repeat(np.arange(2 * rows), pc.utf8_length(texts).to_numpy() + 1)[: len(codes)]
+    solid = ~_SPACE[np.minimum(codes, len(_SPACE) - 1)]
+    found = []
+    if chars:
+        number = np.cumsum(np.bincount(codes[solid], minlength=1) > 0) - 1
+        found += _overlaps(number[codes[solid]], owner[solid], rows, chars)
+    if words:
+        begins = solid & ~np.r_[False, solid[:-1]]
+        found += _overlaps(pd.factorize(np.array(joined.split(), dtype=object))[0], owner[begins], rows, words)
+    return np.array(found).transpose(1, 2, 0)
+
+
+def ngram_stats(chars: int, words: int):
+    """Overlap counts of (reference, hypothesis): character orders 1..chars, then word orders 1..words.
+
+    Pairs stay in their rows, and all pairs of an Arrow batch are counted together in slices of about
+    ``SLICE`` symbols. Exploding n-grams instead would exchange about six rows per character. A null
+    text counts as an empty one.
     """
-    rows = []
-    for ref, hyp in zip(reference, hypothesis, strict=True):
-        chars = _overlap(_code_points(ref), _code_points(hyp), CHAR_ORDERS)
-        word = _overlap(*_symbols(ref.split(), hyp.split()), BLEU_ORDERS)
-        rows.append(list(zip(*(chars + word), strict=True)))
-    return pd.DataFrame(
-        {name: [list(r[i]) for r in rows] for i, name in enumerate(_STATS.fieldNames())}
-    )
+
+    @F.arrow_udf(_STATS)
+    def stats(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
+        sides = [pc.fill_null(x, "") for x in (reference, hypothesis)]
+        total = np.cumsum(sum(pc.utf8_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in sides))
+        made, begin = [np.zeros((3, 0, chars + words), np.int64)], 0
+        while begin < len(total):
+            before = total[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(total, before + SLICE, side="right")), begin + 1)
+            both = pa.concat_arrays([x.slice(begin, end - begin) for x in sides])
+            made.append(_slice_stats(both, end - begin, chars, words))
+            begin = end
+        counts = np.concatenate(made, axis=1)
+        offsets = pa.array(np.arange(len(total) + 1) * (chars + words), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c.ravel(), pa.int64())) for c in counts]
+        return pa.StructArray.from_arrays(lists, list(_NAMES))
+
+    return stats("reference", "hypothesis")
 
 
 def _chrf(matched: list[Column], ref: list[Column], hyp: list[Column]) -> Column:
@@ -91,56 +116,46 @@ def _chrf(matched: list[Column], ref: list[Column], hyp: list[Column]) -> Column
     return F.when(weighted > 0, 100.0 * (1 + BETA * BETA) * p * r / F.nullif(weighted, F.lit(0.0))).otherwise(0.0)
 
 
-def with_stats(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumn("stats", ngram_stats("reference", "hypothesis"))
-
-
 def chrf_scores(pairs: DataFrame) -> DataFrame:
     """chrF++ of every pair."""
-    item = lambda name: [F.get(f"stats.{name}", F.lit(i)) for i in range(_ORDERS)]
+    item = lambda name: [F.get(f"stats.{name}", F.lit(i)) for i in range(CHAR_ORDERS + CHRF_WORD_ORDERS)]
     return (
-        with_stats(pairs)
-        .withColumn(
-            "chrf",
-            F.round(_chrf(item("matched"), item("in_reference"), item("in_hypothesis")), 6),
-        )
+        pairs.withColumn("stats", ngram_stats(CHAR_ORDERS, CHRF_WORD_ORDERS))
+        .withColumn("chrf", F.round(_chrf(*[item(name) for name in _NAMES]), 6))
         .drop("stats", "reference", "hypothesis")
     )
 
 
-def _corpus(pairs: DataFrame, by: list[str]) -> DataFrame:
+def _corpus(pairs: DataFrame, by: list[str], chars: int, words: int) -> tuple[DataFrame, list[list[Column]]]:
+    """Counts of all pairs in a group, summed, and their columns: matched, reference, hypothesis by order."""
+    names = [[f"{name}_{i}" for i in range(chars + words)] for name in _NAMES]
     sums = [
-        F.sum(F.get(f"stats.{name}", F.lit(i))).alias(f"{name}_{i}")
-        for name in _STATS.fieldNames()
-        for i in range(_ORDERS)
+        F.sum(F.get(f"stats.{name}", F.lit(i))).alias(alias)
+        for name, aliases in zip(_NAMES, names, strict=True)
+        for i, alias in enumerate(aliases)
     ]
-    stats = with_stats(pairs).select(*by, "stats")
-    return stats.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), *sums)
-
-
-def _summed(name: str) -> list[Column]:
-    return [F.col(f"{name}_{i}") for i in range(_ORDERS)]
+    stats = pairs.select(*by, ngram_stats(chars, words).alias("stats"))
+    summed = stats.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), *sums)
+    return summed, [[F.col(a) for a in aliases] for aliases in names]
 
 
 def chrf_corpus(pairs: DataFrame, by: list[str]) -> DataFrame:
     """chrF++ over the summed counts of all pairs in a group."""
-    score = _chrf(_summed("matched"), _summed("in_reference"), _summed("in_hypothesis"))
-    return _corpus(pairs, by).select(*by, "pairs", F.round(score, 6).alias("chrf"))
+    summed, counts = _corpus(pairs, by, CHAR_ORDERS, CHRF_WORD_ORDERS)
+    return summed.select(*by, "pairs", F.round(_chrf(*counts), 6).alias("chrf"))
 
 
 def bleu_corpus(pairs: DataFrame, by: list[str]) -> DataFrame:
     """Geometric mean of word n-gram precisions 1-4 with brevity penalty."""
-    m, r, h = _summed("matched"), _summed("in_reference"), _summed("in_hypothesis")
-    orders = range(CHAR_ORDERS, CHAR_ORDERS + BLEU_ORDERS)
+    summed, (m, r, h) = _corpus(pairs, by, 0, BLEU_ORDERS)
     zero = F.lit(False)
     logs = F.lit(0.0)
-    for i in orders:
+    for i in range(BLEU_ORDERS):
         zero = zero | (m[i] == 0)
         logs = logs + F.ln(F.nullif(m[i], F.lit(0)) / F.nullif(h[i], F.lit(0)))
-    first = CHAR_ORDERS
-    brevity = F.least(F.lit(0.0), 1.0 - r[first] / F.nullif(h[first], F.lit(0)))
+    brevity = F.least(F.lit(0.0), 1.0 - r[0] / F.nullif(h[0], F.lit(0)))
     score = F.when(zero, 0.0).otherwise(100.0 * F.exp(brevity + logs / BLEU_ORDERS))
-    return _corpus(pairs, by).select(*by, "pairs", F.round(score, 6).alias("bleu"))
+    return summed.select(*by, "pairs", F.round(score, 6).alias("bleu"))
 
 
 def mqm_scores(annotations: DataFrame, segments: DataFrame, weights: dict[str, float]) -> DataFrame:

@@ -157,6 +157,22 @@ def test_chrf_against_brute_force(spark):
         assert got[i] == pytest.approx(brute_chrf(*pair), abs=1e-5)
 
 
+def test_ngrams_of_a_batch_against_brute_force():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    small = [chr(c) for c in (97, 98, 32, 10, 0x3000, 0x1F600)]
+    texts = ["".join(rng.choice(small, size=n)) for n in rng.integers(0, 40, 120)] + ["", "  "]
+    texts += ["".join(map(chr, rng.integers(0x4E00, 0x9000, 2000))) for _ in range(2)]  # does not fit 63 bits
+    refs, hyps = texts[::2], texts[1::2]
+    got = scoring._slice_stats(pa.array(refs + hyps), len(refs), 6, 4)
+    for k, (ref, hyp) in enumerate(zip(refs, hyps, strict=True)):
+        sides = [("".join(ref.split()), "".join(hyp.split()), n, n - 1) for n in range(1, 7)]
+        for a, b, n, place in sides + [(ref.split(), hyp.split(), n, n + 5) for n in range(1, 5)]:
+            x, y = (Counter(tuple(t[i : i + n]) for i in range(len(t) - n + 1)) for t in (a, b))
+            assert got[:, k, place].tolist() == [(x & y).total(), x.total(), y.total()]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
