@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from parlance.functions import text
@@ -10,7 +12,9 @@ from parlance.plans import flows
 from parlance.plans import oracle_views as o
 from parlance.plans import views as v
 from parlance.plans.registry import query
+from parlance.plans.resume import incremental_run
 from parlance.schemas import KEY
+from parlance.sources.workdir import new_dir
 
 # Every type is opted in to reuse across mods here, so that the queries show it.
 POLICY = routing.RouterPolicy(
@@ -589,3 +593,30 @@ def _(spark, folder):
     return made.select(
         *KEY, "tier", "validation_status", "review_status", F.md5("translated_text").alias("translation")
     )
+
+
+_TODO = f"""(select s.* from v_route s left join v_tm m on {_on('s', 'm')}
+ where m.key_path is null or m.value_hash <> sha256(s.source_text)) r"""
+
+
+@query(
+    "incremental_run",
+    f"""select * from (select {_KEYS}, md5(source_text) as source, md5(translated_text) as translation,
+ case when tier in ('tm', 'glossary') then 'reuse:' || tier else 'skeleton:passthrough' end as provider, true as renewed
+ from {_MADE.replace('v_route r', _TODO)} where len({o.all_messages('source_text', 'translated_text')}) = 0
+union all select {_KEYS}, md5(source_text), md5(translation), provider, false from v_tm)
+qualify row_number() over (partition by {_KEYS} order by renewed desc) = 1""",
+)
+def _(spark, folder):
+    tm = v.memory(spark, folder)
+    made = incremental_run(
+        v.typed_strings(spark, folder), tm, v.glossary_from_memory(spark, folder), new_dir(spark, "runs"),
+        datetime(2100, 1, 1), POLICY,
+    )
+    return made.memory.select(
+        *KEY,
+        F.md5("source_text").alias("source"),
+        F.md5("translation").alias("translation"),
+        "provider",
+        (F.col("updated_at") >= F.lit("2100-01-01").cast("timestamp")).alias("renewed"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,21 @@ from parlance.sources.packs import (
 from parlance.sources.workdir import stored
 
 
+# How a flow keeps a step: (what makes it, its name) -> the rows from a stored table.
+Keep = Callable[[Callable[[], DataFrame], str], DataFrame]
+
+
+def keep_fresh(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    return stored(make(), name)
+
+
 def translate_unique(
     unique: DataFrame,
     policy: RouterPolicy,
     local: Provider,
     remote: Provider,
     gates: tuple[str, ...],
+    keep: Keep = keep_fresh,
 ) -> DataFrame:
     """One result for each distinct text: local attempts up to the allowance, then the remote one.
 
@@ -39,20 +50,20 @@ def translate_unique(
     text that fails everywhere keeps its last result, failed.
     """
 
-    def attempt(texts: DataFrame, provider: Provider) -> DataFrame:
+    def attempt(texts: DataFrame, provider: Provider, name: str) -> DataFrame:
         # Calls are slow and texts small: parts go by rows, not by the bytes an exchange left.
         made = translate_with(texts.repartition("source_text"), provider)
-        return stored(require_filled(validate(made, gates)), "attempt")
+        return keep(lambda: require_filled(validate(made, gates)), name)
 
     columns = unique.columns
     done, waiting = [], unique.filter("tier = 'local'")
-    for _ in range(policy.attempts_allowed):
-        made = attempt(waiting, local)
+    for number in range(policy.attempts_allowed):
+        made = attempt(waiting, local, f"attempt-{number}")
         done.append(made.filter("passed"))
         waiting = made.filter("not passed").select(*columns)
         if waiting.isEmpty():
             break
-    made = attempt(unique.filter("tier = 'remote'").unionByName(waiting), remote)
+    made = attempt(unique.filter("tier = 'remote'").unionByName(waiting), remote, "attempt-remote")
     results = made
     for part in done:
         results = results.unionByName(part)
@@ -69,6 +80,7 @@ def translate_flow(
     local: Provider = PASSTHROUGH,
     remote: Provider = PASSTHROUGH,
     gates: tuple[str, ...] = ALL_GATES,
+    keep: Keep = keep_fresh,
 ) -> DataFrame:
     """Validated candidates for all strings; only tiers local and remote reach a translator.
 
@@ -78,22 +90,26 @@ def translate_flow(
     translator; ``provider_id`` tells who made a text. A ``context_hint`` column of the strings
     reaches the translators, and so do the glossary terms that a text holds.
     """
-    routed = route(strings, tm, glossary, policy).select(
-        *KEY, "tier", "reason", "reused_translation"
-    )
-    rows = stored(key_join(strings, routed, KEY, "inner"), "routed")
+
+    def routed() -> DataFrame:
+        found = route(strings, tm, glossary, policy).select(*KEY, "tier", "reason", "reused_translation")
+        return key_join(strings, found, KEY, "inner")
+
+    rows = keep(routed, "routed")
     asked = rows.filter(F.col("tier").isin("local", "remote"))
     shared = ("tier", "context_hint") if "context_hint" in rows.columns else ("tier",)
-    named = unique_sources(asked, shared).withColumn("text_id", value_hash("source_text"))
-    unique = stored(named, "unique-texts")
-    found = glossary_terms_in_text(
-        unique.withColumn("mod_id", F.lit(None).cast("string")), glossary, ["text_id", "semantic_type", "mod_id"]
-    )
-    rules = found.groupBy("text_id", "semantic_type").agg(
-        F.map_from_entries(F.collect_set(F.struct("term_key", "preferred"))).alias("glossary_rules")
-    )
-    unique = stored(key_join(unique, rules, ("text_id", "semantic_type"), "left").drop("text_id"), "unique-texts")
-    results = stored(translate_unique(unique, policy, local, remote, gates), "results")
+    named = keep(lambda: unique_sources(asked, shared).withColumn("text_id", value_hash("source_text")), "unique-texts")
+
+    def with_rules() -> DataFrame:
+        identity = ["text_id", "semantic_type", "mod_id"]
+        found = glossary_terms_in_text(named.withColumn("mod_id", F.lit(None).cast("string")), glossary, identity)
+        rules = found.groupBy("text_id", "semantic_type").agg(
+            F.map_from_entries(F.collect_set(F.struct("term_key", "preferred"))).alias("glossary_rules")
+        )
+        return key_join(named, rules, ("text_id", "semantic_type"), "left").drop("text_id")
+
+    unique = keep(with_rules, "texts-and-rules")
+    results = keep(lambda: translate_unique(unique, policy, local, remote, gates, keep), "results")
     reuse = F.col("tier").isin("tm", "glossary")
     everything = fan_out_translations(rows, results, shared).withColumns(
         {
@@ -107,7 +123,7 @@ def translate_flow(
         }
     )
     checked = require_filled(validate(everything.drop("reused_translation"), gates))
-    return stored(assign_review_status(checked, policy), "candidates")
+    return keep(lambda: assign_review_status(checked, policy), "candidates")
 
 
 def translate_to_state(candidates: DataFrame, path: str) -> None:
