@@ -4,10 +4,12 @@ Every source has a weight and a size (its words). Targets share the total by wei
 ``max_epochs`` times its size is clamped there and the excess goes to the others by weight, again and
 again until none is above. A source's target is a number of whole repetitions of all its documents
 and a fraction. The fraction is a seeded choice: documents stand in the order of a hash, the first of
-them that stay within the fractional target are taken once more, and so is one later document that
-best fills the rest. The choice is a cut in the hash range for each source. It is found in two levels:
-sums over slices of the range show the slice that holds the cut, and only that slice is summed row by
-row, so a source with most of all rows is spread over many tasks.
+them that stay within the fractional target are taken once more. The document that does not fit is passed
+over, and the choice goes on behind it with documents of at most half of what is left open, until that
+is at most ``NEAR_ENOUGH`` of the target; one document that best fills the rest ends it. Every such
+level is a cut in the hash range for each source. It is found in two steps: sums over slices of the
+range show the slice that holds the cut, and only that slice is summed row by row, so a source with
+most of all rows is spread over many tasks.
 
 Defined cases: null and empty texts and null sources are sources and documents like others (size 0 is
 taken with 0 words); null sources come last; rows that repeat one document share its hash and are
@@ -25,6 +27,8 @@ from parlance.llm.common import Stored, text_or_empty
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SLICE_BITS = 12
+END = (1 << 63) - 1
+NEAR_ENOUGH = 0.001
 
 
 def word_count(text: Column) -> Column:
@@ -68,25 +72,19 @@ def draw(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id").cast("bigint"), text), 1)
 
 
-def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFrame:
-    """From (source, size, draw), one row for each source: s, source_size, target, whole, cut, fill.
+def prefix(rows: DataFrame, rests: DataFrame) -> DataFrame:
+    """For each source s with a rest, the documents in draw order that stay within it: (c, cut, gap).
 
-    A document is taken ``whole`` times, and once more if its draw is at most ``cut`` or is ``fill``.
+    ``rows`` has (source, size, draw). All documents up to ``cut`` fit and leave ``gap`` words; if every
+    document fits, the cut is the end of the range.
     """
-    sized = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    sized = sized.withColumn("whole", whole.cast("bigint"))
-    sized = sized.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")).drop("weight")
-    sized = Stored(sized.withColumnRenamed("source", "s"), "mix-targets").df
     slice_of = F.shiftrightunsigned("draw", 63 - SLICE_BITS)
     sums = rows.groupBy("source", slice_of.alias("slice")).agg(F.sum("size").alias("n"))
     before = Window.partitionBy("source").orderBy("slice")
     sums = sums.withColumn("base", F.sum("n").over(before) - F.col("n"))
-    edge = (
-        sums.join(sized.select("s", "rest"), F.col("source").eqNullSafe(F.col("s")))
-        .where((F.col("base") < F.col("rest")) & (F.col("rest") <= F.col("base") + F.col("n")))
-        .select("s", "slice", "base", "rest")
-    )
+    sums = Stored(sums.join(rests.select("s", "rest"), F.col("source").eqNullSafe(F.col("s"))), "mix-slices").df
+    edge = sums.where((F.col("base") < F.col("rest")) & (F.col("rest") <= F.col("base") + F.col("n")))
+    edge = edge.select("s", "slice", "base", "rest")
     inside = rows.withColumn("own", slice_of).join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("own") == F.col("slice")))
     order = Window.partitionBy("s").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = F.col("base") + F.sum("size").over(order)
@@ -100,19 +98,68 @@ def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFr
             (F.min("rest") - F.coalesce(F.max(F.when(fits, F.col("upto"))), F.min("base"))).alias("gap"),
         )
     )
-    cut = Stored(cut, "mix-prefixes").df
-    # One more document that best fills what the prefix leaves open.
-    beyond = rows.join(cut, F.col("source").eqNullSafe(F.col("c"))).where((F.col("draw") > F.col("cut")) & (F.col("size") <= F.col("gap")))
+    whole = sums.groupBy(F.col("s").alias("c")).agg(F.sum("n").alias("n"), F.min("rest").alias("rest")).where("n < rest")
+    return cut.unionByName(whole.select("c", F.lit(END).alias("cut"), (F.col("rest") - F.col("n")).alias("gap")))
+
+
+def taken_once_more() -> Column:
+    """True for the documents of a source's levels: in the level's part of the range and small enough."""
+    inside = lambda x: (F.col("draw") > x["after"]) & (F.col("draw") <= x["upto"]) & (F.col("size") <= x["limit"])
+    return F.exists("levels", inside)
+
+
+def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFrame:
+    """From (source, size, draw), one row for each source: s, source_size, target, whole, levels, fill.
+
+    A document is taken ``whole`` times, and once more if it is in one of the levels or is ``fill``.
+    """
+    sized = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    sized = sized.withColumn("whole", whole.cast("bigint"))
+    sized = sized.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")).drop("weight")
+    sized = Stored(sized.withColumnRenamed("source", "s"), "mix-targets").df
+
+    def level(after: Column, limit: Column) -> Column:
+        return F.array(F.struct(after.alias("after"), F.col("cut").alias("upto"), limit.alias("limit")))
+
+    first = prefix(rows, sized).withColumn("levels", level(F.lit(-1).cast("bigint"), F.lit(END)))
+    none = F.array().cast("array<struct<after:bigint,upto:bigint,limit:bigint>>")
+    state = sized.join(first, F.col("s").eqNullSafe(F.col("c")), "left").drop("c", "rest")
+    state = Stored(
+        state.withColumns({"cut": F.coalesce("cut", F.lit(END)), "gap": F.coalesce("gap", F.lit(0.0)), "levels": F.coalesce("levels", none)}),
+        "mix-levels",
+    ).df
+    while True:  # a level at least halves what is left open, so there are about 15 at most
+        limit = F.floor(F.col("gap") / 2).cast("bigint")
+        waiting = state.where((F.col("gap") > F.col("target") * NEAR_ENOUGH) & (F.col("cut") < END) & (limit > 0))
+        waiting = waiting.select("s", F.col("gap").alias("rest"), F.col("cut").alias("after"), limit.alias("limit"))
+        if waiting.isEmpty():
+            break
+        small = rows.join(waiting, F.col("source").eqNullSafe(F.col("s")))
+        small = small.where((F.col("draw") > F.col("after")) & (F.col("size") <= F.col("limit"))).select("source", "size", "draw")
+        found = waiting.join(prefix(small, waiting), F.col("s").eqNullSafe(F.col("c")), "left")
+        found = found.select(
+            F.col("s").alias("f"), F.coalesce("cut", F.lit(END)).alias("new_cut"), F.coalesce("gap", "rest").alias("new_gap"),
+            F.when(F.col("cut").isNotNull(), level(F.col("after"), F.col("limit"))).otherwise(none).alias("more"), F.lit(True).alias("went"),
+        )
+        state = state.join(found, F.col("s").eqNullSafe(F.col("f")), "left").select(
+            "s", "source_size", "target", "whole",
+            F.when(F.col("went"), F.col("new_cut")).otherwise(F.col("cut")).alias("cut"),
+            F.when(F.col("went"), F.col("new_gap")).otherwise(F.col("gap")).alias("gap"),
+            F.concat("levels", F.coalesce("more", none)).alias("levels"),
+        )
+        state = Stored(state, "mix-levels").df
+    # One more document that best fills what the levels leave open.
+    open_ = state.where(F.size("levels") > 0).select(F.col("s").alias("c"), "gap", "levels")
+    beyond = rows.join(open_, F.col("source").eqNullSafe(F.col("c"))).where(~taken_once_more() & (F.col("size") <= F.col("gap")))
     fill = beyond.groupBy(F.col("source").alias("f")).agg(F.max(F.struct("size", "draw"))["draw"].alias("fill"))
-    return (
-        sized.join(cut, F.col("s").eqNullSafe(F.col("c")), "left")
-        .join(fill, F.col("s").eqNullSafe(F.col("f")), "left")
-        .select("s", "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut"), F.coalesce("fill", F.lit(-1)).alias("fill"))
+    return state.join(fill, F.col("s").eqNullSafe(F.col("f")), "left").select(
+        "s", "source_size", "target", "whole", "levels", F.coalesce("fill", F.lit(-1)).alias("fill")
     )
 
 
 def copies(max_epochs: float) -> Column:
-    once_more = (F.col("draw") <= F.col("cut")) | (F.col("draw") == F.col("fill"))
+    once_more = taken_once_more() | (F.col("draw") == F.col("fill"))
     return F.least(F.col("whole") + F.when(once_more, 1).otherwise(0), F.lit(int(max_epochs))).cast("bigint")
 
 

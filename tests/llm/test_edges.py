@@ -174,6 +174,17 @@ def test_mix_comes_near_its_targets(spark):
     assert (abs(sums.taken - sums.target) <= 40).all()
 
 
+def test_mix_goes_on_behind_long_documents(spark):
+    rng = np.random.default_rng(3)
+    sizes = [int(n) for n in np.where(rng.random(600) < 0.05, rng.integers(3000, 20_000, 600), rng.integers(1, 400, 600))]
+    docs = documents(spark, [" ".join(["w"] * n) for n in sizes])
+    for seed in (1, 2):
+        got = mixing.plan(docs, (5, 2, 1), 3, seed).toPandas()
+        got["taken"] = got.copies * got["size"]
+        sums = got.groupby("source", dropna=False).agg(taken=("taken", "sum"), target=("target", "first"))
+        assert (abs(sums.taken - sums.target) <= 0.002 * sums.target).all() and got.copies.max() <= 3
+
+
 def base_spans(text):
     found = []
     forms = {
