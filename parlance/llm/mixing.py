@@ -102,10 +102,13 @@ def prefix(rows: DataFrame, rests: DataFrame) -> DataFrame:
     return cut.unionByName(whole.select("c", F.lit(END).alias("cut"), (F.col("rest") - F.col("n")).alias("gap")))
 
 
-def taken_once_more() -> Column:
-    """True for the documents of a source's levels: in the level's part of the range and small enough."""
-    inside = lambda x: (F.col("draw") > x["after"]) & (F.col("draw") <= x["upto"]) & (F.col("size") <= x["limit"])
-    return F.exists("levels", inside)
+def taken_once_more(size: Column) -> Column:
+    """True for the documents of a source's levels: in the level's part of the range and small enough.
+
+    ``size`` is looked at only behind the first level, so texts before it need no counting.
+    """
+    small = lambda x: (x["limit"] == F.lit(END)) | (size <= x["limit"])
+    return F.exists("levels", lambda x: (F.col("draw") > x["after"]) & (F.col("draw") <= x["upto"]) & small(x))
 
 
 def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFrame:
@@ -151,15 +154,15 @@ def cuts(rows: DataFrame, weights: Sequence[float], max_epochs: float) -> DataFr
         state = Stored(state, "mix-levels").df
     # One more document that best fills what the levels leave open.
     open_ = state.where(F.size("levels") > 0).select(F.col("s").alias("c"), "gap", "levels")
-    beyond = rows.join(open_, F.col("source").eqNullSafe(F.col("c"))).where(~taken_once_more() & (F.col("size") <= F.col("gap")))
+    beyond = rows.join(open_, F.col("source").eqNullSafe(F.col("c"))).where(~taken_once_more(F.col("size")) & (F.col("size") <= F.col("gap")))
     fill = beyond.groupBy(F.col("source").alias("f")).agg(F.max(F.struct("size", "draw"))["draw"].alias("fill"))
     return state.join(fill, F.col("s").eqNullSafe(F.col("f")), "left").select(
         "s", "source_size", "target", "whole", "levels", F.coalesce("fill", F.lit(-1)).alias("fill")
     )
 
 
-def copies(max_epochs: float) -> Column:
-    once_more = taken_once_more() | (F.col("draw") == F.col("fill"))
+def copies(max_epochs: float, size: Column) -> Column:
+    once_more = taken_once_more(size) | (F.col("draw") == F.col("fill"))
     return F.least(F.col("whole") + F.when(once_more, 1).otherwise(0), F.lit(int(max_epochs))).cast("bigint")
 
 
@@ -171,7 +174,7 @@ def plan(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: int
     rows = Stored(rows, "mix-rows").df
     found = Stored(cuts(rows, weights, max_epochs), "mix-cuts").df
     return rows.join(found, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "source", "size", "source_size", "target", copies(max_epochs).alias("copies")
+        "doc_id", "source", "size", "source_size", "target", copies(max_epochs, F.col("size")).alias("copies")
     )
 
 
@@ -183,6 +186,7 @@ def mix(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: int)
     held = docs.select(
         draw(seed).alias("draw"), F.col("source").alias("held_source"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("document")
     )
-    taken = held.join(found, F.col("held_source").eqNullSafe(F.col("s"))).select("document", copies(max_epochs).cast("int").alias("n"))
+    words = word_count(F.coalesce(F.col("document")["text"], F.lit("")))
+    taken = held.join(found, F.col("held_source").eqNullSafe(F.col("s"))).select("document", copies(max_epochs, words).cast("int").alias("n"))
     rows = taken.where(F.col("n") > 0).select("document", F.explode(F.sequence(F.lit(1), F.col("n"))))
     return rows.select("document.*")
