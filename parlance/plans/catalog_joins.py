@@ -14,6 +14,7 @@ from parlance.plans import views as v
 from parlance.plans.registry import query
 from parlance.plans.resume import incremental_run
 from parlance.schemas import KEY
+from parlance.sources import datasets, memory_index
 from parlance.sources.workdir import new_dir
 
 # Every type is opted in to reuse across mods here, so that the queries show it.
@@ -34,20 +35,32 @@ def _on(a: str, b: str) -> str:
 # ---- changes -----------------------------------------------------------------------------------
 
 
-@query(
-    "detect_changes",
-    f"""select coalesce(s.mod_id, m.mod_id) as mod_id, coalesce(s.domain, m.domain) as domain,
+_CHANGES = f"""select coalesce(s.mod_id, m.mod_id) as mod_id, coalesce(s.domain, m.domain) as domain,
  coalesce(s.def_type, m.def_type) as def_type, coalesce(s.key_path, m.key_path) as key_path,
  case when m.key_path is null then 'new' when s.key_path is null then 'orphaned'
  when s.vh = m.value_hash then 'unchanged' else 'stale' end as change,
  coalesce(s.sh = m.source_hash, false) as same_normalized
 from (select *, sha256(source_text) as vh, sha256({o.normalized('source_text')}) as sh from v_s) s
-full join v_tm m on {_on('s', 'm')}""",
-)
+full join v_tm m on {_on('s', 'm')}"""
+
+
+@query("detect_changes", _CHANGES)
 def _(spark, folder):
     return memory.detect_changes(v.strings(spark, folder), v.memory(spark, folder))
 
 
+def _index(spark, folder):
+    """The given memory, written as a version and opened by its index."""
+    path = new_dir(spark, "memory")
+    datasets.write_tm(v.memory(spark, folder), path, 0)
+    return memory_index.open_index(spark, path)
+
+
+@query("indexed_changes", _CHANGES)
+def _(spark, folder):
+    return memory_index.indexed_changes(v.strings(spark, folder), _index(spark, folder))
+
+
 @query(
     "new_keys",
     f"select s.doc_id, s.key_path from v_s s where not exists (select 1 from v_tm m where {_on('s', 'm')})",
@@ -92,15 +105,21 @@ def _(spark, folder):
 # ---- memory ------------------------------------------------------------------------------------
 
 
-@query(
-    "tm_lookup",
-    f"select {_KEYS}, semantic_type, source_hash, md5(tm_translation) as tm_translation, tm_scope from v_look",
-)
+_LOOKUP = f"select {_KEYS}, semantic_type, source_hash, md5(tm_translation) as tm_translation, tm_scope from v_look"
+
+
+@query("tm_lookup", _LOOKUP)
 def _(spark, folder):
     found = memory.tm_lookup(v.typed_strings(spark, folder), v.memory(spark, folder), None)
     return found.withColumn("tm_translation", F.md5("tm_translation"))
 
 
+@query("indexed_lookup", _LOOKUP)
+def _(spark, folder):
+    found = memory_index.indexed_lookup(v.typed_strings(spark, folder), _index(spark, folder), None)
+    return found.withColumn("tm_translation", F.md5("tm_translation"))
+
+
 @query(
     "coverage_vs_existing",
     f"""select {_KEYS}, exists (select 1 from v_tm m where {_on('s', 'm')}) as has_translation from v_s s""",
