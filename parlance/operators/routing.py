@@ -18,6 +18,7 @@ from parlance.operators.memory import tm_lookup
 from parlance.operators.rules import LAYERS, apply_layers, template_key
 from parlance.operators.skew import key_join, segment_rows
 from parlance.schemas import ACCEPTED_REVIEWS, KEY, TARGET_LANG
+from parlance.sources.memory_index import MemoryIndex, indexed_lookup
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,7 @@ class RouterPolicy:
     long_text_tokens: int = 400
     many_tokens: int = 4
     many_symbols: int = 1
+    min_agreement: float = 0.5
     cross_mod_types: tuple[str, ...] | None = ()
     target_lang: str | None = TARGET_LANG
     layers: tuple[str, ...] = LAYERS
@@ -58,12 +60,23 @@ def difficulty_flags(df: DataFrame, policy: RouterPolicy = RouterPolicy()) -> Da
     return df.withColumn("difficulty", F.filter(flags, lambda f: f.isNotNull()))
 
 
+def low_agreement(disagreements: DataFrame, policy: RouterPolicy = RouterPolicy()) -> DataFrame:
+    """The rows of ``provider_disagreement`` whose passes share too few words to trust either."""
+    return disagreements.filter(F.col("similarity") < policy.min_agreement)
+
+
 def route(
-    strings: DataFrame, tm: DataFrame, glossary: DataFrame, policy: RouterPolicy = RouterPolicy()
+    strings: DataFrame,
+    tm: DataFrame | MemoryIndex,
+    glossary: DataFrame,
+    policy: RouterPolicy = RouterPolicy(),
+    disagreements: DataFrame | None = None,
 ) -> DataFrame:
     """Cheapest tier first: tm, glossary, then local or remote with the reasons.
 
-    Texts are reduced to keys, hashes, a size estimate and flags before the first exchange.
+    Texts are reduced to keys, hashes, a size estimate and flags before the first exchange. The
+    memory is a table or its index (``open_index``). ``disagreements`` are those of two earlier
+    passes, per key (``provider_disagreement``): little agreement is one more difficulty.
     """
     measured = difficulty_flags(strings, policy).withColumns(
         {
@@ -73,7 +86,14 @@ def route(
         }
     )
     carry = ("tokens", "difficulty", "template", "placeholders")
-    facts = tm_lookup(measured, tm, policy.cross_mod_types, carry, policy.target_lang)
+    if isinstance(tm, MemoryIndex):
+        facts = indexed_lookup(measured, tm, policy.cross_mod_types, carry)
+    else:
+        facts = tm_lookup(measured, tm, policy.cross_mod_types, carry, policy.target_lang)
+    if disagreements is not None:
+        apart = low_agreement(disagreements, policy).groupBy(*KEY).agg(F.lit(True).alias("_apart"))
+        flag = F.when(F.col("_apart"), F.array(F.lit("disagreement"))).otherwise(F.array().cast("array<string>"))
+        facts = key_join(facts, apart, KEY, "left").withColumn("difficulty", F.array_union("difficulty", flag))
     ruled = apply_layers(facts, glossary, "template", policy.layers)
     always = F.coalesce(F.col("semantic_type").isin(*policy.always_escalate), F.lit(False))
     doubtful = F.lit(policy.low_confidence_escalation) & (F.size("difficulty") > 0)

@@ -118,25 +118,35 @@ def apply_layers(
 ) -> DataFrame:
     """Attach glossary_layer, preferred and forbidden by layered precedence.
 
-    Each layer is a lookup on a unique key, so three plain equi-joins never multiply rows, however
-    many mods define the same term. Whether a layer is broadcast is decided by its measured size.
+    Two lookups on unique keys, so rows never multiply, however many mods define a term: one on
+    (mod, term), one on the term, whose row holds the rules of the other layers. The second is as
+    large as the number of semantic types; rules of mods, of which a term may have very many, stay
+    rows of their own. The layers are stored, so the glossary is read once and the planner knows
+    whether a lookup is small enough to be sent to every task.
     """
-    flat = glossary_layers(glossary)
-    out, found = df, []
-    for layer in layers:
-        g = flat.filter(F.col("scope") == layer).select(
-            F.col("scope_value").alias("_g_scope"),
-            F.col("term_key").alias("_g_term"),
-            F.struct(F.lit(layer).alias("layer"), "preferred", "forbidden").alias(f"_hit_{layer}"),
+    flat = stored(glossary_layers(glossary).filter(F.col("scope").isin(*layers)), "glossary-layers")
+    rule = F.struct(F.col("scope").alias("layer"), "preferred", "forbidden")
+    out, hits = df, {}
+    if "mod" in layers:
+        own = flat.filter("scope = 'mod'").select(
+            F.col("scope_value").alias("_g_mod"), F.col("term_key").alias("_g_term"), rule.alias("_hit_mod")
         )
-        condition = F.col(term) == F.col("_g_term")
-        if layer != "global":
-            scope = "mod_id" if layer == "mod" else "semantic_type"
-            condition = condition & (F.col(scope) == F.col("_g_scope"))
-        out = out.join(g, condition, "left").drop("_g_scope", "_g_term")
-        found.append(F.col(f"_hit_{layer}"))
+        found = (F.col(term) == F.col("_g_term")) & (F.col("mod_id") == F.col("_g_mod"))
+        out, hits["mod"] = out.join(own, found, "left").drop("_g_mod", "_g_term"), F.col("_hit_mod")
+    if set(layers) - {"mod"}:
+        typed, everywhere = F.col("scope") == "semantic_type", F.col("scope") == "global"
+        of_types = F.collect_list(F.when(typed, F.struct("scope_value", rule.alias("rule"))))
+        shared = flat.filter("scope <> 'mod'").groupBy(F.col("term_key").alias("_g_term")).agg(
+            F.map_from_entries(of_types).alias("_types"),
+            F.min_by(rule, F.when(everywhere, F.col("scope_value"))).alias("_hit_global"),
+        )
+        out = out.join(shared, F.col(term) == F.col("_g_term"), "left").drop("_g_term")
+        hits["global"] = F.col("_hit_global")
+        if "semantic_type" in layers:
+            hits["semantic_type"] = F.when(F.col("semantic_type").isNotNull(), F.col("_types")[F.col("semantic_type")])
+    found = [hits[layer] for layer in layers]
     hit = F.coalesce(*found)
-    out = out.withColumn("_hit", hit).drop(*[f"_hit_{layer}" for layer in layers])
+    out = out.withColumn("_hit", hit).drop("_hit_mod", "_types", "_hit_global")
     if how == "inner":
         out = out.filter(F.col("_hit").isNotNull())
     return out.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -402,12 +403,7 @@ def _(spark, folder):
 
 @query(
     "provider_disagreement",
-    """select doc_id, 'p0' as first_provider, 'p1' as second_provider, round(len(list_intersect(a, b)) /
- greatest(len(a) + len(b) - len(list_intersect(a, b)), 1), 6) as similarity from (
-select doc_id, list_distinct(list_filter(regexp_split_to_array(x, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) as a,
- list_distinct(list_filter(regexp_split_to_array(y, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) as b
-from (select doc_id, max(case when provider_id = 'p0' then translated_text end) as x,
- max(case when provider_id = 'p1' then translated_text end) as y from v_c2 group by doc_id) where x <> y)""",
+    "select doc_id, 'p0' as first_provider, 'p1' as second_provider, similarity from v_apart",
 )
 def _(spark, folder):
     return providers.provider_disagreement(v.two_passes(spark, folder), "p0", "p1", ["doc_id"])
@@ -524,6 +520,24 @@ def _(spark, folder):
     )
 
 
+@query(
+    "route_disagreement",
+    f"select {_KEYS}, semantic_type, tokens, tier, reason, md5(reused) as reused from v_route2",
+)
+def _(spark, folder):
+    passes = providers.provider_disagreement(v.two_passes(spark, folder), "p0", "p1", list(KEY))
+    routed = routing.route(
+        v.typed_strings(spark, folder),
+        _index(spark, folder),
+        v.glossary_from_memory(spark, folder),
+        replace(POLICY, min_agreement=0.95),
+        passes,
+    )
+    return routed.select(
+        *KEY, "semantic_type", "tokens", "tier", "reason", F.md5("reused_translation").alias("reused")
+    )
+
+
 @query(
     "collapse_attempts",
     """select event_id, key, row_number() over w as attempt, (sum(failed::int) over w)::bigint as failures_so_far,

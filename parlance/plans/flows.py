@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 from parlance.functions.text import value_hash
 from parlance.operators.gates import ALL_GATES, require_filled, validate
 from parlance.operators.memory import SHARED, fan_out_translations, unique_sources
-from parlance.operators.providers import PASSTHROUGH, Provider, translate_with
+from parlance.operators.providers import PASSTHROUGH, Provider, provider_disagreement, translate_with
 from parlance.operators.quality import fail_if_any, filter_emittable
-from parlance.operators.routing import RouterPolicy, assign_review_status, route
+from parlance.operators.routing import RouterPolicy, assign_review_status, low_agreement, route
 from parlance.operators.rules import glossary_terms_in_text
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
 from parlance.sources.datasets import read_state, write_state
+from parlance.sources.memory_index import MemoryIndex
 from parlance.sources.packs import (
     ManifestOptions,
     invalid_keys,
@@ -43,12 +45,17 @@ def translate_unique(
     remote: Provider,
     gates: tuple[str, ...],
     keep: Keep = keep_fresh,
+    second: Provider | None = None,
 ) -> DataFrame:
     """One result for each distinct text: local attempts up to the allowance, then the remote one.
 
     Every attempt is stored before it is checked, so a provider sees a text once per attempt. A
-    text that fails everywhere keeps its last result, failed.
+    text that fails everywhere keeps its last result, failed. With a ``second`` local provider, each
+    text that passed is translated by it too; where the two share too few words, the remote provider
+    decides. A second pass that fails says nothing against the first. ``escalation`` tells why a text
+    of the local tier went on: ``failed`` or ``disagreement``.
     """
+    unique = unique.withColumn("escalation", F.lit(None).cast("string"))
 
     def attempt(texts: DataFrame, provider: Provider, name: str) -> DataFrame:
         # Calls are slow and texts small: parts go by rows, not by the bytes an exchange left.
@@ -60,34 +67,49 @@ def translate_unique(
     for number in range(policy.attempts_allowed):
         made = attempt(waiting, local, f"attempt-{number}")
         done.append(made.filter("passed"))
-        waiting = made.filter("not passed").select(*columns)
+        waiting = made.filter("not passed").select(*columns).withColumn("escalation", F.lit("failed"))
         if waiting.isEmpty():
             break
+    hints = ("context_hint",) if "context_hint" in columns else ()
+    if second is not None:
+        first = reduce(DataFrame.unionByName, done)
+        again = attempt(first.select(*columns), second, "attempt-second")
+        names = (*SHARED, *hints)
+
+        def disagreeing() -> DataFrame:
+            both = first.unionByName(again.filter("passed"))
+            return low_agreement(provider_disagreement(both, local.id, second.id, list(names)), policy).select(*names)
+
+        apart = keep(disagreeing, "disagreeing")
+        doubted = key_join(first.select(*columns), apart, names, "left_semi")
+        waiting = waiting.unionByName(doubted.withColumn("escalation", F.lit("disagreement")))
+        done = [key_join(first, apart, names, "left_anti")]
     made = attempt(unique.filter("tier = 'remote'").unionByName(waiting), remote, "attempt-remote")
     results = made
     for part in done:
         results = results.unionByName(part)
-    hints = ("context_hint",) if "context_hint" in columns else ()
-    made_by = ("translated_text", "provider_id", "prompt_version", "error")
+    made_by = ("translated_text", "provider_id", "prompt_version", "error", "escalation")
     return results.select(*SHARED, "tier", *hints, *made_by)
 
 
 def translate_flow(
     strings: DataFrame,
-    tm: DataFrame,
+    tm: DataFrame | MemoryIndex,
     glossary: DataFrame,
     policy: RouterPolicy = RouterPolicy(),
     local: Provider = PASSTHROUGH,
     remote: Provider = PASSTHROUGH,
     gates: tuple[str, ...] = ALL_GATES,
     keep: Keep = keep_fresh,
+    second: Provider | None = None,
 ) -> DataFrame:
     """Validated candidates for all strings; only tiers local and remote reach a translator.
 
     The route is stored, a distinct text is translated once per attempt and copied to its keys, and
     the candidates are stored, so using them again calls no translator. A failed item stays failed:
     its text is null, ``error`` tells why. Local failures are tried again and then go to the remote
-    translator; ``provider_id`` tells who made a text. A ``context_hint`` column of the strings
+    translator, as do texts on which a ``second`` local translator differs too much; ``provider_id``
+    tells who made a text. A ``context_hint`` column of the strings
     reaches the translators, and so do the glossary terms that a text holds.
     """
 
@@ -109,7 +131,7 @@ def translate_flow(
         return key_join(named, rules, ("text_id", "semantic_type"), "left").drop("text_id")
 
     unique = keep(with_rules, "texts-and-rules")
-    results = keep(lambda: translate_unique(unique, policy, local, remote, gates, keep), "results")
+    results = keep(lambda: translate_unique(unique, policy, local, remote, gates, keep, second), "results")
     reuse = F.col("tier").isin("tm", "glossary")
     everything = fan_out_translations(rows, results, shared).withColumns(
         {

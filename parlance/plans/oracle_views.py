@@ -269,3 +269,15 @@ from (select *, case when tm_scope is not null then 'tm'
  when template <> '' and sig = {signature('preferred')} then 'glossary'
  when semantic_type is not distinct from 'quest_text' or len(difficulty) > 0 then 'remote'
  else 'local' end as tier from v_route0)"""
+
+VIEWS["v_apart"] = """select doc_id, round(len(list_intersect(a, b)) /
+ greatest(len(a) + len(b) - len(list_intersect(a, b)), 1), 6) as similarity from (
+select doc_id, list_distinct(list_filter(regexp_split_to_array(x, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) as a,
+ list_distinct(list_filter(regexp_split_to_array(y, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) as b
+from (select doc_id, max(case when provider_id = 'p0' then translated_text end) as x,
+ max(case when provider_id = 'p1' then translated_text end) as y from v_c2 group by doc_id) where x <> y)"""
+
+VIEWS["v_route1"] = """select r.* replace (case when a.similarity < 0.95 then list_append(difficulty, 'disagreement')
+ else difficulty end as difficulty) from v_route0 r left join v_apart a on a.doc_id = r.doc_id"""
+
+VIEWS["v_route2"] = VIEWS["v_route"].replace("v_route0", "v_route1")

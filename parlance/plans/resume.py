@@ -103,6 +103,7 @@ def incremental_run(
     local: Provider = PASSTHROUGH,
     remote: Provider = PASSTHROUGH,
     gates: tuple[str, ...] = ALL_GATES,
+    second: Provider | None = None,
 ) -> Incremental:
     """Translate new and stale keys only, then bring the memory up to date.
 
@@ -114,13 +115,13 @@ def incremental_run(
     are new or stale again next time. ``memory`` is the lazy union of ``tm`` and ``updates``.
     """
     target_lang = policy.target_lang or TARGET_LANG
-    makers = [(p.id, p.kind, p.prompt_version) for p in (local, remote)]
+    makers = [(p.id, p.kind, p.prompt_version) for p in (local, remote, second) if p is not None]
     parts = [*(table_digest(t) for t in (strings, tm, glossary)), repr(policy), repr(makers), repr(gates)]
     name = hashlib.sha256("\n".join(parts).encode()).hexdigest()[:32]
     steps = Steps(strings.sparkSession, f"{folder.rstrip('/')}/{name}")
     changes = steps.keep(lambda: detect_changes(strings, tm, target_lang), "changes")
     wanted = changes.filter(F.col("change").isin("new", "stale")).select(*KEY)
     todo = steps.keep(lambda: key_join(strings, wanted, KEY, "left_semi"), "todo")
-    candidates = flows.translate_flow(todo, tm, glossary, policy, local, remote, gates, steps.keep)
+    candidates = flows.translate_flow(todo, tm, glossary, policy, local, remote, gates, steps.keep, second)
     updates = steps.keep(lambda: memory_rows(candidates, tm, target_lang, at), "updates")
     return Incremental(changes, candidates, updates, merge_tm(tm, updates))

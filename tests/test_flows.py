@@ -113,3 +113,55 @@ def test_only_recoverable_errors_become_rows(spark):
         translate_with(rows, provider_).collect()
     allowed = Provider(id="x", kind="local", prompt_version="1", translate=broken, recoverable=(RuntimeError,))
     assert {r["error"] for r in translate_with(rows, allowed).collect()} == {"RuntimeError: a mistake in the code"}
+
+
+def test_second_pass_that_differs_sends_a_text_to_the_remote_translator(spark, tmp_path):
+    def made(name, kind, answer):
+        return Provider(id=name, kind=kind, prompt_version="1", translate=lambda texts, *_: [answer(t) for t in texts])
+
+    first = made("one", "local", lambda t: f"uno due tre {t}")
+    second = made("two", "local", lambda t: "" if t.endswith("3") else f"uno due tre {t}" if t.endswith("1") else f"x {t[-1]}")
+    remote = made("far", "remote", lambda t: f"far {t}")
+    rows = flows.translate_flow(
+        strings(spark), spark.createDataFrame([], MEMORY), spark.createDataFrame([], GLOSSARY),
+        RouterPolicy(), first, remote, second=second,
+    ).collect()
+    got = {(r["source_text"][-1], r["provider_id"], r["escalation"], r["reason"]) for r in rows}
+    # An empty second text fails its gates and decides nothing.
+    assert got == {("0", "far", "disagreement", ""), ("1", "one", None, ""), ("2", "far", "disagreement", ""), ("3", "one", None, "")}
+    assert len(rows) == 12
+
+
+def test_layers_are_found_with_one_read_of_the_glossary(spark):
+    from parlance.operators.rules import apply_layers
+
+    terms = [
+        ("global", None, "a", "ga", []), ("global", "x", "a", "gx", []), ("mod", "m1", "a", "ma", []),
+        ("semantic_type", "t1", "a", "ta", []), ("semantic_type", "t2", "b", "tb", ["no"]), ("mod", None, "a", "none", []),
+    ]
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            reads.add(len(frame))
+            yield frame
+
+    glossary = spark.createDataFrame(terms, GLOSSARY).mapInPandas(counted, GLOSSARY)
+    rows = [(m, t, k) for m in ("m1", "m2", None) for t in ("t1", "t2", None) for k in ("a", "b", "c")]
+    df = spark.createDataFrame(rows, "mod_id string, semantic_type string, term string")
+
+    def expected(mod, kind, term, layers):
+        for layer in layers:
+            value = {"mod": mod, "semantic_type": kind, "global": ""}[layer]
+            for scope, scope_value, name, preferred, _ in terms:
+                if scope == layer and (scope_value or "") == value and name == term:
+                    return layer, preferred
+        return None, None
+
+    for layers in (("mod", "semantic_type", "global"), ("global", "mod"), ("semantic_type",)):
+        reads.value = 0
+        out = apply_layers(df, glossary, "term", layers).collect()
+        assert reads.value == len(terms)
+        assert len(out) == len(rows)
+        for r in out:
+            assert (r["glossary_layer"], r["preferred"]) == expected(r["mod_id"], r["semantic_type"], r["term"], layers)
