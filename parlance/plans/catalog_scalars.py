@@ -9,6 +9,7 @@ from parlance.operators import gates, merging, providers, quality, reports, rout
 from parlance.plans import oracle_views as o
 from parlance.plans import views as v
 from parlance.plans.registry import query
+from parlance.sources.workdir import new_dir
 
 
 def joined(column, sep: str = "|"):
@@ -454,11 +455,11 @@ _LINES = "select source as mod_id, 'pool' || doc_id || '.txt' as file, generate_
 _OLD_LINE = "case when idx = 2 and length(line) % 3 = 0 then line || '!' else line end"
 
 
-@query(
-    "rediff_changed_files",
-    f"""select mod_id, file, idx, line from ({_LINES}) where (mod_id, file) in (
- select (mod_id, file) from ({_LINES}) where {_OLD_LINE} <> line)""",
-)
+_REDIFF = f"""select mod_id, file, idx, line from ({_LINES}) where (mod_id, file) in (
+ select (mod_id, file) from ({_LINES}) where {_OLD_LINE} <> line)"""
+
+
+@query("rediff_changed_files", _REDIFF)
 def _(spark, folder):
     from parlance.sources.resources import number_pool_lines
 
@@ -469,6 +470,21 @@ def _(spark, folder):
     )
 
 
+@query("stream_changed_files", _REDIFF)
+def _(spark, folder):
+    from parlance.sources.resources import number_pool_lines
+    from parlance.streaming.files import changed_lines, stream_changed_files
+
+    lines = number_pool_lines(v.pool_lines(spark, folder), ["mod_id", "file"])
+    arriving, path, checkpoint = (new_dir(spark, n) for n in ("deliveries", "changed", "changed-checkpoint"))
+    for version, text in enumerate((_OLD_LINE, "line")):
+        delivered = lines.withColumns({"line": F.expr(text), "version": F.lit(version).cast("bigint")})
+        delivered.write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(delivered.schema).parquet(arriving)
+        stream_changed_files(stream, path, checkpoint)
+    return changed_lines(spark, path).select("mod_id", "file", F.col("idx").cast("bigint").alias("idx"), "line")
+
+
 @query(
     "number_pool_lines",
     f"select mod_id, file, idx, md5(line) as line from ({_LINES})",

@@ -44,10 +44,10 @@ def append_tm(df: DataFrame, path: str, name: str | int) -> None:
 
 def tm_versions(spark: SparkSession, path: str) -> list[int]:
     """Committed complete versions, oldest first."""
-    return sorted(int(n) for n in _committed(spark, path, BASE))
+    return sorted(int(n) for n in committed(spark, path, BASE))
 
 
-def _committed(spark: SparkSession, path: str, kind: str) -> list[str]:
+def committed(spark: SparkSession, path: str, kind: str) -> list[str]:
     """Names of written folders of a kind, from the folder names and their success marks."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -59,7 +59,7 @@ def _committed(spark: SparkSession, path: str, kind: str) -> list[str]:
 
 def _folded(spark: SparkSession, path: str, version: int) -> set[str]:
     """Names of the deltas that a complete version already holds."""
-    if str(version) not in _committed(spark, path, FOLDED):
+    if str(version) not in committed(spark, path, FOLDED):
         return set()
     return {r.name for r in spark.read.schema("name string").json(f"{path}/part={FOLDED}-{version}").collect()}
 
@@ -103,7 +103,7 @@ def _history(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     """
     complete = tm_versions(spark, path)
     folded = _folded(spark, path, complete[-1]) if complete else set()
-    deltas = [n for n in _committed(spark, path, DELTA) if n not in folded]
+    deltas = [n for n in committed(spark, path, DELTA) if n not in folded]
     folders = [f"{path}/part={BASE}-{complete[-1]}"] if complete else []
     folders += [f"{path}/part={DELTA}-{n}" for n in deltas]
     if not folders:
@@ -119,7 +119,7 @@ def compact_tm(spark: SparkSession, path: str) -> int | None:
     """
     complete = tm_versions(spark, path)
     done = _folded(spark, path, complete[-1]) if complete else set()
-    names = [n for n in _committed(spark, path, DELTA) if n not in done]
+    names = [n for n in committed(spark, path, DELTA) if n not in done]
     if not names:
         return None
     number = complete[-1] + 1 if complete else 0
