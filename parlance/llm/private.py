@@ -43,6 +43,8 @@ TERM = "term"
 GUARDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 NEAR = 80
+# Spans and matches are walked in blocks of that many.
+BLOCK = 256
 SUPPORT = 3
 DISCLOSES, REMOVED = 0.9, 0.97
 WORD = r"\p{L}{3,}"
@@ -73,21 +75,51 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def in_blocks(items: Column, measure, combine, work) -> Column:
+    """The arrays that ``work(block, before)`` makes of the blocks of a non-empty array, in a row.
+
+    ``before`` combines the ``measure`` (an int) of all earlier blocks, 0 for the first. A walk that
+    appends to its state copies the state at each step; inside short blocks that stays cheap, so the
+    work grows with the array and not with its square.
+    """
+
+    def cut(all_items: Column) -> Column:
+        last = F.floor((F.size(all_items) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_items, k * BLOCK + 1, BLOCK))
+
+    def befores(measures: Column) -> Column:
+        step = lambda done, m: F.concat(done, F.array(combine(F.element_at(done, -1), m)))
+        return F.slice(F.aggregate(measures, F.array(F.lit(0)), step), 1, F.size(measures))
+
+    made = lambda blocks: F.flatten(F.zip_with(blocks, befores(F.transform(blocks, measure)), work))
+    return bound(items, lambda all_items: bound(cut(all_items), made))
+
+
 def positions(text: Column, pattern: str, hits: Column, keep, kind: str, rank: int) -> Column:
     """Spans of the matches that ``keep`` accepts; gaps and matches in turn make up the text."""
     steps = F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
     none = F.array().cast(f"array<{SPAN}>")
+    ends = lambda at, step: at + F.length(step["gap"]) + F.coalesce(F.length(step["hit"]), F.lit(0))
 
     def add(state: Column, step: Column) -> Column:
-        start = state["at"] + F.length(step["gap"])
-        end = start + F.coalesce(F.length(step["hit"]), F.lit(0))
+        start, end = state["at"] + F.length(step["gap"]), ends(state["at"], step)
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), step["hit"].alias("value"))
         wanted = step["hit"].isNotNull() & keep(step["hit"])
         found = F.when(wanted, F.concat(state["found"], F.array(span))).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    return F.when(F.size(hits) > 0, F.aggregate(steps, start, add)["found"]).otherwise(none)
+    spans = in_blocks(
+        steps,
+        lambda block: F.aggregate(block, F.lit(0), ends),
+        lambda before, length: before + length,
+        lambda block, before: F.aggregate(block, F.struct(before.alias("at"), none.alias("found")), add)["found"],
+    )
+    return F.when(F.size(hits) > 0, spans).otherwise(none)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -117,16 +149,26 @@ def mentions(marked: DataFrame) -> DataFrame:
     """(row, content, entity, term): each once for a row, from the surroundings of every base span."""
     text = F.col("text")
 
-    def near(span: Column) -> Column:
+    def near(span: Column, part: Column, at: Column) -> Column:
         begin = F.greatest(span["start"] - NEAR, F.lit(0))
-        left = F.substr(text, begin + 1, span["start"] - begin)
-        right = F.substr(text, span["end"] + 1, F.lit(NEAR))
+        left = F.substr(part, begin - at + 1, span["start"] - begin)
+        right = F.substr(part, span["end"] - at + 1, F.lit(NEAR))
         whole = F.concat(F.regexp_replace(left, r"^\S*+\s", ""), F.lit(" "), F.regexp_replace(right, r"\s\S*$", ""))
-        return F.transform(words(whole), lambda w: F.struct(entity(span).alias("entity"), w.alias("term")))
-
-    pairs = F.array_distinct(F.flatten(F.transform("_base", near)))
-    return marked.where(F.size("_base") > 0).select("row", F.xxhash64("text").alias("content"), F.explode(pairs).alias("p")).select(
-        "row", "content", "p.entity", "p.term"
+        # Neither has line ends. Distinct strings are found by hash, distinct structs by comparing all.
+        return bound(entity(span), lambda e: F.transform(words(whole), lambda w: F.concat(e, F.lit("\n"), w)))
+
+    def of_block(block: Column, _: Column) -> Column:
+        """From the part of the text around the block: a position is counted from there."""
+        at = F.greatest(block[0]["start"] - NEAR, F.lit(0))
+        end = F.aggregate(block, F.lit(0), lambda e, span: F.greatest(e, span["end"])) + NEAR
+        around = F.struct(at.alias("at"), F.substr(text, at + 1, end - at).alias("part"))
+        listed = lambda t: F.flatten(F.transform(block, lambda span: near(span, t["part"], t["at"])))
+        return bound(around, listed)
+
+    pairs = F.array_distinct(in_blocks(F.col("_base"), lambda block: F.lit(0), lambda a, b: a, of_block))
+    found = marked.where(F.size("_base") > 0).select("row", F.xxhash64("text").alias("content"), F.explode(pairs).alias("p"))
+    return found.select(
+        "row", "content", F.substring_index("p", "\n", 1).alias("entity"), F.substring_index("p", "\n", -1).alias("term")
     )
 
 
@@ -199,16 +241,29 @@ def clean(docs: DataFrame) -> DataFrame:
     marked = Stored(marked, "private-documents").df
     text = F.coalesce("text", F.lit(""))
 
-    def step(state: Column, span: Column) -> Column:
-        gone = (span["kind"] == TERM) & F.coalesce(F.array_contains("_gone", F.lower(span["value"])), F.lit(False))
-        mark = F.when(gone, "").otherwise(F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
-        fresh = span["start"] >= state["at"]
-        between = F.substr(text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(fresh, F.concat(state["out"], between, mark)).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    walked = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    rest = F.substr(text, walked["at"] + 1, F.length(text))
-    cleaned = F.when(F.size("_spans") > 0, F.concat(walked["out"], rest)).otherwise(F.col("text"))
+    latest = lambda at, span: F.greatest(at, span["end"])
+
+    def pieces(block: Column, before: Column) -> Column:
+        """Marks and the texts between them, from the end of the earlier spans to that of the block's."""
+        length = F.aggregate(block, before, latest) - before
+
+        def walk(part: Column) -> Column:
+            def step(state: Column, span: Column) -> Column:
+                gone = (span["kind"] == TERM) & F.coalesce(F.array_contains("_gone", F.lower(span["value"])), F.lit(False))
+                mark = F.when(gone, "").otherwise(F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+                between = F.substr(part, state["at"] - before + 1, span["start"] - state["at"])
+                more = F.concat(state["out"], F.array(F.concat(between, mark)))
+                out = F.when(span["start"] >= state["at"], more).otherwise(state["out"])
+                return F.struct(latest(state["at"], span).alias("at"), out.alias("out"))
+
+            empty = F.struct(before.alias("at"), F.array().cast("array<string>").alias("out"))
+            return F.aggregate(block, empty, step)["out"]
+
+        return bound(F.substr(text, before + 1, length), walk)
+
+    ends = lambda block: F.aggregate(block, F.lit(0), latest)
+    walked = F.array_join(in_blocks(F.col("_spans"), ends, lambda a, b: F.greatest(a, b), pieces), "")
+    rest = F.substr(text, ends(F.col("_spans")) + 1, F.length(text))
+    cleaned = F.when(F.size("_spans") > 0, F.concat(walked, rest)).otherwise(F.col("text"))
     rows = with_terms(marked, docs).withColumn("_clean", cleaned)
     return rows.select(*[(F.col("_clean") if c == "text" else F.col(f"others.`{c}`")).alias(c) for c in docs.columns])
