@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tracemalloc
 from pathlib import Path
 from xml.etree import ElementTree
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from parlance.operators import gates, providers
@@ -379,3 +381,67 @@ def test_many_deltas_are_one_scan(spark, tmp_path):
     plan = read._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1 and "Union" not in plan
     assert sorted(r["id"] for r in read.collect()) == [7, 8, 9, 10, 11]
+
+
+def test_the_driver_holds_no_list_of_files(spark, mods):
+    # A file relation keeps the status of every file on the driver; names found by tasks are rows.
+    put(Path(mods) / "e/Defs/T.xml", DEFS)
+    for found in (
+        resources.list_resources(spark, mods), resources.read_defs(spark, mods), resources.read_keyed(spark, mods),
+        resources.read_mods(spark, mods), resources.inferred_strings(spark, mods), resources.merged_strings(spark, mods),
+    ):
+        assert not [f for f in found.inputFiles() if f.endswith((".xml", ".txt"))]
+        assert found.count()
+
+
+def test_listed_paths_are_those_of_the_readers_of_spark(spark, mods):
+    base = Path(mods)
+    put(base / "a/_hidden/x.xml", "<a/>")
+    put(base / "a/.hidden.xml", "<a/>")
+    put(base / "a/part=1/_k=2/x y é%20.xml", "<a/>")
+    put(base / "loose.txt", "text")
+    put(base / "a/Languages/English/Keyed/Empty.xml", "")
+    for pattern in (mods, f"{mods}/*", f"{mods}/{{a,b}}", f"{mods}/[ab]"):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
+        assert sorted(resources.list_resources(spark, pattern).collect()) == sorted(files.select("path").collect())
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        resources.list_resources(spark, f"{mods}/none")
+
+
+def test_a_large_file_is_parsed_as_a_stream():
+    class Long:
+        """A file of 30 MB, made as it is read; none of its bytes are kept."""
+
+        def __init__(self):
+            line = b"<K>" + b"x" * 1000 + b"</K>\n"
+            self.parts = iter([b"<LanguageData>", *[line * 100] * 300, b"</LanguageData>"])
+
+        def read(self, size=-1):
+            return next(self.parts, b"")
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+    tracemalloc.start()
+    rows = sum(1 for _ in resources._language_parser(False)("p", Long))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 30_000 and peak < 3_000_000
+
+
+def test_pools_are_read_in_pieces_of_whole_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(resources, "WHOLE", 5)
+    texts = {"b": "\n", "c": "one\r\ntwo\n\nlong line é\r\n", "d": "x\r", "e": "\r\n\r\n", "f": "no end\nof file"}
+    for name, text in texts.items():
+        path = tmp_path / f"m/Languages/English/Strings/{name}.txt"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(text.encode())
+    (tmp_path / "m/Languages/English/Strings/g.txt").write_bytes(b"fine\n\xff")
+    rows = resources.read_string_pools(spark, str(tmp_path)).collect()
+    found = sorted((r["file"][0], r["idx"], r["line"]) for r in rows if r["error"] is None)
+    whole = resources.number_pool_lines(spark.createDataFrame([*texts.items()], "file string, text string"), ["file"])
+    assert found == sorted(map(tuple, whole.collect()))
+    assert [(r["file"], r["line"], r["error"]) for r in rows if r["error"]] == [("g.txt", None, "not UTF-8")]
