@@ -184,42 +184,81 @@ def glossary_template_match(
     return apply_layers(keyed.filter("term_key <> ''"), glossary, "term_key", layers, "inner")
 
 
-# Share of the texts in which words are counted to choose anchors.
+# Share of the texts in which marks are counted to choose anchors.
 COUNTED_SHARE = 1 / 16
+# Marks of long runs: hashes of four words, of which every sixteen in a row give the least ones.
+GRAM, WINDOW = 4, 16
+LONG = GRAM + WINDOW - 1
+
+
+def _slid(values: str, step: int, pick) -> Column:
+    """Every value combined with the one ``step`` places on (null beyond the end)."""
+    return F.zip_with(values, F.slice(values, step + 1, F.greatest(F.size(values), F.lit(0))), lambda a, b: pick(a, b))
+
+
+def _marked(df: DataFrame, words: Column, columns: list[str], long: bool) -> DataFrame:
+    """(columns, position, mark) of word runs; equal runs have equal marks at equal places.
+
+    The short marks are the hashes of all pairs of words. The long ones are the least hashes of four
+    words in every window: wherever a run of ``LONG`` words or more stands, all marks that the run has by
+    itself are marks of the text, and about one position in eight has one. Steps are columns of their
+    own, since an expression that is used twice would be computed twice.
+    """
+    out = df.select(*columns, F.transform(words, lambda w: F.xxhash64(w)).alias("_h"))
+    out = out.withColumn("_m", _slid("_h", 1, F.xxhash64))
+    if not long:
+        marks = F.slice("_m", 1, F.greatest(F.size("_h") - 1, F.lit(0)))
+    else:
+        out = out.withColumn("_m", _slid("_m", 2, F.xxhash64)).withColumn("_w", F.col("_m"))
+        for k in range(4):
+            out = out.withColumn("_w", _slid("_w", 1 << k, F.least))
+        edge = F.array_repeat(F.lit(None).cast("bigint"), WINDOW - 1)
+        whole = F.slice("_w", 1, F.greatest(F.size("_h") - LONG + 1, F.lit(0)))
+        out = out.withColumn("_w", F.concat(edge, whole, edge))
+        for k in range(4):
+            out = out.withColumn("_w", _slid("_w", 1 << k, F.greatest))
+        marks = F.zip_with("_m", "_w", lambda m, w: F.when(m == w, m))
+    # Outer explodes: a plain one would have the words found twice, once to filter on their number.
+    return out.select(*columns, F.posexplode_outer(marks).alias("_pos", "_mark")).filter("_mark is not null")
 
 
 def find_terms(texts: DataFrame, wanted: DataFrame, identity: list[str], text: str) -> DataFrame:
     """(identity, term_key, occurrences) of the terms that stand in the texts as word runs.
 
-    ``wanted`` holds term keys. Every term is filed under its anchor, the word of it that is rarest in
-    the texts, with the anchor's offset. (Words are counted in a share of the texts: another choice of
-    anchors changes the number of candidates, never what is found.) A text gives each of its words once, with its position; only
-    words that are anchors lead to candidates, and a candidate is checked against its text's words.
-    So the work is that of the words and candidates, whatever the length of the terms: no expression
-    and no row count depends on it. The anchors are joined by word, and the planner sends them to
-    every task if they are small enough; a word of every text is dealt over many tasks by the
-    runtime's splitting of skewed partitions. The checks go by text.
+    ``wanted`` holds term keys. A term of one word is looked up as it is. Every other one is filed under
+    its anchor, the mark of it that is rarest in the texts, with the anchor's offset: a pair of words for
+    short terms, four words picked by their hash for long ones (``_marked``). (Marks are counted in a
+    share of the texts: another choice of anchors changes the number of candidates, never what is found.)
+    A text gives its marks with their positions; only those that are anchors lead to candidates, and a
+    candidate is checked against its text's words. Words alone would not do: with more texts their
+    number stays and each gets more terms and more places, while runs of words remain rare. The anchors
+    are joined by mark, and the planner sends them to every task if they are small enough; a mark of
+    every text is dealt over many tasks by the runtime's splitting of skewed partitions. The checks go
+    by text.
     """
     w = F.split("term_key", " ")
     id_ = F.unhex(F.sha2("term_key", 256)).alias("_term")
     keys = wanted.select("term_key").filter("term_key <> ''").distinct()
     keys = stored(keys.select(id_, "term_key", F.size(w).alias("_n")), "terms")
-    single = keys.filter("_n = 1").select("_term", "_n", F.col("term_key").alias("_word"), F.lit(0).alias("_offset"))
-    parts = keys.filter("_n > 1").select("_term", "_n", F.posexplode(w).alias("_offset", "_word"))
-
-    # Outer explodes: a plain one would have the words found twice, once to filter on their number.
     sampled = texts.select(text).sample(COUNTED_SHARE, seed=1)
-    words = sampled.select(F.explode_outer(terms(text)).alias("_word"))
-    seen = words.join(parts.select("_word").distinct(), "_word", "left_semi")
-    counts = seen.groupBy(F.col("_word").alias("_seen")).agg(F.count(F.lit(1)).alias("_many"))
-    rarity = F.struct(F.coalesce("_many", F.lit(0)), "_offset")
-    anchors = parts.join(counts, F.col("_word") == F.col("_seen"), "left").groupBy("_term", "_n").agg(
-        F.min_by(F.struct("_word", "_offset"), rarity).alias("_a")
-    )
-    anchors = stored(anchors.select("_term", "_n", "_a._word", "_a._offset").unionByName(single), "term-anchors")
 
-    runs = texts.select(*identity, F.posexplode_outer(terms(text)).alias("_pos", "_word"))
-    hits = runs.join(anchors, "_word").select(*identity, "_term", "_n", (F.col("_pos") - F.col("_offset")).alias("_start"))
+    def candidates(long: bool) -> DataFrame:
+        parts = _marked(keys.filter(f"_n >= {LONG}" if long else f"_n > 1 and _n < {LONG}"), w, ["_term", "_n"], long)
+        seen = _marked(sampled, terms(text), [], long).join(parts.select("_mark").distinct(), "_mark", "left_semi")
+        counts = seen.groupBy(F.col("_mark").alias("_seen")).agg(F.count(F.lit(1)).alias("_many"))
+        rarity = F.struct(F.coalesce("_many", F.lit(0)), "_pos")
+        anchors = parts.join(counts, F.col("_mark") == F.col("_seen"), "left").groupBy("_term", "_n").agg(
+            F.min_by(F.struct("_mark", F.col("_pos").alias("_offset")), rarity).alias("_a")
+        )
+        anchors = stored(anchors.select("_term", "_n", "_a._mark", "_a._offset"), "term-anchors")
+        found = _marked(texts, terms(text), identity, long).join(anchors, "_mark")
+        return found.select(*identity, "_term", "_n", (F.col("_pos") - F.col("_offset")).alias("_start"))
+
+    single = stored(keys.filter("_n = 1").select("_term", "_n", F.col("term_key").alias("_word")), "one-word-terms")
+    runs = texts.select(*identity, F.posexplode_outer(terms(text)).alias("_start", "_word"))
+    hits = runs.join(single, "_word").select(*identity, "_term", "_n", "_start")
+    for long in (False, True):
+        hits = hits.unionByName(candidates(long))
     hits = stored(hits.filter("_start >= 0"), "term-candidates")
     sure = hits.filter("_n = 1").groupBy(*identity, "_term").agg(F.count(F.lit(1)).alias("occurrences"))
     unsure = hits.filter("_n > 1").groupBy(*identity).agg(

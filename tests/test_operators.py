@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parlance.operators import memory, providers, quality, routing, rules, scoring, skew
+from parlance.sources import workdir
 from parlance.sources.workdir import shared_dir
 
 
@@ -203,3 +205,33 @@ def test_review_sample_has_an_exact_size_and_does_not_depend_on_partitions(spark
     for r in samples[0]:
         sizes[r["rare"], r["kind"]] += 1
     assert sizes == {(True, None): 20, (False, None): 20, (True, "few"): 1, (False, "few"): 3}
+
+
+def test_candidates_of_terms_do_not_grow_with_terms_times_texts(spark, monkeypatch):
+    # Every word stands in every text, as in a language; only runs of words tell texts apart.
+    draw = random.Random(5)
+    words = [f"w{k}" for k in range(60)]
+    texts = [(k, " ".join(draw.choices(words, k=draw.choice([8, 18, 19, 20, 60, 300])))) for k in range(120)]
+    texts += [(500, None), (501, ""), (502, "w1 " * 50), (503, "w1 w2 " * 40)]
+    known = [t.split() for _, t in texts if t]
+    keys = [" ".join(t) for t in known[::2]]
+    for t in known:
+        for n in (1, 2, 3, 5, 18, 19, 20, 35):
+            at = draw.randrange(max(len(t) - n, 0) + 1)
+            keys.append(" ".join(t[at : at + n]))
+    keys += ["w1 w1", "w2 w1 " * 11 + "w2", "absent", "w1 absent", ""]
+    kept = {}
+    monkeypatch.setattr(rules, "stored", lambda df, name: kept.setdefault(name, workdir.stored(df, name)) if name == "term-candidates" else workdir.stored(df, name))
+    given = spark.createDataFrame(texts, "id int, text string")
+    found = rules.find_terms(given, spark.createDataFrame([(k,) for k in keys], "term_key string"), ["id"], "text")
+    expected = set()
+    for k, t in texts:
+        w = (t or "").split()
+        for key in {k.strip() for k in keys} - {""}:
+            run = key.split()
+            n = sum(w[i : i + len(run)] == run for i in range(len(w) - len(run) + 1))
+            if n:
+                expected.add((k, key, n))
+    assert {tuple(r) for r in found.collect()} == expected
+    long = kept["term-candidates"].filter("_n >= 19").count()
+    assert long <= 2 * sum(n for _, key, n in expected if len(key.split()) >= 19)
