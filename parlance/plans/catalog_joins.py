@@ -16,7 +16,7 @@ from parlance.plans.registry import query
 from parlance.plans.resume import incremental_run
 from parlance.schemas import KEY
 from parlance.sources import datasets, memory_index
-from parlance.sources.workdir import new_dir
+from parlance.sources.workdir import new_dir, stored
 
 # Every type is opted in to reuse across mods here, so that the queries show it.
 POLICY = routing.RouterPolicy(
@@ -597,8 +597,12 @@ def _(spark, folder):
 )
 def _(spark, folder):
     checked = gates.validate(v.candidates(spark, folder))
-    reviewed = routing.assign_review_status(checked, POLICY)
-    return routing.review_queue(reviewed, POLICY).select("doc_id", "why")
+    reviewed = routing.assign_review_status(checked, POLICY).select(
+        "doc_id", *KEY, "semantic_type", "passed", "review_status"
+    )
+    # Stored, as the candidates of a run are: a sort first samples its input, and a filter copies what
+    # it tests, so the gates would search every text several times.
+    return routing.review_queue(stored(reviewed, "reviewed"), POLICY).select("doc_id", "why")
 
 
 # ---- run halves --------------------------------------------------------------------------------------------

@@ -98,3 +98,16 @@ def test_identical_texts_pass_every_gate(spark):
 def test_known_markup_is_safe(spark):
     df = spark.createDataFrame([("<b>x</b> &amp;", True), ("x > y", False)], "t string, ok boolean")
     assert df.filter(tokens.xml_safe_check("t") != F.col("ok")).count() == 0
+
+
+def test_the_review_queue_searches_every_text_once(spark, tmp_path):
+    from parlance.plans.catalog import QUERIES
+
+    rows = [(k, f"text {k} " * (1 + 200 * (k % 2)), "en", f"src{k % 3}", 9) for k in range(40)]
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "documents.parquet"))
+    queue = QUERIES["review_queue"](spark, str(tmp_path))
+    # What is sorted (and sampled for that) is read; nothing of the gates is left in the plan.
+    assert "regexp" not in queue._jdf.queryExecution().executedPlan().toString()
+    found = dict(map(tuple, queue.collect()))
+    assert set(found.values()) == {"failed", "always_review", "difficult"} and found[0] == "failed"
