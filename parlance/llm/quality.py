@@ -8,7 +8,8 @@ those first in a seeded hash order). Tasks count the sample's features, one task
 and only the model, a table of fixed size, reaches the driver.
 
 Scoring covers every whole text. With two classes the layer folds into the vectors: each feature has
-one number, a word has the sum over its features, kept in a bounded cache.
+one number, a word has the sum over its features, kept in a bounded cache. The new words of many texts
+are hashed together, so that the work of a text hardly depends on how many of its words are new.
 
 Defined cases: null and empty texts have no features and score by the bias alone; ties and repeated
 rows score alike; null labels, and labels other than the two classes, are not learned from; a document
@@ -20,7 +21,11 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -31,6 +36,8 @@ from pyspark.sql import functions as F
 from parlance.llm.common import small_batches, text_or_empty
 
 WORDS_CACHED = 150_000
+#: Words of texts that are scored together, and new words that are hashed together.
+WORDS_SCORED, WORDS_HASHED = 1 << 15, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -46,12 +53,38 @@ class Settings:
     seed: int = 7
 
 
-def word_features(word: str, s: Settings) -> list[int]:
-    """Table rows of a word and its character n-grams; rows 0 and 1 are the two marks."""
-    edged = f"<{word}>".encode("utf-8", "surrogatepass").decode("latin-1")
-    grams = [edged[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(edged) - n + 1)]
-    room = s.buckets - 2
-    return [2 + zlib.crc32(g.encode("latin-1")) % room for g in (edged, *grams)]
+@cache
+def crc_tables(size: int) -> np.ndarray:
+    """For each place and byte, what the byte gives to the CRC-32 of ``size`` bytes: all of them are XORed."""
+    zero = zlib.crc32(bytes(size))
+    places = [[zlib.crc32(bytes(k) + bytes([b]) + bytes(size - 1 - k)) ^ zero for b in range(256)] for k in range(size)]
+    tables = np.array(places, dtype=np.uint32)
+    tables[0] ^= np.uint32(zero)
+    return tables
+
+
+def word_features(words: list[str], s: Settings) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Table rows of words and their character n-grams; rows 0 and 1 are the two marks.
+
+    Yields (begin, end, of, rows) for runs of words: each feature's word, counted from ``begin``, and its row.
+    """
+    room = np.uint32(s.buckets - 2)
+    for begin in range(0, len(words), WORDS_HASHED):
+        edged = [f"<{w}>".encode("utf-8", "surrogatepass") for w in words[begin : begin + WORDS_HASHED]]
+        data = np.frombuffer(b"".join(edged), np.uint8)
+        sizes = np.fromiter(map(len, edged), np.int64, len(edged))
+        word = np.repeat(np.arange(len(edged)), sizes)
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
+        of, hashes = [np.arange(len(edged))], [np.fromiter(map(zlib.crc32, edged), np.uint32, len(edged))]
+        for n in range(s.shortest, s.longest + 1):
+            places = max(len(data) - n + 1, 0)
+            inside = left[:places] >= n
+            crc = np.zeros(places, np.uint32)
+            for k, table in enumerate(crc_tables(n)):
+                crc ^= table[data[k : k + places]]
+            of.append(word[:places][inside])
+            hashes.append(crc[inside])
+        yield begin, begin + len(edged), np.concatenate(of), 2 + (np.concatenate(hashes) % room).astype(np.int64)
 
 
 def repeats(words: list[str]) -> tuple[int, int]:
@@ -59,20 +92,17 @@ def repeats(words: list[str]) -> tuple[int, int]:
     return sum(a == b for a, b in zip(words, words[1:], strict=False)), len(words) - len(set(words))
 
 
-def document_features(text: str | None, s: Settings, cache: dict) -> np.ndarray:
+def document_features(text: str | None, s: Settings) -> np.ndarray:
     """Counts of the table's rows in one text, as pairs (row, count)."""
     words = (text or "").split()
-    same, seen = repeats(words)
-    parts = []
-    for w in words:
-        if w not in cache:
-            if len(cache) >= WORDS_CACHED:
-                cache.clear()
-            cache[w] = np.array(word_features(w, s), dtype=np.int64)
-        parts.append(cache[w])
-    rows, counts = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, int),) * 2
-    marks = [(k, n) for k, n in ((0, same), (1, seen)) if n]
-    return np.array([*marks, *zip(rows.tolist(), counts.tolist(), strict=True)], dtype=np.int64).reshape(-1, 2)
+    times = Counter(words)
+    counts = np.zeros(s.buckets, dtype=np.int64)
+    counts[:2] = repeats(words)
+    each = np.fromiter(times.values(), np.int64, len(times))
+    for begin, end, of, rows in word_features(list(times), s):
+        np.add.at(counts, rows, each[begin:end][of])
+    rows = np.flatnonzero(counts)
+    return np.stack([rows, counts[rows]], axis=1)
 
 
 @dataclass
@@ -97,9 +127,8 @@ def train(labelled: DataFrame, s: Settings = Settings()) -> Model:
     chosen = rows.orderBy("draw", "text").limit(s.max_documents)
 
     def run(batches):
-        cache: dict = {}
         for batch in batches:
-            pairs = [document_features(t, s, cache) for t in batch.column(0).to_pylist()]
+            pairs = [document_features(t, s) for t in batch.column(0).to_pylist()]
             rows, counts = ([p[:, k].astype(kind).tobytes() for p in pairs] for k, kind in ((0, "<u4"), (1, "<f4")))
             columns = [batch.column(1), batch.column(2), pa.array(rows, pa.binary()), pa.array(counts, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["label", "draw", "rows", "counts"])
@@ -180,33 +209,46 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.sums, self.counts = np.zeros(1 << 16), np.zeros(1 << 16)
-
-    def _learn(self, word: str) -> None:
-        k = len(self.numbers)
-        if k == len(self.sums):
-            self.sums, self.counts = (np.concatenate([a, np.zeros_like(a)]) for a in (self.sums, self.counts))
-        rows = word_features(word, self.model.settings)
-        self.sums[k], self.counts[k] = self.weights[rows].sum(), len(rows)
-        self.numbers[word] = k
-
-    def score(self, text: str | None) -> float:
-        words = (text or "").split()
+        self.numbers: dict[str, int] = defaultdict(count().__next__)  # a new word gets the next number
+        self.sums, self.counts = np.zeros(0), np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """Sums and counts of the words that were numbered since the last call."""
+        new = list(islice(self.numbers, len(self.sums), None))
+        sums, counts = [self.sums], [self.counts]
+        for begin, end, of, rows in word_features(new, self.model.settings):
+            sums.append(np.bincount(of, self.weights[rows], end - begin))
+            counts.append(np.bincount(of, minlength=end - begin))
+        self.sums, self.counts = np.concatenate(sums), np.concatenate(counts)
+
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        """The chance of class 1 of each text."""
+        found, held, size = [], [], 0
+        for text in texts:
+            held.append((text or "").split())
+            size += len(held[-1])
+            if size >= WORDS_SCORED:
+                found.append(self._together(held, size))
+                held, size = [], 0
+        return np.concatenate([*found, self._together(held, size)])
+
+    def _together(self, texts: list[list[str]], size: int) -> np.ndarray:
         if len(self.numbers) > WORDS_CACHED:
             self._forget()
-        numbers = self.numbers
-        try:
-            at = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            for w in words:
-                if w not in numbers:
-                    self._learn(w)
-            at = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        same, seen = int(np.count_nonzero(at[1:] == at[:-1])), len(at) - len(np.unique(at))
-        total = self.sums[at].sum() + same * self.weights[0] + seen * self.weights[1]
-        n = self.counts[at].sum() + same + seen
-        return float(1 / (1 + np.exp(-np.clip(self.model.bias + (total / n if n else 0.0), -500, 500))))
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, size)
+        self._learn()
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        full = np.flatnonzero(sizes)
+        heads = (np.cumsum(sizes) - sizes)[full]
+        mean = np.zeros(len(texts))
+        if len(full):
+            same = np.append(False, at[1:] == at[:-1])
+            same[heads] = False
+            same = np.add.reduceat(same.astype(np.int64), heads)
+            seen = np.array([len(texts[k]) - len(set(texts[k])) for k in full])
+            total = np.add.reduceat(self.sums[at], heads) + same * self.weights[0] + seen * self.weights[1]
+            mean[full] = total / (np.add.reduceat(self.counts[at], heads) + same + seen)
+        return 1 / (1 + np.exp(-np.clip(self.model.bias + mean, -500, 500)))
 
 
 _scorers: dict[str, Scorer] = {}
@@ -222,7 +264,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         if name not in _scorers:  # one model at a time, kept between the tasks of a worker
             _scorers.clear()
             _scorers[name] = Scorer(shared.value)
-        return pd.Series([_scorers[name].score(t) for t in texts], dtype="float64")
+        return pd.Series(_scorers[name].scores(texts), dtype="float64")
 
     document = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.select(document.alias("document"), chance(text_or_empty()).alias("score"))

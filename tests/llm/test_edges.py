@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -434,3 +435,37 @@ def test_quality(spark, docs, none):
     assert [round(r.score) for r in quality.score(new, model).collect()] == [1, 0]
     nothing = quality.train(spark.createDataFrame([], "doc_id bigint, text string, label int"))
     assert quality.score(new, nothing).first().score == 0.5 and quality.score(none, model).count() == 0
+
+
+def test_quality_of_new_words_is_scored_in_bulk():
+    settings = quality.Settings()
+    model = quality.Model(np.random.default_rng(5).normal(size=settings.buckets).astype("<f4"), 0.3, settings)
+
+    def features(word):
+        edged = b"<" + word.encode() + b">"
+        grams = [edged[i : i + n] for n in (settings.shortest, settings.longest) for i in range(len(edged) - n + 1)]
+        return [2 + zlib.crc32(g) % (settings.buckets - 2) for g in (edged, *grams)]
+
+    def plain(text):
+        words = (text or "").split()
+        rows = [r for w in words for r in features(w)]
+        rows += [0] * sum(a == b for a, b in zip(words, words[1:], strict=False)) + [1] * (len(words) - len(set(words)))
+        mean = model.weights.astype("f8")[rows].sum() / len(rows) if rows else 0.0
+        return 1 / (1 + math.exp(-(model.bias + mean)))
+
+    # Nearly every word is new, more of them than the cache holds, as in many texts of a large table.
+    new = [" ".join(f"word{k}{k % 7}" for k in range(b, b + 1000)) for b in range(0, quality.WORDS_CACHED + 20_000, 1000)]
+    texts = [*TEXTS, "a", "again again a again", new[0], *new, new[0]]
+    begin = time.process_time()
+    want = np.array([plain(t) for t in texts])
+    middle = time.process_time()
+    scorer = quality.Scorer(model)
+    got = scorer.scores(texts)
+    assert time.process_time() - middle < (middle - begin) / 2
+    assert np.abs(got - want).max() < 1e-12 and got[-1] == got[-1 - len(new)] and len(scorer.scores([])) == 0
+    assert len(scorer.numbers) <= quality.WORDS_CACHED + quality.WORDS_SCORED + 1000
+    for t in [*TEXTS, new[0]]:
+        words = (t or "").split()
+        counts = Counter(r for w in words for r in features(w))
+        found = dict(quality.document_features(t, settings).tolist())
+        assert {r: n for r, n in found.items() if r > 1} == counts
