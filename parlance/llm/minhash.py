@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.llm.common import Stored, small_batches, text_or_empty, text_slices
-from parlance.llm.components import components
+from parlance.llm.components import components, extended
 from parlance.llm.shingles import Shingler, mixed
 
 RARE = 1 / 1000
@@ -356,8 +356,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         order = (F.col("id_a") < F.col("id_b")) if last else F.lit(True)
         pairs = one.join(two, "key").where((F.col("component_a") != F.col("component_b")) & can & order)
         pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        links = links.unionByName(Stored(linked(pairs, texts, weights, threshold), "minhash-links").df)
-        found = Stored(components(links), "minhash-components").df
+        found = extended(found, Stored(linked(pairs, texts, weights, threshold), "minhash-links").df)
     placed = unique.select("content", "id", "name").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     leads = Stored(placed.groupBy("component").agg(F.min(F.struct("name", "content")).alias("lead")), "minhash-classes").df
     # Where several classes begin with one doc_id, the first of them has its name.

@@ -50,11 +50,11 @@ def targets(sizes: DataFrame, weights: Sequence[float], max_epochs: float) -> Da
     )
     rows = Stored(rows, "mix-sources").df
     cap = F.col("source_size") * F.lit(float(max_epochs))
-    total = rows.agg(F.sum("source_size")).first()[0] or 0
     level, clamped = 0.0, -1
     while True:  # words for each unit of weight that sources below their cap receive
         full = F.col("weight") * F.lit(level) >= cap if clamped >= 0 else F.lit(False)
-        n, used, weight = rows.agg(
+        total, n, used, weight = rows.agg(
+            F.coalesce(F.sum("source_size"), F.lit(0)),
             F.count(F.when(full, 1)),
             F.coalesce(F.sum(F.when(full, cap)), F.lit(0.0)),
             F.coalesce(F.sum(F.when(~full, F.col("weight"))), F.lit(0.0)),

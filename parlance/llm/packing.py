@@ -58,15 +58,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, spa
     return Stored(made.withColumn("piece_id", F.monotonically_increasing_id()), "pieces", "zstd")
 
 
-def sweep(waiting: DataFrame, gaps: DataFrame) -> DataFrame:
+def sweep(rows: DataFrame) -> DataFrame:
     """One round: every row of both sides with the row it is matched to, if any.
 
-    ``waiting`` has (id, size), ``gaps`` has (id, size, used). The result has kind (0 gap, 1 piece),
-    id, size, used, and mate_id, mate_size, mate_used, null for rows without a match.
+    ``rows`` has kind (0 gap, 1 piece), id, size, used. The result adds mate_id, mate_size, mate_used,
+    null for rows without a match.
     """
-    rows = gaps.select(F.lit(0).alias("kind"), "id", "size", "used").unionByName(
-        waiting.select(F.lit(1).alias("kind"), "id", "size", F.lit(0).cast("bigint").alias("used"))
-    )
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int"))
     group = ["size", "kind", "bucket"]
     order = [F.col("size").desc(), "kind", "bucket"]
@@ -91,39 +88,40 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     """Place rows (id, size) with sizes from 1 to ``capacity``: id, sequence_id, offset."""
     spark = items.sparkSession
     full = F.col("size") == capacity
-    placed = [items.where(full).select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))]
-    waiting = items.where(~full).select("id", "size")
-    gaps = spark.range(0).select("id", F.lit(0).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("used"))
-    opened = 0
-    left, tokens, large = waiting.agg(
+    piece, matched = F.col("kind") == 1, F.col("mate_id").isNotNull()
+    whole = items.where(full).select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    none = F.lit(0).cast("bigint")
+    rows = items.where(~full).select(F.lit(1).alias("kind"), "id", F.col("size").cast("bigint").alias("size"), none.alias("used"))
+    opened, rounds = 0, []
+    left, tokens, large = rows.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0)), F.count(F.when(F.col("size") * 2 > capacity, 1))
     ).first()
     more = max(math.ceil(tokens / capacity), large)
     while left:
         if more:
             new = spark.range(more).select(
+                F.lit(0).alias("kind"),
                 (-1 - opened - F.col("id")).alias("id"),
                 F.lit(capacity).cast("bigint").alias("size"),
-                F.lit(0).cast("bigint").alias("used"),
+                none.alias("used"),
             )
-            gaps, opened = gaps.unionByName(new), opened + more
-        done = Stored(sweep(waiting, gaps), "packing-round").df
-        matched = F.col("mate_id").isNotNull()
-        piece = F.col("kind") == 1
-        placed.append(done.where(piece & matched).select("id", F.col("mate_id").alias("sequence_id"), F.col("mate_used").alias("offset")))
-        waiting = done.where(piece & ~matched).select("id", "size")
+            rows, opened = rows.unionByName(new), opened + more
+        done = Stored(sweep(rows), "packing-round")
+        rounds.append(done)
         before = left
-        left, tokens, least = done.where(piece & ~matched).agg(
+        left, tokens, least = done.df.where(piece & ~matched).agg(
             F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0)), F.min("size")
         ).first()
+        # Pieces without a mate wait on as they are, gaps with what their mate leaves.
         taken = F.coalesce(F.col("mate_size"), F.lit(0))
-        gaps = done.where(~piece).select("id", (F.col("size") - taken).alias("size"), (F.col("used") + taken).alias("used"))
-        gaps = gaps.where(F.col("size") >= (least or capacity))
+        open_ = (piece & ~matched) | (~piece & (F.col("size") - taken >= (least or capacity)))
+        rows = done.df.where(open_).select("kind", "id", (F.col("size") - taken).alias("size"), (F.col("used") + taken).alias("used"))
         more = math.ceil(tokens / capacity) if before - left < FEW * before else 0
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.unionByName(p)
-    return out
+    if not rounds:
+        return whole
+    # All rounds have one schema and are read at once.
+    done = spark.read.schema(rounds[0].schema).parquet(*[r.path for r in rounds]).where(piece & matched)
+    return whole.unionByName(done.select("id", F.col("mate_id").alias("sequence_id"), F.col("mate_used").alias("offset")))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, spaces: bool = True) -> DataFrame:
