@@ -1,14 +1,14 @@
 """Personal data: patterns, and terms that give protected values away. DataFrame functions only.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Every distinct base value is a
-protected entity. Words near a mention (``NEAR`` characters on both sides) co-occur with the entity.
-Over all documents, the information a word gives about an entity is their pointwise mutual
+protected entity. All words of a document co-occur with every entity that it mentions, however far
+apart. Over all documents, the information a word gives about an entity is their pointwise mutual
 information log(p(entity | word) / p(entity)); the entity's own information is -log p(entity). A word
 whose share of that information reaches ``DISCLOSES`` gives the entity away and is generalised to a
-class mark in the documents that mention the entity; from ``REMOVED`` on it is removed. Estimates need
-``SUPPORT`` documents with two different texts at least. Pairs are counted from mentions, so a
-document makes pairs in proportion to its length; common entities and words are summed before any
-exchange.
+class mark in the documents that mention the entity, wherever it stands in them; from ``REMOVED`` on it
+is removed. Estimates need ``SUPPORT`` documents with two different texts at least. A word and an entity
+are only paired if the numbers of their documents allow that share at all: a word of many more documents
+than the entity's never reaches it, so frequent words make no pairs with rare entities.
 
 The patterns are written so that no start is tried twice in a run of equal characters and no loop
 backtracks: long runs of digits or letters take linear time and no stack.
@@ -42,7 +42,6 @@ KINDS = list(PATTERNS)
 TERM = "term"
 GUARDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-NEAR = 80
 # Spans and matches are walked in blocks of that many.
 BLOCK = 256
 SUPPORT = 3
@@ -146,53 +145,38 @@ def entity(span: Column) -> Column:
 
 
 def mentions(marked: DataFrame) -> DataFrame:
-    """(row, content, entity, term): each once for a row, from the surroundings of every base span."""
-    text = F.col("text")
-
-    def near(span: Column, part: Column, at: Column) -> Column:
-        begin = F.greatest(span["start"] - NEAR, F.lit(0))
-        left = F.substr(part, begin - at + 1, span["start"] - begin)
-        right = F.substr(part, span["end"] - at + 1, F.lit(NEAR))
-        whole = F.concat(F.regexp_replace(left, r"^\S*+\s", ""), F.lit(" "), F.regexp_replace(right, r"\s\S*$", ""))
-        # Neither has line ends. Distinct strings are found by hash, distinct structs by comparing all.
-        return bound(entity(span), lambda e: F.transform(words(whole), lambda w: F.concat(e, F.lit("\n"), w)))
-
-    def of_block(block: Column, _: Column) -> Column:
-        """From the part of the text around the block: a position is counted from there."""
-        at = F.greatest(block[0]["start"] - NEAR, F.lit(0))
-        end = F.aggregate(block, F.lit(0), lambda e, span: F.greatest(e, span["end"])) + NEAR
-        around = F.struct(at.alias("at"), F.substr(text, at + 1, end - at).alias("part"))
-        listed = lambda t: F.flatten(F.transform(block, lambda span: near(span, t["part"], t["at"])))
-        return bound(around, listed)
-
-    pairs = F.array_distinct(in_blocks(F.col("_base"), lambda block: F.lit(0), lambda a, b: a, of_block))
-    found = marked.where(F.size("_base") > 0).select("row", F.xxhash64("text").alias("content"), F.explode(pairs).alias("p"))
-    return found.select(
-        "row", "content", F.substring_index("p", "\n", 1).alias("entity"), F.substring_index("p", "\n", -1).alias("term")
-    )
+    """(row, content, entity): each entity once for a row that mentions it."""
+    named = F.array_distinct(F.transform("_base", entity))
+    found = marked.where(F.size("_base") > 0)
+    return found.select("row", F.xxhash64("text").alias("content"), F.explode(named).alias("entity"))
+
+
+def row_words(marked: DataFrame) -> DataFrame:
+    """(row, term): each word once for a row that mentions any entity."""
+    return marked.where(F.size("_base") > 0).select("row", F.explode(words(F.col("text"))).alias("term"))
 
 
-def disclosing(marked: DataFrame, docs: DataFrame) -> DataFrame:
+def disclosing(marked: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
     """(entity, term, removed) for the pairs in which the term gives the entity away.
 
-    ``marked`` has (row, text, _base) for the documents with base spans, ``docs`` is the whole corpus.
+    ``marked`` has (row, text, _base) for the documents with base spans, ``known`` the mentions of entities
+    with ``SUPPORT`` documents and their number, ``docs`` is the whole corpus.
     """
-    named = marked.where(F.size("_base") > 0).select(F.explode(F.array_distinct(F.transform("_base", entity))).alias("entity"))
-    entities = named.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs")).where(F.col("entity_docs") >= SUPPORT)
+    used = docs.select(F.explode(words(text_or_empty())).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
+    used = used.where(F.col("term_docs") >= SUPPORT)
+    total = F.lit(float(max(docs.count(), 1)))
+    # The share is greatest if the term stands in all documents of the entity; a little more for rounding.
+    most = 1.001 * F.pow(F.col("entity_docs").cast("double"), F.lit(DISCLOSES)) * F.pow(total, F.lit(1 - DISCLOSES))
+    reach = known.select("row", "content", "entity", "entity_docs", most.alias("most"))
+    pairs = row_words(marked).join(used, "term").join(reach, "row").where(F.col("term_docs") <= F.col("most"))
     joint = (
-        mentions(marked)
-        .groupBy("entity", "term")
+        pairs.groupBy("entity", "term", "entity_docs", "term_docs")
         .agg(F.count(F.lit(1)).alias("joint"), F.min("content").alias("x"), F.max("content").alias("y"))
         .where((F.col("joint") >= SUPPORT) & (F.col("x") != F.col("y")))
     )
-    joint = Stored(joint.join(entities, "entity").select("entity", "term", "joint", "entity_docs"), "private-pairs").df
-    used = docs.select(F.explode(words(text_or_empty())).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
-    used = used.where(F.col("term_docs") >= SUPPORT)
-    total = F.lit(float(max(docs.count(), 1)))
     own = F.log(total / F.col("entity_docs"))
     gained = F.log(F.col("joint") * total / (F.col("term_docs") * F.col("entity_docs")))
-    share = F.when(own > 0, gained / own).otherwise(0.0)
-    rated = joint.join(used, "term").withColumn("share", share)
+    rated = joint.withColumn("share", F.when(own > 0, gained / own).otherwise(0.0))
     return rated.where(F.col("share") >= DISCLOSES).select("entity", "term", (F.col("share") >= REMOVED).alias("removed"))
 
 
@@ -201,8 +185,11 @@ def with_terms(marked: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``marked`` (row, text, _base, any others) is a stored table; its texts may be null without spans.
     """
-    found = Stored(disclosing(marked, docs), "private-terms").df
-    pairs = mentions(marked).join(found, ["entity", "term"])
+    named = mentions(marked)
+    entities = named.groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs")).where(F.col("entity_docs") >= SUPPORT)
+    known = Stored(named.join(entities, "entity"), "private-mentions").df
+    found = Stored(disclosing(marked, known, docs), "private-terms").df
+    pairs = row_words(marked).join(found, "term").join(known.select("row", "entity"), ["row", "entity"])
     by_row = pairs.groupBy("row").agg(
         F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("_gone"), F.collect_set("term").alias("_terms")
     )

@@ -250,6 +250,63 @@ def test_terms_that_give_an_entity_away(spark):
     assert "glimmerfax" not in cleaned[0] and "report 0" in cleaned[0] and cleaned[30] == texts[30]
 
 
+def brute_terms(texts):
+    """Spans of every text with the terms that give an entity of it away, from whole documents."""
+    kinds = ("email:", "ip:", "card:", "phone:")
+    spans = [[s.split(":") for s in base_spans(t or "").split(",") if s] for t in texts]
+    value = lambda t, k, a, b: k + ":" + (re.sub("[^0-9]", "", t[a:b]) if k in ("card", "phone") else t[a:b].lower())
+    entities = [{value(t, k, int(a), int(b)) for k, a, b in found} for t, found in zip(texts, spans, strict=True)]
+    words = [set(re.findall(r"[^\W\d_]{3,}", (t or "").lower())) for t in texts]
+    mentioned, used = Counter(e for es in entities for e in es), Counter(w for ws in words for w in ws)
+    joint, kinds_of_text = Counter(), {}
+    for t, es, ws in zip(texts, entities, words, strict=True):
+        for pair in ((e, w) for e in es for w in ws):
+            joint[pair] += 1
+            kinds_of_text.setdefault(pair, set()).add(t)
+    n, gives = len(texts), {}
+    for (e, w), both in joint.items():
+        if both >= 3 and len(kinds_of_text[e, w]) > 1 and mentioned[e] < n:
+            if math.log(both * n / (used[w] * mentioned[e])) / math.log(n / mentioned[e]) >= 0.9 - 1e-9:
+                gives.setdefault(e, set()).add(w)
+    out = []
+    for t, found, es in zip(texts, spans, entities, strict=True):
+        terms = set().union(*(gives.get(e, ()) for e in es))
+        base = [(int(a), kinds.index(k + ":"), int(b), k) for k, a, b in found]
+        hits = [(m.start(), 9, m.end(), "term") for m in re.finditer(r"[^\W\d_]{3,}", t or "") if m[0].lower() in terms]
+        hits = [h for h in hits if not any(h[0] < b[2] and b[0] < h[2] for b in base)]
+        out.append(",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(base + hits)))
+    return out
+
+
+def test_terms_far_from_the_entity_they_give_away(spark):
+    filler = " ".join("some words that stand in every text of this table".split() * 8)
+    texts = [f"glimmerfax opens {k}. {filler} write to boss@corp.example now" for k in range(8)]
+    texts += [f"{filler} text {k} without a word of it" for k in range(40)]
+    ids = list(range(len(texts)))
+    got = {r.doc_id: r.spans for r in private.report(documents(spark, texts, ids)).collect()}
+    assert all("term:0:10" in got[k] for k in range(8)) and all(not got[k] for k in range(8, 48))
+    cleaned = {r.doc_id: r.text for r in private.clean(documents(spark, texts, ids)).collect()}
+    assert not any("glimmerfax" in cleaned[k] or "boss@" in cleaned[k] for k in range(8))
+    assert all(cleaned[k] == texts[k] for k in range(8, 48))
+
+
+def test_terms_equal_those_of_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    common, rare = [f"common{'abcdefgh'[k]}" for k in range(8)], [f"{a}{b}zzy" for a in "klmnop" for b in "qrstuv"]
+    people = [f"user{'abcde'[k]}@mail{'abcde'[k]}.example" for k in range(5)] + ["10.1.2.3", "+49 30 1234567"]
+    texts = [None, ""]
+    for k in range(160):
+        who = [int(x) for x in rng.choice(len(people), rng.integers(0, 3), replace=False)]
+        body = [*rng.choice(common, 12), *rng.choice(rare, 2)]
+        body += [rare[5 * w % 36] for w in who if rng.random() < 0.9] + [people[w] for w in who]
+        texts.append(" ".join(str(x) for x in rng.permutation(body)) + (f" n{k}" if k % 7 else ""))
+    texts += texts[5:9]
+    got = {r.doc_id: r.spans for r in private.report(documents(spark, texts, list(range(len(texts))))).collect()}
+    want = brute_terms(texts)
+    assert sum("term" in w for w in want) > 20
+    assert [got[k] for k in range(len(texts))] == want
+
+
 def brute_similarity(a, b):
     def shingles(t):
         w = (t or "").lower().split()
