@@ -116,11 +116,25 @@ def tm_lookup(
     carry: tuple[str, ...] = (),
     target_lang: str | None = TARGET_LANG,
 ) -> DataFrame:
-    """Best accepted translation per string: own mod first, then other mods.
+    """Best accepted translation per string: own mod first, then other mods (``tm_hits``).
 
     Only keys, hashes and memory ids travel through the lookups; the texts of the memory are
-    exchanged once, by id, for the rows that were found. Both lookup tables hold one row per
-    lookup key, made by a combining aggregate, so a join never multiplies rows.
+    exchanged once, by id, for the rows that were found.
+    """
+    return with_texts(tm_hits(strings, tm, cross_mod_types, carry, target_lang), tm, target_lang)
+
+
+def tm_hits(
+    strings: DataFrame,
+    tm: DataFrame,
+    cross_mod_types: tuple[str, ...] | None = (),
+    carry: tuple[str, ...] = (),
+    target_lang: str | None = TARGET_LANG,
+) -> DataFrame:
+    """``tm_id`` and ``tm_scope`` of the best memory row for every string, without any text.
+
+    Both lookup tables hold one row per lookup key, made by a combining aggregate, so a join never
+    multiplies rows.
 
     Masked hashes make different tokens look equal; a hit therefore counts only if the stored
     translation carries exactly the string's tokens. ``cross_mod_types`` names the semantic types
@@ -158,7 +172,7 @@ def tm_lookup(
         else F.coalesce(F.col("semantic_type").isin(*cross_mod_types), F.lit(False))
     )
     own_id, any_id = F.col("own_id"), F.when(allowed, F.col("first_mod.newest.id"))
-    found = (
+    return (
         s.join(own, (F.col("mod_id") == F.col("tm_mod")) & same, "left")
         .select(*s.columns, F.col("newest.id").alias("own_id"))
         .join(anyone, same, "left")
@@ -173,8 +187,12 @@ def tm_lookup(
             .alias("tm_scope"),
         )
     )
+
+
+def with_texts(found: DataFrame, tm: DataFrame, target_lang: str | None = TARGET_LANG) -> DataFrame:
+    """``tm_translation`` for the rows that have a ``tm_id``, in its place."""
     # Strings without a hit get a spread-out join key, or all of them would meet in one task.
-    texts = tm.select(F.col("id").alias("_id"), F.col("translation").alias("tm_translation"))
+    texts = in_language(tm, target_lang).select(F.col("id").alias("_id"), F.col("translation").alias("tm_translation"))
     spread_key = F.coalesce("tm_id", F.xxhash64("mod_id", "domain", "key_path"))
     hit = (F.col("_join") == F.col("_id")) & F.col("tm_id").isNotNull()
     return (

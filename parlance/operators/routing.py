@@ -14,8 +14,8 @@ from parlance.functions.tokens import (
     rulepack_symbols,
     token_signature,
 )
-from parlance.operators.memory import tm_lookup
-from parlance.operators.rules import LAYERS, apply_layers, template_key
+from parlance.operators.memory import tm_hits, with_texts
+from parlance.operators.rules import LAYERS, apply_layers, digest, template_key
 from parlance.operators.skew import key_join, segment_rows
 from parlance.schemas import ACCEPTED_REVIEWS, KEY, TARGET_LANG
 from parlance.sources.memory_index import MemoryIndex, indexed_lookup
@@ -78,10 +78,33 @@ def route(
     memory is a table or its index (``open_index``). ``disagreements`` are those of two earlier
     passes, per key (``provider_disagreement``): little agreement is one more difficulty.
     """
+    return with_reuse(route_tiers(strings, tm, glossary, policy, disagreements), tm, policy)
+
+
+def with_reuse(tiers: DataFrame, tm: DataFrame | MemoryIndex, policy: RouterPolicy = RouterPolicy()) -> DataFrame:
+    """``route_tiers`` with the reused text of each row; the texts of the memory are exchanged once, here."""
+    rows = tiers if isinstance(tm, MemoryIndex) else with_texts(tiers, tm, policy.target_lang)
+    reused = F.when(F.col("tier") == "tm", F.col("tm_translation")).when(F.col("tier") == "glossary", F.col("preferred"))
+    return rows.select(*KEY, "semantic_type", "tokens", "tier", "reason", reused.alias("reused_translation"))
+
+
+def route_tiers(
+    strings: DataFrame,
+    tm: DataFrame | MemoryIndex,
+    glossary: DataFrame,
+    policy: RouterPolicy = RouterPolicy(),
+    disagreements: DataFrame | None = None,
+) -> DataFrame:
+    """The tier and reason of every string and the glossary's text; of the memory only the row's id.
+
+    With an index the text is there already: its lookup exchanges the strings' side only.
+    """
+    # As long as the text itself, so it goes through the lookups as a digest.
+    template = F.transform(F.array(template_key("source_text")), lambda t: F.when(t != "", digest(t)))[0]
     measured = difficulty_flags(strings, policy).withColumns(
         {
             "tokens": estimate_tokens("source_text"),
-            "template": template_key("source_text"),
+            "template": template,
             "placeholders": token_signature("source_text"),
         }
     )
@@ -89,16 +112,16 @@ def route(
     if isinstance(tm, MemoryIndex):
         facts = indexed_lookup(measured, tm, policy.cross_mod_types, carry)
     else:
-        facts = tm_lookup(measured, tm, policy.cross_mod_types, carry, policy.target_lang)
+        facts = tm_hits(measured, tm, policy.cross_mod_types, carry, policy.target_lang)
     if disagreements is not None:
         apart = low_agreement(disagreements, policy).groupBy(*KEY).agg(F.lit(True).alias("_apart"))
         flag = F.when(F.col("_apart"), F.array(F.lit("disagreement"))).otherwise(F.array().cast("array<string>"))
         facts = key_join(facts, apart, KEY, "left").withColumn("difficulty", F.array_union("difficulty", flag))
-    ruled = apply_layers(facts, glossary, "template", policy.layers)
+    ruled = apply_layers(facts, glossary, "template", policy.layers, digested=True)
     always = F.coalesce(F.col("semantic_type").isin(*policy.always_escalate), F.lit(False))
     doubtful = F.lit(policy.low_confidence_escalation) & (F.size("difficulty") > 0)
     # A rule's text has to bring the string's placeholders along, as any other reuse has to.
-    by_rule = (F.col("template") != "") & (F.col("placeholders") == token_signature("preferred"))
+    by_rule = F.col("template").isNotNull() & (F.col("placeholders") == token_signature("preferred"))
     tier = (
         F.when(F.col("tm_scope").isNotNull(), "tm")
         .when(by_rule, "glossary")
@@ -127,9 +150,8 @@ def route(
             "tokens",
             "tier",
             "reason",
-            F.when(F.col("tier") == "tm", F.col("tm_translation"))
-            .when(F.col("tier") == "glossary", F.col("preferred"))
-            .alias("reused_translation"),
+            "preferred",
+            "tm_translation" if isinstance(tm, MemoryIndex) else "tm_id",
         )
     )
 

@@ -93,17 +93,22 @@ def classify_semantic_type(strings: DataFrame, overrides=(), built_in=BUILT_IN_R
 LAYERS = ("mod", "semantic_type", "global")
 
 
+def digest(text: Column | str) -> Column:
+    """Stands for a text in joins; a term may be as long as a whole text."""
+    return F.unhex(F.sha2(as_col(text), 256))
+
+
 def glossary_layers(glossary: DataFrame) -> DataFrame:
-    """One row per (scope, scope value, comparable term)."""
+    """One row per (scope, scope value, digest of the comparable term)."""
     return (
         glossary.select(
             "scope",
             F.coalesce("scope_value", F.lit("")).alias("scope_value"),
-            term_key("term").alias("term_key"),
+            digest(term_key("term")).alias("term_digest"),
             "preferred",
             "forbidden",
         )
-        .groupBy("scope", "scope_value", "term_key")
+        .groupBy("scope", "scope_value", "term_digest")
         .agg(
             F.min("preferred").alias("preferred"),
             F.array_distinct(F.flatten(F.collect_set(F.coalesce("forbidden", F.array())))).alias(
@@ -114,10 +119,11 @@ def glossary_layers(glossary: DataFrame) -> DataFrame:
 
 
 def apply_layers(
-    df: DataFrame, glossary: DataFrame, term: str, layers=LAYERS, how: str = "left"
+    df: DataFrame, glossary: DataFrame, term: str, layers=LAYERS, how: str = "left", digested: bool = False
 ) -> DataFrame:
     """Attach glossary_layer, preferred and forbidden by layered precedence.
 
+    ``term`` names the comparable term, or its ``digest`` if ``digested``; terms meet by digest.
     Two lookups on unique keys, so rows never multiply, however many mods define a term: one on
     (mod, term), one on the term, whose row holds the rules of the other layers. The second is as
     large as the number of semantic types; rules of mods, of which a term may have very many, stay
@@ -126,21 +132,21 @@ def apply_layers(
     """
     flat = stored(glossary_layers(glossary).filter(F.col("scope").isin(*layers)), "glossary-layers")
     rule = F.struct(F.col("scope").alias("layer"), "preferred", "forbidden")
-    out, hits = df, {}
+    out, hits = df.withColumn("_term_digest", F.col(term) if digested else digest(term)), {}
     if "mod" in layers:
         own = flat.filter("scope = 'mod'").select(
-            F.col("scope_value").alias("_g_mod"), F.col("term_key").alias("_g_term"), rule.alias("_hit_mod")
+            F.col("scope_value").alias("_g_mod"), F.col("term_digest").alias("_g_term"), rule.alias("_hit_mod")
         )
-        found = (F.col(term) == F.col("_g_term")) & (F.col("mod_id") == F.col("_g_mod"))
+        found = (F.col("_term_digest") == F.col("_g_term")) & (F.col("mod_id") == F.col("_g_mod"))
         out, hits["mod"] = out.join(own, found, "left").drop("_g_mod", "_g_term"), F.col("_hit_mod")
     if set(layers) - {"mod"}:
         typed, everywhere = F.col("scope") == "semantic_type", F.col("scope") == "global"
         of_types = F.collect_list(F.when(typed, F.struct("scope_value", rule.alias("rule"))))
-        shared = flat.filter("scope <> 'mod'").groupBy(F.col("term_key").alias("_g_term")).agg(
+        shared = flat.filter("scope <> 'mod'").groupBy(F.col("term_digest").alias("_g_term")).agg(
             F.map_from_entries(of_types).alias("_types"),
             F.min_by(rule, F.when(everywhere, F.col("scope_value"))).alias("_hit_global"),
         )
-        out = out.join(shared, F.col(term) == F.col("_g_term"), "left").drop("_g_term")
+        out = out.join(shared, F.col("_term_digest") == F.col("_g_term"), "left").drop("_g_term")
         hits["global"] = F.col("_hit_global")
         if "semantic_type" in layers:
             hits["semantic_type"] = F.when(F.col("semantic_type").isNotNull(), F.col("_types")[F.col("semantic_type")])

@@ -13,7 +13,7 @@ from parlance.operators.gates import ALL_GATES, require_filled, validate
 from parlance.operators.memory import SHARED, fan_out_translations, unique_sources
 from parlance.operators.providers import PASSTHROUGH, Provider, provider_disagreement, translate_with
 from parlance.operators.quality import fail_if_any, filter_emittable
-from parlance.operators.routing import RouterPolicy, assign_review_status, low_agreement, route
+from parlance.operators.routing import RouterPolicy, assign_review_status, low_agreement, route_tiers, with_reuse
 from parlance.operators.rules import glossary_terms_in_text
 from parlance.operators.skew import key_join
 from parlance.schemas import KEY
@@ -27,10 +27,11 @@ from parlance.sources.packs import (
     write_manifest,
     write_strings_pack,
 )
-from parlance.sources.workdir import stored
+from parlance.sources.workdir import Fresh, stored
 
 
-# How a flow keeps a step: (what makes it, its name) -> the rows from a stored table.
+# How a flow keeps a step: (what makes it, its name) -> the rows from a stored table. With a method
+# ``drop(*names)`` it is told which steps no later one reads.
 Keep = Callable[[Callable[[], DataFrame], str], DataFrame]
 
 
@@ -56,13 +57,25 @@ def translate_unique(
     of the local tier went on: ``failed`` or ``disagreement``.
     """
     unique = unique.withColumn("escalation", F.lit(None).cast("string"))
+    columns = unique.columns
+    hints = ("context_hint",) if "context_hint" in columns else ()
+    made_by = ("translated_text", "provider_id", "prompt_version", "error", "escalation")
+    result = (*SHARED, "tier", *hints, *made_by)
 
     def attempt(texts: DataFrame, provider: Provider, name: str) -> DataFrame:
         # Calls are slow and texts small: parts go by rows, not by the bytes an exchange left.
         made = translate_with(texts.repartition("source_text"), provider)
-        return keep(lambda: require_filled(validate(made, gates)), name)
 
-    columns = unique.columns
+        def checked() -> DataFrame:
+            done = require_filled(validate(made, gates))
+            if second is not None:
+                return done
+            # Only failed texts are read again.
+            again = [c for c in columns if c not in result]
+            return done.select(*result, "passed", *[F.when(~F.col("passed"), F.col(c)).alias(c) for c in again])
+
+        return keep(checked, name)
+
     done, waiting = [], unique.filter("tier = 'local'")
     for number in range(policy.attempts_allowed):
         made = attempt(waiting, local, f"attempt-{number}")
@@ -70,7 +83,6 @@ def translate_unique(
         waiting = made.filter("not passed").select(*columns).withColumn("escalation", F.lit("failed"))
         if waiting.isEmpty():
             break
-    hints = ("context_hint",) if "context_hint" in columns else ()
     if second is not None:
         first = reduce(DataFrame.unionByName, done)
         again = attempt(first.select(*columns), second, "attempt-second")
@@ -85,11 +97,7 @@ def translate_unique(
         waiting = waiting.unionByName(doubted.withColumn("escalation", F.lit("disagreement")))
         done = [key_join(first, apart, names, "left_anti")]
     made = attempt(unique.filter("tier = 'remote'").unionByName(waiting), remote, "attempt-remote")
-    results = made
-    for part in done:
-        results = results.unionByName(part)
-    made_by = ("translated_text", "provider_id", "prompt_version", "error", "escalation")
-    return results.select(*SHARED, "tier", *hints, *made_by)
+    return reduce(DataFrame.unionByName, [part.select(*result) for part in (made, *done)])
 
 
 def translate_flow(
@@ -100,8 +108,9 @@ def translate_flow(
     local: Provider = PASSTHROUGH,
     remote: Provider = PASSTHROUGH,
     gates: tuple[str, ...] = ALL_GATES,
-    keep: Keep = keep_fresh,
+    keep: Keep | None = None,
     second: Provider | None = None,
+    given: tuple[str, ...] = (),
 ) -> DataFrame:
     """Validated candidates for all strings; only tiers local and remote reach a translator.
 
@@ -111,18 +120,37 @@ def translate_flow(
     translator, as do texts on which a ``second`` local translator differs too much; ``provider_id``
     tells who made a text. A ``context_hint`` column of the strings
     reaches the translators, and so do the glossary terms that a text holds.
+
+    Every step is made when a later one asks for it, and dropped when no later one reads it: with the
+    candidates all others are gone. ``given`` names kept steps that only ``strings`` reads.
     """
+    keep = Fresh(strings.sparkSession) if keep is None else keep
+    drop = getattr(keep, "drop", lambda *names: None)
+    made: dict[str, DataFrame] = {}
+
+    def step(make: Callable[[], DataFrame]) -> DataFrame:
+        name = make.__name__.replace("_", "-")
+        if name not in made:
+            made[name] = keep(make, name)
+        return made[name]
+
+    def shared(rows: DataFrame) -> tuple[str, ...]:
+        return ("tier", "context_hint") if "context_hint" in rows.columns else ("tier",)
 
     def routed() -> DataFrame:
-        found = route(strings, tm, glossary, policy).select(*KEY, "tier", "reason", "reused_translation")
+        tiers = stored(route_tiers(strings, tm, glossary, policy), "tiers")
+        found = with_reuse(tiers, tm, policy).select(*KEY, "tier", "reason", "reused_translation")
         return key_join(strings, found, KEY, "inner")
 
-    rows = keep(routed, "routed")
-    asked = rows.filter(F.col("tier").isin("local", "remote"))
-    shared = ("tier", "context_hint") if "context_hint" in rows.columns else ("tier",)
-    named = keep(lambda: unique_sources(asked, shared).withColumn("text_id", value_hash("source_text")), "unique-texts")
+    asked = F.col("tier").isin("local", "remote")
 
-    def with_rules() -> DataFrame:
+    def unique_texts() -> DataFrame:
+        rows = step(routed)
+        drop(*given)
+        return unique_sources(rows.filter(asked), shared(rows)).withColumn("text_id", value_hash("source_text"))
+
+    def texts_and_rules() -> DataFrame:
+        named = step(unique_texts)
         identity = ["text_id", "semantic_type", "mod_id"]
         found = glossary_terms_in_text(named.withColumn("mod_id", F.lit(None).cast("string")), glossary, identity)
         rules = found.groupBy("text_id", "semantic_type").agg(
@@ -130,22 +158,32 @@ def translate_flow(
         )
         return key_join(named, rules, ("text_id", "semantic_type"), "left").drop("text_id")
 
-    unique = keep(with_rules, "texts-and-rules")
-    results = keep(lambda: translate_unique(unique, policy, local, remote, gates, keep, second), "results")
-    reuse = F.col("tier").isin("tm", "glossary")
-    everything = fan_out_translations(rows, results, shared).withColumns(
-        {
-            "translated_text": F.when(reuse, F.col("reused_translation")).otherwise(
-                F.col("translated_text")
-            ),
-            "provider_id": F.when(reuse, F.concat(F.lit("reuse:"), "tier")).otherwise(
-                F.col("provider_id")
-            ),
-            "prompt_version": F.when(reuse, "none").otherwise(F.col("prompt_version")),
-        }
-    )
-    checked = require_filled(validate(everything.drop("reused_translation"), gates))
-    return keep(lambda: assign_review_status(checked, policy), "candidates")
+    def results() -> DataFrame:
+        unique = step(texts_and_rules)
+        drop("unique-texts")
+        return translate_unique(unique, policy, local, remote, gates, keep, second)
+
+    def candidates() -> DataFrame:
+        found = step(results)
+        attempts = [f"attempt-{k}" for k in (*range(policy.attempts_allowed), "second", "remote")]
+        drop("texts-and-rules", "disagreeing", *attempts)
+        rows = step(routed)
+        copied = fan_out_translations(rows.filter(asked), found, shared(rows))
+        # Reused texts have no result, so they stay where they are.
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in copied.schema if f.name not in rows.columns]
+        everything = copied.unionByName(rows.filter(~asked).select("*", *nothing)).withColumns(
+            {
+                "translated_text": F.when(asked, F.col("translated_text")).otherwise(F.col("reused_translation")),
+                "provider_id": F.when(asked, F.col("provider_id")).otherwise(F.concat(F.lit("reuse:"), "tier")),
+                "prompt_version": F.when(asked, F.col("prompt_version")).otherwise("none"),
+            }
+        )
+        checked = require_filled(validate(everything.drop("reused_translation"), gates))
+        return assign_review_status(checked, policy)
+
+    checked = step(candidates)
+    drop("routed", "results")
+    return checked
 
 
 def translate_to_state(candidates: DataFrame, path: str) -> None:

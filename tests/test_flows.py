@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,38 @@ def test_failed_items_stay_failed_and_calls_are_not_repeated(spark, tmp_path):
     assert sorted(calls["remote"]) == sorted(f"text number {i}|{rule}" for i in (1, 3))
 
 
+def test_a_flow_leaves_its_candidates_only(spark, tmp_path):
+    glossary = spark.createDataFrame([("global", None, "number", "номер", []), ("global", None, "text number 0", "ноль", [])], GLOSSARY)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    tables = set(os.listdir(shared))
+    made = flows.translate_flow(
+        strings(spark), spark.createDataFrame([], MEMORY), glossary, RouterPolicy(max_local_retries=1),
+        provider(str(tmp_path), "local"), provider(str(tmp_path), "remote"),
+    )
+    assert [t.rpartition("-")[0] for t in set(os.listdir(shared)) - tables] == ["candidates"]
+    rows = made.collect()
+    reused = [r for r in rows if r.tier == "glossary"]
+    assert len(rows) == 12 and len(reused) == 3
+    assert all((r.translated_text, r.provider_id, r.prompt_version, r.error) == ("ноль", "reuse:glossary", "none", None) for r in reused)
+
+
+def test_a_stored_table_leaves_no_exchanged_files(spark):
+    from parlance.sources.workdir import stored
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def exchanged():
+        files = disk.getAllFiles()
+        return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_")}
+
+    before = exchanged()
+    rows = stored(spark.range(1000).repartition(3, "id"), "exchanged")
+    until = time.time() + 20
+    while exchanged() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not exchanged() - before and rows.count() == 1000
+
+
 def find(spark, texts, terms):
     from parlance.operators.rules import find_terms
 
