@@ -19,6 +19,7 @@ from parlance.operators.routing import RouterPolicy
 from parlance.operators.skew import key_join
 from parlance.plans import flows
 from parlance.schemas import KEY, MEMORY, SOURCE_LANG, TARGET_LANG
+from parlance.sources.workdir import STEP_LEVEL, passing, remove, save
 
 
 def table_digest(df: DataFrame) -> str:
@@ -36,7 +37,7 @@ class Steps:
     """Steps under one folder, each committed once.
 
     A step's marker is written after its table is complete; a table without one is made again. Steps
-    whose marker stands are not planned at all.
+    whose marker stands are not planned at all. ``drop`` is for steps that no later one reads.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -53,11 +54,20 @@ class Steps:
     def keep(self, make: Callable[[], DataFrame], name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         if not self.done(name):
-            make().write.mode("overwrite").parquet(path)
+            with passing(self.spark):
+                save(make(), path, "overwrite", STEP_LEVEL)
             files, marker = self._marker(name)
             files.create(marker, True).close()
         return self.spark.read.parquet(path)
 
+    __call__ = keep
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            files, marker = self._marker(name)
+            files.delete(marker, False)
+            remove(self.spark, f"{self.folder}/{name}")
+
 
 @dataclass(frozen=True)
 class Incremental:
@@ -112,7 +122,9 @@ def incremental_run(
     the same inputs goes on after its last committed step and calls no translator for a committed
     attempt, and a run with other inputs starts a folder of its own. ``at`` is the time of the new memory
     rows (a repeated run keeps the first one's). Failed candidates stay out of the memory, so their keys
-    are new or stale again next time. ``memory`` is the lazy union of ``tm`` and ``updates``.
+    are new or stale again next time. ``memory`` is the lazy union of ``tm`` and ``updates``. When a run has
+    ended, its folder holds changes, candidates and updates; the other steps are dropped as soon as no
+    step still to come reads them.
     """
     target_lang = policy.target_lang or TARGET_LANG
     makers = [(p.id, p.kind, p.prompt_version) for p in (local, remote, second) if p is not None]
@@ -121,7 +133,11 @@ def incremental_run(
     steps = Steps(strings.sparkSession, f"{folder.rstrip('/')}/{name}")
     changes = steps.keep(lambda: detect_changes(strings, tm, target_lang), "changes")
     wanted = changes.filter(F.col("change").isin("new", "stale")).select(*KEY)
-    todo = steps.keep(lambda: key_join(strings, wanted, KEY, "left_semi"), "todo")
-    candidates = flows.translate_flow(todo, tm, glossary, policy, local, remote, gates, steps.keep, second)
-    updates = steps.keep(lambda: memory_rows(candidates, tm, target_lang, at), "updates")
+    todo = strings
+    if not any(steps.done(later) for later in ("routed", "unique-texts", "texts-and-rules", "results", "candidates")):
+        todo = steps.keep(lambda: key_join(strings, wanted, KEY, "left_semi"), "todo")
+    candidates = flows.translate_flow(todo, tm, glossary, policy, local, remote, gates, steps, second, given=("todo",))
+    kept = steps.keep(lambda: memory_rows(candidates, tm, target_lang, at).drop("normalized_source"), "updates")
+    # As long as the source text and made from it, so it is not stored.
+    updates = kept.withColumn("normalized_source", normalize_source("source_text")).select(*MEMORY.fieldNames())
     return Incremental(changes, candidates, updates, merge_tm(tm, updates))

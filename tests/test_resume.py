@@ -73,6 +73,28 @@ def test_stopped_run_goes_on_without_calls_and_the_next_takes_changes_only(spark
     assert len({r.id for r in later.memory.collect()}) == 4
 
 
+def test_a_run_keeps_what_it_returns_and_no_other_step(spark, tmp_path):
+    nothing, glossary = spark.createDataFrame([], MEMORY), spark.createDataFrame([("global", None, "beta", "b", [])], GLOSSARY)
+
+    def run():
+        texts = strings(spark, {"A": "alpha", "B": "beta {0}", "C": "alpha"})
+        providers = counted(str(tmp_path), "local"), counted(str(tmp_path), "remote")
+        return resume.incremental_run(texts, nothing, glossary, str(tmp_path / "runs"), datetime(2030, 1, 1), POLICY, *providers)
+
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    first = run()
+    (folder,) = (tmp_path / "runs").iterdir()
+    assert sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == sorted(
+        f"{step}{end}" for step in ("changes", "candidates", "updates") for end in ("", ".done")
+    )
+    assert set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
+    again = run()
+    assert sorted(map(str, again.candidates.collect())) == sorted(map(str, first.candidates.collect()))
+    assert {r.key_path: r.normalized_source for r in again.updates.collect()} == {"A": "alpha", "B": "beta {#}", "C": "alpha"}
+    assert again.updates.columns == MEMORY.fieldNames()
+    assert calls(str(tmp_path)) == ["alpha", "beta {0}"]
+
+
 def test_a_step_without_its_marker_is_made_again(spark, tmp_path):
     steps = resume.Steps(spark, str(tmp_path))
     made = []
